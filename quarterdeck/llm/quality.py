@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -164,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, label_col: str = "qual
     y = np.asarray(table["label"].combine_chunks(), np.float64) if len(table) else np.zeros(0)
     if len(y) and 0 < y.sum() < len(y):
         lists = table["ids"].combine_chunks(), table["values"].combine_chunks()
-        firsts = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(lists[0]), np.int64))])
+        firsts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists[0]), np.int64))])
         order = np.lexsort((y, firsts[:-1] - firsts[1:]))  # not the order in which tasks end
         take = np.concatenate([np.arange(firsts[r], firsts[r + 1]) for r in order])
         sizes = np.diff(firsts)[order]

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import decontaminate, mixing, quality, sampling, simhash, token_store
+from quarterdeck.llm import decontaminate, fingerprints, langid, language_model, mixing, quality, sampling, sharding, simhash, token_store, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -13,10 +13,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [f"shard-{k:05d}" for k in range(sharding.SHARDS)]
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), names)
+
+
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_model.score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"))
+
+
+def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = sampling.remainder(F.col("doc_id"), 5)
+    out = langid.identify(docs.select("doc_id", "text"), docs.filter(fold != 0))
+    return out.select("doc_id", (fold == 0).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op5_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = sampling.remainder(F.col("doc_id"), 3)
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 1)
+    out = toxicity.scored(docs, lexicon).withColumn("score", F.col("toxicity.score"))
+    return out.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -112,5 +141,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op4_wavelet_tokens, op7_simhash_groups, op8_quality_fm, op9_systematic_mix, op10_decontamination)}
-ORACLES = {"op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), pos AS (
+  SELECT doc_id, len(w) AS n, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)
+), c1 AS (SELECT word, count(*) AS c FROM pos GROUP BY word),
+c2 AS (SELECT prev, word, count(*) AS c FROM pos WHERE prev IS NOT NULL GROUP BY prev, word),
+total AS (SELECT count(*) AS n FROM pos),
+scores AS (
+  SELECT p.doc_id, sum(CASE WHEN p.prev IS NULL THEN ln(u.c) - ln(total.n) ELSE ln(c2.c) - ln(v.c) END) AS s
+  FROM pos p JOIN c1 u ON p.word = u.word LEFT JOIN c2 ON p.prev = c2.prev AND p.word = c2.word LEFT JOIN c1 v ON p.prev = v.word, total
+  GROUP BY p.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS log_score FROM w LEFT JOIN scores USING (doc_id)
+"""
+
+_ALL = (
+    op1_shard_lookup,
+    op2_stupid_backoff,
+    op3_naive_bayes_language,
+    op4_wavelet_tokens,
+    op5_weighted_fingerprints,
+    op6_toxicity_lexicon,
+    op7_simhash_groups,
+    op8_quality_fm,
+    op9_systematic_mix,
+    op10_decontamination,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES = {"op2_stupid_backoff": OP2_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}

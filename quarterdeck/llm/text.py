@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 # Odd multiplier of the rolling hash and its inverse modulo 2**64.
@@ -19,7 +20,7 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``limit`` bytes of text, or of one row."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
     begin = held = 0
     for i, n in enumerate(lengths.tolist()):
         if held and held + n > limit:
@@ -32,7 +33,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows one after another, and each row's bounds (nulls are empty)."""
-    texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     bounds = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
     if data is None or bounds[-1] == bounds[0]:
