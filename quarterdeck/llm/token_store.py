@@ -13,7 +13,9 @@ its own; an empty table gives an empty result. Special-token strings in a text
 are ordinary text.
 """
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,36 +28,92 @@ from quarterdeck.llm.wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
-CACHED_PIECES = 1_500_000
+CACHED_PIECES = 600_000
+CACHED_WORDS = 1_000_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
 _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of whole texts. The tokenizer splits before a space that a non-space follows, so such pieces are encoded once and kept."""
+    """Ids of whole texts, with a memory of pieces that recur.
+
+    The tokenizer splits before a space that a non-space follows, so texts are
+    cut there. A piece of letters, full stops, commas and single line breaks is
+    cut further as the tokenizer would, and its words go to the tokenizer's
+    model; other pieces and texts go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.n_ids = self.tokenizer.get_vocab_size()
         self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        assert array("I").itemsize == 4 and sys.byteorder == "little"
+        # The character that stands for each byte.
+        plain = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {b: plain.pre_tokenize_str(chr(b))[0][0][-1] for b in range(128)}
+        for code in (*range(0x80, 0x800), *range(0x800, 0x10000, 0x40), *range(0x10000, 0x110000, 0x1000)):
+            if not 0xD800 <= code < 0xE000 and len(self.shown) < 256:
+                for byte, c in zip(chr(code).encode(), plain.pre_tokenize_str(chr(code))[0][0]):
+                    self.shown.setdefault(byte, c)
+        self.space = self.shown[ord(" ")]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of letters, with a space before them or not."""
+        found = self.words.get(word)
+        if found is None:
+            shown = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+            found = self.words[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return found
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self._encode([mark])[0]
+        return self.marks[mark]
+
+    def _lines(self, piece: str) -> bytes | None:
+        """Ids of a piece that begins with its space, or none if it isn't of the simple kind."""
+        out = []
+        for k, line in enumerate(piece.split("\n")):
+            word = line.rstrip(".,")
+            if not (word if k else word[1:]).isalpha():
+                return None
+            if k:
+                out.append(self._mark("\n"))
+            out.append(self._word(word))
+            if len(word) < len(line):
+                out.append(self._mark(line[len(word) :]))
+        return b"".join(out)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [None if "  " in t or t.endswith(" ") else t.split(" ") for t in texts]
-        if len(self.pieces) > CACHED_PIECES:
-            self.pieces.clear()
-        tails = set().union(*(s[1:] for s in split if s))
-        new = list(tails.difference(self.pieces))
-        for at in range(0, len(new), 4096):
-            self.pieces.update(zip(new[at : at + 4096], self._encode([" " + x for x in new[at : at + 4096]])))
+        for memory, most in ((self.pieces, CACHED_PIECES), (self.words, CACHED_WORDS), (self.marks, CACHED_WORDS)):
+            if len(memory) > most:
+                memory.clear()
+        other, pieces, word_of = [], self.pieces, self._word
+        for x in set().union(*(s[1:] for s in split if s)).difference(pieces):
+            if x.isalpha():
+                pieces[x] = word_of(" " + x)
+                continue
+            word = x.rstrip(".,")
+            if word.isalpha():
+                pieces[x] = word_of(" " + word) + self._mark(x[len(word) :])
+            elif found := self._lines(" " + x):
+                pieces[x] = found
+            else:
+                other.append(x)
+        self.pieces.update(zip(other, self._encode([" " + x for x in other])))
         heads = self._encode([s[0] if s else t for s, t in zip(split, texts)])
         get = self.pieces.__getitem__
         return [h + b"".join(map(get, s[1:])) if s else h for h, s in zip(heads, split)]

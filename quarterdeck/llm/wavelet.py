@@ -60,7 +60,7 @@ class WaveletMatrix:
     def of(cls, values: np.ndarray, n_bits: int) -> "WaveletMatrix":
         planes = []
         for p in range(n_bits - 1, -1, -1):
-            bits = (values >> values.dtype.type(p)) & values.dtype.type(1) != 0
+            bits = (values & values.dtype.type(1 << p)).astype(bool)
             planes.append(Plane.of(bits))
             values = np.concatenate([values[~bits], values[bits]])
         return cls(planes, len(values))
