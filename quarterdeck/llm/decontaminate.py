@@ -116,15 +116,15 @@ def _expand(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def scan(texts: list[str | None], phrases: Phrases) -> tuple[list[int], list[list[tuple[int, int]]], list[list[str]]]:
     """For each text its number of words, the merged (begin, end) spans of words that are hit, and the items found."""
-    words = [tokens(t) for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
+    get = phrases.words.get
+    ids = [np.array([get(w, 0) for w in tokens(t)], np.int32) for t in texts]
+    counts = np.array([len(w) for w in ids], np.int64)
     spans, items = [[] for _ in texts], [[] for _ in texts]
     # One separator before each document, and one at the end.
     base = np.concatenate([[0], np.cumsum(counts + 1)])
-    get = phrases.words.get
-    symbols = np.zeros(base[-1] + 1, np.int64)
-    for b, w in zip(base.tolist(), words):
-        symbols[b + 1 : b + 1 + len(w)] = [get(x, 0) for x in w]
+    symbols = np.zeros(base[-1] + 1, np.int32)
+    for b, w in zip(base.tolist(), ids):
+        symbols[b + 1 : b + 1 + len(w)] = w
     known = symbols > 0
     edges = np.flatnonzero(known[1:] != known[:-1]) + 1
     begins, ends = edges[::2], edges[1::2]
@@ -134,7 +134,7 @@ def scan(texts: list[str | None], phrases: Phrases) -> tuple[list[int], list[lis
     # Each run with the separator before it, and one more separator at the end.
     at, _ = _expand(begins[long] - 1, ends[long])
     at = np.append(at, len(symbols) - 1)
-    index = FMIndex(symbols[at], len(phrases.words))
+    index = FMIndex(symbols[at].astype(np.int64), len(phrases.words))
     low, high = index.search(phrases.windows)
     rows, window = _expand(low, high)
     if not len(rows):
@@ -193,7 +193,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
     return [spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in items.filter(part == k).toLocalIterator()], window)) for k in range(n)]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shard_bytes: int = 16 << 20, block_bytes: int = 64 << 20, into: str = "contamination") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shard_bytes: int = 8 << 20, block_bytes: int = 64 << 20, into: str = "contamination") -> DataFrame:
     """``docs`` with a struct column ``into``: n_words, spans (merged, in words), items (sorted as strings), n_hit."""
     blocks = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
     of = [f"{into}_{k}" for k in range(len(blocks))]

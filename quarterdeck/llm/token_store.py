@@ -28,8 +28,8 @@ from quarterdeck.llm.wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
-CACHED_PIECES = 600_000
-CACHED_WORDS = 1_000_000
+CACHED_PIECES = 250_000
+CACHED_WORDS = 600_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
 _encoders: dict[str, "Encoder"] = {}
