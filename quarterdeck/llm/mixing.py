@@ -16,6 +16,8 @@ rows are each a document, an empty table gives an empty result.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarterdeck.llm import scratch
+
 #: Weights of the sources in order of their code points, repeating; nulls come last.
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -67,10 +69,13 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
     With ``carry``, the row itself is in a struct column ``row``.
     """
-    row = [F.struct(*docs.columns).alias("row")] if carry else []
-    sized = docs.select(*row, F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    sized = sized.withColumn("class", F.floor(F.sqrt("size")).cast("int")).withColumn("slot", F.pmod(hash32(F.col("id").cast("string")), F.lit(slots)))
-    cells = sized.groupBy("source", "class", "slot").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    named = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")]
+    place = {"class": F.floor(F.sqrt("size")).cast("int"), "slot": F.pmod(hash32(F.col("id").cast("string")), F.lit(slots))}
+    # Words are counted once; what is kept has no texts.
+    sizes = sized = scratch.written(docs.select(*named)).withColumns(place)
+    if carry:
+        sized = docs.select(F.struct(*docs.columns).alias("row"), *named).withColumns(place)
+    cells = sizes.groupBy("source", "class", "slot").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     goal = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), "source", weights, cap)
     run = Window.partitionBy("source").orderBy("class", "slot").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(F.col("source").alias("s"), F.col("class").alias("c"), F.col("slot").alias("k"), F.coalesce(F.sum("n").over(run), F.lit(0)).alias("before"))
