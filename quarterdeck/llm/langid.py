@@ -77,7 +77,7 @@ class Model:
         smooth = counts + alpha
         self.log_p = np.zeros((len(languages), counts.shape[1] + 1), np.float32)
         self.log_p[:, :-1] = np.log(smooth / smooth.sum(1, keepdims=True))
-        self.prior = np.log(documents / documents.sum())
+        self.prior = np.log(documents / max(documents.sum(), 1))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [], []
@@ -85,7 +85,7 @@ class Model:
             grams, bounds, some = buckets(part, (self.log_p.shape[1] - 1).bit_length() - 1)
             firsts = bounds[:-1][some]
             total = np.tile(self.prior[:, None], (1, len(firsts)))
-            if len(firsts):
+            if len(firsts) and self.languages:
                 for language, log_p in enumerate(self.log_p):
                     for gram in grams:
                         total[language] += np.add.reduceat(log_p[gram], firsts, dtype=np.float64)

@@ -3,7 +3,7 @@
 A document's log score is the log of its first word's relative frequency plus,
 for each later word, log(c(previous, word) / c(previous)); a pair that the
 corpus lacks backs off to ``ALPHA`` * c(word) / N, and a word that it lacks
-counts as 1 / (N + 1). Over a document this is a sum of logs of counts, so
+counts as one seen once. Over a document this is a sum of logs of counts, so
 each order's count table is joined on its own: the 64-bit hashes of all words
 and pairs are dealt out by hash, counted in their bucket, joined there with the
 documents that hold them, and the logs are summed for each document.
@@ -14,7 +14,7 @@ their counts (at most ``HOT`` of each order) are broadcast and applied where
 the document is read; all other n-grams are shuffled once.
 
 Null and empty texts have no words and score 0. Repeated rows count as often
-as they occur and each get a row. With an empty corpus N is 0.
+as they occur and each get a row. With an empty corpus N counts as 1.
 """
 
 from collections.abc import Iterator
@@ -231,7 +231,7 @@ def _backed_off(lost: DataFrame, source: DataFrame, n_words: int, alpha: float)
     sides = lost.select("doc", F.explode(F.array(F.struct(F.col("previous").alias("key"), F.lit(1).alias("side")), F.struct(F.col("word").alias("key"), F.lit(2).alias("side")))).alias("s")).select("doc", "s.*")
     found = sides.groupBy("doc", "key", "side").agg(F.count("*").alias("times")).join(words, "key", "left")
     # A context's count was taken off once for each pair; the first word of a document has no pair before it.
-    word = F.when(F.col("n") > 0, F.log(F.col("n").cast("double")) - float(np.log(max(n_words, 1)))).otherwise(-float(np.log(n_words + 1)))
+    word = F.coalesce(F.log(F.col("n").cast("double")), F.lit(0.0)) - float(np.log(max(n_words, 1)))
     gain = F.when(F.col("side") == 2, float(np.log(alpha)) + word).otherwise(F.coalesce(F.log(F.col("n").cast("double")), F.lit(0.0)))
     zero = F.lit(0).cast("long")
     return found.select("doc", F.lit(None).cast("long").alias("id"), zero.alias("n_words"), zero.alias("rows"), (F.col("times") * gain).alias("score"))

@@ -27,8 +27,9 @@ from quarterdeck.llm import sampling, scratch
 BOUND = 8_000
 THRESHOLD = 0.7
 LEAST_TEXTS = 4
-LEAST_ODDS = 30.0
-SHORTEST, LONGEST = 4, 10
+LEAST_ODDS = 4.0
+LEAST_SURPRISE = 5.0
+SHORTEST, LONGEST = 3, 10
 EXCEPTIONS = ("trash can", "trash bin", "clown fish")
 
 #: Letters that look like a Latin one (Cyrillic, then Greek).
@@ -56,12 +57,13 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(fold(text)) if text else []
 
 
-def _features(found: list[str]) -> set[str]:
-    """Beginnings of words, and whole words closed by ``$``."""
-    out = set()
-    for w in set(found):
-        out.update(w[:k] for k in range(SHORTEST, min(LONGEST, len(w)) + 1))
-        out.add(w + "$")
+def _features(found: list[str]) -> Counter[str]:
+    """Occurrences of beginnings of words, and of whole words closed by ``$``."""
+    out: Counter[str] = Counter()
+    for w, n in Counter(found).items():
+        for k in range(SHORTEST, min(LONGEST, len(w)) + 1):
+            out[w[:k]] += n
+        out[w + "$"] += n
     return out
 
 
@@ -99,15 +101,27 @@ class Lexicon:
         return 1 / (1 + np.exp(-np.clip(self.slope * density + self.offset, -30, 30)))
 
 
-def _shortened(odds: dict[str, tuple[float, int]]) -> dict[str, float]:
-    """One entry for a family of beginnings: the longest that nearly all texts of the shortest hold."""
-    kept = {}
-    for entry in sorted(odds):
-        if any(entry[:k] in odds for k in range(1, len(entry))):
-            continue
-        while longer := [e for e in odds if len(e) == len(entry) + 1 and e.startswith(entry) and odds[e][1] >= 0.95 * odds[entry][1]]:
-            entry = longer[0]
-        kept[entry] = odds[entry][0]
+def _chosen(bad: dict[str, tuple[int, int]], good: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
+    """Weights of the entries that tell most, from (texts, occurrences) of each entry.
+
+    Of entries that begin alike, the one stays whose toxic texts above the
+    number expected, times the log-odds, are the most. An entry weighs the
+    log-odds of its occurrences.
+    """
+    worth = {}
+    for entry, (n, times) in bad.items():
+        m, others = good.get(entry, (0, 0))
+        expected = (n + m) * toxic / (toxic + clean)
+        odds = ((n + 0.5) / (toxic + 1)) / ((m + 0.5) / (clean + 1))
+        if odds >= LEAST_ODDS and (n - expected) / expected**0.5 >= LEAST_SURPRISE:
+            worth[entry] = (n - expected) * np.log(odds), float(np.log(((times + 0.5) / (toxic + 1)) / ((others + 0.5) / (clean + 1))))
+    kept: dict[str, float] = {}
+    begun: set[str] = set()
+    for entry in sorted(worth, key=lambda e: (-worth[e][0], -len(e), e)):
+        stems = {entry[:k] for k in range(1, len(entry) + 1)}
+        if entry not in begun and not any(s in kept for s in stems):
+            kept[entry] = worth[entry][1]
+            begun |= stems
     return kept
 
 
@@ -118,28 +132,31 @@ def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "tox
 
     def counted(entries):
         def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: Counter[str] = Counter()
+            texts, times = Counter(), Counter()
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     found = _features(words(text))
-                    sums.update(found if entries is None else found & entries.value)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], ["entry", "n"])
+                    if entries is not None:
+                        found = Counter({e: found[e] for e in found.keys() & entries.value})
+                    times.update(found)
+                    texts.update(found.keys())
+            columns = [pa.array(list(texts), pa.string()), *[pa.array([c[e] for e in texts], pa.int64()) for c in (texts, times)]]
+            yield pa.RecordBatch.from_arrays(columns, ["entry", "n", "times"])
 
         return of
 
     def counts(label: int, entries=None) -> DataFrame:
         rows = sample.filter(F.col("label") == label).select("text")
-        return rows.mapInArrow(counted(entries), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+        return rows.mapInArrow(counted(entries), "entry string, n long, times long").groupBy("entry").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return Lexicon({}, exceptions)
     # At most as many entries as the sampled texts can hold.
-    bad = {r.entry: r.n for r in counts(1).filter(F.col("n") >= LEAST_TEXTS).toLocalIterator()}
-    good = {r.entry: r.n for r in counts(0, spark.sparkContext.broadcast(set(bad))).toLocalIterator()}
-    odds = {e: ((n + 0.5) / (toxic + 1)) / ((good.get(e, 0) + 0.5) / (clean + 1)) for e, n in bad.items()}
-    lexicon = Lexicon(_shortened({e: (float(np.log(x)), bad[e]) for e, x in odds.items() if x >= LEAST_ODDS}), exceptions)
+    bad = {r.entry: (r.n, r.times) for r in counts(1).filter(F.col("n") >= LEAST_TEXTS).toLocalIterator()}
+    good = {r.entry: (r.n, r.times) for r in counts(0, spark.sparkContext.broadcast(set(bad))).toLocalIterator()}
+    lexicon = Lexicon(_chosen(bad, good, toxic, clean), exceptions)
     shared = spark.sparkContext.broadcast(lexicon)
 
     def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
