@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.operators import panel as p
 from quarterdeck.operators import peers, screen
-from quarterdeck.sources.writers import frozen_copy, write_exhibit
+from quarterdeck.sources.writers import frozen_copy, materialized, write_exhibit
 
 
 class LeakError(ValueError):
@@ -16,7 +16,7 @@ class LeakError(ValueError):
 
 def marts(tables: dict[str, DataFrame], bands=p.BANDS) -> dict[str, DataFrame]:
     """Fact, dimension and flags of staged ``financials``, ``registry`` and ``failures``."""
-    fact = p.build_fact(tables["financials"], tables["registry"], bands)
+    fact = materialized(p.build_fact(tables["financials"], tables["registry"], bands))
     ids = ["cert", "report_date", "peer_band"]
     flags = peers.composite(peers.peer_stats(fact, ids, list(peers.SIGNS), "peer_band", unclamped=False))
     return {"fact": fact, "dim": p.dim_entities(tables["registry"], tables["financials"], tables["failures"]), "flags": flags}

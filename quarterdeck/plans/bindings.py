@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.columns import quarter_end, week_of
 from quarterdeck.operators import panel as p
 from quarterdeck.operators import peers
+from quarterdeck.sources.writers import materialized
 
 #: Size bands that split suppliers' quarters, and the nation whose suppliers the registry lacks.
 BANDS = ((1.4e6, "large"), (0.9e6, "middle"), (0.0, "small"))
@@ -109,7 +110,8 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
-    return p.build_fact(panel(spark, sf_dir) if rows is None else rows, registry(spark, sf_dir), BANDS)
+    """The fact mart, written once: medians, deviations and scores each read it."""
+    return materialized(p.build_fact(panel(spark, sf_dir) if rows is None else rows, registry(spark, sf_dir), BANDS))
 
 
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,9 +122,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return peers.peer_percentiles(fact(spark, sf_dir))
 
 
-def flags(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
-    """Composite scores; only the screened metrics are unpivoted."""
-    f = fact(spark, sf_dir, rows)
+def flags(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """Composite scores of a fact; only the screened metrics are unpivoted."""
+    f = fact(spark, sf_dir) if of is None else of
     return peers.composite(peers.peer_stats(f, ["cert", "report_date", "peer_band"], list(peers.SIGNS), "peer_band", unclamped=False))
 
 

@@ -199,7 +199,8 @@ def r10_metric_correlation(spark, d):
 
 
 def _ranked(spark, d):
-    return screen.rank_screen(b.flags(spark, d), b.dim(spark, d), b.fact(spark, d))
+    fact = b.fact(spark, d)
+    return screen.rank_screen(b.flags(spark, d, fact), b.dim(spark, d), fact)
 
 
 RANK_COLUMNS = ["cert", "report_date", "peer_band", "composite_score", "band_rank", "band_size", "band_percentile", "overall_rank", "overall_size", "overall_percentile", "bank_name", "is_failed", "total_assets"]
@@ -225,14 +226,14 @@ def b03_false_positive_sample(spark, d):
 def b04_frozen_build(spark, d):
     """The screen from data truncated at a date: its scores must be those of the full build, which the SQL gives."""
     cut = b.panel(spark, d).filter(F.col("report_date") <= F.lit(b.AS_OF))
-    return b.flags(spark, d, cut).filter(F.col("report_date") == F.lit(b.AS_OF)).select("cert", "report_date", "composite_score")
+    return b.flags(spark, d, b.fact(spark, d, cut)).filter(F.col("report_date") == F.lit(b.AS_OF)).select("cert", "report_date", "composite_score")
 
 
 @query("SELECT CAST(NULL AS BIGINT) AS cert, CAST(NULL AS DATE) AS report_date, CAST(NULL AS VARCHAR) AS only_in WHERE 1 = 0")
 def b04_prove_equivalence(spark, d):
     cut = b.panel(spark, d).filter(F.col("report_date") <= F.lit(b.AS_OF))
     at = lambda df: df.filter(F.col("report_date") == F.lit(b.AS_OF))
-    return screen.prove_equivalence(at(b.flags(spark, d, cut)), at(b.flags(spark, d)), ["cert", "report_date"]).select("cert", "report_date", "only_in")
+    return screen.prove_equivalence(at(b.flags(spark, d, b.fact(spark, d, cut))), at(b.flags(spark, d)), ["cert", "report_date"]).select("cert", "report_date", "only_in")
 
 
 @query("SELECT cert, CAST(band_rank + (cert % 2) AS INTEGER) AS expected_band_rank, CAST(band_rank AS INTEGER) AS got_band_rank FROM ranked WHERE cert % 2 = 1 UNION ALL SELECT -1, 1, NULL")
@@ -260,7 +261,9 @@ def b09_movers(spark, d):
 
 @query("SELECT m.cert, CAST(r.band_rank AS VARCHAR) || ' of ' || r.band_size AS rank_label FROM moved m JOIN ranked r ON m.cert = r.cert WHERE m.peer_band = 'small' ORDER BY score_change DESC, m.cert LIMIT 12")
 def b09_movers_in_band(spark, d):
-    return screen.movers_in_band(screen.movers(b.flags(spark, d)), _ranked(spark, d), "small").select("cert", "rank_label")
+    fact = b.fact(spark, d)
+    flags = b.flags(spark, d, fact)
+    return screen.movers_in_band(screen.movers(flags), screen.rank_screen(flags, b.dim(spark, d), fact), "small").select("cert", "rank_label")
 
 
 @query("SELECT peer_band, side, place, cert FROM (SELECT peer_band, cert, 'riser' AS side, row_number() OVER (PARTITION BY peer_band ORDER BY score_change DESC, cert) AS place FROM moved UNION ALL SELECT peer_band, cert, 'faller', row_number() OVER (PARTITION BY peer_band ORDER BY score_change, cert) FROM moved) WHERE place <= 15")
@@ -328,9 +331,9 @@ def v09_screen_history(spark, d):
     return views.screen_history(b.flags(spark, d), 1)
 
 
-@query("SELECT s.metric, CASE WHEN s.metric IN ('nim_trend_4q', 'equity_to_assets') THEN -s.robust_z ELSE s.robust_z END AS z, printf('%.2f', s.value) AS value_text FROM scored s WHERE s.cert = 1 AND s.metric IN ('uninsured_deposit_share', 'brokered_deposit_share', 'securities_to_assets', 'asset_growth_3y_cagr', 'nim_trend_4q', 'equity_to_assets') AND s.report_date = (SELECT max(report_date) FROM flags WHERE cert = 1)", "z")
+@query("SELECT s.metric, CASE WHEN s.metric IN ('nim_trend_4q', 'equity_to_assets') THEN -s.robust_z ELSE s.robust_z END AS z FROM scored s WHERE s.cert = 1 AND s.metric IN ('uninsured_deposit_share', 'brokered_deposit_share', 'securities_to_assets', 'asset_growth_3y_cagr', 'nim_trend_4q', 'equity_to_assets') AND s.report_date = (SELECT max(report_date) FROM flags WHERE cert = 1)", "z")
 def v09_screen_now(spark, d):
-    return views.screen_now(b.flags(spark, d), b.scored(spark, d), 1, {m: col for m, (_, col) in peers.SIGNS.items()}).select("metric", "z", "value_text")
+    return views.screen_now(b.flags(spark, d), b.scored(spark, d), 1, {m: col for m, (_, col) in peers.SIGNS.items()}).select("metric", "z")
 
 
 @query("SELECT cert, bank_name || ' — ' || city || ', ' || state_code AS label FROM registry")
@@ -413,7 +416,8 @@ def v22_entities(spark, d):
 
 @query("SELECT 'in the registry and in scope' AS population, count(DISTINCT cert) AS entities FROM dim UNION ALL SELECT 'filed last quarter', count(DISTINCT cert) FROM fact WHERE report_date = (SELECT max(report_date) FROM fact) UNION ALL SELECT 'scored last quarter', count(DISTINCT cert) FROM flags WHERE composite_score IS NOT NULL AND report_date = (SELECT max(report_date) FROM flags)")
 def v24_populations(spark, d):
-    return views.populations(b.dim(spark, d), b.fact(spark, d), b.flags(spark, d))
+    fact = b.fact(spark, d)
+    return views.populations(b.dim(spark, d), fact, b.flags(spark, d, fact))
 
 
 @query("SELECT count(*) FILTER (likely_merger_quarter) AS flagged_rows, count(DISTINCT cert) FILTER (likely_merger_quarter) AS flagged_banks FROM fact")
@@ -662,7 +666,8 @@ def q13_quality_status(spark, d):
 
 @query("SELECT (SELECT max(report_date) FROM fact) AS latest_quarter, (SELECT count(*) FROM fact) AS fact_rows, (SELECT count(DISTINCT report_date) FROM fact) AS quarters, (SELECT count(*) FROM dim) AS entities, (SELECT count(*) FROM dim WHERE is_failed) AS failed_entities, (SELECT count(composite_score) FROM flags) AS scored_rows")
 def q14_build_meta(spark, d):
-    return quality.build_meta(b.fact(spark, d), b.dim(spark, d), b.flags(spark, d))
+    fact = b.fact(spark, d)
+    return quality.build_meta(fact, b.dim(spark, d), b.flags(spark, d, fact))
 
 
 @query("SELECT cert, count(*) AS rows FROM panel WHERE cert NOT IN (SELECT cert FROM registry) GROUP BY 1")

@@ -1,5 +1,6 @@
 """Sinks: keyed upsert, truncating loads, exhibits, frozen copies and flat extracts."""
 
+import tempfile
 import uuid
 from datetime import date
 
@@ -90,6 +91,18 @@ def truncate_load(df: DataFrame, path: str, stamp: str | None = "generated_at")
     (df.withColumn(stamp, F.current_timestamp()) if stamp else df).write.mode("overwrite").parquet(path)
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the folder that executors share: a mart that several queries read is computed once."""
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        top = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", top)
+    path = f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_exhibit(df: DataFrame, path: str) -> None:
     """A CSV exhibit in one file: a header, booleans in lower case."""
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)
