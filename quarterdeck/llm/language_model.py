@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ ALPHA = 0.4
 HOT = 65_536
 HOT_SHARE = 0.005
 SAMPLE_DOCS = 2_000
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 
 WORD, PAIR = 1, 2
 PACKED = "bucket int, gram int, factor int, counts boolean, hashes binary, previous binary, words binary, docs array<long>, lengths array<int>"
@@ -174,34 +175,33 @@ def score(docs: DataFrame, corpus: DataFrame | None = None, id_col: str = "doc_i
                 yield pa.RecordBatch.from_arrays([batch.column("doc")[a:b], batch.column("id")[a:b], pa.array(n), pa.array(np.ones(b - a, np.int64)), pa.array(out)], ["doc", "id", "n_words", "rows", "score"])
 
     def joined(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        gram, factor, counts = (np.asarray(table[c]) for c in ("gram", "factor", "counts"))
-        hashes, docs_, lengths = table["hashes"].to_pylist(), table["docs"].to_pylist(), table["lengths"].to_pylist()
-        out = {"doc": [], "score": [], "previous": [], "word": []}
+        sums, lost_pairs = [], []
         for g in (WORD, PAIR):
-            mine = np.flatnonzero(gram == g)
-            if not len(mine):
+            part = table.filter(pc.equal(table["gram"], g))
+            if not len(part):
                 continue
-            keys = np.concatenate([np.frombuffer(hashes[i], np.uint64) for i in mine])
-            of_row = np.repeat(mine, [len(hashes[i]) // 8 for i in mine])
+            hashes = part["hashes"].to_pylist()
+            sizes = np.array([len(x) // 8 for x in hashes])
+            keys = np.frombuffer(b"".join(hashes), np.uint64)
+            counts, factor = (np.repeat(np.asarray(part[c].combine_chunks().cast(pa.int8())), sizes) for c in ("counts", "factor"))
+            doc = np.asarray(part["docs"].combine_chunks().flatten())
+            run = np.repeat(np.arange(len(doc)), np.asarray(part["lengths"].combine_chunks().flatten()))
             _, inverse = np.unique(keys, return_inverse=True)
-            n = np.bincount(inverse, counts[of_row])[inverse]
-            run = np.repeat(np.arange(sum(len(docs_[i]) for i in mine)), np.concatenate([lengths[i] for i in mine]).astype(np.int64))
-            doc = np.concatenate([np.array(docs_[i], np.int64) for i in mine])
-            out["doc"].append(doc)
-            out["score"].append(np.bincount(run, factor[of_row] * np.log(np.maximum(n, 1)), len(doc)))
-            out["previous"].append(np.zeros(len(doc), np.int64))
-            out["word"].append(np.zeros(len(doc), np.int64))
+            n = np.bincount(inverse, counts)[inverse]
+            sums.append((doc, np.bincount(run, factor * np.log(np.maximum(n, 1)), len(doc))))
             if g == PAIR and not own:
-                asked_ = table["words"].to_pylist()
-                lost = np.flatnonzero((n == 0) & np.isin(of_row, [i for i in mine if asked_[i] is not None]))
-                before = table["previous"].to_pylist()
-                blank = lambda i: bytes(len(hashes[i]))
-                prev, word = (np.concatenate([np.frombuffer(x[i] or blank(i), np.int64) for i in mine]) for x in (before, asked_))
-                out["doc"].append(doc[run[lost]])
-                out["score"].append(np.full(len(lost), np.nan))
-                out["previous"].append(prev[lost])
-                out["word"].append(word[lost])
-        return pa.table({k: np.concatenate(v) for k, v in out.items()} if out["doc"] else {"doc": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "previous": pa.array([], pa.int64()), "word": pa.array([], pa.int64())})
+                previous, words = (part[c].to_pylist() for c in ("previous", "words"))
+                asks = np.repeat([x is not None for x in words], sizes)
+                lost = np.flatnonzero((n == 0) & asks)
+                before, word = (np.frombuffer(b"".join(y if y is not None else bytes(len(h)) for y, h in zip(x, hashes)), np.int64) for x in (previous, words))
+                lost_pairs.append((doc[run[lost]], before[lost], word[lost]))
+        # One row for each document in the bucket.
+        doc, where = np.unique(np.concatenate([d for d, _ in sums]), return_inverse=True)
+        score = np.bincount(where, np.concatenate([s for _, s in sums]), len(doc))
+        some = np.flatnonzero(score)
+        out = [(doc[some], score[some], np.zeros(len(some), np.int64), np.zeros(len(some), np.int64))]
+        out += [(d, np.full(len(d), np.nan), before, word) for d, before, word in lost_pairs]
+        return pa.table({name: np.concatenate(x) for name, x in zip(("doc", "score", "previous", "word"), zip(*out))})
 
     dealt = source.select("doc", "text").mapInArrow(packed(True, own), PACKED)
     if not own:
