@@ -316,9 +316,9 @@ def v06_availability(spark, d):
     return views.availability(peers.model_percentiles(b.fact(spark, d)), "business_model", "traditional_lender")
 
 
-@query("SELECT report_date, total_assets / 1000 AS total_assets, equity / 1000 AS equity FROM panel WHERE cert = 1", "total_assets equity")
+@query("SELECT report_date, total_assets / 100 AS total_assets, equity / 100 AS equity FROM panel WHERE cert = 1", "total_assets equity")
 def v07_entity_history(spark, d):
-    return views.entity_history(b.panel(spark, d), 1, ["total_assets", "equity"], 1000)
+    return views.entity_history(b.panel(spark, d), 1, ["total_assets", "equity"], 100)
 
 
 @query("SELECT cert, max(report_date) AS latest_quarter, count(*) AS quarters, arg_max(business_model, report_date) AS business_model, arg_max(peer_band, report_date) AS peer_band FROM fact GROUP BY 1")
@@ -376,7 +376,7 @@ def v15_recent_weeks_wide(spark, d):
     return views.wide_weeks(views.recent_weeks(b.weekly(spark, d)), ["1-URGENT", "5-LOW"])
 
 
-@query("SELECT series_id, obs_date, value AS actual, CAST(NULL AS DOUBLE) AS point FROM weekly WHERE obs_date >= (SELECT max(obs_date) FROM weekly) - INTERVAL 180 DAY UNION ALL SELECT series_id, CAST(obs_date + INTERVAL 364 DAY AS DATE), NULL, value FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) AS r FROM weekly) WHERE r BETWEEN 41 AND 52", "actual point")
+@query("SELECT series_id, obs_date, value AS actual, CAST(NULL AS DOUBLE) AS point FROM weekly WHERE obs_date >= (SELECT max(obs_date) FROM weekly) - INTERVAL 180 DAY UNION ALL SELECT series_id, CAST(last + CAST((53 - r) * 7 AS INTEGER) AS DATE), NULL, value FROM (SELECT *, max(obs_date) OVER (PARTITION BY series_id) AS last, row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) AS r FROM weekly) WHERE r BETWEEN 41 AND 52", "actual point")
 def v16_forecast_fan(spark, d):
     w = b.weekly(spark, d)
     ends = w.groupBy("series_id").agg(F.max("obs_date").alias("end"))
