@@ -29,7 +29,7 @@ from quarterdeck.llm.wavelet import WaveletMatrix
 END_ID = 0
 SHARD_TOKENS = 1 << 20
 CACHED_PIECES = 250_000
-CACHED_WORDS = 600_000
+CACHED_WORDS = 900_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
 _encoders: dict[str, "Encoder"] = {}
@@ -101,8 +101,9 @@ class Encoder:
         for memory, most in ((self.pieces, CACHED_PIECES), (self.words, CACHED_WORDS), (self.marks, CACHED_WORDS)):
             if len(memory) > most:
                 memory.clear()
+        heads = self._encode([s.pop(0) if s else t for s, t in zip(split, texts)])
         other, pieces, word_of = [], self.pieces, self._word
-        for x in set().union(*(s[1:] for s in split if s)).difference(pieces):
+        for x in set().union(*filter(None, split)).difference(pieces):
             if x.isalpha():
                 pieces[x] = word_of(" " + x)
                 continue
@@ -114,9 +115,8 @@ class Encoder:
             else:
                 other.append(x)
         self.pieces.update(zip(other, self._encode([" " + x for x in other])))
-        heads = self._encode([s[0] if s else t for s, t in zip(split, texts)])
         get = self.pieces.__getitem__
-        return [h + b"".join(map(get, s[1:])) if s else h for h, s in zip(heads, split)]
+        return [h + b"".join(map(get, s)) if s else h for h, s in zip(heads, split)]
 
 
 def encoder(path: str) -> Encoder:

@@ -109,12 +109,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All values, from the lowest plane up."""
-        values = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        values = np.zeros(self.n, kind)
         for p, plane in enumerate(reversed(self.planes)):
             bits = plane.bits()
             above = np.empty_like(values)
             above[~bits] = values[: plane.zeros]
-            above[bits] = values[plane.zeros :] | np.uint32(1 << p)
+            above[bits] = values[plane.zeros :] | kind(1 << p)
             values = above
         return values
 
