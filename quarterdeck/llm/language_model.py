@@ -32,6 +32,7 @@ HOT = 65_536
 HOT_SHARE = 0.005
 SAMPLE_DOCS = 2_000
 BUCKET_BYTES = 12 << 20
+LEAST_BUCKETS = 64
 
 WORD, PAIR = 1, 2
 PACKED = "bucket int, gram int, factor int, counts boolean, hashes binary, previous binary, words binary, docs array<long>, lengths array<int>"
@@ -131,7 +132,7 @@ def score(docs: DataFrame, corpus: DataFrame | None = None, id_col: str = "doc_i
     asked = _rows(docs, id_col, text_col)
     source = asked if own else _rows(corpus, id_col, text_col)
     total, size = source.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    n_buckets = int(size // bucket_bytes) + 1
+    n_buckets = max(LEAST_BUCKETS, int(size // bucket_bytes) + 1)
     known = spark.sparkContext.broadcast(_hot(source, total))
 
     def packed(counts: bool, asks: bool):
