@@ -193,12 +193,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(of_print, "fp", "left").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the one with the smallest id. Rows without an id stay."""
-    groups = near_duplicates(docs, id_col, text_col, **options)
-    gone = groups.filter(f"{id_col} != component_id").select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
-    if kept.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").isEmpty():
-        return kept
-    known = kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return known.unionByName(kept.filter(F.col(id_col).isNull()))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, n_words: int = SHINGLE_WORDS, null_ids: bool = False, **tree) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the smallest id, then the smallest hash of its columns.
+
+    Groups are of fingerprints, and rows are told apart by all their columns, so
+    rows that share an id but not a group don't touch each other. Rows without
+    an id stay, or with ``null_ids`` are in the groups too, after all ids.
+    """
+    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_row": F.xxhash64(*hashed, *[c.isNull() for c in hashed])})
+    asked = keyed if null_ids else keyed.filter("_id IS NOT NULL")
+    rows = scratch.written(asked.select("_id", "_row", fingerprint(F.col(text_col), n_words).alias("fp")).groupBy("fp", "_id", "_row").agg(F.count("*").alias("n")))
+    prints = scratch.written(rows.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("first")))
+    classes = components(links(prints.select(F.col("fp").alias("node"), "fp"), max_bits, **tree))
+    # A component's smallest node is in ``classes`` only as a component.
+    classes = classes.unionByName(classes.select(F.col("component").alias("node"), "component").distinct())
+    linked = scratch.written(prints.join(classes.withColumnRenamed("node", "fp"), "fp"))
+    best = linked.groupBy("component").agg(F.min("first").alias("best"))
+    of_print = prints.join(linked.join(best, "component").select("fp", "best"), "fp", "left").select("fp", F.coalesce("best", "first").alias("best"))
+    kept = F.col("best._id").eqNullSafe(F.col("_id")) & (F.col("best._row") == F.col("_row"))
+    special = scratch.written(rows.join(of_print, "fp").select(F.col("_id").alias("id_"), F.col("_row").alias("row_"), "n", kept.alias("kept")).filter("NOT kept OR n > 1"))
+    same = keyed["_id"].eqNullSafe(special["id_"]) & (keyed["_row"] == special["row_"])
+    left = keyed.join(special.filter("NOT kept"), same, "left_anti")
+    repeated = special.filter("kept")
+    if not repeated.isEmpty():
+        left = left.join(repeated, same, "left_anti").unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["_id", "_row"]))
+    return left.select(docs.columns)

@@ -85,3 +85,27 @@ def test_defined_cases(spark):
 def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame([(3, "a b c d e f"), (3, "a b c d e f"), (4, "x y z u v w q")], "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == [3, 4]
+
+
+def test_one_id_with_different_texts_loses_none(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    keep = lambda rows, **o: sorted(((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), **o).collect()), key=str)
+    assert keep([(3, a), (5, a), (5, b)]) == [(3, a), (5, b)]
+    assert keep([(5, a), (5, b)]) == [(5, a), (5, b)]
+    assert keep([(0, a), (0, b), (0, c), (0, a), (1, b)]) == [(0, a), (0, b), (0, c)]
+
+
+def test_null_id_copies_leave_one(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    df = spark.createDataFrame([(None, a), (None, a), (7, b), (None, b)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(df, null_ids=True).filter("doc_id IS NOT NULL").collect()) == [(7, b)]
+    assert [r.text for r in simhash.keep_one(df, null_ids=True).filter("doc_id IS NULL").collect()] == [a]
+    assert simhash.keep_one(df).filter("doc_id IS NULL").count() == 3
+
+
+def test_survivors_do_not_depend_on_partitions(spark):
+    rows = [(k % 4, t, k) for k, t in enumerate(texts(80, 5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    once, again = (sorted(map(tuple, simhash.keep_one(df.repartition(n, c)).collect())) for n, c in ((3, "n"), (7, "text")))
+    of = {i: k for i, _, k in plain_groups([(k, t) for _, t, k in rows])}
+    assert once == again and sorted(of[n] for _, _, n in once) == sorted(set(of.values()))
