@@ -11,10 +11,12 @@ from quarterdeck.llm import decontaminate, mixing, quality, scratch, simhash, to
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorisation machine does not reject."""
+    """Documents that the factorisation machine does not reject; all of them if the labels teach it nothing."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.scored(docs, labels, F.lit(True), into="_score")
-    return scored.filter(F.col("_score") >= quality.THRESHOLD).select(docs.columns)
+    model = quality.fit(docs, labels, F.lit(True))
+    if not model.fitted:
+        return docs
+    return quality.applied(docs, model, into="_score").filter(F.col("_score") >= quality.THRESHOLD).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

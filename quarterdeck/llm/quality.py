@@ -9,7 +9,8 @@ broadcast (its size is fixed by the parameters) and applied to every text.
 
 Null and empty texts have no words and zero statistics, and get a score from
 those; null metadata has a bin of its own; without labelled rows of both kinds
-every score is 0.5. Repeated rows score alike.
+nothing is learned: ``fitted`` is false and every score is 0.5. Repeated rows
+score alike.
 """
 
 from collections.abc import Iterator
@@ -106,6 +107,7 @@ class FactorisationMachine:
     def __init__(self, n_features: int, rank: int = RANK, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.bias = 0.0
+        self.fitted = False
         self.w = np.zeros(n_features, np.float32)
         self.v = rng.normal(0, 0.05, (n_features, rank)).astype(np.float32)
 
@@ -121,6 +123,7 @@ class FactorisationMachine:
     def fit(self, ids, values, firsts, labels, epochs: int = 12, batch: int = 128, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> None:
         """Adam on the logistic loss, over shuffled mini-batches."""
         rng, n, step = np.random.default_rng(seed), len(labels), 0
+        self.fitted = True
         moments = [np.zeros_like(x) for x in (self.w, self.w, self.v, self.v)]
         bias = [0.0, 0.0]
         for _ in range(epochs):
@@ -170,6 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, label_col: str = "qual
         take = np.concatenate([np.arange(firsts[r], firsts[r + 1]) for r in order])
         sizes = np.diff(firsts)[order]
         model.fit(np.asarray(lists[0].flatten(), np.int64)[take], np.asarray(lists[1].flatten(), np.float32)[take], np.concatenate([[0], np.cumsum(sizes)]), y[order])
+    else:
+        model.v[:] = 0  # no random start in the scores
     return model
 
 
@@ -188,7 +193,11 @@ def score(model, text_col: Column, *metadata: Column, bits: int = BITS) -> Colum
     return of.asNondeterministic()(text_col, *metadata)
 
 
+def applied(docs: DataFrame, model: FactorisationMachine, into: str = "score", text_col: str = "text", metadata: tuple[str, ...] = ("n_chars",), bits: int = BITS) -> DataFrame:
+    """``docs`` with the score of a model that ``fit`` returned."""
+    return docs.withColumn(into, score(docs.sparkSession.sparkContext.broadcast(model), F.col(text_col), *map(F.col, metadata), bits=bits))
+
+
 def scored(docs: DataFrame, labels: DataFrame, fold: Column, into: str = "score", text_col: str = "text", metadata: tuple[str, ...] = ("n_chars",), bits: int = BITS, **options) -> DataFrame:
     """``docs`` with a quality score learned from the fold's labels."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, fold, text_col=text_col, metadata=metadata, bits=bits, **options))
-    return docs.withColumn(into, score(model, F.col(text_col), *map(F.col, metadata), bits=bits))
+    return applied(docs, fit(docs, labels, fold, text_col=text_col, metadata=metadata, bits=bits, **options), into, text_col, metadata, bits)

@@ -6,9 +6,10 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarterdeck.llm import mixing, scratch
+from quarterdeck.llm import mixing, quality, scratch
 from tests.llm.test_decontaminate import plain as plain_contamination
 from tests.llm.test_simhash import plain_groups
 
@@ -53,3 +54,13 @@ def test_registered():
     names = list(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_quality_without_labels_of_both_kinds_rejects_nothing(spark, tmp_path):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    known = spark.read.parquet(f"{DATA}/labels.parquet")
+    nulls = known.withColumn("quality", F.lit(None).cast(known.schema["quality"].dataType))
+    for k, labels in enumerate((known.limit(0), known.filter("quality = 1"), known.filter("quality = 0"), nulls)):
+        labels.write.parquet(str(tmp_path / str(k) / "labels.parquet"))
+        assert corpus_pipeline.keep_quality(spark, docs, str(tmp_path / str(k))).count() == docs.count()
+        assert {r.score for r in quality.scored(docs, labels, F.lit(True)).select("score").distinct().collect()} == {0.5}
