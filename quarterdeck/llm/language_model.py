@@ -15,6 +15,13 @@ the document is read; all other n-grams are shuffled once.
 
 Null and empty texts have no words and score 0. Repeated rows count as often
 as they occur and each get a row. With an empty corpus N counts as 1.
+
+``held_out_score`` scores each row by all other rows instead: its own n-grams
+are taken off every count, so that texts unlike the others back off, from
+``orders`` words down to one, with ``ALPHA`` for each step. Rows are packed into
+compressed chunks; a chunk sends each of its n-grams once to the n-gram's bucket, with its
+count, and gets the total back, so a frequent n-gram loads no bucket. A word
+that no other row has counts as one seen once.
 """
 
 from collections.abc import Iterator
@@ -25,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterdeck.llm import scratch
 from quarterdeck.llm import text as bytes_of
 
 ALPHA = 0.4
@@ -33,6 +41,9 @@ HOT_SHARE = 0.005
 SAMPLE_DOCS = 2_000
 BUCKET_BYTES = 12 << 20
 LEAST_BUCKETS = 64
+ORDERS = 3
+CHUNK_BYTES = 8 << 20
+HELD_OUT_BUCKET_BYTES = 8 << 20
 
 WORD, PAIR = 1, 2
 PACKED = "bucket int, gram int, factor int, counts boolean, hashes binary, previous binary, words binary, docs array<long>, lengths array<int>"
@@ -236,3 +247,108 @@ def _backed_off(lost: DataFrame, source: DataFrame, n_words: int, alpha: float)
     gain = F.when(F.col("side") == 2, float(np.log(alpha)) + word).otherwise(F.coalesce(F.log(F.col("n").cast("double")), F.lit(0.0)))
     zero = F.lit(0).cast("long")
     return found.select("doc", F.lit(None).cast("long").alias("id"), zero.alias("n_words"), zero.alias("rows"), (F.col("times") * gain).alias("score"))
+
+
+def _ngrams(texts: pa.Array, orders: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of all n-grams and their counts, the index of each order's n-gram that ends at each word (-1 if too short), and each word's row and place."""
+    h, row, firsts = _grams(texts)
+    place = np.arange(len(h)) - firsts[:-1][row]
+    grams, ends = [h], [np.arange(len(h))]
+    for m in range(1, orders):
+        longer = h.copy()
+        longer[1:] = bytes_of.mix(grams[-1][:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+        grams.append(longer)
+        ends.append(np.flatnonzero(place >= m))
+    keys, inverse, counts = np.unique(np.concatenate([g[e] for g, e in zip(grams, ends)]), return_inverse=True, return_counts=True)
+    index = np.full((orders, len(h)), -1)
+    for m, part in enumerate(np.split(inverse, np.cumsum([len(e) for e in ends])[:-1])):
+        index[m, ends[m]] = part
+    return keys, counts, index, row, place
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """64-bit values compressed as eight planes of bytes."""
+    return pa.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _restored(packed: bytes, n: int, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, n * 8, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(dtype).ravel()
+
+
+def held_out_score(docs: DataFrame, orders: int = ORDERS, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = HELD_OUT_BUCKET_BYTES) -> DataFrame:
+    """(id, n_words, log_score) of every row of ``docs``, by n-grams of up to ``orders`` words in all other rows."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for a, b in bytes_of.slices(batch.column("text"), chunk_bytes):
+                part, n_words = pa.Table.from_batches([batch.slice(a, b - a)]), 0
+                for x, y in bytes_of.slices(batch.column("text")[a:b]):
+                    n_words += len(_grams(batch.column("text")[a + x : a + y])[0])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_table(part)
+                size = part["text"].nbytes
+                row = [[chunk], [n_words], [size], [sink.getvalue().to_pybytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["chunk", "n_words", "size", "data"])
+                chunk += 1
+
+    def unpacked(table: pa.Table) -> pa.Table:
+        return pa.ipc.open_stream(table["data"][0].as_buffer()).read_all().combine_chunks()
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    chunks = scratch.written(rows.mapInArrow(packed, "chunk long, n_words long, size long, data binary"))
+    total, size = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n_buckets = int(size // bucket_bytes) + 1
+    chunks = chunks.select("chunk", "data")
+
+    def asked(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        keys, counts, *_ = _ngrams(unpacked(table)["text"].combine_chunks(), orders)
+        # Buckets are ranges of hashes, so a chunk's buckets follow each other.
+        where = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+        cut = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, np.int64)
+        ranges = list(zip(cut.tolist(), [*cut[1:].tolist(), len(where)]))
+        return pa.table({
+            "bucket": pa.array(where[cut], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(cut), pa.int64()),
+            "n": pa.array([b - a for a, b in ranges], pa.int64()),
+            "hashes": pa.array([_squeezed(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in ranges], pa.binary()),
+            "counts": pa.array([_squeezed(counts[a:b].astype(np.int64)) for a, b in ranges], pa.binary()),
+        })
+
+    def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        sizes = table["n"].to_pylist()
+        keys = np.concatenate([np.cumsum(_restored(x, n, np.uint64), dtype=np.uint64) for x, n in zip(table["hashes"].to_pylist(), sizes)])
+        counts = np.concatenate([_restored(x, n, np.int64) for x, n in zip(table["counts"].to_pylist(), sizes)])
+        _, inverse = np.unique(keys, return_inverse=True)
+        sums = np.zeros(len(counts), np.int64)
+        np.add.at(sums, inverse, counts)
+        sums = np.split(sums[inverse], np.cumsum(sizes)[:-1])
+        return pa.table({"bucket": table["bucket"], "chunk": table["chunk"], "n": table["n"], "totals": pa.array([_squeezed(x) for x in sums], pa.binary())})
+
+    def scored(chunk: pa.Table, totals: pa.Table) -> pa.Table:
+        texts = unpacked(chunk)
+        keys, _, index, row, place = _ngrams(texts["text"].combine_chunks(), orders)
+        totals = totals.sort_by("bucket")
+        found = np.concatenate([np.zeros(0, np.int64), *(_restored(x, n, np.int64) for x, n in zip(totals["totals"].to_pylist(), totals["n"].to_pylist()))])
+        assert len(found) == len(keys)
+        n_words = np.bincount(row, minlength=len(texts))
+        others = np.zeros(index.shape, np.int64)
+        for m in range(orders):
+            at = np.flatnonzero(index[m] >= 0)
+            _, inverse, own = np.unique(row[at] * max(1, len(keys)) + index[m, at], return_inverse=True, return_counts=True)
+            others[m, at] = found[index[m, at]] - own[inverse]
+        out = np.log(np.maximum(others[0], 1)) - np.log(np.maximum(total - n_words[row], 1))
+        used = np.zeros(len(row), np.int64)
+        for m in range(1, orders):
+            at = np.flatnonzero(others[m] > 0)
+            out[at], used[at] = np.log(others[m, at]) - np.log(others[m - 1, at - 1]), m
+        out += np.log(alpha) * (np.minimum(place, orders - 1) - used)
+        return pa.table({"id": texts["id"], "n_words": pa.array(n_words, pa.int64()), "log_score": pa.array(np.bincount(row, out, len(texts)), pa.float64())})
+
+    sent = chunks.groupBy("chunk").applyInArrow(asked, "bucket long, chunk long, n long, hashes binary, counts binary")
+    totals = sent.groupBy("bucket").applyInArrow(summed, "bucket long, chunk long, n long, totals binary")
+    out = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(scored, "id long, n_words long, log_score double")
+    return out.select(F.col("id").alias(id_col), "n_words", "log_score")

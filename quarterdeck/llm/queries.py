@@ -23,6 +23,11 @@ def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"))
 
 
+def op2_stupid_backoff_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_model.held_out_score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"))
+
+
 def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = sampling.remainder(F.col("doc_id"), 5)
@@ -157,9 +162,34 @@ scores AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS log_score FROM w LEFT JOIN scores USING (doc_id)
 """
 
+OP2_HELD_OUT_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), pos AS (
+  SELECT doc_id, len(w) AS n, i, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)
+), one AS (SELECT doc_id, a, sum(count(*)) OVER (PARTITION BY a) - count(*) AS k FROM pos GROUP BY doc_id, a),
+two AS (SELECT doc_id, b, a, sum(count(*)) OVER (PARTITION BY b, a) - count(*) AS k FROM pos WHERE b IS NOT NULL GROUP BY doc_id, b, a),
+three AS (SELECT doc_id, c, b, a, sum(count(*)) OVER (PARTITION BY c, b, a) - count(*) AS k FROM pos WHERE c IS NOT NULL GROUP BY doc_id, c, b, a),
+total AS (SELECT count(*) AS n FROM pos),
+scores AS (
+  SELECT p.doc_id, sum(CASE
+    WHEN t.k > 0 THEN ln(nullif(t.k, 0)) - ln(nullif(tv.k, 0))
+    WHEN d.k > 0 THEN ln(nullif(d.k, 0)) - ln(nullif(dv.k, 0)) + (least(p.i, 3) - 2) * ln(0.4)
+    ELSE ln(greatest(u.k, 1)) - ln(greatest(total.n - p.n, 1)) + (least(p.i, 3) - 1) * ln(0.4) END) AS s
+  FROM pos p JOIN one u ON p.doc_id = u.doc_id AND p.a = u.a
+  LEFT JOIN two d ON p.doc_id = d.doc_id AND p.b = d.b AND p.a = d.a
+  LEFT JOIN one dv ON p.doc_id = dv.doc_id AND p.b = dv.a
+  LEFT JOIN three t ON p.doc_id = t.doc_id AND p.c = t.c AND p.b = t.b AND p.a = t.a
+  LEFT JOIN two tv ON p.doc_id = tv.doc_id AND p.c = tv.b AND p.b = tv.a, total
+  GROUP BY p.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS log_score FROM w LEFT JOIN scores USING (doc_id)
+"""
+
 _ALL = (
     op1_shard_lookup,
     op2_stupid_backoff,
+    op2_stupid_backoff_held_out,
     op3_naive_bayes_language,
     op4_wavelet_tokens,
     op5_weighted_fingerprints,
@@ -170,4 +200,4 @@ _ALL = (
     op10_decontamination,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op2_stupid_backoff": OP2_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}
+ORACLES = {"op2_stupid_backoff": OP2_SQL, "op2_stupid_backoff_held_out": OP2_HELD_OUT_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}

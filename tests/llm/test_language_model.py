@@ -61,3 +61,49 @@ def test_defined_cases(spark):
 
 def test_empty_corpus(spark):
     check(spark, ["a b", "a", ""], [])
+
+
+def plain_held_out(docs, orders, alpha=0.4):
+    """Counts over all other texts, and back-off from the longest n-gram down."""
+    split = [(t or "").split() for t in docs]
+    grams = lambda w: Counter(tuple(w[i : i + m]) for m in range(1, orders + 1) for i in range(len(w) - m + 1))
+    every = sum((grams(w) for w in split), Counter())
+    out = []
+    for w in split:
+        c, n, s = every - grams(w), sum(map(len, split)) - len(w), 0.0
+        for i in range(len(w)):
+            g, factor = tuple(w[max(0, i - orders + 1) : i + 1]), 1.0
+            while len(g) > 1 and not c[g]:
+                g, factor = g[1:], factor * alpha
+            s += math.log(factor * (c[g] / c[g[:-1]] if len(g) > 1 else max(c[g], 1) / max(n, 1)))
+        out.append((len(w), s))
+    return out
+
+
+@pytest.mark.parametrize(("orders", "sizes"), [(3, {}), (4, {"chunk_bytes": 300, "bucket_bytes": 200}), (1, {"chunk_bytes": 300})])
+def test_held_out_is_brute_force(spark, orders, sizes):
+    docs = [*make(80, [f"w{k}" for k in range(12)], 4), *make(20, [f"x{k}" for k in range(500)], 5), None, "", "w1 w1 w1 w1", "only here", "w1 w2 w3", "w1 w2 w3"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.n_words, r.log_score) for r in lm.held_out_score(df, orders, **sizes).collect()}
+    assert len(found) == len(docs)
+    for k, (n, s) in enumerate(plain_held_out(docs, orders)):
+        assert found[k] == (n, pytest.approx(s, abs=1e-6)), docs[k]
+    assert lm.held_out_score(df.limit(0)).count() == 0
+
+
+def test_held_out_puts_junk_below_prose(spark):
+    prose = ["the cat sat on the mat", "the dog sat on the mat", "a cat sat on the rug", "the dog lay on the rug"]
+    df = spark.createDataFrame([*enumerate(prose), (9, "qzx vkw jjp wwq zzk bbv")], "doc_id long, text string")
+    a_word = {r.doc_id: r.log_score / r.n_words for r in lm.held_out_score(df).collect()}
+    assert a_word.pop(9) < min(a_word.values())
+
+
+def test_held_out_query_matches_sql(spark):
+    import duckdb
+
+    from quarterdeck.llm import queries
+
+    duckdb.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    expected = {i: (n, pytest.approx(s, abs=2e-5)) for i, n, s in duckdb.execute(queries.OP2_HELD_OUT_SQL).fetchall()}
+    found = {r.doc_id: (r.n_words, r.log_score) for r in queries.op2_stupid_backoff_held_out(spark, "/root/testdata/sf0.001").collect()}
+    assert found == expected
