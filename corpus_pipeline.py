@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards of the mix, and where each document lies in them."""
-    return token_store.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), special_as_text=False)
 
 
 STAGES = [

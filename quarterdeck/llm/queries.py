@@ -36,7 +36,7 @@ def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), special_as_text=False)
 
 
 def op5_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

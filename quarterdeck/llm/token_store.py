@@ -10,7 +10,8 @@ comes from totals per range partition and running sums inside it.
 A null text is empty and has just the end id; rows with a null id come first;
 repeated rows are each encoded; a document longer than a shard is a shard of
 its own; an empty table gives an empty result. Special-token strings in a text
-are ordinary text.
+are ordinary text, or with ``special_as_text=False`` the special ids, as in the
+tokenizer's plain call.
 """
 
 import sys
@@ -32,7 +33,7 @@ CACHED_PIECES = 250_000
 CACHED_WORDS = 900_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class Encoder:
@@ -41,14 +42,16 @@ class Encoder:
     The tokenizer splits before a space that a non-space follows, so texts are
     cut there. A piece of letters, full stops, commas and single line breaks is
     cut further as the tokenizer would, and its words go to the tokenizer's
-    model; other pieces and texts go through the whole tokenizer.
+    model; other pieces and texts, and texts with special tokens, go through the
+    whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.n_ids = self.tokenizer.get_vocab_size()
         self.pieces: dict[str, bytes] = {}
@@ -97,7 +100,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [None if "  " in t or t.endswith(" ") else t.split(" ") for t in texts]
+        split = [None if "  " in t or t.endswith(" ") or any(x in t for x in self.special) else t.split(" ") for t in texts]
         for memory, most in ((self.pieces, CACHED_PIECES), (self.words, CACHED_WORDS), (self.marks, CACHED_WORDS)):
             if len(memory) > most:
                 memory.clear()
@@ -119,20 +122,20 @@ class Encoder:
         return [h + b"".join(map(get, s)) if s else h for h, s in zip(heads, split)]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
     """The worker's encoder of a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, special_as_text) not in _encoders:
+        _encoders[path, special_as_text] = Encoder(path, special_as_text)
+    return _encoders[path, special_as_text]
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, special_as_text: bool = True) -> None:
     """Encode ``docs`` in ascending id order and write the shards to ``path``."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part, shard = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, part, shard = encoder(tokenizer, special_as_text), TaskContext.get().partitionId(), 0
         n_bits = max(1, (max(encode.n_ids - 1, end_id)).bit_length())
         ids, lengths, held = [], [], []
         end = np.array([end_id], "<u4").tobytes()

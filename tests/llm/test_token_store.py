@@ -59,3 +59,29 @@ def test_round_trip(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert ts.encode_and_read(df, PATH, str(tmp_path / "t")).count() == 0
+
+
+SPECIAL = ["<|endoftext|>", "a\n <|endoftext|> b", "x<|endoftext|>y z", "one  <|endoftext|>", "<|endoftext|> hi. there"]
+
+
+def test_special_tokens_as_in_the_plain_call():
+    t = Tokenizer.from_file(PATH)
+    texts = [*SPECIAL, *(x or "" for x in ODD)]
+    found = ts.Encoder(PATH, special_as_text=False)(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_query_and_pipeline_use_the_plain_call(spark, tmp_path):
+    import corpus_pipeline
+
+    from quarterdeck.llm import queries
+
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    t, start, expected = Tokenizer.from_file(PATH), 0, []
+    for k, x in enumerate(SPECIAL):
+        ids = [*t.encode(x, add_special_tokens=False).ids, 0]
+        expected.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    for out in (queries.op4_wavelet_tokens(spark, str(tmp_path)), corpus_pipeline.write_tokens(spark, docs, str(tmp_path))):
+        assert sorted(map(tuple, out.collect())) == expected
