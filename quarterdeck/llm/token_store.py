@@ -2,51 +2,56 @@
 
 Documents are encoded in ascending id order and packed into shards of about
 ``shard_tokens`` ids; a shard is one row of a Parquet dataset and holds one
-compressed wavelet matrix (token access, counting and occurrence lookup) with
-the ids and lengths of its documents. Spark writes and reads the dataset, so it
-can lie in any store. Token positions are global: a shard's first position
-comes from totals per range partition and running sums inside it.
+wavelet matrix (token access, counting and occurrence lookup, each from the few
+compressed blocks that it passes) with the ids and lengths of its documents.
+Spark writes and reads the dataset, so it can lie in any store. Token positions
+are global: a shard's first position comes from totals per range partition and
+running sums inside it.
 
 A null text is empty and has just the end id; rows with a null id come first;
-repeated rows are each encoded; a document longer than a shard is a shard of
-its own; an empty table gives an empty result. Special-token strings in a text
-are ordinary text, or with ``special_as_text=False`` the special ids, as in the
-tokenizer's plain call.
+rows that share an id are ordered by a hash of their texts and may be dealt to
+several tasks; repeated rows are each encoded; a document longer than a shard is
+a shard of its own; an empty table gives an empty result. Other columns of the
+table are not read, whatever their names. Special-token strings get the special
+ids, as in the tokenizer's plain call, or with ``special_as_text`` the ids of
+ordinary text.
 """
 
-import sys
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.llm import scratch
+from quarterdeck.llm import text as bytes_of
 from quarterdeck.llm.wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
-CACHED_PIECES = 250_000
-CACHED_WORDS = 900_000
+SLICE_BYTES = 8 << 20
+CACHED_PIECES = 800_000
+CACHED_WORDS = 600_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of whole texts, with a memory of pieces that recur.
+    """Ids of whole texts, with a memory of pieces: each distinct piece of a slice of texts is looked up once, and new ones are encoded.
 
     The tokenizer splits before a space that a non-space follows, so texts are
     cut there. A piece of letters, full stops, commas and single line breaks is
     cut further as the tokenizer would, and its words go to the tokenizer's
-    model; other pieces and texts, and texts with special tokens, go through the
-    whole tokenizer.
+    model and into a memory; other pieces, texts with runs of spaces or a space
+    at the end, and texts with special tokens go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, special_as_text: bool = True):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,10 +59,9 @@ class Encoder:
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.n_ids = self.tokenizer.get_vocab_size()
-        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        assert array("I").itemsize == 4 and sys.byteorder == "little"
+        self.pieces, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         # The character that stands for each byte.
         plain = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {b: plain.pre_tokenize_str(chr(b))[0][0][-1] for b in range(128)}
@@ -68,15 +72,13 @@ class Encoder:
         self.space = self.shown[ord(" ")]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, with a space before them or not."""
-        found = self.words.get(word)
-        if found is None:
-            shown = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
-            found = self.words[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        shown = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+        found = self.words[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return found
 
     def _mark(self, mark: str) -> bytes:
@@ -85,51 +87,85 @@ class Encoder:
         return self.marks[mark]
 
     def _lines(self, piece: str) -> bytes | None:
-        """Ids of a piece that begins with its space, or none if it isn't of the simple kind."""
-        out = []
+        """Ids of a piece, with its space or not, or none if it isn't of the simple kind."""
+        out, known = [], self.words.get
         for k, line in enumerate(piece.split("\n")):
             word = line.rstrip(".,")
-            if not (word if k else word[1:]).isalpha():
-                return None
+            ids = known(word)
+            if ids is None:
+                if not (word if k else word.removeprefix(" ")).isalpha():
+                    return None
+                ids = self._word(word)
             if k:
                 out.append(self._mark("\n"))
-            out.append(self._word(word))
+            out.append(ids)
             if len(word) < len(line):
                 out.append(self._mark(line[len(word) :]))
         return b"".join(out)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [None if "  " in t or t.endswith(" ") or any(x in t for x in self.special) else t.split(" ") for t in texts]
-        for memory, most in ((self.pieces, CACHED_PIECES), (self.words, CACHED_WORDS), (self.marks, CACHED_WORDS)):
-            if len(memory) > most:
-                memory.clear()
-        heads = self._encode([s.pop(0) if s else t for s, t in zip(split, texts)])
-        other, pieces, word_of = [], self.pieces, self._word
-        for x in set().union(*filter(None, split)).difference(pieces):
-            if x.isalpha():
-                pieces[x] = word_of(" " + x)
-                continue
-            word = x.rstrip(".,")
-            if word.isalpha():
-                pieces[x] = word_of(" " + word) + self._mark(x[len(word) :])
-            elif found := self._lines(" " + x):
-                pieces[x] = found
-            else:
-                other.append(x)
-        self.pieces.update(zip(other, self._encode([" " + x for x in other])))
-        get = self.pieces.__getitem__
-        return [h + b"".join(map(get, s)) if s else h for h, s in zip(heads, split)]
-
-
-def encoder(path: str, special_as_text: bool = True) -> Encoder:
+    def _coded(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces."""
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        known, out, other = self.words.get, [], []
+        for piece in pieces:
+            ids = known(piece)
+            if ids is None:
+                # Most pieces that are no words are words with marks after them.
+                word = piece.rstrip(".,")
+                ids = known(word)
+                if ids is not None:
+                    ids += self._mark(piece[len(word) :])
+                elif (ids := self._lines(piece)) is None:
+                    other.append(len(out))
+            out.append(ids)
+        for k, ids in zip(other, self._encode([pieces[k] for k in other])):
+            out[k] = ids
+        return out
+
+    def _found(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces that have a space before them; new ones are remembered."""
+        at = pc.index_in(pieces, self.pieces)
+        fresh = pieces.filter(at.is_null())
+        where = np.array(at.fill_null(-1), np.int64)
+        where[where < 0] = len(self.pieces) + np.arange(len(fresh))
+        ids = pa.concat_arrays([self.ids, pa.array(self._coded([" " + x for x in fresh.to_pylist()]), pa.large_binary())])
+        found = ids.take(pa.array(where))
+        if len(ids) <= CACHED_PIECES:
+            self.pieces, self.ids = pa.concat_arrays([self.pieces, fresh]), ids
+        else:  # a full memory starts again from this slice
+            self.pieces, self.ids = pieces, found
+        return found
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and each text's bounds in them."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.or_(pc.match_substring(texts, "  "), pc.ends_with(texts, " "))
+        for token in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        flat, bounds = split.flatten(), np.asarray(split.offsets)[: len(texts) + 1]
+        # First pieces have no space before them; odd texts are one piece, which goes through the tokenizer.
+        heads = self._coded(flat.take(pa.array(bounds[:-1])).to_pylist())
+        whole = np.flatnonzero(odd)
+        for k, ids in zip(whole.tolist(), self._encode(texts.take(pa.array(whole)).to_pylist())):
+            heads[k] = ids
+        coded = flat.dictionary_encode()
+        which = np.array(coded.indices, np.int32)
+        which[bounds[:-1]] = np.arange(len(texts)) + len(coded.dictionary)
+        ids = pa.concat_arrays([self._found(coded.dictionary), pa.array(heads, pa.large_binary())]).take(pa.array(which))
+        _, ends, data = ids.buffers()
+        return np.frombuffer(data or b"", "<u4"), np.frombuffer(ends, np.int64, len(flat) + 1)[bounds] // 4
+
+
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The worker's encoder of a tokenizer file."""
     if (path, special_as_text) not in _encoders:
         _encoders[path, special_as_text] = Encoder(path, special_as_text)
     return _encoders[path, special_as_text]
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, special_as_text: bool = True) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, special_as_text: bool = False) -> None:
     """Encode ``docs`` in ascending id order and write the shards to ``path``."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,36 +173,42 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
         encode, part, shard = encoder(tokenizer, special_as_text), TaskContext.get().partitionId(), 0
         n_bits = max(1, (max(encode.n_ids - 1, end_id)).bit_length())
+        kind = np.uint32 if n_bits > 16 else np.uint16
         ids, lengths, held = [], [], []
-        end = np.array([end_id], "<u4").tobytes()
 
         def full() -> pa.RecordBatch:
-            tokens = np.frombuffer(b"".join(held), "<u4").astype(np.uint32 if n_bits > 16 else np.uint16)
+            tokens = np.concatenate(held)
             blob = WaveletMatrix.of(tokens, n_bits).to_bytes()
             columns = [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([len(tokens)], pa.int64()), pa.array([blob], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["part", "shard", "doc_ids", "lengths", "n_tokens", "matrix"])
 
         n = 0
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(keys), 256):
-                for key, x in zip(keys[at : at + 256], encode([t or "" for t in texts[at : at + 256]])):
-                    size = len(x) // 4 + 1
+            for a, b in bytes_of.slices(batch.column(1), SLICE_BYTES):
+                tokens, bounds = encode(batch.column(1)[a:b])
+                tokens = np.insert(tokens.astype(kind), bounds[1:], end_id)
+                bounds = bounds + np.arange(len(bounds))
+                begin = 0
+                for k, key in enumerate(batch.column(0)[a:b].to_pylist()):
+                    size = int(bounds[k + 1] - bounds[k])
                     if n and n + size > shard_tokens:
+                        held.append(tokens[begin : bounds[k]])
                         yield full()
-                        shard, n = shard + 1, 0
+                        shard, n, begin = shard + 1, 0, bounds[k]
                         ids, lengths, held = [], [], []
                     ids.append(key)
                     lengths.append(size)
-                    held += (x, end)
                     n += size
+                held.append(tokens[begin:])
         if n:
             yield full()
 
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = ordered.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
-    ordered.mapInArrow(packed, SHARD).write.option("compression", "none").mode("overwrite").parquet(path)
+    # The hash parts and orders rows that share an id.
+    order = F.col("id").asc_nulls_first(), F.xxhash64("text")
+    ordered = ordered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered.select("id", "text").mapInArrow(packed, SHARD).write.option("compression", "none").mode("overwrite").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -221,6 +263,20 @@ def token_positions(shards: DataFrame, token_id: int) -> DataFrame:
     return shards.select("first", "matrix").mapInArrow(found, "position long")
 
 
+def tokens_at(shards: DataFrame, begin: int, end: int) -> DataFrame:
+    """(position, token_id) of the global positions from ``begin`` to before ``end``, by access; other shards are not read."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = WaveletMatrix.from_bytes(row["matrix"])
+                at = np.arange(max(begin - row["first"], 0), min(end - row["first"], matrix.n))
+                yield pa.RecordBatch.from_arrays([pa.array(at + row["first"]), pa.array(matrix.access(at))], ["position", "token_id"])
+
+    some = shards.filter((F.col("first") < end) & (F.col("first") + F.col("n_tokens") > begin))
+    return some.select("first", "matrix").mapInArrow(found, "position long, token_id long")
+
+
 def encode_and_read(docs: DataFrame, tokenizer: str, path: str | None = None, **options) -> DataFrame:
     """Write the shards (in the shared folder unless ``path`` is given) and read the documents back."""
     path = path or scratch.folder(docs.sparkSession)

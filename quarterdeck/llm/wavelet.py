@@ -1,23 +1,34 @@
-"""Wavelet matrix over small integers: bit planes with rank and select."""
+"""Wavelet matrix over small integers: bit planes with rank and select.
+
+The file keeps a directory of rank samples, one for each block of
+``BLOCK_WORDS`` words of a plane, and each block compressed on its own: looking
+at one position, counting a value or finding an occurrence unzips just the
+blocks that the search passes through.
+"""
 
 import struct
 
 import numpy as np
 import zstandard
 
-_HEAD = struct.Struct("<4sBQ")
-_MAGIC = b"WVM1"
+BLOCK_WORDS = 1024
+_HEAD = struct.Struct("<4sBQI")
+_MAGIC = b"WVM2"
 
 
 class Plane:
-    """Bits with a running count of ones for each 64-bit word."""
-
-    def __init__(self, words: np.ndarray, n: int):
-        self.words, self.n = words, n
-        self.before = np.zeros(len(words) + 1, np.int64)
-        np.cumsum(np.bitwise_count(words), out=self.before[1:])
-        self.ones = int(self.before[-1])
-        self.zeros = n - self.ones
+    """Bits with a running count of ones for each 64-bit word, in blocks that are loaded when needed."""
+
+    def __init__(self, n: int, ones: int, words: np.ndarray | None = None, samples: np.ndarray | None = None, blocks: list[memoryview] | None = None, block_words: int = BLOCK_WORDS):
+        self.n, self.ones, self.zeros = n, ones, n - ones
+        self.block_words, self.samples, self.blocks = block_words, samples, blocks
+        if words is not None:
+            self.words, self.missing = words, None
+            self.before = np.zeros(len(words) + 1, np.int64)
+            np.cumsum(np.bitwise_count(words), out=self.before[1:])
+            return
+        self.words, self.before = np.zeros(n // 64 + 1, "<u8"), np.zeros(n // 64 + 2, np.int64)
+        self.missing = np.ones(len(blocks), bool)
 
     @classmethod
     def of(cls, bits: np.ndarray) -> "Plane":
@@ -25,17 +36,36 @@ class Plane:
         # One word more than needed, so that rank(n) has a word to look at.
         room = np.zeros((len(bits) // 64 + 1) * 8, np.uint8)
         room[: len(packed)] = packed
-        return cls(room.view("<u8"), len(bits))
+        words = room.view("<u8")
+        return cls(len(bits), int(np.bitwise_count(words).sum()), words)
+
+    def _load(self, wanted: np.ndarray) -> None:
+        """Unzips the blocks of these words that aren't there yet."""
+        if self.missing is None:
+            return
+        here = wanted // self.block_words
+        unzip = zstandard.ZstdDecompressor()
+        for k in np.unique(here[self.missing[here]]).tolist():
+            at = k * self.block_words
+            block = np.frombuffer(unzip.decompress(self.blocks[k]), "<u8")
+            self.words[at : at + len(block)] = block
+            self.before[at : at + len(block) + 1] = self.samples[k] + np.concatenate([[0], np.cumsum(np.bitwise_count(block))])
+            self.missing[k] = False
+        if not self.missing.any():
+            self.missing = None
 
     def get(self, i: np.ndarray) -> np.ndarray:
+        self._load(i >> 6)
         return (self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)
 
     def rank1(self, i: np.ndarray) -> np.ndarray:
         """Ones before each position."""
+        self._load(i >> 6)
         mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
         return self.before[i >> 6] + np.bitwise_count(self.words[i >> 6] & mask)
 
     def bits(self) -> np.ndarray:
+        self._load(np.arange(0, len(self.words), self.block_words))
         return np.unpackbits(self.words.view(np.uint8), count=self.n, bitorder="little").view(bool)
 
     def select(self, bit: int, k: np.ndarray) -> np.ndarray:
@@ -90,6 +120,8 @@ class WaveletMatrix:
         return i - low
 
     def count(self, value: int) -> int:
+        if value < 0 or value >> len(self.planes):
+            return 0
         return int(self.rank(np.array([value]), np.array([self.n]))[0])
 
     def select(self, value: int, k: np.ndarray) -> np.ndarray:
@@ -120,14 +152,23 @@ class WaveletMatrix:
         return values
 
     def to_bytes(self) -> bytes:
-        body = b"".join(plane.words.tobytes() for plane in self.planes)
-        return zstandard.ZstdCompressor(level=1).compress(_HEAD.pack(_MAGIC, len(self.planes), self.n) + body)
+        """Head; for each plane its number of ones, rank samples and sizes of blocks; then the blocks."""
+        zipped, directory, blocks = zstandard.ZstdCompressor(level=1), [], []
+        for plane in self.planes:
+            plane._load(np.arange(0, len(plane.words), plane.block_words))
+            mine = [zipped.compress(plane.words[at : at + BLOCK_WORDS].tobytes()) for at in range(0, len(plane.words), BLOCK_WORDS)]
+            directory.append(np.concatenate([[plane.ones], plane.before[: len(plane.words) : BLOCK_WORDS], [len(b) for b in mine]]).astype("<i8").tobytes())
+            blocks += mine
+        return b"".join([_HEAD.pack(_MAGIC, len(self.planes), self.n, BLOCK_WORDS), *directory, *blocks])
 
     @classmethod
     def from_bytes(cls, blob: bytes) -> "WaveletMatrix":
-        data = zstandard.ZstdDecompressor().decompress(blob)
-        magic, n_bits, n = _HEAD.unpack_from(data)
+        magic, n_bits, n, block_words = _HEAD.unpack_from(blob)
         if magic != _MAGIC:
             raise ValueError("not a wavelet matrix file")
-        words = np.frombuffer(data, "<u8", offset=_HEAD.size).reshape(n_bits, n // 64 + 1)
-        return cls([Plane(w, n) for w in words], n)
+        n_blocks = -(-(n // 64 + 1) // block_words)
+        directory = np.frombuffer(blob, "<i8", n_bits * (1 + 2 * n_blocks), _HEAD.size).reshape(n_bits, 1 + 2 * n_blocks)
+        bounds = np.cumsum([_HEAD.size + directory.nbytes, *directory[:, 1 + n_blocks :].ravel()]).tolist()
+        view = memoryview(blob)
+        blocks = [view[a:b] for a, b in zip(bounds, bounds[1:])]
+        return cls([Plane(n, int(d[0]), None, d[1 : 1 + n_blocks], blocks[k * n_blocks : (k + 1) * n_blocks], block_words) for k, d in enumerate(directory)], n)
