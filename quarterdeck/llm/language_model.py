@@ -1,283 +1,104 @@
 """Stupid-backoff scores of documents from n-gram counts of a corpus.
 
-A document's log score is the log of its first word's relative frequency plus,
-for each later word, log(c(previous, word) / c(previous)); a pair that the
-corpus lacks backs off to ``ALPHA`` * c(word) / N, and a word that it lacks
-counts as one seen once. Over a document this is a sum of logs of counts, so
-each order's count table is joined on its own: the 64-bit hashes of all words
-and pairs are dealt out by hash, counted in their bucket, joined there with the
-documents that hold them, and the logs are summed for each document.
-
-N-grams that a large share of documents hold would overload their bucket.
-They are found in a bounded sample, counted exactly over all documents, and
-their counts (at most ``HOT`` of each order) are broadcast and applied where
-the document is read; all other n-grams are shuffled once.
-
-Null and empty texts have no words and score 0. Repeated rows count as often
-as they occur and each get a row. With an empty corpus N counts as 1.
-
-``held_out_score`` scores each row by all other rows instead: its own n-grams
-are taken off every count, so that texts unlike the others back off, from
-``orders`` words down to one, with ``ALPHA`` for each step. Rows are packed into
-compressed chunks; a chunk sends each of its n-grams once to the n-gram's bucket, with its
-count, and gets the total back, so a frequent n-gram loads no bucket. A word
-that no other row has counts as one seen once.
+A word's factor is c(n-gram) / c(n-gram without its last word) for the longest
+n-gram of at most ``orders`` words, ending in it, that the corpus holds; each
+order given up costs a factor of ``ALPHA``. A word that the corpus lacks counts
+as one seen once, and the count of no words at all is the corpus' size. A
+document's log score is the sum of its words' logs.
+
+Without a ``corpus``, each row is scored by all other rows: its own n-grams are
+taken off every count, so that texts unlike the others back off. With
+``held_out=False`` they stay in.
+
+Count tables are partitioned by hash: rows are packed into compressed chunks of
+bounded size; a chunk sends the 64-bit hashes of its n-grams, each once and with
+its count, to the buckets (ranges of hashes) that they are in. A bucket adds up
+the counts and joins them with the chunks that asked, which look their n-grams
+up and add up the logs for each document. A frequent n-gram is one entry of a
+chunk, so it loads no bucket; the n-gram of no words is counted like all others.
+What is sent is in proportion to the text at any size.
+
+Null and empty texts have no words and score 0; a text longer than a chunk is a
+chunk of its own. Repeated rows count as often as they occur and each get a row;
+rows that share an id each get a row. An empty table gives an empty result, an
+empty corpus counts as one word. Other columns are not read, whatever their
+names. Reading ``docs`` twice must give the same rows in the same partitions, as
+tables do.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import scratch
 from quarterdeck.llm import text as bytes_of
 
 ALPHA = 0.4
-HOT = 65_536
-HOT_SHARE = 0.005
-SAMPLE_DOCS = 2_000
-BUCKET_BYTES = 12 << 20
-LEAST_BUCKETS = 64
 ORDERS = 3
 CHUNK_BYTES = 8 << 20
-HELD_OUT_BUCKET_BYTES = 8 << 20
-
-WORD, PAIR = 1, 2
-PACKED = "bucket int, gram int, factor int, counts boolean, hashes binary, previous binary, words binary, docs array<long>, lengths array<int>"
-LOCAL = "doc long, id long, n_words long, rows long, score double"
-
-
-def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words, the row of each word, and each row's first word."""
-    data, bounds = bytes_of.raw(texts)
-    begins, ends, firsts = bytes_of.words(data, bounds)
-    return bytes_of.hashes(data, begins, ends), np.repeat(np.arange(len(texts)), np.diff(firsts)), firsts
-
-
-def _pairs(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each pair of neighbours, and where its second word is."""
-    at = np.flatnonzero(row[1:] == row[:-1]) + 1 if len(row) else np.zeros(0, np.int64)
-    return bytes_of.mix(h[at - 1] * np.uint64(0x9E3779B97F4A7C15) + h[at]), at
-
-
-def _factors(h: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """What the log of a word's count adds to its document: inner words are contexts (-1), a lone word stands for itself (1)."""
-    factor, some = np.full(len(h), -1), np.flatnonzero(np.diff(firsts))
-    alone = firsts[some + 1] - firsts[some] == 1
-    factor[firsts[some]] = factor[firsts[some + 1] - 1] = alone
-    return factor
-
-
-class Hot:
-    """Sorted hashes of frequent n-grams, with their counts once known."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray | None = None):
-        self.keys, self.counts = keys, counts
-        self.seen = np.zeros(1 << 18, bool)
-        self.seen[(keys & np.uint64((1 << 18) - 1)).astype(np.int64)] = True
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Index of each hash, or -1."""
-        out = np.full(len(h), -1)
-        maybe = np.flatnonzero(self.seen[(h & np.uint64((1 << 18) - 1)).astype(np.int64)]) if len(self.keys) else []
-        if len(maybe):
-            at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
-            out[maybe] = np.where(self.keys[at] == h[maybe], at, -1)
-        return out
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.xxhash64(id_col, text_col).alias("doc"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-
-
-def _hot(rows: DataFrame, total: int) -> dict[int, Hot]:
-    """N-grams that more than a share of the sampled documents hold, with exact counts over all rows."""
-    every = max(1, total // SAMPLE_DOCS)
-    sample = rows.filter(F.pmod(F.xxhash64("doc"), F.lit(every)) == 0)
+BUCKET_BYTES = 16 << 20
+#: Hash of the n-gram of no words.
+NOTHING = np.uint64(0x243F6A8885A308D3)
+
+
+def _grams(texts: pa.Array, orders: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each order the hash of the n-gram that ends at each word (of no meaning if it is too short), each word's row, and its place in the row."""
+    hashes, row, place, before = [], [], [], 0
+    for a, b in bytes_of.slices(texts):
+        data, bounds = bytes_of.raw(texts[a:b])
+        begins, ends, firsts = bytes_of.words(data, bounds)
+        hashes.append(bytes_of.hashes(data, begins, ends))
+        r = np.repeat(np.arange(b - a), np.diff(firsts))
+        place.append((np.arange(len(begins)) - firsts[:-1][r]).astype(np.int32))
+        row.append((r + a).astype(np.int32))
+    none = np.zeros(0, np.int32)
+    grams = [np.concatenate([none.astype(np.uint64), *hashes])]
+    for _ in range(1, orders):
+        longer = grams[0].copy()
+        longer[1:] = bytes_of.mix(grams[-1][:-1] * np.uint64(bytes_of.BASE) + grams[0][1:])
+        grams.append(longer)
+    return grams, np.concatenate([none, *row]), np.concatenate([none, *place])
 
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in bytes_of.slices(batch.column(0)):
-                h, row, _ = _grams(batch.column(0)[a:b])
-                p, at = _pairs(h, row)
-                for gram, keys, of in ((WORD, h, row), (PAIR, p, row[at])):
-                    order = np.lexsort((keys, of))
-                    k, r = keys[order], of[order]
-                    first = np.append(True, (k[1:] != k[:-1]) | (r[1:] != r[:-1])) if len(k) else np.zeros(0, bool)
-                    k, n = np.unique(k[first], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), gram, np.int32)), pa.array(k.view(np.int64)), pa.array(n)], ["gram", "key", "n"])
-
-    least = max(2, int(HOT_SHARE * min(total, SAMPLE_DOCS)))
-    often = sample.select("text").mapInArrow(held, "gram int, key long, n long").groupBy("gram", "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    hot = {}
-    for gram in (WORD, PAIR):
-        some = often.filter(F.col("gram") == gram).orderBy(F.desc("n"), "key").limit(HOT).select("key").toPandas()
-        hot[gram] = Hot(np.sort(some["key"].to_numpy(np.int64).view(np.uint64)))
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, n_words = {g: np.zeros(len(x.keys), np.int64) for g, x in hot.items()}, 0
-        for batch in batches:
-            for a, b in bytes_of.slices(batch.column(0)):
-                h, row, _ = _grams(batch.column(0)[a:b])
-                n_words += len(h)
-                for gram, keys in ((WORD, h), (PAIR, _pairs(h, row)[0])):
-                    found = hot[gram].find(keys)
-                    sums[gram] += np.bincount(found[found >= 0], minlength=len(sums[gram]))
-        for gram, n in [*sums.items(), (0, np.array([n_words]))]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), gram, np.int32)), pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n)], ["gram", "k", "n"])
-
-    table = rows.select("text").mapInArrow(counted, "gram int, k int, n long").groupBy("gram", "k").agg(F.sum("n").alias("n")).toPandas()
-    for gram in (WORD, PAIR):
-        mine = table[table["gram"] == gram].sort_values("k")
-        hot[gram].counts = mine["n"].to_numpy(np.int64) if len(mine) else np.zeros(0, np.int64)
-    hot[0] = int(table.loc[table["gram"] == 0, "n"].sum())
-    return hot
-
-
-def score(docs: DataFrame, corpus: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(id, n_words, log_score) of every row of ``docs``, by counts over ``corpus`` (``docs`` itself if not given)."""
-    spark, own = docs.sparkSession, corpus is None
-    asked = _rows(docs, id_col, text_col)
-    source = asked if own else _rows(corpus, id_col, text_col)
-    total, size = source.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    n_buckets = max(LEAST_BUCKETS, int(size // bucket_bytes) + 1)
-    known = spark.sparkContext.broadcast(_hot(source, total))
-
-    def packed(counts: bool, asks: bool):
-        def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hot = known.value
-            for batch in batches:
-                doc = np.asarray(batch.column("doc"))
-                for a, b in bytes_of.slices(batch.column("text")):
-                    h, row, firsts = _grams(batch.column("text")[a:b])
-                    p, at = _pairs(h, row)
-                    for gram, keys, of, by, second in ((WORD, h, row, _factors(h, firsts), None), (PAIR, p, row[at], np.ones(len(p), np.int64), at)):
-                        rest = np.flatnonzero(hot[gram].find(keys) < 0)
-                        where = (keys[rest] >> np.uint64(32)).astype(np.int64) % n_buckets
-                        order = np.lexsort((by[rest], where))
-                        rest, where = rest[order], where[order]
-                        cut = np.flatnonzero(np.append(True, (where[1:] != where[:-1]) | (by[rest][1:] != by[rest][:-1]))) if len(rest) else []
-                        for x, y in zip(cut, [*cut[1:], len(rest)]):
-                            part = np.sort(rest[x:y])
-                            r = of[part]
-                            begin = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-                            # A pair that the corpus may lack takes its words along.
-                            words = [None, None] if own or not asks or second is None else [h[second[part] - 1].tobytes(), h[second[part]].tobytes()]
-                            row_ = [[int(where[x])], [gram], [int(by[part[0]]) if asks else 0], [counts], [keys[part].tobytes()], [words[0]], [words[1]], [doc[a:b][r[begin]]], [np.diff(np.append(begin, len(r)))]]
-                            types = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row_, types)], [c.split()[0] for c in PACKED.split(", ")])
-
-        return dealt
-
-    def local_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = known.value
-        for batch in batches:
-            for a, b in bytes_of.slices(batch.column("text")):
-                h, row, firsts = _grams(batch.column("text")[a:b])
-                n = np.diff(firsts)
-                p, at = _pairs(h, row)
-                out = np.where(n > 0, -np.log(max(hot[0], 1)), 0.0)
-                for gram, keys, of, by in ((WORD, h, row, _factors(h, firsts)), (PAIR, p, row[at], np.ones(len(p)))):
-                    found = hot[gram].find(keys)
-                    hit = found >= 0
-                    out += np.bincount(of[hit], by[hit] * np.log(np.maximum(hot[gram].counts[found[hit]], 1)), b - a)
-                yield pa.RecordBatch.from_arrays([batch.column("doc")[a:b], batch.column("id")[a:b], pa.array(n), pa.array(np.ones(b - a, np.int64)), pa.array(out)], ["doc", "id", "n_words", "rows", "score"])
-
-    def joined(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        sums, lost_pairs = [], []
-        for g in (WORD, PAIR):
-            part = table.filter(pc.equal(table["gram"], g))
-            if not len(part):
-                continue
-            hashes = part["hashes"].to_pylist()
-            sizes = np.array([len(x) // 8 for x in hashes])
-            keys = np.frombuffer(b"".join(hashes), np.uint64)
-            counts, factor = (np.repeat(np.asarray(part[c].combine_chunks().cast(pa.int8())), sizes) for c in ("counts", "factor"))
-            doc = np.asarray(part["docs"].combine_chunks().flatten())
-            run = np.repeat(np.arange(len(doc)), np.asarray(part["lengths"].combine_chunks().flatten()))
-            _, inverse = np.unique(keys, return_inverse=True)
-            n = np.bincount(inverse, counts)[inverse]
-            sums.append((doc, np.bincount(run, factor * np.log(np.maximum(n, 1)), len(doc))))
-            if g == PAIR and not own:
-                previous, words = (part[c].to_pylist() for c in ("previous", "words"))
-                asks = np.repeat([x is not None for x in words], sizes)
-                lost = np.flatnonzero((n == 0) & asks)
-                before, word = (np.frombuffer(b"".join(y if y is not None else bytes(len(h)) for y, h in zip(x, hashes)), np.int64) for x in (previous, words))
-                lost_pairs.append((doc[run[lost]], before[lost], word[lost]))
-        # One row for each document in the bucket.
-        doc, where = np.unique(np.concatenate([d for d, _ in sums]), return_inverse=True)
-        score = np.bincount(where, np.concatenate([s for _, s in sums]), len(doc))
-        some = np.flatnonzero(score)
-        out = [(doc[some], score[some], np.zeros(len(some), np.int64), np.zeros(len(some), np.int64))]
-        out += [(d, np.full(len(d), np.nan), before, word) for d, before, word in lost_pairs]
-        return pa.table({name: np.concatenate(x) for name, x in zip(("doc", "score", "previous", "word"), zip(*out))})
-
-    dealt = source.select("doc", "text").mapInArrow(packed(True, own), PACKED)
-    if not own:
-        dealt = dealt.unionByName(asked.select("doc", "text").mapInArrow(packed(False, True), PACKED))
-    sums = dealt.groupBy("bucket").applyInArrow(joined, "doc long, score double, previous long, word long")
-    parts = asked.mapInArrow(local_scores, LOCAL)
-    asked_only = sums.filter(~F.isnan("score")).select("doc", F.lit(None).cast("long").alias("id"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("rows"), "score")
-    parts = parts.unionByName(asked_only)
-    if not own:
-        parts = parts.unionByName(_backed_off(sums.filter(F.isnan("score")), source, known.value[0], alpha))
-    whole = parts.groupBy("doc").agg(F.max("id").alias("id"), F.sum("n_words").alias("n_words"), F.sum("rows").alias("rows"), F.sum("score").alias("score")).filter("rows > 0")
-    # Repeated rows were summed together.
-    each = whole.select("id", (F.col("n_words") / F.col("rows")).cast("long").alias("n_words"), (F.col("score") / F.col("rows")).alias("log_score"), F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("k"))
-    return each.select(F.col("id").alias(id_col), "n_words", "log_score")
 
+def _distinct(grams: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of n-grams of all orders, that of no words included, and how often each occurs."""
+    keys = np.sort(np.concatenate([g[place >= m] for m, g in enumerate(grams)]))
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(first, len(keys)))
+    at = np.searchsorted(keys[first], NOTHING)
+    return np.insert(keys[first], at, NOTHING), np.insert(counts, at, len(place))
 
-def _backed_off(lost: DataFrame, source: DataFrame, n_words: int, alpha: float) -> DataFrame:
-    """What pairs that the corpus lacks add: the word's own frequency times alpha, and the context's count taken back."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in bytes_of.slices(batch.column(0)):
-                keys, n = np.unique(_grams(batch.column(0)[a:b])[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
-
-    words = source.select("text").mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    sides = lost.select("doc", F.explode(F.array(F.struct(F.col("previous").alias("key"), F.lit(1).alias("side")), F.struct(F.col("word").alias("key"), F.lit(2).alias("side")))).alias("s")).select("doc", "s.*")
-    found = sides.groupBy("doc", "key", "side").agg(F.count("*").alias("times")).join(words, "key", "left")
-    # A context's count was taken off once for each pair; the first word of a document has no pair before it.
-    word = F.coalesce(F.log(F.col("n").cast("double")), F.lit(0.0)) - float(np.log(max(n_words, 1)))
-    gain = F.when(F.col("side") == 2, float(np.log(alpha)) + word).otherwise(F.coalesce(F.log(F.col("n").cast("double")), F.lit(0.0)))
-    zero = F.lit(0).cast("long")
-    return found.select("doc", F.lit(None).cast("long").alias("id"), zero.alias("n_words"), zero.alias("rows"), (F.col("times") * gain).alias("score"))
-
-
-def _ngrams(texts: pa.Array, orders: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of all n-grams and their counts, the index of each order's n-gram that ends at each word (-1 if too short), and each word's row and place."""
-    h, row, firsts = _grams(texts)
-    place = np.arange(len(h)) - firsts[:-1][row]
-    grams, ends = [h], [np.arange(len(h))]
-    for m in range(1, orders):
-        longer = h.copy()
-        longer[1:] = bytes_of.mix(grams[-1][:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
-        grams.append(longer)
-        ends.append(np.flatnonzero(place >= m))
-    keys, inverse, counts = np.unique(np.concatenate([g[e] for g, e in zip(grams, ends)]), return_inverse=True, return_counts=True)
-    index = np.full((orders, len(h)), -1)
-    for m, part in enumerate(np.split(inverse, np.cumsum([len(e) for e in ends])[:-1])):
-        index[m, ends[m]] = part
-    return keys, counts, index, row, place
+def _places(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where each hash is among sorted distinct ones, which hold all of them: hashes are even, so their first bits nearly tell."""
+    shift = np.uint64(64 - max(1, len(keys).bit_length()))
+    starts = np.zeros((1 << int(64 - shift)) + 1, np.int32)
+    np.cumsum(np.bincount((keys >> shift).astype(np.int64), minlength=len(starts) - 1), out=starts[1:])
+    at = starts[(asked >> shift).astype(np.int64)]
+    todo = np.flatnonzero(keys[at] != asked)
+    while len(todo):
+        at[todo] += 1
+        todo = todo[keys[at[todo]] != asked[todo]]
+    return at
 
 
 def _squeezed(x: np.ndarray) -> bytes:
-    """64-bit values compressed as eight planes of bytes."""
-    return pa.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+    """Whole numbers compressed as planes of bytes, of the least width that holds them."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or int(x.max()) < 1 << 8 * w)
+    planes = x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _restored(packed: bytes, n: int, dtype: type) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(packed, n * 8, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, n).T).view(dtype).ravel()
+def _restored(packed: bytes, n: int) -> np.ndarray:
+    width = packed[0]
+    planes = np.frombuffer(pa.decompress(memoryview(packed)[1:], n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(f"<u{width}").ravel()
 
 
-def held_out_score(docs: DataFrame, orders: int = ORDERS, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = HELD_OUT_BUCKET_BYTES) -> DataFrame:
-    """(id, n_words, log_score) of every row of ``docs``, by n-grams of up to ``orders`` words in all other rows."""
+def _chunks(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataFrame:
+    """(chunk, data): rows packed into compressed Arrow streams."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -285,70 +106,99 @@ def held_out_score(docs: DataFrame, orders: int = ORDERS, id_col: str = "doc_id"
         chunk = TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b in bytes_of.slices(batch.column("text"), chunk_bytes):
-                part, n_words = pa.Table.from_batches([batch.slice(a, b - a)]), 0
-                for x, y in bytes_of.slices(batch.column("text")[a:b]):
-                    n_words += len(_grams(batch.column("text")[a + x : a + y])[0])
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                    writer.write_table(part)
-                size = part["text"].nbytes
-                row = [[chunk], [n_words], [size], [sink.getvalue().to_pybytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["chunk", "n_words", "size", "data"])
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
+                    writer.write_batch(batch.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "data"])
                 chunk += 1
 
-    def unpacked(table: pa.Table) -> pa.Table:
-        return pa.ipc.open_stream(table["data"][0].as_buffer()).read_all().combine_chunks()
-
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    chunks = scratch.written(rows.mapInArrow(packed, "chunk long, n_words long, size long, data binary"))
-    total, size = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return rows.mapInArrow(packed, "chunk long, data binary")
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    return pa.ipc.open_stream(table["data"][0].as_buffer()).read_all().combine_chunks()
+
+
+def score(docs: DataFrame, corpus: DataFrame | None = None, orders: int = ORDERS, held_out: bool = True, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(id, n_words, log_score) of every row of ``docs``, by n-grams of up to ``orders`` words in ``corpus``, or in the other rows."""
+    own = corpus is None
+    counting = docs if own else corpus
+    size = counting.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     n_buckets = int(size // bucket_bytes) + 1
-    chunks = chunks.select("chunk", "data")
-
-    def asked(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        keys, counts, *_ = _ngrams(unpacked(table)["text"].combine_chunks(), orders)
-        # Buckets are ranges of hashes, so a chunk's buckets follow each other.
-        where = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-        cut = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.zeros(0, np.int64)
-        ranges = list(zip(cut.tolist(), [*cut[1:].tolist(), len(where)]))
-        return pa.table({
-            "bucket": pa.array(where[cut], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(cut), pa.int64()),
-            "n": pa.array([b - a for a, b in ranges], pa.int64()),
-            "hashes": pa.array([_squeezed(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in ranges], pa.binary()),
-            "counts": pa.array([_squeezed(counts[a:b].astype(np.int64)) for a, b in ranges], pa.binary()),
-        })
+    chunks = _chunks(docs, id_col, text_col, chunk_bytes)
+
+    def sent(asks: bool, counts: bool):
+        def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            grams, _, place = _grams(_unpacked(table)["text"].combine_chunks(), orders)
+            keys, n = _distinct(grams, place)
+            # Buckets are ranges of hashes, so a chunk's buckets follow each other.
+            where = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+            cut = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            ranges = list(zip(cut.tolist(), [*cut[1:].tolist(), len(where)]))
+            return pa.table({
+                "bucket": pa.array(where[cut], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(cut), pa.int64()), "asks": pa.array([asks] * len(cut)),
+                "n": pa.array([b - a for a, b in ranges], pa.int64()),
+                "hashes": pa.array([_squeezed(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in ranges], pa.binary()),
+                "counts": pa.array([_squeezed(n[a:b] * counts) for a, b in ranges], pa.binary()),
+            })
+
+        return of
 
     def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         sizes = table["n"].to_pylist()
-        keys = np.concatenate([np.cumsum(_restored(x, n, np.uint64), dtype=np.uint64) for x, n in zip(table["hashes"].to_pylist(), sizes)])
-        counts = np.concatenate([_restored(x, n, np.int64) for x, n in zip(table["counts"].to_pylist(), sizes)])
-        _, inverse = np.unique(keys, return_inverse=True)
-        sums = np.zeros(len(counts), np.int64)
-        np.add.at(sums, inverse, counts)
-        sums = np.split(sums[inverse], np.cumsum(sizes)[:-1])
-        return pa.table({"bucket": table["bucket"], "chunk": table["chunk"], "n": table["n"], "totals": pa.array([_squeezed(x) for x in sums], pa.binary())})
-
-    def scored(chunk: pa.Table, totals: pa.Table) -> pa.Table:
-        texts = unpacked(chunk)
-        keys, _, index, row, place = _ngrams(texts["text"].combine_chunks(), orders)
-        totals = totals.sort_by("bucket")
-        found = np.concatenate([np.zeros(0, np.int64), *(_restored(x, n, np.int64) for x, n in zip(totals["totals"].to_pylist(), totals["n"].to_pylist()))])
-        assert len(found) == len(keys)
-        n_words = np.bincount(row, minlength=len(texts))
-        others = np.zeros(index.shape, np.int64)
+        hashes = np.concatenate([np.cumsum(_restored(x.as_py(), n), dtype=np.uint64) for x, n in zip(table["hashes"], sizes)])
+        counts = np.concatenate([_restored(x.as_py(), n).astype(np.int64) for x, n in zip(table["counts"], sizes)])
+        keys = np.sort(hashes)
+        keys = keys[np.append(True, keys[1:] != keys[:-1])]
+        at = _places(keys, hashes)
+        # What other chunks count: mostly nothing, so it takes little room.
+        others = np.bincount(at, counts).astype(np.int64)[at] - counts
+        asks = table["asks"].to_pylist()
+        parts = [_squeezed(x) for x, ask in zip(np.split(others, np.cumsum(sizes)[:-1]), asks) if ask]
+        asking = table.filter(table["asks"])
+        return pa.table({"bucket": asking["bucket"], "chunk": asking["chunk"], "n": asking["n"], "others": pa.array(parts, pa.binary())})
+
+    def scored(chunk: pa.Table, others: pa.Table) -> pa.Table:
+        rows = _unpacked(chunk)
+        grams, row, place = _grams(rows["text"].combine_chunks(), orders)
+        keys, counts = _distinct(grams, place)
+        others = others.sort_by("bucket")
+        total = np.concatenate([_restored(x.as_py(), n).astype(np.int64) for x, n in zip(others["others"], others["n"].to_pylist())])
+        if len(total) != len(keys):
+            raise ValueError("a chunk changed between two readings of the rows")
+        if own:
+            total += counts
+        n_words = np.bincount(row, minlength=len(rows))
+        size = int(total[np.searchsorted(keys, NOTHING)])
+        sizes = size - n_words if own and held_out else np.full(len(rows), size)
+        out, used, shorter = -np.log(np.maximum(sizes, 1))[row], np.zeros(len(row), np.int8), None
         for m in range(orders):
-            at = np.flatnonzero(index[m] >= 0)
-            _, inverse, own = np.unique(row[at] * max(1, len(keys)) + index[m, at], return_inverse=True, return_counts=True)
-            others[m, at] = found[index[m, at]] - own[inverse]
-        out = np.log(np.maximum(others[0], 1)) - np.log(np.maximum(total - n_words[row], 1))
-        used = np.zeros(len(row), np.int64)
-        for m in range(1, orders):
-            at = np.flatnonzero(others[m] > 0)
-            out[at], used[at] = np.log(others[m, at]) - np.log(others[m - 1, at - 1]), m
+            long = np.flatnonzero(place >= m)
+            at = _places(keys, grams[m][long])
+            found = total[at]
+            if own and held_out:
+                # An n-gram that occurs once in all is the document's own.
+                some = np.flatnonzero(found > 1)
+                _, inverse, mine = np.unique(row[long[some]].astype(np.int64) * len(keys) + at[some], return_inverse=True, return_counts=True)
+                found[some] -= mine[inverse]
+                found[total[at] == 1] = 0
+            here = np.zeros(len(row), np.int64)
+            here[long] = found
+            if m == 0:
+                out += np.log(np.maximum(here, 1))
+            else:
+                hit = np.flatnonzero(here)
+                out[hit], used[hit] = np.log(here[hit]) - np.log(shorter[hit - 1]), m
+            shorter = here
         out += np.log(alpha) * (np.minimum(place, orders - 1) - used)
-        return pa.table({"id": texts["id"], "n_words": pa.array(n_words, pa.int64()), "log_score": pa.array(np.bincount(row, out, len(texts)), pa.float64())})
+        return pa.table({"id": rows["id"], "n_words": pa.array(n_words, pa.int64()), "log_score": pa.array(np.bincount(row, out, len(rows)), pa.float64())})
 
-    sent = chunks.groupBy("chunk").applyInArrow(asked, "bucket long, chunk long, n long, hashes binary, counts binary")
-    totals = sent.groupBy("bucket").applyInArrow(summed, "bucket long, chunk long, n long, totals binary")
-    out = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(scored, "id long, n_words long, log_score double")
+    columns = "bucket long, chunk long, asks boolean, n long, hashes binary, counts binary"
+    # Both groupings of the chunks read one shuffle.
+    asked = chunks.groupBy("chunk").applyInArrow(sent(True, own), columns)
+    if not own:
+        asked = asked.unionByName(_chunks(corpus, id_col, text_col, chunk_bytes).groupBy("chunk").applyInArrow(sent(False, True), columns))
+    others = asked.groupBy("bucket").applyInArrow(summed, "bucket long, chunk long, n long, others binary")
+    out = chunks.groupBy("chunk").cogroup(others.groupBy("chunk")).applyInArrow(scored, "id long, n_words long, log_score double")
     return out.select(F.col("id").alias(id_col), "n_words", "log_score")

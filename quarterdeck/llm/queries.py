@@ -20,11 +20,13 @@ def op1_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language_model.score(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"))
+    mean = F.coalesce(F.try_divide("log_score", "n_words"), F.lit(0.0))
+    return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"), F.round(mean, 5).alias("score"))
 
 
-def op2_stupid_backoff_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = language_model.held_out_score(table(spark, sf_dir, "documents"))
+def op2_stupid_backoff_own_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and pairs only, and each document counted with the corpus."""
+    out = language_model.score(table(spark, sf_dir, "documents"), orders=2, held_out=False)
     return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"))
 
 
@@ -146,7 +148,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-OP2_SQL = r"""
+OP2_OWN_CORPUS_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), pos AS (
@@ -162,7 +164,7 @@ scores AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS log_score FROM w LEFT JOIN scores USING (doc_id)
 """
 
-OP2_HELD_OUT_SQL = r"""
+OP2_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), pos AS (
@@ -183,13 +185,14 @@ scores AS (
   LEFT JOIN two tv ON p.doc_id = tv.doc_id AND p.c = tv.b AND p.b = tv.a, total
   GROUP BY p.doc_id
 )
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS log_score FROM w LEFT JOIN scores USING (doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS log_score,
+       round(coalesce(s / nullif(len(w), 0), 0), 5) AS score FROM w LEFT JOIN scores USING (doc_id)
 """
 
 _ALL = (
     op1_shard_lookup,
     op2_stupid_backoff,
-    op2_stupid_backoff_held_out,
+    op2_stupid_backoff_own_corpus,
     op3_naive_bayes_language,
     op4_wavelet_tokens,
     op5_weighted_fingerprints,
@@ -200,4 +203,4 @@ _ALL = (
     op10_decontamination,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op2_stupid_backoff": OP2_SQL, "op2_stupid_backoff_held_out": OP2_HELD_OUT_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}
+ORACLES = {"op2_stupid_backoff": OP2_SQL, "op2_stupid_backoff_own_corpus": OP2_OWN_CORPUS_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}

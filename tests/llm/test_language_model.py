@@ -2,7 +2,9 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarterdeck.llm import language_model as lm
 
@@ -32,17 +34,17 @@ def make(n, words, seed):
 
 def check(spark, docs, corpus, **options):
     frame = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    out = lm.score(frame(docs), None if corpus is None else frame(corpus), **options)
+    out = lm.score(frame(docs), None if corpus is None else frame(corpus), orders=2, held_out=False, **options)
     found = {r.doc_id: r for r in out.collect()}
     for k, (n, s) in enumerate(plain(docs, docs if corpus is None else corpus)):
         assert (found[k].n_words, found[k].log_score) == (n, pytest.approx(s, abs=1e-6)), docs[k]
     assert len(found) == len(docs)
 
 
-@pytest.mark.parametrize("bucket", [24 << 20, 200])
+@pytest.mark.parametrize("bucket", [16 << 20, 200])
 @pytest.mark.parametrize("words", [["a", "b", "c"], [f"w{k}" for k in range(400)]])
 def test_own_corpus(spark, words, bucket):
-    check(spark, [*make(120, words, 1), None, "a b a b a b"], None, bucket_bytes=bucket)
+    check(spark, [*make(120, words, 1), None, "a b a b a b"], None, bucket_bytes=bucket, chunk_bytes=1 << 23 if bucket > 200 else 500)
 
 
 def test_backs_off_outside_the_corpus(spark):
@@ -51,14 +53,21 @@ def test_backs_off_outside_the_corpus(spark):
 
 
 def test_defined_cases(spark):
-    df = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None), (None, "a")], "doc_id long, text string")
-    out = sorted(((r.doc_id, r.n_words, round(r.log_score, 6)) for r in lm.score(df).collect()), key=str)
+    df = spark.createDataFrame([(1, "a b", 0), (1, "a b", 0), (2, None, 0), (None, "a", 0)], "doc_id long, text string, chunk int").withColumn("n_words", F.lit("x")).withColumn("id", F.lit("y"))
+    out = sorted(((r.doc_id, r.n_words, round(r.log_score, 6)) for r in lm.score(df, orders=2, held_out=False).collect()), key=str)
     c = {"a": 3, "b": 2}
     ab = math.log(c["a"] / 5) + math.log(2 / 3)
     assert out == sorted([(1, 2, round(ab, 6)), (1, 2, round(ab, 6)), (2, 0, 0.0), (None, 1, round(math.log(3 / 5), 6))], key=str)
     assert lm.score(df.limit(0)).count() == 0
 
 
+def test_a_very_long_text(spark):
+    docs = ["a b c " * 60_000, "a b c", "x " * 30]
+    found = {r.doc_id: (r.n_words, r.log_score) for r in lm.score(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1), chunk_bytes=1000, bucket_bytes=5000).collect()}
+    for k, (n, s) in enumerate(plain_held_out(docs, 3)):
+        assert found[k] == (n, pytest.approx(s, rel=1e-9)), k
+
+
 def test_empty_corpus(spark):
     check(spark, ["a b", "a", ""], [])
 
@@ -84,26 +93,43 @@ def plain_held_out(docs, orders, alpha=0.4):
 def test_held_out_is_brute_force(spark, orders, sizes):
     docs = [*make(80, [f"w{k}" for k in range(12)], 4), *make(20, [f"x{k}" for k in range(500)], 5), None, "", "w1 w1 w1 w1", "only here", "w1 w2 w3", "w1 w2 w3"]
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
-    found = {r.doc_id: (r.n_words, r.log_score) for r in lm.held_out_score(df, orders, **sizes).collect()}
+    found = {r.doc_id: (r.n_words, r.log_score) for r in lm.score(df, orders=orders, **sizes).collect()}
     assert len(found) == len(docs)
     for k, (n, s) in enumerate(plain_held_out(docs, orders)):
         assert found[k] == (n, pytest.approx(s, abs=1e-6)), docs[k]
-    assert lm.held_out_score(df.limit(0)).count() == 0
+    assert lm.score(df.limit(0)).count() == 0
 
 
 def test_held_out_puts_junk_below_prose(spark):
     prose = ["the cat sat on the mat", "the dog sat on the mat", "a cat sat on the rug", "the dog lay on the rug"]
     df = spark.createDataFrame([*enumerate(prose), (9, "qzx vkw jjp wwq zzk bbv")], "doc_id long, text string")
-    a_word = {r.doc_id: r.log_score / r.n_words for r in lm.held_out_score(df).collect()}
+    a_word = {r.doc_id: r.log_score / r.n_words for r in lm.score(df).collect()}
     assert a_word.pop(9) < min(a_word.values())
 
 
-def test_held_out_query_matches_sql(spark):
+def test_both_groupings_read_one_shuffle(spark):
+    df = spark.createDataFrame([(k, f"w{k} a b") for k in range(50)], "doc_id long, text string").repartition(4)
+    out = lm.score(df, chunk_bytes=60, bucket_bytes=100)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_and_packing():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 1000):
+        keys = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        asked = rng.choice(keys, 3 * n)
+        assert (keys[lm._places(keys, asked)] == asked).all()
+    for x in ([], [0, 0], [3, 255], [256], [1 << 20, 1], [1 << 40]):
+        assert lm._restored(lm._squeezed(np.array(x, np.int64)), len(x)).tolist() == x
+
+
+@pytest.mark.parametrize("name", ["op2_stupid_backoff", "op2_stupid_backoff_own_corpus"])
+def test_queries_match_sql(spark, name):
     import duckdb
 
     from quarterdeck.llm import queries
 
     duckdb.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.001/documents.parquet')")
-    expected = {i: (n, pytest.approx(s, abs=2e-5)) for i, n, s in duckdb.execute(queries.OP2_HELD_OUT_SQL).fetchall()}
-    found = {r.doc_id: (r.n_words, r.log_score) for r in queries.op2_stupid_backoff_held_out(spark, "/root/testdata/sf0.001").collect()}
-    assert found == expected
+    expected = {r[0]: tuple(pytest.approx(x, abs=2e-5) for x in r[1:]) for r in duckdb.execute(queries.ORACLES[name]).fetchall()}
+    assert {r[0]: tuple(r[1:]) for r in queries.QUERIES[name](spark, "/root/testdata/sf0.001").collect()} == expected
