@@ -177,16 +177,18 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by priority and Monday's week, without the first and last week of all."""
-    o = table(spark, sf_dir, "orders").withColumn("week", week_of(F.to_date("o_orderdate")))
-    span = o.agg(F.min("week").alias("first"), F.max("week").alias("last"))
-    inner = o.join(F.broadcast(span), (F.col("week") > F.col("first")) & (F.col("week") < F.col("last")))
-    return inner.groupBy(F.col("o_orderpriority").alias("series_id"), F.col("week").alias("obs_date")).agg(F.sum(_money("o_totalprice")).cast("double").alias("value"))
+    """Orders by priority and Monday's week; 0 where a week has none."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("series_id"), week_of(F.to_date("o_orderdate")).alias("obs_date"), _money("o_totalprice").alias("price"))
+    span = o.agg(F.min("obs_date").alias("first"), F.max("obs_date").alias("last"))
+    weeks = o.select("series_id").distinct().join(F.broadcast(span)).select("series_id", F.explode(F.sequence("first", "last", F.expr("INTERVAL 7 DAYS"))).alias("obs_date"))
+    sums = o.groupBy("series_id", "obs_date").agg(F.sum("price").cast("double").alias("value"))
+    return weeks.join(sums, ["series_id", "obs_date"], "left").select("series_id", "obs_date", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users of the events with their arm and whether they bought."""
+def outcomes(spark: SparkSession, sf_dir: str, converted: Column | None = None, by: list[str] | None = None) -> DataFrame:
+    """Days of users with their arm and whether something was bought on that day."""
     from quarterdeck.operators.experiment import assign_arm, user_outcomes
 
-    users = user_outcomes(table(spark, sf_dir, "events"), "user_id", (F.col("event_type") == "purchase") & (F.col("event_id") % 40 == 0))
-    return users.withColumn("arm", assign_arm(F.col("user_id").cast("string")))
+    events = table(spark, sf_dir, "events").withColumn("unit", F.concat_ws("@", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")))
+    units = user_outcomes(events, "unit", F.col("event_type") == "purchase" if converted is None else converted, by)
+    return units.withColumn("arm", assign_arm(F.col("unit")))
