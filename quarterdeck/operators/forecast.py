@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 SEASON, HORIZON, STEP, MIN_TRAIN = 52, 12, 4, 104
 BASELINE = "seasonal_naive"
+ETS_GRID = (0.1, 0.3, 0.5, 0.7, 0.9), (0.01, 0.05, 0.1, 0.3), (0.8, 0.9, 0.98)
+ARIMA_GRID = (-0.6, -0.3, 0.0, 0.3, 0.6, 0.9), (-0.6, -0.3, 0.0, 0.3, 0.6)
 
 
 class GridError(ValueError):
-    """A weekly series has a step other than seven days."""
+    """A weekly series has a step other than seven days, or a value is missing."""
 
 
 def grid_gaps(series: DataFrame, days: int = 7) -> DataFrame:
@@ -31,6 +33,17 @@ def weekly_grid_check(series: DataFrame) -> DataFrame:
     return series
 
 
+def guarded(series: DataFrame, expected: list[str] | None = None) -> DataFrame:
+    """``series`` if it can be forecast: on the weekly grid, without nulls, and just the ``expected`` series if these are given."""
+    if bad := series.filter("series_id IS NULL OR obs_date IS NULL OR value IS NULL OR isnan(value)").take(3):
+        raise GridError(f"missing values: {bad}")
+    if expected is not None:
+        found = {r.series_id for r in series.select("series_id").distinct().limit(len(set(expected)) + 1).collect()}
+        if found != set(expected):
+            raise ValueError(f"series differ from the expected ones: {sorted(found ^ set(expected))}")
+    return weekly_grid_check(series)
+
+
 def indexed(series: DataFrame) -> DataFrame:
     """Series with a running index from 0 and their length."""
     return series.withColumn("i", F.row_number().over(Window.partitionBy("series_id").orderBy("obs_date")) - 1).withColumn("n", F.count("*").over(Window.partitionBy("series_id")))
@@ -46,9 +59,11 @@ def seasonal_naive(series: DataFrame, horizon: int = HORIZON, season: int = SEAS
 
 
 def rolling_origins(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min_train: int = MIN_TRAIN) -> DataFrame:
-    """(series_id, origin, k, i, actual): each origin's next weeks; training is everything before the origin."""
+    """(series_id, origin, k, i, actual): each origin's next weeks; training is everything before the origin. Series too short for one origin are errors."""
     rows = indexed(series)
-    sizes = rows.groupBy("series_id").agg(F.max("n").alias("n")).filter(F.col("n") >= min_train + horizon)
+    sizes = series.groupBy("series_id").agg(F.count("*").alias("n"))
+    if short := sizes.filter(F.col("n") < min_train + horizon).take(1):
+        raise ValueError(f"{short[0].series_id} has no origin: {short[0].n} weeks of {min_train + horizon}")
     origins = sizes.select("series_id", F.explode(F.sequence(F.lit(min_train), F.col("n").cast("int") - horizon, F.lit(step))).alias("origin"))
     ahead = origins.select("series_id", "origin", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")).withColumn("i", F.col("origin") + F.col("k") - 1)
     return ahead.join(rows.select("series_id", "i", F.col("value").alias("actual")), ["series_id", "i"])
@@ -72,14 +87,15 @@ def smape(actual: Column, point: Column) -> Column:
 
 
 def accuracy(backtest: DataFrame, by: tuple[str, ...] = ("series_id", "method")) -> DataFrame:
-    """Errors pooled over all origins and steps."""
+    """Errors pooled over all origins and steps, with the number of origins where the backtest has them."""
     a, p = F.col("actual"), F.col("point")
-    return backtest.groupBy(*by).agg(mape(a, p).alias("mape"), smape(a, p).alias("smape"), F.count("*").alias("n_errors"))
+    origins = [F.countDistinct("origin").alias("n_origins")] if "origin" in backtest.columns else []
+    return backtest.groupBy(*by).agg(mape(a, p).alias("mape"), smape(a, p).alias("smape"), F.count("*").alias("n_errors"), *origins)
 
 
 def select_method(scores: DataFrame, baseline: str = BASELINE) -> DataFrame:
-    """``scores`` with the published method: the least error, the baseline on a tie."""
-    order = Window.partitionBy("series_id").orderBy("smape", (F.col("method") != baseline), "method")
+    """``scores`` with the published method: the least error, the baseline on a tie; a method without an error comes last."""
+    order = Window.partitionBy("series_id").orderBy(F.col("smape").asc_nulls_last(), (F.col("method") != baseline), "method")
     return scores.withColumn("published", F.row_number().over(order) == 1)
 
 
@@ -101,36 +117,42 @@ def _with_parameters(df: DataFrame, names: list[str], grid: list[tuple[float, ..
     return df.withColumn("p", F.explode(rows))
 
 
-def _read_states(runs: DataFrame, path: Column, horizon: int, step: int, min_train: int) -> DataFrame:
-    """States after each origin of a backtest, and after the whole series (origin = n); ``e`` is the squared error so far."""
+def _states(runs: DataFrame, first: Column, skip: int, update, horizon: int, step: int, min_train: int) -> DataFrame:
+    """(series_id, p, origin, s): states of a recursion over ``y`` after each origin of a backtest, and after the whole series.
+
+    ``first`` is the state after ``skip`` values. Only the current state and
+    those at origins are carried along. ``e`` is the squared error so far.
+    """
     n = F.size("y")
-    last = F.greatest(n - horizon, F.lit(min_train))
-    origins = F.array_distinct(F.concat(F.when(n >= min_train + horizon, F.sequence(F.lit(min_train), last, F.lit(step))).otherwise(F.array().cast("array<int>")), F.array(n)))
-    states = runs.withColumn("path", path).withColumn("origin", F.explode(origins))
-    return states.select("series_id", "p", "y", "origin", F.get("path", F.col("origin")).alias("s"))
+    start = F.struct(first.alias("s"), F.lit(skip).alias("i"), F.array().cast("array<struct<origin:int,s:" + runs.select(first.alias("s")).schema["s"].dataType.simpleString() + ">>").alias("kept"))
+
+    def step_on(acc: Column, y: Column) -> Column:
+        s, i = update(acc["s"], y), acc["i"] + 1
+        origin = (i == n) | ((i >= min_train) & (i <= n - horizon) & ((i - min_train) % step == 0))
+        return F.struct(s.alias("s"), i.alias("i"), F.when(origin, F.concat(acc["kept"], F.array(F.struct(i.alias("origin"), s.alias("s"))))).otherwise(acc["kept"]).alias("kept"))
+
+    kept = F.aggregate(F.slice("y", F.lit(skip + 1), n), start, step_on, lambda acc: acc["kept"])
+    return runs.select("series_id", "p", F.inline(kept))
 
 
 def _best(states: DataFrame) -> DataFrame:
     """For each series and origin the parameters with the least error on the training prefix."""
-    return states.groupBy("series_id", "origin").agg(F.min_by(F.struct("p", "s", "y"), F.struct(F.col("s.e"), F.col("p"))).alias("b")).select("series_id", "origin", "b.*")
+    return states.groupBy("series_id", "origin").agg(F.min_by(F.struct("p", "s"), F.struct(F.col("s.e"), F.col("p"))).alias("b")).select("series_id", "origin", "b.*")
 
 
 def ets_damped(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min_train: int = MIN_TRAIN, grid: list[tuple[float, float, float]] | None = None) -> DataFrame:
     """(series_id, origin, k, point, sigma): additive errors with a damped trend, the best of a parameter grid."""
-    grid = grid or list(product((0.1, 0.3, 0.5, 0.7, 0.9), (0.01, 0.05, 0.1, 0.3), (0.8, 0.9, 0.98)))
+    grid = grid or list(product(*ETS_GRID))
     runs = _with_parameters(_values(series).filter(F.size("y") >= min_train), ["alpha", "beta", "phi"], grid)
     level = F.get("y", F.lit(0))
     trend = (F.get("y", F.lit(min_train - 1)) - level) / (min_train - 1)
-    start = F.struct(level.alias("l"), trend.alias("b"), F.lit(0.0).alias("e"))
 
-    def update(states: Column, y: Column) -> Column:
-        s = F.element_at(states, -1)
+    def update(s: Column, y: Column) -> Column:
         guess = s["l"] + F.col("p.phi") * s["b"]
         error = y - guess
-        new = F.struct((guess + F.col("p.alpha") * error).alias("l"), (F.col("p.phi") * s["b"] + F.col("p.beta") * error).alias("b"), (s["e"] + error * error).alias("e"))
-        return F.concat(states, F.array(new))
+        return F.struct((guess + F.col("p.alpha") * error).alias("l"), (F.col("p.phi") * s["b"] + F.col("p.beta") * error).alias("b"), (s["e"] + error * error).alias("e"))
 
-    best = _best(_read_states(runs, F.aggregate("y", F.array(start), update), horizon, step, min_train))
+    best = _best(_states(runs, F.struct(level.alias("l"), trend.alias("b"), F.lit(0.0).alias("e")), 0, update, horizon, step, min_train))
     ahead = best.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     phi, k = F.col("p.phi"), F.col("k")
     damped = phi * (1 - F.pow(phi, k)) / (1 - phi)
@@ -146,20 +168,18 @@ def arima_drift(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min
     Parameters are the best of a grid by the conditional sum of squares; the
     drift is the mean difference over the first ``min_train`` values.
     """
-    grid = grid or list(product((-0.6, -0.3, 0.0, 0.3, 0.6, 0.9), (-0.6, -0.3, 0.0, 0.3, 0.6)))
+    grid = grid or list(product(*ARIMA_GRID))
     runs = _with_parameters(_values(series).filter(F.size("y") >= min_train), ["phi", "theta"], grid)
     drift = (F.get("y", F.lit(min_train - 1)) - F.get("y", F.lit(0))) / (min_train - 1)
     start = F.struct(F.get("y", F.lit(0)).alias("y"), F.lit(0.0).alias("d"), F.lit(0.0).alias("a"), F.lit(0.0).alias("e"), drift.alias("m"))
 
-    def update(states: Column, y: Column) -> Column:
-        s = F.element_at(states, -1)
+    def update(s: Column, y: Column) -> Column:
         d = y - s["y"] - s["m"]
         a = d - F.col("p.phi") * s["d"] - F.col("p.theta") * s["a"]
-        return F.concat(states, F.array(F.struct(y.alias("y"), d.alias("d"), a.alias("a"), (s["e"] + a * a).alias("e"), s["m"].alias("m"))))
+        return F.struct(y.alias("y"), d.alias("d"), a.alias("a"), (s["e"] + a * a).alias("e"), s["m"].alias("m"))
 
     # The first value is the state after one observation.
-    path = F.concat(F.array(start), F.aggregate(F.slice("y", F.lit(2), F.size("y")), F.array(start), update))
-    best = _best(_read_states(runs, path, horizon, step, min_train))
+    best = _best(_states(runs, start, 1, update, horizon, step, min_train))
     ahead = best.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     phi, theta, k = F.col("p.phi"), F.col("p.theta"), F.col("k")
     first = phi * F.col("s.d") + theta * F.col("s.a")
@@ -173,18 +193,20 @@ def arima_drift(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min
 CANDIDATES = {"ets_damped": ets_damped, "arima_drift": arima_drift}
 
 
-def evaluate(series: DataFrame, candidates=CANDIDATES, **windows) -> DataFrame:
-    """(series_id, method, mape, smape, published) of the baseline and the candidates."""
+def evaluate(series: DataFrame, candidates=CANDIDATES, expected: list[str] | None = None, **windows) -> DataFrame:
+    """(series_id, method, mape, smape, n_errors, n_origins, published) of the baseline and the candidates; faulty series are errors."""
+    series = guarded(series, expected)
     ahead = rolling_origins(series, **windows)
-    tests = naive_backtest(series, **windows).select("series_id", "actual", "point").withColumn("method", F.lit(BASELINE))
+    tests = naive_backtest(series, **windows).select("series_id", "origin", "actual", "point").withColumn("method", F.lit(BASELINE))
     for name, method in candidates.items():
-        mine = ahead.join(method(series, **windows), ["series_id", "origin", "k"]).select("series_id", "actual", "point")
+        mine = ahead.join(method(series, **windows), ["series_id", "origin", "k"]).select("series_id", "origin", "actual", "point")
         tests = tests.unionByName(mine.withColumn("method", F.lit(name)))
     return select_method(accuracy(tests))
 
 
-def publish(series: DataFrame, scores: DataFrame, candidates=CANDIDATES, **windows) -> DataFrame:
-    """(series_id, method, obs_date, point, lower, upper): the path of each series' published method."""
+def publish(series: DataFrame, scores: DataFrame, candidates=CANDIDATES, expected: list[str] | None = None, **windows) -> DataFrame:
+    """(series_id, method, obs_date, point, lower, upper): the path of each series' published method; faulty series are errors."""
+    series = guarded(series, expected)
     horizon = windows.get("horizon", HORIZON)
     paths = naive_intervals(series, horizon).withColumn("method", F.lit(BASELINE))
     ends = series.groupBy("series_id").agg(F.max("obs_date").alias("trained_through"), F.count("*").alias("n"))

@@ -1,5 +1,7 @@
 """SQL for DuckDB that computes the operators' results by other means: self-joins, grouped percentiles, correlated look-ups."""
 
+from quarterdeck.operators.forecast import ARIMA_GRID, ETS_GRID
+
 METRICS = [
     "equity_to_assets", "loans_to_deposits", "securities_to_assets", "brokered_deposit_share", "uninsured_deposit_share", "asset_growth_qoq", "asset_growth_yoy",
     "asset_growth_3y_cagr", "deposit_growth_yoy", "nim_trend_4q", "net_interest_margin_pct", "roa_pct", "efficiency_ratio_pct", "cost_of_funds_pct",
@@ -107,12 +109,11 @@ CTES = {
     coalesce(min(ft_source), '(direct)') || ' / ' || coalesce(min(ft_medium), '(none)') AS first_touch_channel
   FROM ev WHERE session IS NOT NULL GROUP BY user_id, session""",
     "weekly": """
-  SELECT o_orderpriority AS series_id, week AS obs_date, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS value
-  FROM (SELECT *, CAST(date_trunc('week', o_orderdate) AS DATE) AS week FROM orders)
-  WHERE week > (SELECT CAST(date_trunc('week', min(o_orderdate)) AS DATE) FROM orders) AND week < (SELECT CAST(date_trunc('week', max(o_orderdate)) AS DATE) FROM orders) GROUP BY 1, 2""",
+  SELECT series_id, CAST(w AS DATE) AS obs_date, coalesce((SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) FROM orders WHERE o_orderpriority = series_id AND date_trunc('week', o_orderdate) = w), 0) AS value
+  FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders), (SELECT unnest(generate_series(date_trunc('week', min(o_orderdate))::TIMESTAMP, date_trunc('week', max(o_orderdate))::TIMESTAMP, INTERVAL 7 DAY)) AS w FROM orders)""",
     "outcomes": """
-  SELECT user_id, CASE WHEN ('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 2 = 1 THEN 'treatment' ELSE 'control' END AS arm, bool_or(event_type = 'purchase' AND event_id % 40 = 0) AS converted
-  FROM events GROUP BY 1""",
+  SELECT unit, CASE WHEN ('0x' || substr(md5(unit), 1, 8))::BIGINT % 2 = 1 THEN 'treatment' ELSE 'control' END AS arm, bool_or(event_type = 'purchase') AS converted
+  FROM (SELECT *, user_id || '@' || strftime(ts, '%Y-%m-%d') AS unit FROM events) GROUP BY 1""",
 }
 
 DAILY = "SELECT session_date AS date, count(*) AS sessions, count(*) FILTER (engaged) AS engaged_sessions, count(DISTINCT user_pseudo_id) AS users, count(DISTINCT CASE WHEN is_first_session THEN user_pseudo_id END) AS new_users, CAST(sum(pageviews) AS BIGINT) AS pageviews, CAST(sum(purchases) AS BIGINT) AS purchases, coalesce(sum(revenue_usd), 0) AS revenue_usd, count(*) FILTER (purchases > 0) / count(*) AS purchase_cvr FROM sessions GROUP BY 1"
@@ -121,6 +122,35 @@ RETENTION = "WITH a AS (SELECT DISTINCT user_pseudo_id, CAST(date_trunc('week',
 CHANNELS = "SELECT session_channel AS channel, count(*) AS sessions, count(DISTINCT user_pseudo_id) AS users, CAST(sum(purchases) AS BIGINT) AS purchases, coalesce(sum(revenue_usd), 0) AS revenue_usd, count(*) FILTER (purchases > 0) / count(*) AS purchase_cvr, count(*) / (SELECT count(*) FROM sessions) AS session_share FROM sessions GROUP BY 1"
 ATTRIBUTION = "SELECT channel, CAST(coalesce(sum(p) FILTER (side = 1), 0) AS BIGINT) AS first_touch_purchases, CAST(coalesce(sum(p) FILTER (side = 2), 0) AS BIGINT) AS last_touch_purchases, coalesce(sum(r) FILTER (side = 1), 0) AS first_touch_revenue_usd, coalesce(sum(r) FILTER (side = 2), 0) AS last_touch_revenue_usd FROM (SELECT first_touch_channel AS channel, 1 AS side, purchases AS p, revenue_usd AS r FROM sessions WHERE purchases > 0 UNION ALL SELECT session_channel, 2, purchases, revenue_usd FROM sessions WHERE purchases > 0) GROUP BY 1"
 NAIVE_BACKTEST = "WITH n AS (SELECT *, CAST(row_number() OVER (PARTITION BY series_id ORDER BY obs_date) - 1 AS INTEGER) AS i, CAST(count(*) OVER (PARTITION BY series_id) AS INTEGER) AS n FROM weekly) SELECT a.series_id, CAST(o AS INTEGER) AS origin, CAST(a.i - o + 1 AS INTEGER) AS k, a.value AS actual, b.value AS point FROM n a JOIN (SELECT unnest(range(104, 10000, 4)) AS o) g ON a.i BETWEEN o AND o + 11 AND o <= a.n - 12 JOIN n b ON b.series_id = a.series_id AND b.i = a.i - 52"
+NAIVE_INTERVALS = "WITH i AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY obs_date) AS i, row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) AS r FROM weekly), d AS (SELECT a.series_id, quantile_cont(a.value - b.value, 0.025) AS lo, quantile_cont(a.value - b.value, 0.975) AS hi FROM i a JOIN i b ON a.series_id = b.series_id AND b.i = a.i - 52 GROUP BY 1) SELECT series_id, CAST(53 - r AS INTEGER) AS k, value AS point, value + lo AS lower, value + hi AS upper FROM i JOIN d USING (series_id) WHERE r BETWEEN 41 AND 52"
+_NAIVE_ERRORS = f"SELECT series_id, 'seasonal_naive' AS method, origin, k, actual, point FROM ({NAIVE_BACKTEST})"
+_LINES = "n AS (SELECT series_id, value AS v, CAST(row_number() OVER (PARTITION BY series_id ORDER BY obs_date) AS INTEGER) AS i, CAST(count(*) OVER (PARTITION BY series_id) AS INTEGER) AS n FROM weekly)"
+_AT_ORIGINS = "i = n OR (i BETWEEN 104 AND n - 12 AND (i - 104) % 4 = 0)"
+_values = lambda x: ", ".join(f"(CAST({v} AS DOUBLE))" for v in x)
+#: One row for each series, parameter choice and week, by recursion; then the choice with the least error at each origin.
+ETS = f"""WITH RECURSIVE {_LINES},
+g AS (SELECT alpha, beta, phi FROM (VALUES {_values(ETS_GRID[0])}) a(alpha), (VALUES {_values(ETS_GRID[1])}) b(beta), (VALUES {_values(ETS_GRID[2])}) c(phi)),
+run AS (
+  SELECT f.series_id, f.n, g.*, 0 AS i, f.v AS l, (t.v - f.v) / 103 AS b, 0e0 AS e FROM n f JOIN n t ON t.series_id = f.series_id AND t.i = 104, g WHERE f.i = 1
+  UNION ALL
+  SELECT r.series_id, r.n, alpha, beta, phi, r.i + 1, l + phi * b + alpha * (v - (l + phi * b)), phi * b + beta * (v - (l + phi * b)), e + (v - (l + phi * b)) * (v - (l + phi * b)) FROM run r JOIN n ON n.series_id = r.series_id AND n.i = r.i + 1
+), best AS (SELECT * FROM run WHERE {_AT_ORIGINS} QUALIFY row_number() OVER (PARTITION BY series_id, i ORDER BY e, alpha, beta, phi) = 1)
+SELECT series_id, i AS origin, CAST(k AS INTEGER) AS k, l + phi * (1 - pow(phi, k)) / (1 - phi) * b AS point,
+  sqrt(e / i * list_sum(list_transform(range(0, k), lambda j: CASE WHEN j = 0 THEN 1e0 ELSE pow(alpha + beta * phi * (1 - pow(phi, j)) / (1 - phi), 2) END))) AS sigma
+FROM best, (SELECT unnest(range(1, 13)) AS k)"""
+ARIMA = f"""WITH RECURSIVE {_LINES},
+g AS (SELECT phi, theta FROM (VALUES {_values(ARIMA_GRID[0])}) a(phi), (VALUES {_values(ARIMA_GRID[1])}) b(theta)),
+run AS (
+  SELECT f.series_id, f.n, g.*, 1 AS i, f.v AS y, 0e0 AS d, 0e0 AS a, 0e0 AS e, (t.v - f.v) / 103 AS m FROM n f JOIN n t ON t.series_id = f.series_id AND t.i = 104, g WHERE f.i = 1
+  UNION ALL
+  SELECT r.series_id, r.n, phi, theta, r.i + 1, v, v - y - m, v - y - m - phi * d - theta * a, e + pow(v - y - m - phi * d - theta * a, 2), m FROM run r JOIN n ON n.series_id = r.series_id AND n.i = r.i + 1
+), best AS (SELECT * FROM run WHERE {_AT_ORIGINS} QUALIFY row_number() OVER (PARTITION BY series_id, i ORDER BY e, phi, theta) = 1)
+SELECT series_id, i AS origin, CAST(k AS INTEGER) AS k, y + k * m + (phi * d + theta * a) * list_sum(list_transform(range(0, k), lambda j: pow(phi, j))) AS point,
+  sqrt(e / i * list_sum(list_transform(range(0, k), lambda j: CASE WHEN j = 0 THEN 1e0 ELSE pow(1 + (phi + theta) * list_sum(list_transform(range(0, j), lambda x: pow(phi, x))), 2) END))) AS sigma
+FROM best, (SELECT unnest(range(1, 13)) AS k)"""
+_TESTS = _NAIVE_ERRORS + "".join(f" UNION ALL SELECT t.series_id, '{name}', t.origin, t.k, t.actual, m.point FROM ({NAIVE_BACKTEST}) t JOIN ({sql}) m ON m.series_id = t.series_id AND m.origin = t.origin AND m.k = t.k" for name, sql in (("ets_damped", ETS), ("arima_drift", ARIMA)))
+_ERRORS = f"SELECT series_id, method, avg(abs(point - actual) / nullif(abs(actual), 0)) * 100 AS mape, avg(coalesce(2 * abs(point - actual) / nullif(abs(point) + abs(actual), 0), 0)) * 100 AS smape, count(*) AS n_errors, count(DISTINCT origin) AS n_origins FROM ({_TESTS}) GROUP BY 1, 2"
+EVALUATE = f"SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY smape, method <> 'seasonal_naive', method) = 1 AS published FROM ({_ERRORS})"
 CORRELATION = " UNION ALL ".join(f"SELECT '{x}' AS metric_x, '{y}' AS metric_y, CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END AS correlation FROM flags WHERE composite_score IS NOT NULL" for x in Z.values() for y in Z.values() if x != y)
 _CHECKS = {
     "latest period": "SELECT CAST(max(report_date) AS VARCHAR) FROM fact",
@@ -144,4 +174,4 @@ def statement(sql: str, doubles: list[str]) -> str:
     """A query over the shared tables, with its doubles rounded as the Spark side rounds them."""
     ctes = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items())
     rounded = ", ".join(f'CASE WHEN round("{c}", 6) = 0 THEN 0e0 ELSE round("{c}", 6) END AS "{c}"' for c in doubles)
-    return f"WITH {ctes}\nSELECT *{f' REPLACE ({rounded})' if doubles else ''} FROM ({sql})"
+    return f"WITH RECURSIVE {ctes}\nSELECT *{f' REPLACE ({rounded})' if doubles else ''} FROM ({sql})"

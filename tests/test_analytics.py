@@ -1,6 +1,9 @@
+import hashlib
+import math
+import random
 from datetime import date, timedelta
+from statistics import NormalDist
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,96 +69,242 @@ def test_attribution_conserves(sessions):
     assert {r.channel: (r.first_touch_purchases, r.last_touch_purchases) for r in a.collect()} == {"x": (1, 1), "y": (1, 0), "z": (0, 1)}
 
 
-def test_power(spark):
-    df = spark.createDataFrame([(0.10,)], "p double")
-    assert df.select(x.required_n_per_arm("p").alias("n")).first().n == pytest.approx(3841, rel=0.01)
-    with pytest.raises(Exception, match="between 0 and 1"):
-        spark.createDataFrame([(0.9,)], "p double").select(x.required_n_per_arm("p")).collect()
-
-
-def arms(spark, a, xa, b, xb):
-    return spark.createDataFrame([(a, xa, b, xb)], "n_control bigint, conversions_control bigint, n_treatment bigint, conversions_treatment bigint")
-
+NORMAL = NormalDist()
 
-@pytest.mark.parametrize(("xa", "xb", "low", "high"), [(500, 700, 0, 0.001), (500, 505, 0.5, 1)])
-def test_z_test(spark, xa, xb, low, high):
-    r = arms(spark, 10_000, xa, 10_000, xb).select(x.two_proportion_z().alias("z")).withColumn("p", x.two_sided_p("z")).first()
-    assert r.z > 0 and low <= r.p <= high
 
+def needed(p, mde, alpha, power):
+    q, mean = p * (1 + mde), p * (1 + mde / 2)
+    root = NORMAL.inv_cdf(1 - alpha / 2) * math.sqrt(2 * mean * (1 - mean)) + NORMAL.inv_cdf(power) * math.sqrt(p * (1 - p) + q * (1 - q))
+    return math.ceil((root / (p * mde)) ** 2)
 
-@pytest.mark.parametrize(("a", "b", "low", "high"), [(520_000, 480_000, 0, 1e-6), (5_010, 4_990, 0.5, 1)])
-def test_srm(spark, a, b, low, high):
-    assert low <= arms(spark, a, 0, b, 0).select(x.two_sided_p(F.sqrt(x.srm_chi2())).alias("p")).first().p <= high
 
+def test_required_n(spark):
+    rates = [0.001, 0.016357, 0.05, 0.1, 0.37, 0.6]
+    df = spark.createDataFrame([(p,) for p in rates], "p double").coalesce(1)
+    for mde, alpha, power in ((0.2, 0.05, 0.8), (0.5, 0.01, 0.9), (-0.3, 0.1, 0.5)):
+        found = {r.p: r.n for r in df.select("p", x.required_n_per_arm("p", mde, alpha, power).alias("n")).collect()}
+        assert found == {p: needed(p, mde, alpha, power) for p in rates}
+    published = {r.p: r.n for r in df.select("p", x.required_n_per_arm("p").alias("n")).collect()}
+    assert (published[0.1], published[0.016357]) == (3841, 25916)
 
-def test_injected_lift(spark):
-    users = spark.range(50_000).select(F.col("id").alias("user_id"), (F.col("id") < 1000).alias("converted"), F.lit("treatment").alias("arm"))
-    count = lambda df: df.filter("converted").count()
-    first = count(x.inject_lift(users, 0.2, 7))
-    assert 1100 <= first <= 1300 and count(x.inject_lift(users.repartition(3), 0.2, 7)) == first
-    assert count(x.inject_lift(users, 0.0, 7)) == 1000
-    with pytest.raises(Exception, match="more conversions"):
-        x.inject_lift(users.withColumn("converted", F.col("user_id") < 45_000), 0.5, 7).collect()
 
-
-def series(spark, values, name="s"):
-    return spark.createDataFrame([(name, date(2000, 1, 3) + timedelta(days=7 * k), float(v)) for k, v in enumerate(values)], "series_id string, obs_date date, value double")
+@pytest.mark.parametrize("p", [-0.2, 0.0, 0.84, 1.0])
+def test_required_n_needs_rates(spark, p):
+    with pytest.raises(Exception, match="between 0 and 1"):
+        spark.createDataFrame([(p,)], "p double").select(x.required_n_per_arm("p")).collect()
 
 
-def test_seasonal_naive(spark):
-    assert [r.point for r in fc.seasonal_naive(series(spark, range(120)), 3).orderBy("k").collect()] == [68, 69, 70]
-    with pytest.raises(ValueError):
-        fc.seasonal_naive(series(spark, range(30)))
+ARMS = "n_control bigint, conversions_control bigint, n_treatment bigint, conversions_treatment bigint"
 
 
-def test_errors(spark):
-    df = spark.createDataFrame([("s", "m", 100.0, 110.0), ("s", "m", 200.0, 180.0)], "series_id string, method string, actual double, point double")
-    assert fc.accuracy(df).first().mape == pytest.approx(10.0)
-    zero = spark.createDataFrame([("s", "m", 0.0, 0.0)], "series_id string, method string, actual double, point double")
-    assert fc.accuracy(zero).first().smape == 0
+def test_z_is_the_root_of_pearsons_chi_square(spark):
+    rng = random.Random(11)
+    rows = [(n, rng.randint(1, n - 1), m, rng.randint(1, m - 1)) for n, m in ((rng.randint(2, 900), rng.randint(2, 900)) for _ in range(60))]
+    rows += [(40, 10, 80, 20), (0, 0, 5, 1), (5, 0, 5, 0)]
+    out = spark.createDataFrame(rows, ARMS).withColumn("z", x.two_proportion_z()).withColumn("p", x.two_sided_p("z")).collect()
+    for r in out[:-2]:
+        table = [[r.conversions_control, r.n_control - r.conversions_control], [r.conversions_treatment, r.n_treatment - r.conversions_treatment]]
+        total = r.n_control + r.n_treatment
+        chi = sum((table[i][j] - (e := sum(table[i]) * (table[0][j] + table[1][j]) / total)) ** 2 / e for i in range(2) for j in range(2))
+        assert r.z**2 == pytest.approx(chi, abs=1e-9)
+        assert math.copysign(1, r.z) == math.copysign(1, r.conversions_treatment / r.n_treatment - r.conversions_control / r.n_control) or abs(r.z) < 1e-12
+        assert r.p == pytest.approx(2 * NORMAL.cdf(-abs(r.z)), abs=1e-12)
+    assert [(r.z, r.p) for r in out[-2:]] == [(None, None), (None, None)]
 
 
-def test_origins(spark):
-    s = series(spark, range(140))
-    rows = fc.rolling_origins(s)
-    assert sorted({r.origin for r in rows.select("origin").collect()}) == list(range(104, 129, 4))
-    assert [r.actual for r in rows.filter("origin = 104").orderBy("k").collect()] == list(range(104, 116))
-    assert fc.rolling_origins(series(spark, range(80))).count() == 0
+@pytest.mark.parametrize("share", [0.5, 0.7])
+def test_sample_ratio(spark, share):
+    rows = [(int(1000 * share) + k, 0, 1000 - int(1000 * share) - k, 0) for k in (-60, -7, 0, 7, 60)]
+    found = spark.createDataFrame(rows, ARMS).coalesce(1).withColumn("c", x.srm_chi2(share=share)).withColumn("p", x.two_sided_p(F.sqrt("c"))).collect()
+    for r, k in zip(found, (-60, -7, 0, 7, 60)):
+        assert r.c == pytest.approx(k * k / (1000 * share * (1 - share)))
+        assert r.p == pytest.approx(2 * NORMAL.cdf(-math.sqrt(r.c))) and (r.p < x.SRM_ALPHA) == (abs(k) == 60)
 
 
-@pytest.mark.parametrize(("smape", "winner"), [((2.0, 2.0), "seasonal_naive"), ((2.0, 1.5, 1.2), "c2"), ((2.0, 2.5), "seasonal_naive")])
-def test_selection(spark, smape, winner):
-    names = ["seasonal_naive", "c1", "c2"]
-    df = spark.createDataFrame([("s", n, v) for n, v in zip(names, smape)], "series_id string, method string, smape double")
+def drawn(user, seed):
+    return int(hashlib.md5(f"{user}:{seed}".encode()).hexdigest()[:8], 16) / 2**32
+
+
+def people(n, seed=0):
+    rng = random.Random(seed)
+    return [(f"p{k}", "treatment" if rng.random() < 0.6 else "control", rng.random() < 0.15, "ab"[k % 2]) for k in range(n)]
+
+
+USERS = "user_id string, arm string, converted boolean, test string"
+
+
+@pytest.mark.parametrize("by", [[], ["test"]])
+def test_injected_lift_is_the_hash_rule(spark, by):
+    rows = people(900)
+    df = spark.createDataFrame(rows, USERS)
+    for lift in (0.0, 0.35, 2.0):
+        found = {r.user_id: r.converted for r in x.inject_lift(df.repartition(5), lift, 3, by=by).collect()}
+        for group in ("a", "b"):
+            mine = [r for r in rows if r[1] == "treatment" and (not by or r[3] == group)]
+            c = sum(r[2] for r in mine)
+            share = c * lift / (len(mine) - c)
+            assert all(found[u] == (done or (arm == "treatment" and drawn(u, 3) < share)) for u, arm, done, g in rows if not by or g == group)
+
+
+@pytest.mark.parametrize(("rate", "lift"), [(0.2, -0.1), (0.6, 0.9), (1.0, 0.1), (1.0, 0.0)])
+def test_lifts_out_of_reach(spark, rate, lift):
+    rows = [(str(k), "treatment", k < 50 * rate, "a") for k in range(50)]
+    with pytest.raises(Exception, match="out of reach"):
+        x.inject_lift(spark.createDataFrame(rows, USERS), lift, 1).collect()
+
+
+def test_readout_by_hand(spark):
+    rows = people(700, 5)
+    found = {r.test: r for r in x.experiment_readout(spark.createDataFrame(rows, USERS), ["test"], injected=0.5, seed=9).collect()}
+    for group in ("a", "b"):
+        arm = {a: [r for r in rows if r[3] == group and r[1] == a] for a in ("control", "treatment")}
+        n, c = ({a: f(v) for a, v in arm.items()} for f in (len, lambda v: sum(r[2] for r in v)))
+        rate = sum(c.values()) / sum(n.values())
+        share = c["treatment"] * 0.5 / (n["treatment"] - c["treatment"])
+        lifted = sum(r[2] or drawn(r[0], 9) < share for r in arm["treatment"])
+
+        def z(treated):
+            q = (c["control"] + treated) / sum(n.values())
+            return (treated / n["treatment"] - c["control"] / n["control"]) / math.sqrt(q * (1 - q) * (1 / n["control"] + 1 / n["treatment"]))
+
+        r = found[group]
+        assert (r.n_control, r.conversions_control, r.n_treatment, r.conversions_treatment, r.lifted_conversions) == (n["control"], c["control"], n["treatment"], c["treatment"], lifted)
+        assert (r.rate_pooled, r.z, r.lifted_z) == pytest.approx((rate, z(c["treatment"]), z(lifted)))
+        assert (r.p_value, r.lifted_p) == pytest.approx((2 * NORMAL.cdf(-abs(r.z)), 2 * NORMAL.cdf(-abs(r.lifted_z))))
+        assert r.required_n == needed(rate, 0.2, 0.05, 0.8) and r.powered == (min(n.values()) >= r.required_n) and r.significant == (r.p_value < 0.05)
+    whole = x.experiment_readout(spark.createDataFrame(rows, USERS)).collect()
+    assert len(whole) == 1 and whole[0].n_control == sum(r[1] == "control" for r in rows) and "lifted_z" not in whole[0]
+
+
+def series(spark, values, name="s", start=date(2011, 4, 4)):
+    return spark.createDataFrame([(name, start + timedelta(days=7 * k), None if v is None else float(v)) for k, v in enumerate(values)], "series_id string, obs_date date, value double")
+
+
+def noise(n, seed, trend=0.0, season=0.0):
+    rng = random.Random(seed)
+    return [50 + trend * k + season * math.sin(k * math.tau / 52) + rng.gauss(0, 1) for k in range(n)]
+
+
+@pytest.mark.parametrize(("n", "horizon", "season"), [(6, 3, 6), (17, 5, 5), (17, 9, 4)])
+def test_seasonal_naive_looks_one_season_back(spark, n, horizon, season):
+    y = noise(n, n)
+    found = {r.k: r.point for r in fc.seasonal_naive(series(spark, y), horizon, season).collect()}
+    assert found == {k: y[n - season + k - 1] for k in range(1, min(horizon, season) + 1)}
+    with pytest.raises(ValueError, match="shorter than a season"):
+        fc.seasonal_naive(series(spark, y[: season - 1]), horizon, season)
+
+
+def test_errors_by_hand(spark):
+    rng = random.Random(2)
+    pairs = [(rng.choice([0.0, rng.uniform(-9, 9)]), rng.choice([0.0, rng.uniform(-9, 9)])) for _ in range(40)]
+    df = spark.createDataFrame([("s", "m", k // 8, a, p) for k, (a, p) in enumerate(pairs)], "series_id string, method string, origin int, actual double, point double")
+    r = fc.accuracy(df).first()
+    relative = [abs(p - a) / abs(a) for a, p in pairs if a]
+    assert r.mape == pytest.approx(100 * sum(relative) / len(relative))
+    assert r.smape == pytest.approx(100 * sum(2 * abs(p - a) / (abs(p) + abs(a)) if a or p else 0.0 for a, p in pairs) / 40)
+    assert (r.n_errors, r.n_origins) == (40, 5)
+
+
+@pytest.mark.parametrize(("n", "horizon", "step", "min_train"), [(8, 3, 1, 5), (23, 3, 2, 5), (24, 4, 7, 9)])
+def test_origins_by_hand(spark, n, horizon, step, min_train):
+    y, windows = noise(n, 1), {"horizon": horizon, "step": step, "min_train": min_train}
+    both = series(spark, y).unionByName(series(spark, y[1:] + [7.0, 7.0], "t"))
+    found = {(r.series_id, r.origin, r.k): r.actual for r in fc.rolling_origins(both, **windows).collect()}
+    assert found == {(name, o, k): v[o + k - 1] for name, v in (("s", y), ("t", y[1:] + [7.0, 7.0])) for o in range(min_train, len(v) - horizon + 1, step) for k in range(1, horizon + 1)}
+    with pytest.raises(ValueError, match="no origin"):
+        fc.rolling_origins(both.filter("value <> 7").unionByName(series(spark, y[: min_train + horizon - 1], "u")), **windows)
+
+
+@pytest.mark.parametrize(
+    ("errors", "winner"),
+    [
+        ({"seasonal_naive": 3.0, "a": 3.0, "b": 3.5}, "seasonal_naive"),
+        ({"seasonal_naive": 3.0, "b": 2.9, "a": 2.9}, "a"),
+        ({"seasonal_naive": 3.0, "a": None, "b": 4.0}, "seasonal_naive"),
+        ({"seasonal_naive": 3.0, "a": math.nan}, "seasonal_naive"),
+        ({"seasonal_naive": None, "a": None}, "seasonal_naive"),
+    ],
+)
+def test_only_a_strictly_better_method_wins(spark, errors, winner):
+    df = spark.createDataFrame([("s", m, v) for m, v in errors.items()], "series_id string, method string, smape double")
     assert [r.method for r in fc.select_method(df).filter("published").collect()] == [winner]
 
 
-def test_gap_is_an_error(spark):
-    s = series(spark, range(110))
-    assert fc.weekly_grid_check(s) is s
-    with pytest.raises(fc.GridError):
-        fc.weekly_grid_check(s.filter(F.col("value") != 50))
-
-
-def test_candidates_beat_the_baseline_on_a_trend(spark):
-    rng = np.random.default_rng(7)
-    y = 100 + 0.5 * np.arange(172) + rng.normal(0, 0.5, 172)
-    s = series(spark, y)
-    scores = {r.method: r for r in fc.evaluate(s).collect()}
-    assert scores["ets_damped"].smape < scores["seasonal_naive"].smape and scores["arima_drift"].smape < scores["seasonal_naive"].smape
-    assert not scores["seasonal_naive"].published
-    path = fc.publish(s, fc.evaluate(s)).orderBy("obs_date").collect()
-    assert len(path) == 12 and all(r.lower < r.point < r.upper for r in path) and abs(path[-1].point - (100 + 0.5 * 183)) < 5
+def test_guards(spark):
+    y = noise(130, 4)
+    good = series(spark, y)
+    assert fc.guarded(good, ["s"]).count() == 130
+    gap, twice = good.filter("obs_date <> DATE'2012-05-07'"), good.unionByName(good.limit(1))
+    for bad, error in ((gap, fc.GridError), (twice, fc.GridError), (series(spark, [*y, None]), fc.GridError), (series(spark, [*y, math.nan]), fc.GridError), (good.unionByName(series(spark, y, "new")), ValueError), (good.withColumn("series_id", F.lit("new")), ValueError)):
+        for call in (lambda df: fc.evaluate(df, {}, ["s"]), lambda df: fc.publish(df, None, {}, ["s"])):
+            with pytest.raises(error):
+                call(bad)
 
 
-def test_ets_is_the_recursion(spark):
-    y = [3.0, 5.0, 4.0, 6.0, 8.0, 7.0]
-    got = fc.ets_damped(series(spark, y), horizon=2, step=1, min_train=4, grid=[(0.5, 0.1, 0.9)]).filter("origin = 6").orderBy("k").collect()
-    level, trend = y[0], (y[3] - y[0]) / 3
+def smoothed(y, min_train, alpha, beta, phi):
+    """Level, trend and squared error after each number of values."""
+    level, trend, e = y[0], (y[min_train - 1] - y[0]) / (min_train - 1), 0.0
+    out = [(level, trend, e)]
     for v in y:
-        guess = level + 0.9 * trend
-        level, trend = guess + 0.5 * (v - guess), 0.9 * trend + 0.1 * (v - guess)
-    assert [r.point for r in got] == pytest.approx([level + 0.9 * trend, level + (0.9 + 0.81) * trend])
+        guess = level + phi * trend
+        level, trend, e = guess + alpha * (v - guess), phi * trend + beta * (v - guess), e + (v - guess) ** 2
+        out.append((level, trend, e))
+    return out
+
+
+def differenced(y, min_train, phi, theta):
+    """Last difference, last shock and squared error after each number of values from 1 on."""
+    m, d, a, e = (y[min_train - 1] - y[0]) / (min_train - 1), 0.0, 0.0, 0.0
+    out = [None, (d, a, e)]
+    for before, v in zip(y, y[1:]):
+        now = v - before - m
+        d, a = now, now - phi * d - theta * a
+        e += a * a
+        out.append((d, a, e))
+    return out
+
+
+WINDOWS = {"horizon": 3, "step": 2, "min_train": 6}
+
+
+def test_ets_by_brute_force(spark):
+    y, grid = noise(15, 8, 0.7), [(a, b, p) for a in (0.2, 0.6) for b in (0.05, 0.3) for p in (0.8, 0.95)]
+    found = {(r.origin, r.k): (r.point, r.sigma) for r in fc.ets_damped(series(spark, y), grid=grid, **WINDOWS).collect()}
+    expected = {}
+    for o in (6, 8, 10, 12, 15):
+        (alpha, beta, phi), (level, trend, e) = min(((g, smoothed(y, 6, *g)[o]) for g in grid), key=lambda x: x[1][2])
+        for k in (1, 2, 3):
+            weights = 1 + sum((alpha + beta * sum(phi**i for i in range(1, j + 1))) ** 2 for j in range(1, k))
+            expected[o, k] = pytest.approx((level + trend * sum(phi**i for i in range(1, k + 1)), math.sqrt(e / o * weights)))
+    assert found == expected
+
+
+def test_arima_by_brute_force(spark):
+    y, grid = noise(15, 9, -0.4), [(p, t) for p in (-0.5, 0.0, 0.4) for t in (-0.3, 0.0, 0.5)]
+    found = {(r.origin, r.k): (r.point, r.sigma) for r in fc.arima_drift(series(spark, y), grid=grid, **WINDOWS).collect()}
+    expected, m = {}, (y[5] - y[0]) / 5
+    for o in (6, 8, 10, 12, 15):
+        (phi, theta), (d, a, e) = min(((g, differenced(y, 6, *g)[o]) for g in grid), key=lambda x: x[1][2])
+        point, variance, step = y[o - 1], 0.0, phi * d + theta * a
+        for k in (1, 2, 3):
+            point, step = point + m + step, phi * step
+            psi = 1 + sum((phi + theta) * phi**i for i in range(k - 1))
+            variance += psi**2
+            expected[o, k] = pytest.approx((point, math.sqrt(e / o * variance)))
+    assert found == expected
+
+
+def test_publishing(spark):
+    ramp, wave = noise(140, 5, trend=3.0), [100 + 30 * math.sin(k * math.tau / 52) + k % 3 for k in range(156)]
+    both = series(spark, ramp, "ramp").unionByName(series(spark, wave, "wave"))
+    scores = fc.evaluate(both)
+    told = {(r.series_id, r.method): r for r in scores.collect()}
+    assert {m for (s, m), r in told.items() if r.published and s == "ramp"} <= {"ets_damped", "arima_drift"}
+    assert {s: r.n_origins for (s, m), r in told.items()} == {"ramp": 7, "wave": 11}
+    paths = fc.publish(both, scores, expected=["ramp", "wave"]).orderBy("series_id", "obs_date").collect()
+    assert len(paths) == 24 and all(r.lower < r.upper for r in paths)
+    assert [r.obs_date for r in paths[:12]] == [date(2011, 4, 4) + timedelta(days=7 * k) for k in range(140, 152)]
+    assert paths[11].point == pytest.approx(50 + 3 * 151, abs=8)
 
 
 def test_checks(spark):
