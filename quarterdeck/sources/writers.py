@@ -1,5 +1,6 @@
 """Sinks: keyed upsert, truncating loads, exhibits, frozen copies and flat extracts."""
 
+import re
 import tempfile
 import uuid
 from datetime import date
@@ -46,8 +47,14 @@ def _swap(spark: SparkSession, staged: str, path: str) -> None:
     held = fs.exists(old)
     if held and not fs.rename(old, aside):
         raise OSError(f"cannot move {path}")
-    if not fs.rename(new, old):
-        raise OSError(f"cannot move {staged}")
+    try:
+        moved = fs.rename(new, old)
+    except Exception:
+        moved = False
+    if not moved:
+        if held:
+            fs.rename(aside, old)
+        raise OSError(f"cannot move {staged}; {path} is as it was")
     if held:
         fs.delete(aside, True)
 
@@ -74,7 +81,10 @@ def keyed_upsert(batch: DataFrame, path: str, keys: list[str], partition_by: lis
         touched = target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi").select(target.columns)
         merged(touched, batch, keys).write.parquet(staged)
         fresh = spark.read.parquet(staged)
-        fresh.sortWithinPartitions(*sort_by).write.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+        try:
+            fresh.sortWithinPartitions(*sort_by).write.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+        finally:
+            delete(spark, staged)
         return n
     out = merged(target, batch, keys).sortWithinPartitions(*sort_by)
     (out.write.partitionBy(*partition_by) if partition_by else out.write).parquet(staged)
@@ -91,16 +101,30 @@ def truncate_load(df: DataFrame, path: str, stamp: str | None = "generated_at")
     (df.withColumn(stamp, F.current_timestamp()) if stamp else df).write.mode("overwrite").parquet(path)
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the folder that executors share: a mart that several queries read is computed once."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which all executors must share.
+
+    Where that is unset a local session gets a temporary one; on a cluster it is an error.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the folder that executors share: a mart that several queries read is computed once."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_exhibit(df: DataFrame, path: str) -> None:
