@@ -2,13 +2,17 @@
 
 A text is lower-cased and everything but letters becomes a space. Its 1- to
 3-grams are hashed into buckets; log-probabilities of buckets by language are a
-matrix whose size is fixed by the number of buckets and of languages (at most
-``MAX_LANGUAGES``), so it can be broadcast. Counts are summed in Spark over all
-training rows.
+matrix, of which each block of at most ``BLOCK_LANGUAGES`` languages has a fixed
+size and is broadcast; beyond one block, each has a pass over the rows of its
+own, and the best language and the sum of probabilities are carried along.
+Counts are summed in Spark over all training rows.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows with a null
 language don't train. With nothing to learn from, every text is ``und``. Equal
-scores go to the language that sorts first. Repeated rows score alike.
+scores go to the language that sorts first. Repeated rows score alike; an empty
+table gives an empty result; very long texts are taken whole, one at a time. A
+column that has the result's name (``into``) is replaced; other columns stay,
+whatever their names.
 """
 
 from collections.abc import Iterator
@@ -18,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterdeck.llm import names, scratch
+
 BITS = 15
 ORDERS = 3
-MAX_LANGUAGES = 512
+BLOCK_LANGUAGES = 256
 SLICE_CHARS = 1 << 20
 UNKNOWN = "und"
 
@@ -70,37 +76,38 @@ def buckets(texts: list[str], bits: int = BITS) -> tuple[list[np.ndarray], np.nd
 
 
 class Model:
-    """Log-probabilities (language, bucket) and priors."""
+    """Log-probabilities (language, bucket) of some languages, and priors."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray, documents: np.ndarray, alpha: float = 0.5):
-        self.languages = languages
+    def __init__(self, languages: list[str], counts: np.ndarray, prior: np.ndarray, alpha: float = 0.5):
+        self.languages, self.prior = languages, prior
         smooth = counts + alpha
         self.log_p = np.zeros((len(languages), counts.shape[1] + 1), np.float32)
         self.log_p[:, :-1] = np.log(smooth / smooth.sum(1, keepdims=True))
-        self.prior = np.log(documents / max(documents.sum(), 1))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = [], []
+    def predict(self, texts: list[str | None]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Of each text the best language (none without a letter), its log-probability, and the log of the sum over the languages."""
+        langs, best, total_of = [], [], []
         for _, part in _parts(texts):
             grams, bounds, some = buckets(part, (self.log_p.shape[1] - 1).bit_length() - 1)
             firsts = bounds[:-1][some]
             total = np.tile(self.prior[:, None], (1, len(firsts)))
-            if len(firsts) and self.languages:
+            if len(firsts):
                 for language, log_p in enumerate(self.log_p):
                     for gram in grams:
                         total[language] += np.add.reduceat(log_p[gram], firsts, dtype=np.float64)
-                share = np.exp(total - total.max(0))
-                share /= share.sum(0)
-            best, where = total.argmax(0) if len(self.languages) else None, np.cumsum(some) - 1
-            for known, k in zip(some.tolist(), where.tolist()):
-                known = known and len(self.languages) > 0
-                names.append(self.languages[best[k]] if known else UNKNOWN)
-                scores.append(float(share[best[k], k]) if known else 0.0)
-        return names, scores
-
-
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS) -> Model:
-    """Counts over all rows of ``docs`` that have a language and a text."""
+            top, which = total.max(0), total.argmax(0)
+            summed = top + np.log(np.exp(total - top).sum(0))
+            where = iter(range(len(firsts)))
+            for known in some.tolist():
+                k = next(where) if known else -1
+                langs.append(self.languages[which[k]] if known else None)
+                best.append(top[k] if known else -np.inf)
+                total_of.append(summed[k] if known else -np.inf)
+        return langs, np.array(best), np.array(total_of)
+
+
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS, block_languages: int = BLOCK_LANGUAGES) -> Iterator[Model]:
+    """Models of blocks of languages, from counts over all rows of ``docs`` that have a language and a text."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,32 +129,57 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: i
             # Bucket -1 counts the documents.
             yield pa.RecordBatch.from_arrays([pa.array([name] * (len(at) + 1)), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(c[at], seen[name]).astype(np.int64))], ["lang", "bucket", "n"])
 
-    sums = rows.mapInArrow(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # Rows with bucket -1 tell the languages before anything large is collected.
-    languages = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if languages > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: the matrix would have no bound")
-    table = sums.toPandas()
-    names = sorted(table["lang"].unique())
-    at = {x: i for i, x in enumerate(names)}
-    counts, documents = np.zeros((len(names), 1 << bits)), np.zeros(len(names))
-    row, bucket, n = table["lang"].map(at).to_numpy(np.int64), table["bucket"].to_numpy(np.int64), table["n"].to_numpy(np.float64)
-    counts[row[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
-    documents[row[bucket < 0]] = n[bucket < 0]
-    return Model(names, counts, documents)
-
-
-def identify(docs: DataFrame, training: DataFrame, lang_col: str = "lang", text_col: str = "text", into: str = "language", bits: int = BITS) -> DataFrame:
-    """``docs`` with a struct column ``into``: lang and score."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(training, lang_col, text_col, bits))
+    sums = scratch.written(rows.mapInArrow(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+
+    def vector(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        counts = np.zeros(1 << bits, np.int64)
+        counts[np.asarray(table["bucket"])] = np.asarray(table["n"])
+        return pa.table({"lang": [key[0].as_py()], "counts": pa.array([counts.tobytes()], pa.binary())})
+
+    vectors = sums.filter("bucket >= 0").groupBy("lang").applyInArrow(vector, "lang string, counts binary")
+    # One row for each language; a language whose texts have no letters has no n-grams.
+    seen = {r.lang: r.n for r in sums.filter("bucket < 0").orderBy("lang").toLocalIterator()}
+    known = sorted(seen)
+    for at in range(0, len(known), block_languages):
+        block = known[at : at + block_languages]
+        found = {r.lang: np.frombuffer(r.counts, np.int64) for r in vectors.filter(F.col("lang").between(block[0], block[-1])).toLocalIterator()}
+        counts = np.stack([found.get(x, np.zeros(1 << bits, np.int64)) for x in block])
+        yield Model(block, counts, np.log(np.array([seen[x] for x in block]) / sum(seen.values())))
 
-    @F.arrow_udf("struct<lang:string,score:double>")
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            names, scores = model.value.predict(texts.to_pylist())
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
-    return docs.withColumn(into, of.asNondeterministic()(F.col(text_col)))
+def identify(docs: DataFrame, training: DataFrame, lang_col: str = "lang", text_col: str = "text", into: str = "language", bits: int = BITS, block_languages: int = BLOCK_LANGUAGES) -> DataFrame:
+    """``docs`` with a struct column ``into``: lang and score."""
+
+    def predicted(model):
+        @F.arrow_udf("struct<lang:string,best:double,total:double>")
+        def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in batches:
+                langs, best, total = model.value.predict(texts.to_pylist())
+                yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(best), pa.array(total)], ["lang", "best", "total"])
+
+        return of.asNondeterministic()(F.col(text_col))
+
+    found, new = names.fresh("found", docs), names.fresh("new", docs)
+    out, held = docs.withColumn(found, F.lit(None).cast("struct<lang:string,best:double,total:double>")), None
+    for k, model in enumerate(fit(training, lang_col, text_col, bits, block_languages)):
+        if k:  # one block at a time in the workers' memory
+            out = scratch.written(out)
+            held.destroy()
+        held = docs.sparkSession.sparkContext.broadcast(model)
+        out = out.withColumn(new, predicted(held))
+        if k:
+            a, b = F.col(found), F.col(new)
+            high = F.greatest(a["total"], b["total"])
+            total = F.when(high == float("-inf"), high).otherwise(high + F.log(F.exp(a["total"] - high) + F.exp(b["total"] - high)))
+            # Blocks go in the order of names, so the first stays on a tie.
+            better = b["best"] > a["best"]
+            both = F.struct(F.when(better, b["lang"]).otherwise(a["lang"]).alias("lang"), F.greatest(a["best"], b["best"]).alias("best"), total.alias("total"))
+            out = out.withColumn(found, both).drop(new)
+        else:
+            out = out.drop(found).withColumnRenamed(new, found)
+    lang = F.col(found)["lang"]
+    result = F.struct(F.coalesce(lang, F.lit(UNKNOWN)).alias("lang"), F.when(lang.isNull(), 0.0).otherwise(F.exp(F.col(found)["best"] - F.col(found)["total"])).alias("score"))
+    return out.withColumn(into, result).drop(found)
 
 
 def language(column: str = "language") -> Column:

@@ -10,7 +10,9 @@ broadcast (its size is fixed by the parameters) and applied to every text.
 Null and empty texts have no words and zero statistics, and get a score from
 those; null metadata has a bin of its own; without labelled rows of both kinds
 nothing is learned: ``fitted`` is false and every score is 0.5. Repeated rows
-score alike.
+score alike; an empty table gives an empty result; very long texts are taken
+whole, one at a time. A column that has the result's name (``into``) is replaced;
+other columns stay, whatever their names.
 """
 
 from collections.abc import Iterator
@@ -21,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import sampling, text
+from quarterdeck.llm import names, sampling, text
 
 BITS = 15
 RANK = 8
@@ -162,8 +164,9 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, label_col: str = "qual
                 lists = [pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(x)) for x in (ids.astype(np.int32), values)]
                 yield pa.RecordBatch.from_arrays([part.column(1).cast(pa.int32()), *lists], ["label", "ids", "values"])
 
-    sample = sampling.labelled(docs, labels, label_col, fold, bound, id_col)
-    table = sample.select(text_col, "_label", *metadata).mapInArrow(extracted, "label int, ids array<int>, values array<float>").toArrow()
+    label = names.fresh("label", docs)
+    sample = sampling.labelled(docs, labels, label_col, fold, bound, id_col, label)
+    table = sample.select(text_col, label, *metadata).mapInArrow(extracted, "label int, ids array<int>, values array<float>").toArrow()
     model = FactorisationMachine((1 << bits) + BINS * (N_STATS + len(metadata)))
     y = np.asarray(table["label"].combine_chunks(), np.float64) if len(table) else np.zeros(0)
     if len(y) and 0 < y.sum() < len(y):

@@ -4,17 +4,25 @@ Texts are folded first: lower case, look-alike letters to Latin ones, digits
 inside words to the letters that they stand for, invisible characters dropped.
 Entries are whole words or beginnings of words; each hit adds the entry's
 weight unless it lies in an exception phrase. The sum, divided by the log of
-the length in words, goes through a fitted logistic curve.
+the length in words (a full division would hide a few hits in a long text), goes
+through a fitted logistic curve.
 
 The lexicon and curve are learned from a bounded sample of labelled rows: word
 beginnings and words that many toxic and hardly any clean texts hold, weighted
-by their log-odds. Null and empty texts have no hits and score as clean; with
-no labels to learn from every score is 0. Repeated rows score alike.
+by their log-odds. Exception phrases are pairs of neighbouring words with a hit in
+them that several clean texts and no toxic ones hold. Null and empty texts have no
+hits and score as clean; with no labels to learn from every score is 0. Repeated
+rows score alike; an empty table gives an empty result; very long texts are
+matched whole, in linear time. A column that has the result's name (``into``) is
+replaced; other columns stay, whatever their names.
 """
 
 import re
+import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -22,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import sampling, scratch
+from quarterdeck.llm import names, sampling, scratch
 
 BOUND = 8_000
 THRESHOLD = 0.7
@@ -32,12 +40,12 @@ LEAST_SURPRISE = 5.0
 SHORTEST, LONGEST = 3, 10
 EXCEPTIONS = ("trash can", "trash bin", "clown fish")
 
-#: Letters that look like a Latin one (Cyrillic, then Greek).
-LOOK_ALIKES = str.maketrans("авеёкмнорстухіїјѕԁԛԝαβεικνορτυχω", "abeekmhopctyxiijsdqwabeiknoptuxw")
+#: Letters that look like a Latin one: Cyrillic, Greek, Armenian, Latin ones of their own.
+LOOK_ALIKES = str.maketrans("авеёкмнорстухіїјѕһԁԛԝӏαβεικνορτυχωγηօսհոցıɑɡʟøđł", "abeekmhopctyxiijshdqwlabeiknoptuxwynouhngiaglodl")
 #: Digits and signs that stand for letters.
 DIGITS = str.maketrans("0134578@$", "oieastbas")
-_OTHER = re.compile("[Ͱ-ϿЀ-ԯ！-～​-‏⁠﻿­]")
-_INVISIBLE = re.compile("[​-‏⁠﻿­]")
+#: Accents and invisible characters.
+_DROPPED = re.compile("[\u0300-\u036f\u200b-\u200f\u2060\ufeff\u00ad]")
 _MIXED = re.compile(r"(?:[^\W\d_][\w@$]*[\d@$]|[\d@$]+[^\W\d_])[\w@$]*")
 _SIGN = re.compile("[0-9@$]")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -45,9 +53,10 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def fold(text: str) -> str:
     text = text.lower()
-    if not text.isascii() and _OTHER.search(text):
-        text = _INVISIBLE.sub("", text).translate(LOOK_ALIKES)
-        text = "".join(chr(ord(c) - 0xFEE0) if "！" <= c <= "～" else c for c in text).lower()
+    if not text.isascii():
+        # Compatibility forms (wide, bold, circled) become plain letters, and accents go.
+        text = _DROPPED.sub("", unicodedata.normalize("NFKD", text)).lower()
+        text = text.translate(LOOK_ALIKES)
     if _SIGN.search(text):
         text = _MIXED.sub(lambda m: m[0].translate(DIGITS), text)
     return text
@@ -91,7 +100,12 @@ class Lexicon:
         hits, spared = [], []
         for end, (size, weight, entry) in automaton.iter(" " + "$ ".join(found) + "$"):
             (spared if weight is None else hits).append((end - size, end, weight, entry))
-        return [(e, w) for a, b, w, e in hits if not any(x <= a and b <= y for x, y, _, _ in spared)]
+        if spared:
+            # How far the phrases reach that have begun by each place.
+            spared.sort()
+            begins, reach = [x for x, *_ in spared], list(accumulate((y for _, y, *_ in spared), max))
+            hits = [h for h in hits if not (k := bisect_right(begins, h[0])) or reach[k - 1] < h[1]]
+        return [(e, w) for _, _, w, e in hits]
 
     def density(self, automaton: ahocorasick.Automaton, text: str | None) -> float:
         found = words(text)
@@ -125,9 +139,30 @@ def _chosen(bad: dict[str, tuple[int, int]], good: dict[str, tuple[int, int]], t
     return kept
 
 
+def _spared(sample: DataFrame, lexicon) -> tuple[str, ...]:
+    """Pairs of neighbours with a hit in them that at least ``LEAST_TEXTS`` clean texts and no toxic ones hold."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, told = lexicon.value.automaton(), {}
+        for batch in batches:
+            label, pair = [], []
+            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+                found = words(text)
+                for w in set(found) - told.keys():
+                    told[w] = bool(lexicon.value.hits(automaton, [w]))
+                mine = {f"{a} {b}" for a, b in zip(found, found[1:]) if told[a] or told[b]}
+                label += [toxic] * len(mine)
+                pair += mine
+            yield pa.RecordBatch.from_arrays([pa.array(pair, pa.string()), pa.array(label, pa.int32())], ["pair", "label"])
+
+    counts = sample.select("text", "label").mapInArrow(pairs, "pair string, label int").groupBy("pair").agg(F.count_if(F.col("label") == 0).alias("clean"), F.count_if(F.col("label") == 1).alias("toxic"))
+    return tuple(sorted(r.pair for r in counts.filter(f"toxic = 0 AND clean >= {LEAST_TEXTS}").toLocalIterator()))
+
+
 def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND, exceptions=EXCEPTIONS) -> Lexicon:
     """A lexicon from at most ``bound`` labelled rows of the fold."""
-    sample = scratch.written(sampling.labelled(docs, labels, label_col, fold_, bound, id_col).select(F.col(text_col).alias("text"), F.col("_label").cast("int").alias("label")))
+    label = names.fresh("label", docs)
+    sample = scratch.written(sampling.labelled(docs, labels, label_col, fold_, bound, id_col, label).select(F.col(text_col).alias("text"), F.col(label).cast("int").alias("label")))
     spark = docs.sparkSession
 
     def counted(entries):
@@ -157,6 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "tox
     bad = {r.entry: (r.n, r.times) for r in counts(1).filter(F.col("n") >= LEAST_TEXTS).toLocalIterator()}
     good = {r.entry: (r.n, r.times) for r in counts(0, spark.sparkContext.broadcast(set(bad))).toLocalIterator()}
     lexicon = Lexicon(_chosen(bad, good, toxic, clean), exceptions)
+    lexicon.exceptions += _spared(sample, spark.sparkContext.broadcast(lexicon))
     shared = spark.sparkContext.broadcast(lexicon)
 
     def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,9 @@
 """Learned operators: held-out accuracy and defined cases."""
 
+import random
+import time
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -87,17 +91,101 @@ def test_language_defined_cases(spark, odd):
 def test_naive_bayes_by_hand():
     texts = ["aab", "ba"]
     grams, bounds, some = langid.buckets(texts, 15)
-    model = langid.Model(["x", "y"], np.random.default_rng(0).integers(1, 50, (2, 1 << 15)).astype(float), np.array([3.0, 1.0]))
-    names, scores = model.predict(texts)
+    model = langid.Model(["x", "y"], np.random.default_rng(0).integers(1, 50, (2, 1 << 15)).astype(float), np.log([0.75, 0.25]))
+    names, best, total = model.predict(texts)
+    scores = np.exp(best - total)
     for k in range(2):
         log = [np.log(p) + sum(float(model.log_p[l, g[i]]) for g in grams for i in range(bounds[k], bounds[k + 1])) for l, p in enumerate((0.75, 0.25))]
         assert names[k] == "xy"[int(np.argmax(log))]
         assert scores[k] == pytest.approx(1 / (1 + np.exp(min(log) - max(log))), rel=1e-4)
 
 
+def plain_buckets(text, bits=15):
+    """Buckets of the n-grams of a text, one by one."""
+    symbols = [ord(c) if c.isalpha() else 32 for c in text.lower()]
+    letter = [c.isalpha() for c in text.lower()]
+    out = []
+    for n in (1, 2, 3):
+        for i in range(len(symbols) - n + 1):
+            if (letter[i], letter[i] or letter[min(i + 1, len(letter) - 1)], letter[min(i + 1, len(letter) - 1)])[n - 1]:
+                h = 0
+                for s in symbols[i : i + n]:
+                    h = (h * 0x100000001B3 + s) % 2**64
+                out.append((h + n - 1) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - bits)
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 2, 256])
+def test_naive_bayes_counts_by_hand(spark, block):
+    train = [("de", "der Löwe und, die 7 Bäume"), ("de", "und so"), ("en", "the lion and the trees!"), ("fr", "à l'été"), ("xx", "123"), ("en", ""), (None, "lost"), ("fr", None)]
+    docs = ["Die Bäume", "the tree", "été", "z", "", None, "7", "und the l'été " * 500]
+    seen, counts = Counter(), {}
+    for lang, text in train:
+        if lang is not None and text is not None:
+            seen[lang] += 1
+            counts.setdefault(lang, Counter()).update(plain_buckets(text))
+    frame = spark.createDataFrame(train, "lang string, text string")
+    for model in langid.fit(frame, block_languages=block):
+        for row, lang in zip(model.log_p, model.languages):
+            expected = np.full(1 << 15, 0.5)
+            for b, n in counts[lang].items():
+                expected[b] += n
+            assert np.allclose(row[:-1], np.log(expected / expected.sum()), atol=1e-5)
+    out = {r.text: r.language for r in langid.identify(spark.createDataFrame([(t,) for t in docs], "text string"), frame, block_languages=block).collect()}
+    for t in docs:
+        grams = plain_buckets(t or "")
+        if not grams:
+            assert tuple(out[t]) == ("und", 0.0)
+            continue
+        log = {x: np.log(seen[x] / sum(seen.values())) + sum(np.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * (1 << 15))) for g in grams) for x in seen}
+        best = max(sorted(log), key=log.get)
+        assert out[t].lang == best
+        assert out[t].score == pytest.approx(1 / sum(np.exp(v - log[best]) for v in log.values()), rel=1e-3)
+
+
+def plain_hits(found, weights, exceptions):
+    """Every entry against every word, and every exception at every place."""
+    spared = set()
+    for phrase in exceptions:
+        p = phrase.split()
+        for i in range(len(found) - len(p) + 1):
+            if found[i : i + len(p)] == p:
+                spared.update(range(i, i + len(p)))
+    return sorted((e, w) for i, word in enumerate(found) if i not in spared for e, w in weights.items() if (word == e[:-1] if e.endswith("$") else word.startswith(e)))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_matcher_is_brute_force(seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abc", k=rng.randint(1, 5)))
+    weights = {word() + rng.choice(["", "$"]): rng.random() for _ in range(12)}
+    exceptions = [" ".join(word() for _ in range(rng.randint(1, 3))) for _ in range(8)]
+    lexicon = toxicity.Lexicon(weights, exceptions)
+    automaton = lexicon.automaton()
+    for n in (0, 1, 2, 7, 300):
+        found = [word() for _ in range(n)]
+        assert sorted(lexicon.hits(automaton, found)) == plain_hits(found, weights, exceptions)
+
+
+def test_exceptions_take_linear_time():
+    lexicon = toxicity.Lexicon({"trash": 1.0}, ["trash can"])
+    automaton, found = lexicon.automaton(), ["trash", "can"] * 100_000
+    began = time.time()
+    assert lexicon.hits(automaton, [*found, "trash"]) == [("trash", 1.0)] and time.time() - began < 5
+
+
 def test_fold():
     assert toxicity.words("Ѕtupid 1D10T st​upid") == ["stupid", "idiot", "stupid"]
-    assert toxicity.words("2005 été $100 p@thetic ｉｄｉｏｔ") == ["été", "pathetic", "idiot"]
+    assert toxicity.words("2005 été $100 p@thetic ｉｄｉｏｔ 𝓲𝓭𝓲𝓸𝓽 ïdìöt ⓘⓓⓘⓞⓣ") == ["ete", "pathetic", "idiot", "idiot", "idiot", "idiot"]
+
+
+def test_exceptions_are_mined_from_clean_texts(spark):
+    rows = [(k, "you total clown" if k % 2 else "calm day" if k % 10 else f"a clown fish swims by {k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")), F.lit(True), exceptions=())
+    shown = lambda t: lexicon.hits(lexicon.automaton(), toxicity.words(t))
+    assert "clown fish" in lexicon.exceptions and "total clown" not in lexicon.exceptions
+    assert shown("you total clown") and not any(e.startswith("clown") for e, _ in shown("a clown fish"))
 
 
 def test_exceptions_and_word_bounds():
@@ -113,7 +201,7 @@ def test_toxicity_defined_cases(spark, odd):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
     lexicon = toxicity.fit(docs, labels, F.lit(True))
-    assert set(lexicon.weights) == {"awfulword$"}
+    assert lexicon.weights == {"awfulword$": pytest.approx(np.log((200.5 / 101) / (0.5 / 101)))}
     out = {r.text: r.toxicity for r in toxicity.scored(odd.unionByName(spark.createDataFrame([(9, "An AWFULW0RD here")], "doc_id long, text string"), allowMissingColumns=True), lexicon).collect()}
     assert out["An AWFULW0RD here"].score > 0.7 and out["An AWFULW0RD here"].entries == ["awfulword$"]
     assert out[None].score < 0.3 and out[""].score < 0.3 and out[LONG].score < 0.3
