@@ -8,23 +8,32 @@ suffix positions sampled at each run's first word and every ``SAMPLE`` words.
 All windows are searched backwards at once; occurrences are located by walking
 to a sampled position, and overlapping spans are merged for each document.
 
-The benchmark is broadcast in blocks of at most ``block_bytes`` of text, however
-large it is. Null and empty texts have no words; benchmark items without words
-are ignored; repeated items all count; repeated documents are each reported.
+The benchmark goes through the driver in blocks of at most ``block_bytes`` of
+text, as word ids and the places where windows begin, and each block has a pass
+over the documents of its own, so memory doesn't grow with the benchmark.
+
+Null and empty texts have no words; a document longer than a shard is a shard of
+its own. Benchmark items without words are ignored; an item without an id counts
+for hits and is left out of the list of items; repeated items all count; repeated
+documents are each reported. With an empty benchmark nothing is hit; an empty
+table gives an empty result. A column that has the result's name (``into``) is
+replaced; other columns stay, whatever their names.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterdeck.llm import names, scratch
+from quarterdeck.llm import text as bytes_of
 from quarterdeck.llm.wavelet import WaveletMatrix
 
 WINDOW = 13
 SAMPLE = 8
+BLOCK_BYTES = 16 << 20
 #: ASCII letters in lower case; every ASCII character that is no letter or digit becomes a space.
 FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
 
@@ -34,26 +43,43 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 class Phrases:
-    """Windows of the benchmark as rows of word ids, with the items that have them."""
+    """Distinct windows of the benchmark as places in a sequence of word ids, with the items that have them."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.words: dict[bytes, int] = {}
-        found: dict[tuple, set[int]] = {}
-        self.items: list[str] = []
+        self.items: list[str | None] = []
+        self.window = window
+        ids, begins, lengths, owner, held = [], [], [], [], window
         for item, text in items:
-            ids = [self.words.setdefault(w, len(self.words) + 1) for w in tokens(text)]
-            if ids and item is not None:
+            mine = [self.words.setdefault(w, len(self.words) + 1) for w in tokens(text)]
+            if mine:
+                n = max(1, len(mine) - window + 1)
+                ids.append(np.array(mine, np.int32))
+                begins.append(np.arange(held, held + n))
+                lengths.append(np.full(n, min(window, len(mine))))
+                owner.append(np.full(n, len(self.items)))
                 self.items.append(item)
-                for i in range(max(1, len(ids) - window + 1)):
-                    found.setdefault(tuple(ids[i : i + window]), set()).add(len(self.items) - 1)
-        self.lengths = np.array([len(w) for w in found], np.int64)
-        # Aligned at the end, since the search goes backwards.
-        self.windows = np.zeros((len(found), window), np.int64)
-        for row, w in zip(self.windows, found):
-            row[window - len(w) :] = w
-        self.owner = np.array([k for s in found.values() for k in sorted(s)], np.int64)
-        self.owned = np.cumsum([0, *map(len, found.values())])
-        self.shortest = int(self.lengths.min()) if len(found) else 0
+                held += len(mine)
+        join = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
+        # Zeros before and after, so that every window has a whole row of places to look at.
+        self.ids = np.concatenate([np.zeros(window, np.int32), *ids, np.zeros(window, np.int32)])
+        begins, lengths, owner = join(begins), join(lengths), join(owner)
+        which, first = self._same(begins, lengths)
+        self.begins, self.lengths = begins[first], lengths[first]
+        order = np.argsort(which, kind="stable")
+        self.owner, self.owned = owner[order], np.searchsorted(which[order], np.arange(len(first) + 1))
+        self.shortest = int(self.lengths.min()) if len(first) else 0
+
+    def _same(self, begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each window's words, equal for equal windows, and the first window of each number: built word by word, so it is exact."""
+        which = np.zeros(len(begins), np.int64)
+        for back in range(1, self.window + 1):
+            which = np.unique(which * (len(self.words) + 1) + self.word(begins, lengths, back), return_inverse=True)[1]
+        return which, np.unique(which, return_index=True)[1]
+
+    def word(self, begins: np.ndarray, lengths: np.ndarray, back: int) -> np.ndarray:
+        """The ``back``-th word from the end of each window, 0 if it has fewer."""
+        return np.where(back <= lengths, self.ids[begins + lengths - back], 0)
 
 
 class FMIndex:
@@ -83,13 +109,14 @@ class FMIndex:
         sampled = (order % SAMPLE == 0) | (text[order - 1] == 0)
         self.position = np.where(sampled, order, -1)
 
-    def search(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
         """The range of suffixes that begin with each window; empty where none does."""
-        low, high = np.zeros(len(windows), np.int64), np.full(len(windows), self.n, np.int64)
-        live = np.arange(len(windows))
-        for word in windows.T[::-1]:
-            live = live[(word[live] > 0) & (high[live] > low[live])]
-            c = word[live]
+        n = len(phrases.begins)
+        low, high = np.zeros(n, np.int64), np.full(n, self.n, np.int64)
+        live = np.arange(n)
+        for back in range(1, phrases.window + 1):
+            live = live[(back <= phrases.lengths[live]) & (high[live] > low[live])]
+            c = phrases.word(phrases.begins[live], phrases.lengths[live], back)
             low[live] = self.first[c] + self.bwt.rank(c, low[live])
             high[live] = self.first[c] + self.bwt.rank(c, high[live])
         return low, high
@@ -135,7 +162,7 @@ def scan(texts: list[str | None], phrases: Phrases) -> tuple[list[int], list[lis
     at, _ = _expand(begins[long] - 1, ends[long])
     at = np.append(at, len(symbols) - 1)
     index = FMIndex(symbols[at].astype(np.int64), len(phrases.words))
-    low, high = index.search(phrases.windows)
+    low, high = index.search(phrases)
     rows, window = _expand(low, high)
     if not len(rows):
         return counts.tolist(), spans, items
@@ -155,7 +182,7 @@ def scan(texts: list[str | None], phrases: Phrases) -> tuple[list[int], list[lis
     own, which = _expand(phrases.owned[pairs[:, 1]], phrases.owned[pairs[:, 1] + 1])
     for d, k in np.unique(np.stack([pairs[which, 0], phrases.owner[own]], 1), axis=0).tolist():
         items[d].append(phrases.items[k])
-    return counts.tolist(), spans, [sorted(set(x)) for x in items]
+    return counts.tolist(), spans, [sorted({k for k in x if k is not None}) for x in items]
 
 
 RESULT = "struct<n_words:long,spans:array<struct<begin:long,end:long>>,items:array<string>>"
@@ -166,49 +193,51 @@ def _scanned(text: Column, block, shard_bytes: int) -> Column:
     @F.arrow_udf(RESULT)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            texts, out, part, held = texts.to_pylist(), ([], [], []), [], 0
-            for t in [*texts, None]:
-                # A document longer than a shard is a shard of its own.
-                if held + len(t or "") > shard_bytes and part:
-                    for whole, x in zip(out, scan(part, block.value)):
-                        whole.extend(x)
-                    part, held = [], 0
-                part.append(t)
-                held += len(t or "")
-            for whole, x in zip(out, scan(part[:-1], block.value)):
-                whole.extend(x)
-            spans = pa.array([[{"begin": b, "end": e} for b, e in s] for s in out[1]], _SPANS)
-            yield pa.StructArray.from_arrays([pa.array(out[0], pa.int64()), spans, pa.array(out[2], pa.list_(pa.string()))], ["n_words", "spans", "items"])
+            counts, spans, items = [], [], []
+            # A document longer than a shard is a shard of its own.
+            for a, b in bytes_of.slices(texts, shard_bytes):
+                n, s, i = scan(texts[a:b].to_pylist(), block.value)
+                counts, spans, items = counts + n, spans + s, items + i
+            spans = pa.array([[{"begin": b, "end": e} for b, e in s] for s in spans], _SPANS)
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), spans, pa.array(items, pa.list_(pa.string()))], ["n_words", "spans", "items"])
 
     return of.asNondeterministic()(text)
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    """The benchmark's windows in broadcasts of bounded size."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text") + 16), F.lit(0))).first()[0]
-    n = -(-size // block_bytes) or 1
-    part = F.pmod(F.xxhash64("item"), F.lit(n))
-    return [spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in items.filter(part == k).toLocalIterator()], window)) for k in range(n)]
+def _merged(a: Column, b: Column) -> Column:
+    """Spans of two passes as one list: the running end is kept in an accumulator."""
+    last = lambda acc: F.try_element_at(acc, F.lit(-1))
+    return F.aggregate(F.array_sort(F.concat(a, b)), F.array().cast("array<struct<begin:bigint,end:bigint>>"), lambda acc, s: F.when(
+        (F.size(acc) > 0) & (last(acc)["end"] >= s["begin"]),
+        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last(acc)["begin"].alias("begin"), F.greatest(last(acc)["end"], s["end"]).alias("end")))),
+    ).otherwise(F.concat(acc, F.array(s))))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shard_bytes: int = 8 << 20, block_bytes: int = 64 << 20, into: str = "contamination") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shard_bytes: int = 8 << 20, block_bytes: int = BLOCK_BYTES, into: str = "contamination") -> DataFrame:
     """``docs`` with a struct column ``into``: n_words, spans (merged, in words), items (sorted as strings), n_hit."""
-    blocks = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
-    of = [f"{into}_{k}" for k in range(len(blocks))]
-    out = docs.withColumns({name: _scanned(F.col(text_col), block, shard_bytes) for name, block in zip(of, blocks)})
-    spans = F.array_sort(F.flatten(F.array(*[F.col(f"{x}.spans") for x in of])))
-    # Spans of several blocks may overlap: the running end is kept in an accumulator.
-    merged = F.aggregate(spans, F.array().cast("array<struct<begin:bigint,end:bigint>>"), lambda acc, s: F.when(
-        (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= s["begin"]),
-        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.try_element_at(acc, F.lit(-1))["begin"].alias("begin"), F.greatest(F.try_element_at(acc, F.lit(-1))["end"], s["end"]).alias("end")))),
-    ).otherwise(F.concat(acc, F.array(s)))) if len(of) > 1 else F.col(f"{of[0]}.spans")
-    items = reduce(F.array_union, [F.col(f"{x}.items") for x in of])
-    found = F.struct(F.col(f"{of[0]}.n_words").alias("n_words"), merged.alias("spans"), F.array_sort(items).alias("items"))
-    out = out.withColumn(into, found).drop(*of)
-    n_hit = F.aggregate(F.col(f"{into}.spans"), F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
-    return out.withColumn(into, F.col(into).withField("n_hit", n_hit))
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
+    n_blocks = -(-items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0] // block_bytes) or 1
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))
+    found, new = names.fresh("found", docs), names.fresh("new", docs)
+    out = docs
+    for k in range(n_blocks):
+        block = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in items.filter(part == k).toLocalIterator()], window))
+        scanned = out.withColumn(new, _scanned(F.col(text_col), block, shard_bytes))
+        if k:
+            a, b = F.col(found), F.col(new)
+            both = F.struct(a["n_words"].alias("n_words"), _merged(a["spans"], b["spans"]).alias("spans"), F.array_sort(F.array_union(a["items"], b["items"])).alias("items"))
+            out, before = scanned.withColumn(found, both).drop(new), out
+        else:
+            out, before = scanned.withColumnRenamed(new, found), None
+        if k + 1 < n_blocks:
+            # One block at a time in the workers' memory.
+            out = scratch.written(out)
+            block.destroy()
+            if before is not None:
+                scratch.discard(before)
+    n_hit = F.aggregate(F.col(found)["spans"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return out.withColumn(into, F.col(found).withField("n_hit", n_hit)).drop(found)
 
 
 def contaminated(into: str = "contamination", per: int = 20) -> Column:
@@ -218,4 +247,5 @@ def contaminated(into: str = "contamination", per: int = 20) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated ones; the others are left as they are."""
-    return contamination(docs, benchmark, **options).filter(~contaminated(options.get("into", "contamination"))).select(docs.columns)
+    into = names.fresh("contamination", docs)
+    return contamination(docs, benchmark, into=into, **options).filter(~contaminated(into)).select(names.columns(docs))

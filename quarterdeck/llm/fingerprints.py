@@ -10,7 +10,9 @@ code of each sample as hex digits.
 
 A null text is empty; all empty texts share the one fingerprint of no terms.
 Rows go by ascending id, null ids first, equal ids by a hash of the text; the
-row after the last is the first, so a lone row is its own next one.
+row after the last is the first, so a lone row is its own next one. Repeated rows
+are each fingerprinted; an empty table gives an empty result; very long texts are
+taken whole. Other columns are not read, whatever their names.
 """
 
 import hashlib

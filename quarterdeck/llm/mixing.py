@@ -10,13 +10,15 @@ the words taken come near the target. The running sum is built from counts per
 are whole numbers: reruns agree under any partitioning.
 
 Null text has size 0, a null source is a source of its own (the last), repeated
-rows are each a document, an empty table gives an empty result.
+rows are each a document, an empty table gives an empty result; of a very long
+text only the number of words counts. Other columns stay in the mix, whatever
+their names.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import scratch
+from quarterdeck.llm import names, scratch
 
 #: Weights of the sources in order of their code points, repeating; nulls come last.
 WEIGHTS = (5, 2, 1)
@@ -74,7 +76,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     # Words are counted once; what is kept has no texts.
     sizes = sized = scratch.written(docs.select(*named)).withColumns(place)
     if carry:
-        sized = docs.select(F.struct(*docs.columns).alias("row"), *named).withColumns(place)
+        sized = docs.select(F.struct(*names.columns(docs)).alias("row"), *named).withColumns(place)
     cells = sizes.groupBy("source", "class", "slot").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     goal = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), "source", weights, cap)
     run = Window.partitionBy("source").orderBy("class", "slot").rowsBetween(Window.unboundedPreceding, -1)

@@ -34,11 +34,11 @@ def op3_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = sampling.remainder(F.col("doc_id"), 5)
     out = langid.identify(docs.select("doc_id", "text"), docs.filter(fold != 0))
-    return out.select("doc_id", (fold == 0).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+    return out.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
 def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), special_as_text=False)
+    return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op5_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = sampling.remainder(F.col("doc_id"), 3)
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 1)
     out = toxicity.scored(docs, lexicon).withColumn("score", F.col("toxicity.score"))
-    return out.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = sampling.remainder(F.col("doc_id"), 4)
     docs = table(spark, sf_dir, "documents")
     out = quality.scored(docs, table(spark, sf_dir, "labels"), fold != 2)
-    return out.select("doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op9_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ dwin AS (
 hit_words AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
 ), hit_items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

@@ -9,7 +9,9 @@ parameter) and each placement is one lookup.
 
 A null key goes where the hash of null goes, unless ``fallback`` columns are
 given to hash in its place. Equal keys go to the same shard; repeated rows are
-each placed; an empty table gives an empty result.
+each placed; an empty table gives an empty result; texts are not read, however
+long. Columns that have the results' names (``slot_col``, ``shard_col``) are
+replaced, unless one of them is the key, which is an error; other columns stay.
 """
 
 import numpy as np
@@ -17,6 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.llm import names
+
 SLOTS = 65_537
 SHARDS = 256
 
@@ -61,9 +65,12 @@ def table(spark: SparkSession, shards: list[str], slots: int = SLOTS, weights: l
 
 def place(df: DataFrame, shards: list[str], key_col: str = "doc_id", slots: int = SLOTS, weights: list[int] | None = None, fallback: tuple[str, ...] = (), slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
     """``df`` with the slot and shard of each row."""
-    lookup = table(df.sparkSession, shards, slots, weights).toDF("_slot", shard_col)
-    placed = df.withColumn(slot_col, slot(F.col(key_col), slots, tuple(map(F.col, fallback))))
-    return placed.join(F.broadcast(lookup), F.col(slot_col) == F.col("_slot")).drop("_slot")
+    if clash := {slot_col, shard_col} & {key_col, *fallback}:
+        raise ValueError(f"{sorted(clash)} is both a key and a result")
+    placed = df.drop(shard_col).withColumn(slot_col, slot(F.col(key_col), slots, tuple(map(F.col, fallback))))
+    at = names.fresh("at", placed)
+    lookup = table(df.sparkSession, shards, slots, weights).toDF(at, shard_col)
+    return placed.join(F.broadcast(lookup), F.col(slot_col) == F.col(at)).drop(at)
 
 
 def write(placed: DataFrame, path: str, shard_col: str = "shard", files_per_shard: int = 1) -> None:

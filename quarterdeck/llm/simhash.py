@@ -11,8 +11,13 @@ the right of it that the radius reaches. Inside a leaf the tree goes on, and
 pairs are verified on all 64 bits. A leaf returns a spanning star of each
 group found there, never its pairs, and the stars are merged in Spark.
 
-Nulls and empty texts have the fingerprint zero and are linked as any other.
-Repeated rows and ties link alike; an empty table gives an empty result.
+The sample grows with the number of fingerprints up to a bound, and a leaf that
+is still large goes on splitting in its task: by its block, and where all
+fingerprints agree on the block, by all 64 bits.
+
+Nulls and empty texts have the fingerprint zero and are linked as any other; very
+long texts are taken whole. Repeated rows and ties link alike; an empty table
+gives an empty result. Other columns don't matter, whatever their names.
 """
 
 from collections.abc import Iterator
@@ -23,11 +28,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import scratch
+from quarterdeck.llm import names, scratch
 
 SEED = 42
 SHINGLE_WORDS = 4
 MAX_BITS = 4
+#: 8 MB of fingerprints at most shape the trees.
+MOST_SAMPLED = 1 << 20
 
 
 def _fingerprint(text: str, n_words: int) -> int:
@@ -103,12 +110,15 @@ def _matches(fps, blocks, homes, queries, reach, max_bits) -> Iterator[tuple[np.
         homes, queries = todo.pop()
         if not len(homes) or not len(queries):
             continue
-        split = _split(blocks[homes]) if len(homes) > 256 and len(queries) > 64 else None
-        if split:
-            dh, dq = _distance(blocks[homes], split[0]), _distance(blocks[queries], split[0])
-            todo.append((homes[dh <= split[1]], queries[dq - reach <= split[1]]))
-            todo.append((homes[dh > split[1]], queries[dq + reach > split[1]]))
-            continue
+        if len(homes) > 256 and len(queries) > 64:
+            bits, within, split = blocks, reach, _split(blocks[homes])
+            if not split:
+                bits, within, split = fps, max_bits, _split(fps[homes])
+            if split:
+                dh, dq = _distance(bits[homes], split[0]), _distance(bits[queries], split[0])
+                todo.append((homes[dh <= split[1]], queries[dq - within <= split[1]]))
+                todo.append((homes[dh > split[1]], queries[dq + within > split[1]]))
+                continue
         for at in range(0, len(homes), 2048):
             part = homes[at : at + 2048]
             for to in range(0, len(queries), 512):
@@ -129,15 +139,17 @@ def merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             parent = up
 
 
-def links(points: DataFrame, max_bits: int = MAX_BITS, n_blocks: int = 3, leaf_size: int = 4096, sample: int = 65_536) -> DataFrame:
+def links(points: DataFrame, max_bits: int = MAX_BITS, n_blocks: int = 3, leaf_size: int = 4096, most_sampled: int = MOST_SAMPLED) -> DataFrame:
     """(a, b) nodes that connect all points (``node``, ``fp``; distinct fingerprints) within ``max_bits`` of each other.
 
-    ``sample`` bounds the fingerprints that shape the trees on the driver.
+    ``most_sampled`` bounds the fingerprints that shape the trees on the driver;
+    below it there are sixteen for each leaf.
     """
     spark = points.sparkSession
     reach, width = max_bits // n_blocks, -(-64 // n_blocks)
     masks = [np.uint64(((1 << min(width, 64 - width * k)) - 1) << (width * k)) for k in range(n_blocks)]
     total = points.count()
+    sample = min(most_sampled, max(65_536, 16 * total // leaf_size))
     some = points.orderBy(F.xxhash64("fp"), "fp").limit(sample).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     leaf_points = max(8, int(leaf_size * len(some) / max(1, total)))
     trees = spark.sparkContext.broadcast([_tree(some & m, leaf_points) for m in masks])
@@ -173,7 +185,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a != b").distinct()
-        edges = scratch.written(small)
+        edges, before = scratch.written(small), edges
+        scratch.discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -200,10 +213,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     rows that share an id but not a group don't touch each other. Rows without
     an id stay, or with ``null_ids`` are in the groups too, after all ids.
     """
-    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_row": F.xxhash64(*hashed, *[c.isNull() for c in hashed])})
-    asked = keyed if null_ids else keyed.filter("_id IS NOT NULL")
-    rows = scratch.written(asked.select("_id", "_row", fingerprint(F.col(text_col), n_words).alias("fp")).groupBy("fp", "_id", "_row").agg(F.count("*").alias("n")))
+    hashed = [names.quoted(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    id_, row_ = names.fresh("id_", docs), names.fresh("row_", docs)
+    keyed = docs.withColumns({id_: F.col(id_col).cast("long"), row_: F.xxhash64(*hashed, *[c.isNull() for c in hashed])})
+    asked = keyed if null_ids else keyed.filter(F.col(id_).isNotNull())
+    rows = scratch.written(asked.select(F.col(id_).alias("_id"), F.col(row_).alias("_row"), fingerprint(F.col(text_col), n_words).alias("fp")).groupBy("fp", "_id", "_row").agg(F.count("*").alias("n")))
     prints = scratch.written(rows.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("first")))
     classes = components(links(prints.select(F.col("fp").alias("node"), "fp"), max_bits, **tree))
     # A component's smallest node is in ``classes`` only as a component.
@@ -212,10 +226,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     best = linked.groupBy("component").agg(F.min("first").alias("best"))
     of_print = prints.join(linked.join(best, "component").select("fp", "best"), "fp", "left").select("fp", F.coalesce("best", "first").alias("best"))
     kept = F.col("best._id").eqNullSafe(F.col("_id")) & (F.col("best._row") == F.col("_row"))
-    special = scratch.written(rows.join(of_print, "fp").select(F.col("_id").alias("id_"), F.col("_row").alias("row_"), "n", kept.alias("kept")).filter("NOT kept OR n > 1"))
-    same = keyed["_id"].eqNullSafe(special["id_"]) & (keyed["_row"] == special["row_"])
+    special = scratch.written(rows.join(of_print, "fp").select("_id", "_row", "n", kept.alias("kept")).filter("NOT kept OR n > 1"))
+    same = keyed[id_].eqNullSafe(special["_id"]) & (keyed[row_] == special["_row"])
     left = keyed.join(special.filter("NOT kept"), same, "left_anti")
     repeated = special.filter("kept")
     if not repeated.isEmpty():
-        left = left.join(repeated, same, "left_anti").unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["_id", "_row"]))
-    return left.select(docs.columns)
+        left = left.join(repeated, same, "left_anti").unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates([id_, row_]))
+    return left.select(names.columns(docs))

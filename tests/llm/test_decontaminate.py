@@ -22,7 +22,7 @@ def plain(text, items, window):
         for i in range(len(w) - n + 1):
             if n and tuple(w[i : i + n]) in grams:
                 hit.update(range(i, i + n))
-                found.add(item)
+                found |= {item} - {None}
     return len(w), hit, sorted(found)
 
 
@@ -49,12 +49,31 @@ def test_index_finds_every_position():
     runs = [[0, *rng.integers(1, 4, rng.integers(3, 30))] for _ in range(50)]
     text = np.array([x for r in runs for x in r] + [0])
     index = dc.FMIndex(text, 3)
-    pattern = np.array([[0, 2, 1], [1, 2, 3], [3, 3, 3]])
-    low, high = index.search(pattern)
-    for p, a, b in zip(pattern, low, high):
-        p = p[p > 0]
-        expected = [i for i in range(len(text) - len(p) + 1) if (text[i : i + len(p)] == p).all()]
-        assert sorted(index.locate(np.arange(a, b)).tolist()) == expected
+    phrases = dc.Phrases([("a", "1 2 3"), ("b", "2 1"), ("c", "3 3 3"), ("d", "2 1")], 3)
+    assert phrases.words == {b"1": 1, b"2": 2, b"3": 3} and len(phrases.begins) == 3
+    low, high = index.search(phrases)
+    for begin, n, a, b in zip(phrases.begins, phrases.lengths, low, high):
+        p = phrases.ids[begin : begin + n]
+        expected = [i for i in range(len(text) - n + 1) if (text[i : i + n] == p).all()]
+        assert expected and sorted(index.locate(np.arange(a, b)).tolist()) == expected
+
+
+def test_windows_are_distinct_and_know_their_items():
+    rng = random.Random(9)
+    items = [(None if k == 7 else f"i{k}", " ".join(rng.choices("abc", k=rng.randint(0, 9)))) for k in range(40)]
+    phrases = dc.Phrases(items, 3)
+    back = {v: k.decode() for k, v in phrases.words.items()}
+    found = {}
+    for k, (begin, n) in enumerate(zip(phrases.begins, phrases.lengths)):
+        window = tuple(back[i] for i in phrases.ids[begin : begin + n].tolist())
+        assert window not in found
+        found[window] = sorted({phrases.items[o] for o in phrases.owner[phrases.owned[k] : phrases.owned[k + 1]]}, key=str)
+    expected = {}
+    for item, text in items:
+        w = text.split()
+        for i in range(max(1, len(w) - 2) if w else 0):
+            expected.setdefault(tuple(w[i : i + 3]), set()).add(item)
+    assert found == {w: sorted(x, key=str) for w, x in expected.items()}
 
 
 def test_blocks_and_shards_agree(spark):
@@ -62,7 +81,7 @@ def test_blocks_and_shards_agree(spark):
     vocabulary = [f"w{k}" for k in range(30)]
     items = [(k, " ".join(rng.choices(vocabulary, k=rng.choice([0, 2, 20])))) for k in range(20)]
     docs = [(k, " ".join([*rng.choices(vocabulary, k=30), rng.choice(items)[1]])) for k in range(40)]
-    docs += [docs[0], (None, None), (50, "")]
+    docs += [docs[0], (None, None), (50, ""), (60, "w1 w2 " * 40_000)]
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n_hit", F.lit("clash"))
     b = spark.createDataFrame([*items, (99, None), (None, "w1 w2")], "item_id long, text string")
     whole = dc.contamination(d, b)
@@ -70,10 +89,10 @@ def test_blocks_and_shards_agree(spark):
     key = lambda df: sorted((str(r) for r in df.collect()))
     assert key(whole) == key(split) and whole.columns == [*d.columns, "contamination"]
     for r in whole.collect():
-        n, hit, found = plain(r.text, [(str(i), t) for i, t in items], 13)
+        n, hit, found = plain(r.text, [*((str(i), t) for i, t in items), (None, "w1 w2")], 13)
         assert (r.contamination.n_words, r.contamination.n_hit, r.contamination["items"]) == (n, len(hit), found)
     clean = dc.decontaminate(d, b)
-    expected = [(i, t) for i, t in docs if not (lambda n, hit, _: hit and 20 * len(hit) >= n)(*plain(t, [(str(k), x) for k, x in items], 13))]
+    expected = [(i, t) for i, t in docs if not (lambda n, hit, _: hit and 20 * len(hit) >= n)(*plain(t, [*((str(k), x) for k, x in items), (None, "w1 w2")], 13))]
     assert clean.columns == d.columns and sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(expected, key=str)
 
 

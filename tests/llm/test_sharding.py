@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarterdeck.llm import sharding
 
@@ -44,8 +45,12 @@ def test_balance_and_few_moves():
 
 def test_placement(spark, tmp_path):
     df = spark.createDataFrame([(k % 900, "x") for k in range(1000)] + [(None, "y")], "doc_id long, shard string")
-    out = sharding.place(df.drop("shard"), NAMES, slots=101)
+    df = df.withColumns({"slot": F.lit("x"), "at": F.col("doc_id")})
+    out = sharding.place(df, NAMES, slots=101)
     rows = out.collect()
+    assert sorted(out.columns) == ["at", "doc_id", "shard", "slot"] and all(r["at"] == r.doc_id for r in rows)
+    with pytest.raises(ValueError, match="both"):
+        sharding.place(df, NAMES, key_col="shard", slots=101)
     table = sharding.lookup_table(NAMES, 101)
     assert len(rows) == 1001 and all(r.shard == NAMES[table[r.slot]] for r in rows)
     assert len({(r.doc_id, r.shard) for r in rows}) == 901
