@@ -1,13 +1,17 @@
 """A training corpus from ``documents`` in five stages, each written and read again.
 
-Every stage works on all documents that its predecessor kept.
+Every stage works on all documents that its predecessor kept. Columns keep their
+names and values whatever they are called: helper columns get names that the
+table lacks. Each stage is defined on empty tables, null texts and ids, very long
+texts and repeated rows, as its operator says; token shards stay in the shared
+folder, all other tables of a run are deleted when they have been read.
 """
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import decontaminate, mixing, quality, scratch, simhash, token_store
+from quarterdeck.llm import decontaminate, mixing, names, quality, scratch, simhash, token_store
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +20,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     model = quality.fit(docs, labels, F.lit(True))
     if not model.fitted:
         return docs
-    return quality.applied(docs, model, into="_score").filter(F.col("_score") >= quality.THRESHOLD).select(docs.columns)
+    score = names.fresh("score", docs)
+    return quality.applied(docs, model, into=score).filter(F.col(score) >= quality.THRESHOLD).select(names.columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows hit less than one word in twenty."""
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), into="_found")
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards of the mix, and where each document lies in them."""
-    return token_store.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), special_as_text=False)
+    return token_store.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
@@ -52,7 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = scratch.written(stage(spark, docs, sf_dir))
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        with scratch.cleared(spark) as made:
+            docs = scratch.written(stage(spark, docs, sf_dir))
+            # The last stage's shards are what the pipeline is for.
+            made.discard(docs.scratch_path) if name != STAGES[-1][0] else made.clear()
+        if before:
+            scratch.discard(before)
+        before = docs
     return docs
