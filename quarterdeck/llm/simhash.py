@@ -13,7 +13,7 @@ group found there, never its pairs, and the stars are merged in Spark.
 
 The sample grows with the number of fingerprints up to a bound, and a leaf that
 is still large goes on splitting in its task: by its block, and where all
-fingerprints agree on the block, by all 64 bits.
+fingerprints agree on that, by the other blocks.
 
 Nulls and empty texts have the fingerprint zero and are linked as any other; very
 long texts are taken whole. Repeated rows and ties link alike; an empty table
@@ -103,21 +103,27 @@ def _route(tree, points: np.ndarray, rows: np.ndarray, home: np.ndarray, reach:
     yield from _route(beyond, points, rows[right], home[right] & ~near[right], reach, leaf * 2 + 1)
 
 
-def _matches(fps, blocks, homes, queries, reach, max_bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (query, home) within ``max_bits``: the tree goes on until few are left."""
-    todo = [(homes, queries)]
+def _matches(fps: np.ndarray, masks: list[np.uint64], block: int, homes: np.ndarray, queries: np.ndarray, reach: int, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (query, home) within ``max_bits`` that are within ``reach`` in a block: the tree goes on until few are left.
+
+    Where all homes agree on the block, two fingerprints that match are within
+    ``max_bits`` over the other blocks together, so they are near in one of those.
+    """
+    blocks = [fps & m for m in masks]
+    todo = [(homes, queries, (block,), reach)]
     while todo:
-        homes, queries = todo.pop()
+        homes, queries, used, reach = todo.pop()
         if not len(homes) or not len(queries):
             continue
         if len(homes) > 256 and len(queries) > 64:
-            bits, within, split = blocks, reach, _split(blocks[homes])
-            if not split:
-                bits, within, split = fps, max_bits, _split(fps[homes])
-            if split:
+            bits = blocks[used[-1]]
+            if split := _split(bits[homes]):
                 dh, dq = _distance(bits[homes], split[0]), _distance(bits[queries], split[0])
-                todo.append((homes[dh <= split[1]], queries[dq - within <= split[1]]))
-                todo.append((homes[dh > split[1]], queries[dq + within > split[1]]))
+                todo.append((homes[dh <= split[1]], queries[dq - reach <= split[1]], used, reach))
+                todo.append((homes[dh > split[1]], queries[dq + reach > split[1]], used, reach))
+                continue
+            if others := [k for k in range(len(masks)) if k not in used]:
+                todo += [(homes, queries, (*used, k), max_bits // len(others)) for k in others]
                 continue
         for at in range(0, len(homes), 2048):
             part = homes[at : at + 2048]
@@ -163,10 +169,9 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, n_blocks: int = 3, leaf_s
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(r), k, np.int32), np.full(len(r), leaf, np.int64), node[r], fp[r], h)], ["block", "leaf", "node", "fp", "home"])
 
     def joined(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        mask = masks[key[0].as_py()]
         node, fps, home = np.asarray(table["node"]), np.asarray(table["fp"]).view(np.uint64), np.asarray(table["home"])
         parent = np.arange(len(node))
-        for q, h in _matches(fps, fps & mask, np.flatnonzero(home), np.arange(len(node)), reach, max_bits):
+        for q, h in _matches(fps, masks, key[0].as_py(), np.flatnonzero(home), np.arange(len(node)), reach, max_bits):
             parent = merge(parent, q, h)
         out = np.flatnonzero(parent != np.arange(len(node)))
         return pa.table({"a": node[out], "b": node[parent[out]]})

@@ -67,6 +67,24 @@ def test_dense_chain_of_fingerprints(spark):
         assert {r.component for r in found} == {0} and len(found) == len(rows) - 1
 
 
+def test_fingerprints_that_agree_on_a_block(monkeypatch):
+    """All pairs of fingerprints with one block in common, by few comparisons."""
+    rng = np.random.default_rng(7)
+    masks = [np.uint64(((1 << min(22, 64 - 22 * k)) - 1) << (22 * k)) for k in range(3)]
+    base = rng.integers(0, 1 << 64, 3000, np.uint64)
+    near = base[rng.integers(0, 3000, 3000)]
+    for _ in range(4):
+        near ^= np.uint64(1) << rng.integers(22, 64, 3000).astype(np.uint64)
+    fps = np.unique(np.concatenate([base, near]) & ~masks[0] | np.uint64(12345))
+    compared, count = [0], np.bitwise_count
+    every = np.arange(len(fps))
+    expected = {(a, b) for a in every.tolist() for b in np.flatnonzero(count(fps ^ fps[a]) <= 4).tolist()}
+    monkeypatch.setattr(np, "bitwise_count", lambda x: (compared.__setitem__(0, compared[0] + (x.size if x.ndim == 2 else 0)), count(x))[1])
+    found = {(int(a), int(b)) for q, h in simhash._matches(fps, masks, 0, every, every, 1, 4) for a, b in zip(q, h)}
+    assert found == expected and len(expected) > 2 * len(fps)
+    assert compared[0] < 0.7 * len(fps) ** 2
+
+
 def test_defined_cases(spark):
     long = "very long text " * 30_000
     rows = [(5, None, "x"), (2, "", "x"), (9, " \t\n", "x"), (1, "One two", None), (7, "ONE  two", "y"), (7, "ONE  two", "y"), (None, "one two", "z"), (None, "nothing like it", "z"), (20, long, "q"), (21, long, "q")]
