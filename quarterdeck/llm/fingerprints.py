@@ -100,19 +100,26 @@ def edited(text: str, following: str) -> str:
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets_per_part: int = 4) -> DataFrame:
     """(bucket, tail, id, text): each bucket's rows in order, then the first row of the bucket after it (tail = 1).
 
-    Buckets are ranges of ids from approximate quantiles; the text is shuffled once.
+    Buckets are ranges of ids from approximate quantiles, and of hashes inside an id
+    that many rows share; the text is shuffled once.
     """
     spark = docs.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = parts * buckets_per_part
-    splits = np.unique(np.array(rows.approxQuantile("id", [k / n for k in range(1, n)], 0.1 / n), np.int64)) if n > 1 else np.zeros(0, np.int64)
+    keyed = rows.select(F.coalesce("id", F.lit(-(1 << 63))).alias("id"))
+    # A value that stands here m times has about m buckets' worth of rows.
+    splits = np.sort(np.array(keyed.approxQuantile("id", [k / n for k in range(1, n)], 0.1 / n), np.int64)) if n > 1 else np.zeros(0, np.int64)
 
     @F.arrow_udf("int")
-    def bucket(ids: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(splits, np.array(ids.fill_null(-(1 << 63)), np.int64), side="right").astype(np.int32))
-
-    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("bucket", bucket("id"))
+    def bucket(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        ids = np.array(ids.fill_null(-(1 << 63)), np.int64)
+        low, high = (np.searchsorted(splits, ids, side=side) for side in ("left", "right"))
+        share = np.array(hashes, np.int64).astype(np.float64) / 2.0**64 + 0.5
+        within = np.minimum((share * (high - low)).astype(np.int64), high - low - 1)
+        return pa.array(np.where(high > low, low + 1 + within, low).astype(np.int32))
+
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("bucket", bucket("id", "h"))
     # One row for each bucket, and there are as many as the splits allow.
     firsts = sorted((r.bucket, r.first.id, r.first.h) for r in rows.groupBy("bucket").agg(F.min(F.struct("id", "h")).alias("first")).collect())
     firsts = [(firsts[k - 1][0], i, h) for k, (_, i, h) in enumerate(firsts)]

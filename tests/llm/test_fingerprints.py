@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarterdeck.llm import fingerprints as fp
 
@@ -66,3 +67,15 @@ def test_small_and_repeated(spark):
     same = spark.createDataFrame([(k, "same text here") for k in range(50)], "doc_id long, text string")
     assert {(r.near_next, r.near_edited > 0) for r in fp.fingerprints(same).collect()} == {(1.0, True)}
     assert fp.fingerprints(one.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_an_id_of_most_rows_is_split_by_hash(spark, hot):
+    df = spark.createDataFrame([(hot if k % 5 else k, f"words {k} {k % 7}") for k in range(400)], "doc_id long, text string").repartition(4)
+    ordered = df.withColumn("h", F.xxhash64("text")).orderBy(F.col("doc_id").asc_nulls_first(), "h").collect()
+    placed = fp.with_next(df).filter("tail = 0").collect()
+    share = Counter(r.bucket for r in placed if r.id == hot)
+    assert len(placed) == 400 and len(share) > 5 and max(share.values()) < 100
+    found = sorted((str(r.doc_id), r.fingerprint, round(r.near_next, 9)) for r in fp.fingerprints(df).collect())
+    s = fp.signatures([r.text for r in ordered])
+    assert found == sorted((str(r.doc_id), fp.text_of(s[k]), round(float((s[k] == s[(k + 1) % 400]).mean()), 9)) for k, r in enumerate(ordered))
