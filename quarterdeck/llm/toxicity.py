@@ -3,8 +3,8 @@
 Texts are folded first: lower case, look-alike letters to Latin ones, digits
 inside words to the letters that they stand for, invisible characters dropped.
 Entries are whole words or beginnings of words; each hit adds the entry's
-weight unless it lies in an exception phrase. The sum, divided by the log of
-the length in words (a full division would hide a few hits in a long text), goes
+weight unless it lies in an exception phrase. The sum a hundred words (of the
+text and ``EXTRA_WORDS`` more, so that one hit is not all of a short text) goes
 through a fitted logistic curve.
 
 The lexicon and curve are learned from a bounded sample of labelled rows: word
@@ -38,6 +38,7 @@ LEAST_TEXTS = 4
 LEAST_ODDS = 4.0
 LEAST_SURPRISE = 5.0
 SHORTEST, LONGEST = 3, 10
+EXTRA_WORDS = 20
 EXCEPTIONS = ("trash can", "trash bin", "clown fish")
 
 #: Letters that look like a Latin one: Cyrillic, Greek, Armenian, Latin ones of their own.
@@ -76,6 +77,10 @@ def _features(found: list[str]) -> Counter[str]:
     return out
 
 
+def per_hundred(weight: np.ndarray | float, n_words: np.ndarray | int) -> np.ndarray | float:
+    return 100 * weight / (n_words + EXTRA_WORDS)
+
+
 class Lexicon:
     """Entries with weights; ``$`` at an entry's end closes the word."""
 
@@ -109,7 +114,7 @@ class Lexicon:
 
     def density(self, automaton: ahocorasick.Automaton, text: str | None) -> float:
         found = words(text)
-        return sum(w for _, w in self.hits(automaton, found)) / np.log2(2 + len(found))
+        return float(per_hundred(sum(w for _, w in self.hits(automaton, found)), len(found)))
 
     def score(self, density: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * density + self.offset, -30, 30)))
@@ -230,7 +235,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", into: str
                 weight.append(sum(w for _, w in hits))
                 n.append(len(found))
                 entries.append(sorted({e for e, _ in hits}))
-            score = lexicon.score(np.array(weight, np.float64) / np.log2(2 + np.array(n, np.float64)))
+            score = lexicon.score(per_hundred(np.array(weight, np.float64), np.array(n, np.float64)))
             yield pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(weight, pa.float64()), pa.array(n, pa.int64()), pa.array(entries, pa.list_(pa.string()))], ["score", "weight", "n_words", "entries"])
 
     return docs.withColumn(into, of.asNondeterministic()(F.col(text_col)))
