@@ -33,16 +33,15 @@ from quarterdeck.llm.wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
-SLICE_BYTES = 8 << 20
-CACHED_PIECES = 800_000
-CACHED_WORDS = 600_000
+SLICE_BYTES = 4 << 20
+CACHED_WORDS = 400_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of whole texts, with a memory of pieces: each distinct piece of a slice of texts is looked up once, and new ones are encoded.
+    """Ids of whole texts, with a memory of words: each distinct piece of a slice of texts is looked up once, and new ones are encoded.
 
     The tokenizer splits before a space that a non-space follows, so texts are
     cut there. A piece of letters, full stops, commas and single line breaks is
@@ -61,7 +60,6 @@ class Encoder:
         self.n_ids = self.tokenizer.get_vocab_size()
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        self.pieces, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         # The character that stands for each byte.
         plain = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {b: plain.pre_tokenize_str(chr(b))[0][0][-1] for b in range(128)}
@@ -123,20 +121,6 @@ class Encoder:
             out[k] = ids
         return out
 
-    def _found(self, pieces: pa.Array) -> pa.Array:
-        """Ids of distinct pieces that have a space before them; new ones are remembered."""
-        at = pc.index_in(pieces, self.pieces)
-        fresh = pieces.filter(at.is_null())
-        where = np.array(at.fill_null(-1), np.int64)
-        where[where < 0] = len(self.pieces) + np.arange(len(fresh))
-        ids = pa.concat_arrays([self.ids, pa.array(self._coded([" " + x for x in fresh.to_pylist()]), pa.large_binary())])
-        found = ids.take(pa.array(where))
-        if len(ids) <= CACHED_PIECES:
-            self.pieces, self.ids = pa.concat_arrays([self.pieces, fresh]), ids
-        else:  # a full memory starts again from this slice
-            self.pieces, self.ids = pieces, found
-        return found
-
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and each text's bounds in them."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -153,7 +137,8 @@ class Encoder:
         coded = flat.dictionary_encode()
         which = np.array(coded.indices, np.int32)
         which[bounds[:-1]] = np.arange(len(texts)) + len(coded.dictionary)
-        ids = pa.concat_arrays([self._found(coded.dictionary), pa.array(heads, pa.large_binary())]).take(pa.array(which))
+        ids = self._coded([" " + x for x in coded.dictionary.to_pylist()]) + heads
+        ids = pa.array(ids, pa.large_binary()).take(pa.array(which))
         _, ends, data = ids.buffers()
         return np.frombuffer(data or b"", "<u4"), np.frombuffer(ends, np.int64, len(flat) + 1)[bounds] // 4
 
