@@ -48,11 +48,18 @@ def group_median(long: DataFrame, by: list[str], value: str = "value", into: str
     return long.groupBy(*by).agg(F.median(value).alias(into), F.count(value).alias("peer_count"))
 
 
+def with_group_mad(long: DataFrame, by: list[str], value: str = "value") -> DataFrame:
+    """Rows with their group's median, count and median distance from the median; each row meets its median once."""
+    near = long.join(group_median(long, by, value), by)
+    spread = near.groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("peer_median"))).alias("peer_mad"))
+    return near.join(spread, by)
+
+
 def group_mad(long: DataFrame, by: list[str], value: str = "value") -> DataFrame:
     """(by, peer_median, peer_count, peer_mad): median distance from the median."""
-    medians = group_median(long, by, value)
-    spread = long.join(medians, by).withColumn("_off", F.abs(F.col(value) - F.col("peer_median")))
-    return medians.join(spread.groupBy(*by).agg(F.median("_off").alias("peer_mad")), by)
+    near = long.join(group_median(long, by, value), by)
+    mad = F.median(F.abs(F.col(value) - F.col("peer_median"))).alias("peer_mad")
+    return near.groupBy(*by, "peer_median", "peer_count").agg(mad)
 
 
 def robust_z(value: str = "value", clamp: float | None = CLAMP, scale: float = SCALE) -> Column:
@@ -67,7 +74,7 @@ def peer_stats(fact: DataFrame, ids: list[str], metrics: list[str], group: str,
     """One row per entity, period and metric, with its group's median and MAD and its z-score. Rows without a group are dropped."""
     by = ["metric", date, group]
     long = unpivot_metrics(fact.filter(F.col(group).isNotNull()), [*dict.fromkeys([*ids, date, group])], metrics)
-    scored = long.join(group_mad(long, by), by).withColumn("robust_z", robust_z(clamp=clamp, scale=scale))
+    scored = with_group_mad(long, by).withColumn("robust_z", robust_z(clamp=clamp, scale=scale))
     return scored.withColumn("robust_z_unclamped", robust_z(clamp=None, scale=scale)) if unclamped else scored
 
 

@@ -129,6 +129,16 @@ def top_of_bands(ranked: DataFrame, n: int = 10) -> DataFrame:
     return ranked.filter(F.col("band_rank") <= n)
 
 
+def outcomes(ranked: DataFrame, dim: DataFrame, year: int, other: dict[int, str], key: str = "cert") -> DataFrame:
+    """Ranked entities that failed in a year, or came to another end that is given as text, with their rank and outcome as text."""
+    ends = dim.select(key, F.when(F.col("is_failed") & (F.year("failure_date") == year), F.date_format("failure_date", "'Failed' MMM yyyy")).alias("outcome"))
+    for entity, text in other.items():
+        ends = ends.withColumn("outcome", F.when(F.col(key) == entity, text).otherwise(F.col("outcome")))
+    rank = F.concat_ws(" of ", "band_rank", "band_size")
+    rows = ranked.join(ends.filter("outcome IS NOT NULL"), key)
+    return rows.select(key, "bank_name", "peer_band", "composite_score", rank.alias("band_rank_label"), "band_percentile", "outcome")
+
+
 def components_long(ranked: DataFrame, parts: list[str] = PARTS, entity: str = "cert") -> DataFrame:
     """(entity, component, z) of a ranked slice."""
     return ranked.unpivot([entity], parts, "component", "z")

@@ -13,8 +13,8 @@ from quarterdeck.operators import experiment as x
 from quarterdeck.operators import forecast as fc
 from quarterdeck.operators import panel as p
 from quarterdeck.operators import peers, product, quality, screen, staging, views
+from quarterdeck.plans import backtest, oracle
 from quarterdeck.plans import bindings as b
-from quarterdeck.plans import oracle
 from quarterdeck.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,72 @@ def query(sql: str | None = None, doubles: str = ""):
 # Sources and sinks
 
 
+@query("SELECT CAST(cert AS VARCHAR) AS CERT, strftime(report_date, '%Y%m%d') AS REPDTE FROM panel")
+def s01_landed_pages(spark, d):
+    """The panel landed as one response a page, of at most 1,000 rows, and read back."""
+    rows = b.panel(spark, d).select(F.struct(F.col("cert").cast("string").alias("CERT"), F.date_format("report_date", "yyyyMMdd").alias("REPDTE")).alias("data"), "report_date", "cert")
+    totals = rows.groupBy("report_date").agg(F.count("*").alias("total"))
+    pages = rows.groupBy("report_date", F.floor(F.col("cert") / 1000).alias("page")).agg(F.collect_list(F.struct("data")).alias("data")).join(totals, "report_date")
+    page = pages.select(
+        F.struct(F.date_format("report_date", "yyyyMMdd").alias("endpoint"), F.create_map(F.lit("page"), F.col("page").cast("string")).alias("params")).alias("request"),
+        F.struct(F.struct("total").alias("meta"), "data").alias("response"),
+    )
+    path = writers.shared_folder(spark)
+    page.write.option("maxRecordsPerFile", 1).json(path)
+    return readers.read_landed_pages(spark, path, schemas.texts("CERT REPDTE"))
+
+
+@query("SELECT CAST(cert AS BIGINT) AS cert, CAST(strftime(report_date, '%Y-%m-%d') AS VARCHAR) AS report_date, CAST(NULL AS DOUBLE) AS total_assets FROM panel")
+def s07_enforce_schema(spark, d):
+    """A batch with a whole-number key, a date and no sizes, in the types of a table that has them."""
+    batch = b.panel(spark, d).select(F.col("cert").cast("int").alias("cert"), "report_date")
+    return readers.enforce_schema(batch, schemas.struct(cert=schemas.NUMBER, report_date=schemas.TEXT, total_assets=schemas.REAL))
+
+
+@query("SELECT cert, bank_name FROM registry")
+def s14_switched(spark, d):
+    """Of two sources one is enabled."""
+    path = writers.shared_folder(spark)
+    b.registry(spark, d).select("cert", "bank_name").write.parquet(path)
+    assert readers.switched(spark, {"registry": path}, "events") is None
+    return readers.switched(spark, {"registry": path}, "registry")
+
+
+@query("SELECT cert, report_date, total_assets FROM panel WHERE report_date >= DATE '2001-01-01'", "total_assets")
+def s15_truncate_load(spark, d):
+    """Two loads of one table: the second replaces the first."""
+    path, rows = writers.shared_folder(spark), b.panel(spark, d).select("cert", "report_date", "total_assets")
+    writers.truncate_load(rows.filter("report_date < DATE'2001-01-01'"), path)
+    writers.truncate_load(rows.filter("report_date >= DATE'2001-01-01'"), path)
+    return staging.except_columns(readers.read_table(spark, path), "generated_at")
+
+
+@query("SELECT cert, report_date, total_assets, equity_to_assets FROM fact", "total_assets equity_to_assets")
+def s16_merge_fact(spark, d):
+    """An old half of the fact, other in its sizes, and then the whole: as a rebuild would give."""
+    fact = b.fact(spark, d).select("cert", "report_date", "total_assets", "equity_to_assets")
+    path = writers.shared_folder(spark)
+    writers.merge_fact(fact.filter("report_date < DATE'2001-01-01'").withColumn("total_assets", F.col("total_assets") + 1), path, ["cert", "report_date"], "report_date")
+    writers.merge_fact(fact, path, ["cert", "report_date"], "report_date")
+    return readers.read_table(spark, path).select(fact.columns)
+
+
+@query("SELECT CAST(cert AS VARCHAR) AS cert, bank_name, CASE WHEN is_active THEN 'true' ELSE 'false' END AS is_active FROM dim")
+def s17_exhibit(spark, d):
+    path = writers.shared_folder(spark)
+    writers.write_exhibit(b.dim(spark, d).select("cert", "bank_name", "is_active"), path)
+    return spark.read.csv(path, header=True)
+
+
+@query("SELECT strftime(report_date, '%Y%m%d') AS RISDATE, CAST(count(*) AS VARCHAR) AS ASSET FROM panel GROUP BY 1")
+def s19_export_csv(spark, d):
+    """A quoted export whose first name begins with a byte order mark."""
+    path = writers.shared_folder(spark)
+    rows = b.panel(spark, d).groupBy("report_date").count().select(F.date_format("report_date", "yyyyMMdd"), "count").toDF("\ufeffRISDATE", "ASSET")
+    rows.write.csv(path, header=True, quoteAll=True)
+    return readers.read_export_csv(spark, path)
+
+
 @query("SELECT cert, report_date, total_assets FROM panel WHERE total_assets >= 1000000", "total_assets")
 def s03_scope_filter(spark, d):
     return readers.scope_filter(b.panel(spark, d), "total_assets").select("cert", "report_date", "total_assets")
@@ -60,14 +126,15 @@ def s05_keyed_merge(spark, d):
     return writers.merged(held, batch, ["cert", "report_date"])
 
 
-@query("SELECT 'duplicate key' AS fault, count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)")
+@query("SELECT 'duplicate key' AS fault, count(*) AS n FROM (SELECT k FROM (SELECT nullif(o_custkey % 100, 0) AS k FROM orders) GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'null key', count(*) FROM orders WHERE o_custkey % 100 = 0")
 def s06_validate_batch(spark, d):
-    return writers.batch_faults(b.table(spark, d, "orders").select("o_custkey"), ["o_custkey"])
+    return writers.batch_faults(b.table(spark, d, "orders").select(F.nullif(F.col("o_custkey") % 100, F.lit(0)).alias("k")), ["k"])
 
 
 @query("SELECT count(*) AS row_count, max(report_date) AS max_value FROM panel")
 def s09_probes(spark, d):
-    return b.panel(spark, d).agg(F.count("*").alias("row_count"), F.max("report_date").alias("max_value"))
+    panel = b.panel(spark, d)
+    return spark.createDataFrame([(readers.row_count(panel), readers.max_value(panel, "report_date"))], "row_count bigint, max_value date")
 
 
 @query("SELECT CAST(max(strftime(report_date, '%Y%m%d')) AS VARCHAR) AS published, max(report_date) > (SELECT max(report_date) FROM panel WHERE report_date < DATE '2001-01-01') AS available FROM panel")
@@ -84,9 +151,12 @@ def s11_catalog_mismatches(spark, d):
     return readers.catalog_mismatches(titled, catalog)
 
 
-@query("SELECT count(*) AS events FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-15'")
+@query("SELECT strftime(ts, '%Y%m%d') AS event_date, event_name, 'u' || user_id AS user_pseudo_id, CAST(event_id AS VARCHAR) AS transaction_id FROM ev WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-15'")
 def s13_sharded_scan(spark, d):
-    return readers.sharded_scan(b.raw_events(spark, d), "20240110", "20240115").agg(F.count("*").alias("events"))
+    """Events in one folder a day; the scan lists the days asked for."""
+    path = writers.shared_folder(spark)
+    b.raw_events(spark, d).select("event_date", "event_name", "user_pseudo_id", F.col("ecommerce.transaction_id").alias("transaction_id")).write.partitionBy("event_date").parquet(path)
+    return readers.sharded_scan(readers.read_table(spark, path).withColumn("event_date", F.col("event_date").cast("string")), "20240110", "20240115")
 
 
 @query("SELECT cert, report_date, total_assets FROM panel WHERE report_date <= DATE '1999-06-30'", "total_assets")
@@ -132,6 +202,18 @@ def p10_session_events(spark, d):
     return e.groupBy("session_key").agg(F.count("*").alias("events"))
 
 
+@query("SELECT series_id, obs_date, value FROM weekly WHERE month(obs_date) <> 7", "value")
+def p03_stage_weekly(spark, d):
+    """Values as text, a dot in each July."""
+    raw = b.weekly(spark, d).select("series_id", F.lit("t").alias("series_title"), F.col("obs_date").cast("string").alias("obs_date"), F.when(F.month("obs_date") == 7, ".").otherwise(F.col("value").cast("string")).alias("value"))
+    return staging.stage_weekly(raw).drop("series_title")
+
+
+@query("SELECT * EXCLUDE (city, is_active) FROM registry")
+def p11_except_columns(spark, d):
+    return staging.except_columns(b.registry(spark, d), "city", "is_active", "state_name")
+
+
 # Panel
 
 
@@ -246,6 +328,14 @@ def b05_rank_differences(spark, d):
     return screen.rank_differences(ranked, pins)
 
 
+@query("SELECT CAST(f.cert AS BIGINT) AS cert, f.peer_band, f.composite_score, 1 + (SELECT count(*) FROM flags g WHERE g.report_date = f.report_date AND g.composite_score > f.composite_score) AS overall_rank, dim.bank_name FROM flags f JOIN dim USING (cert) WHERE f.report_date = DATE '1999-06-30' AND f.composite_score IS NOT NULL", "composite_score")
+def b06_run_backtest(spark, d):
+    """The whole backtest, which proves the frozen build against the full one, and its exhibit of all ranks."""
+    tables = {"financials": b.panel(spark, d), "registry": b.registry(spark, d), "failures": b.failures(spark, d)}
+    found = backtest.run_backtest(spark, tables, b.AS_OF, writers.shared_folder(spark), {"watched": [1, 2]}, b.BANDS)
+    return found["ranked_full"].select("cert", "peer_band", "composite_score", F.col("overall_rank").cast("bigint").alias("overall_rank"), "bank_name")
+
+
 @query("SELECT cert, band_rank, composite_score FROM ranked WHERE peer_band = 'small' AND is_active ORDER BY composite_score DESC, cert LIMIT 50", "composite_score")
 def b07_screen_view(spark, d):
     return screen.screen_view(_ranked(spark, d), "small").select("cert", "band_rank", "composite_score")
@@ -268,6 +358,11 @@ def b09_movers_in_band(spark, d):
     return screen.movers_in_band(screen.movers(flags), screen.rank_screen(flags, b.dim(spark, d), fact), "small").select("cert", "rank_label")
 
 
+@query("SELECT cert, round(composite_score, 2) AS composite_score, round(prior_score, 2) AS prior_score, round(score_change, 2) AS score_change, main_driver FROM moved", "composite_score prior_score score_change")
+def b10_movers_rounded(spark, d):
+    return screen.movers(b.flags(spark, d), digits=2).select("cert", "composite_score", "prior_score", "score_change", "main_driver")
+
+
 @query("SELECT peer_band, side, place, cert FROM (SELECT peer_band, cert, 'riser' AS side, row_number() OVER (PARTITION BY peer_band ORDER BY score_change DESC, cert) AS place FROM moved UNION ALL SELECT peer_band, cert, 'faller', row_number() OVER (PARTITION BY peer_band ORDER BY score_change, cert) FROM moved) WHERE place <= 15")
 def b11_top_n_per_side(spark, d):
     return screen.top_n_per_side(screen.movers(b.flags(spark, d))).select("peer_band", "side", "place", "cert")
@@ -283,6 +378,16 @@ def b13_top_of_bands(spark, d):
     return screen.top_of_bands(_ranked(spark, d)).select("cert", "peer_band", "band_rank")
 
 
+@query("SELECT r.cert, r.bank_name, peer_band, composite_score, band_rank || ' of ' || band_size AS band_rank_label, band_percentile, CASE r.cert WHEN 5 THEN 'Liquidated' ELSE strftime(dim.failure_date, 'Failed %b %Y') END AS outcome FROM ranked r JOIN dim ON dim.cert = r.cert WHERE (dim.is_failed AND year(dim.failure_date) = 2000) OR r.cert = 5", "composite_score band_percentile")
+def b13_outcomes(spark, d):
+    return screen.outcomes(_ranked(spark, d), b.dim(spark, d), 2000, {5: "Liquidated"})
+
+
+@query(f"SELECT r.cert, c.component, CASE c.component {' '.join(f"WHEN '{x}' THEN r.{x}" for x in peers.PARTS)} END AS z FROM ranked r, (VALUES {', '.join(f"('{x}')" for x in peers.PARTS)}) c(component)", "z")
+def b13_components_long(spark, d):
+    return screen.components_long(_ranked(spark, d))
+
+
 @query("SELECT cert, report_date, equity_to_assets FROM fact WHERE cert IN (1, 2, 3) AND report_date <= DATE '1999-06-30'", "equity_to_assets")
 def b13_input_trends(spark, d):
     return screen.input_trends(b.fact(spark, d), [1, 2, 3], b.AS_OF, ["equity_to_assets"])
@@ -308,6 +413,11 @@ def v03_markers(spark, d):
     return views.markers(_selection(spark, d))
 
 
+@query(f"SELECT cert, value, robust_z FROM ({SELECTION}) WHERE cert = 5", "value robust_z")
+def v04_highlight(spark, d):
+    return views.highlight(_selection(spark, d), 5).select("cert", "value", "robust_z")
+
+
 @query(f"SELECT cert, percentile, CASE WHEN percentile >= 0.9 THEN 'top' ELSE 'bottom' END AS decile FROM (SELECT cert, percent_rank() OVER (ORDER BY value) AS percentile FROM ({SELECTION})) WHERE percentile >= 0.9 OR percentile <= 0.1", "percentile")
 def v05_deciles(spark, d):
     return views.deciles(_selection(spark, d)).select("cert", "percentile", "decile")
@@ -333,9 +443,13 @@ def v09_screen_history(spark, d):
     return views.screen_history(b.flags(spark, d), 1)
 
 
-@query("SELECT s.metric, CASE WHEN s.metric IN ('nim_trend_4q', 'equity_to_assets') THEN -s.robust_z ELSE s.robust_z END AS z FROM scored s WHERE s.cert = 1 AND s.metric IN ('uninsured_deposit_share', 'brokered_deposit_share', 'securities_to_assets', 'asset_growth_3y_cagr', 'nim_trend_4q', 'equity_to_assets') AND s.report_date = (SELECT max(report_date) FROM flags WHERE cert = 1)", "z")
+@query("SELECT metric, z, value, peer_median, printf('%.2f', z) AS z_text, printf('%.2f', value) AS value_text, CAST(row_number() OVER (ORDER BY abs(z) DESC NULLS LAST, metric) AS INTEGER) AS line FROM (SELECT s.metric, value, peer_median, CASE WHEN s.metric IN ('nim_trend_4q', 'equity_to_assets') THEN -s.robust_z ELSE s.robust_z END AS z FROM scored s WHERE s.cert = 1 AND s.metric IN ('uninsured_deposit_share', 'brokered_deposit_share', 'securities_to_assets', 'asset_growth_3y_cagr', 'nim_trend_4q', 'equity_to_assets') AND s.report_date = (SELECT max(report_date) FROM flags WHERE cert = 1)) WHERE z IS NOT NULL", "z value peer_median")
 def v09_screen_now(spark, d):
-    return views.screen_now(b.flags(spark, d), b.scored(spark, d), 1, {m: col for m, (_, col) in peers.SIGNS.items()}).select("metric", "z")
+    """In the order of the view, which the line number shows."""
+    now = views.screen_now(b.flags(spark, d), b.scored(spark, d), 1, {m: col for m, (_, col) in peers.SIGNS.items()})
+    rows = now.select("metric", "z", "value", "peer_median", "z_text", "value_text").collect()  # one entity's screened metrics
+    kept = [(*r, k + 1) for k, r in enumerate(rows) if r.z is not None]
+    return spark.createDataFrame(kept, "metric string, z double, value double, peer_median double, z_text string, value_text string, line int")
 
 
 @query("SELECT cert, bank_name || ' — ' || city || ', ' || state_code AS label FROM registry")
@@ -619,6 +733,11 @@ def f09_publish(spark, d):
     return _in_millions(fc.publish(w, fc.evaluate(w)), ["point", "lower", "upper"])
 
 
+@query(f"SELECT series_id, method, round(mape, 3) AS mape, round(smape, 3) AS smape, CASE WHEN published THEN 'published' ELSE 'not used' END AS status FROM ({oracle.EVALUATE})", "mape smape")
+def v17_forecast_scoreboard(spark, d):
+    return views.forecast_scoreboard(fc.evaluate(b.weekly(spark, d)))
+
+
 # Data quality
 
 
