@@ -154,3 +154,34 @@ def test_stream_catches_up_and_repeats_nothing(spark, tmp_path):
     run()
     run()
     assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(1, 3.0, 3), (2, 4.0, 3)]
+
+
+def test_upserts_leave_nothing_beside_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda v: spark.createDataFrame([(k, k % 3, v) for k in range(9)], "k int, part int, v string")
+    for by in (["part"], None):
+        for value in ("old", "new"):
+            writers.keyed_upsert(rows(value), path + str(by is None), ["k", "part"], by)
+        assert {r.v for r in spark.read.parquet(path + str(by is None)).collect()} == {"new"}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["tFalse", "tTrue"]
+
+
+def test_a_failed_swap_puts_the_old_table_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(OSError, match="as it was"):
+        writers._swap(spark, str(tmp_path / "never written"), path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "local-cluster[3,2,1024]"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        writers.shared_folder(Session())
+    assert writers.shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
