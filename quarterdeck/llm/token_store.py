@@ -33,8 +33,8 @@ from quarterdeck.llm.wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
-SLICE_BYTES = 4 << 20
-CACHED_WORDS = 400_000
+SLICE_BYTES = 6 << 20
+CACHED_WORDS = 600_000
 SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens long, matrix binary"
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
