@@ -19,13 +19,12 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most ``limit`` bytes of text, or of one row; what Arrow no longer needs goes back to the system between them."""
+    """Ranges of rows of at most ``limit`` bytes of text, or of one row; what Arrow no longer needs goes back to the system after the last."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
     begin = held = 0
     for i, n in enumerate(lengths.tolist()):
         if held and held + n > limit:
             yield begin, i
-            pa.default_memory_pool().release_unused()
             begin, held = i, 0
         held += n
     if begin < len(lengths):
