@@ -148,15 +148,17 @@ def merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def links(points: DataFrame, max_bits: int = MAX_BITS, n_blocks: int = 3, leaf_size: int = 4096, most_sampled: int = MOST_SAMPLED) -> DataFrame:
     """(a, b) nodes that connect all points (``node``, ``fp``; distinct fingerprints) within ``max_bits`` of each other.
 
-    ``most_sampled`` bounds the fingerprints that shape the trees on the driver;
-    below it there are sixteen for each leaf.
+    ``most_sampled`` bounds (nearly: twice as many at most, by hash) the fingerprints
+    that shape the trees on the driver; below it there are sixteen for each leaf.
     """
     spark = points.sparkSession
     reach, width = max_bits // n_blocks, -(-64 // n_blocks)
     masks = [np.uint64(((1 << min(width, 64 - width * k)) - 1) << (width * k)) for k in range(n_blocks)]
     total = points.count()
     sample = min(most_sampled, max(65_536, 16 * total // leaf_size))
-    some = points.orderBy(F.xxhash64("fp"), "fp").limit(sample).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    # By hash, so that no task sends more than its share to the driver.
+    share = F.pmod(F.xxhash64("fp"), F.lit(max(1, total // sample))) == 0
+    some = np.sort(points.filter(share).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64))
     leaf_points = max(8, int(leaf_size * len(some) / max(1, total)))
     trees = spark.sparkContext.broadcast([_tree(some & m, leaf_points) for m in masks])
 

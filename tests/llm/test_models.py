@@ -208,3 +208,12 @@ def test_toxicity_defined_cases(spark, odd):
     assert toxicity.scored(odd.limit(0), lexicon).count() == 0
     none = toxicity.fit(docs, labels.filter("toxic = 1"), F.lit(True))
     assert none.weights == {} and {round(r.toxicity.score, 3) for r in toxicity.scored(docs, none).collect()} == {0.0}
+
+
+def test_the_sample_is_the_smallest_hashes(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("y")).unionByName(docs.select("doc_id", F.lit(0).alias("y")))
+    every = [r.doc_id for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    for bound in (10, 700, 800, 5000):
+        found = sampling.labelled(docs, labels, "y", F.lit(True), bound, into="got").collect()
+        assert {r.doc_id for r in found} == set(every[:bound]) and all(r.got == r.doc_id % 2 for r in found)
