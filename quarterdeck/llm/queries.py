@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import decontaminate, fingerprints, langid, language_model, mixing, quality, sampling, sharding, simhash, token_store, toxicity
+from quarterdeck.llm import decontaminate, fingerprints, langid, language_model, merkle, minmax, mixing, negatives, quality, sampling, sharding, simhash, token_store, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -83,6 +83,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minmax_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), given=merkle.lowered())
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(negatives.prepared(table(spark, sf_dir, "embeddings"), label=label), F.col("id") % 100 == 0)
+
+
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP9_SQL = r"""
@@ -189,6 +203,92 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 5) AS lo
        round(coalesce(s / nullif(len(w), 0), 0), 5) AS score FROM w LEFT JOIN scores USING (doc_id)
 """
 
+OP11_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id) p
+  JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+
+def _levels_sql(name: str, first: str, levels: int) -> tuple[str, str]:
+    """Tables ``name``0, ``name``1, ... of (tree, pos, n, h) from ``first``, each with the hashes of runs of 16 of the one before, and of (tree, run, hs) runs."""
+    steps = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        steps.append(f"{name}_runs{k} AS (SELECT tree, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM {name}{k} WHERE n > 1 GROUP BY tree, pos // 16)")
+        up = f"SELECT r.tree, run AS pos, (t.n + 15) // 16 AS n, sha256(array_to_string(hs, '')) AS h FROM {name}_runs{k} r JOIN (SELECT DISTINCT tree, n FROM {name}{k}) t USING (tree)"
+        steps.append(f"{name}{k + 1} AS (SELECT * FROM {name}{k} WHERE n = 1 UNION ALL {up})")
+    return ",\n".join(steps), f"{name}{levels}"
+
+
+def _fold_sql(name: str, levels: int, before: str, tree: str, pos: str) -> tuple[str, str]:
+    """Tables that take (id, proof, shown) up the levels of ``name`` from table ``before``, whose ``tree`` and ``pos`` place a row."""
+    steps = []
+    for k in range(levels):
+        j = f"(f.{pos} // {16**k}) % 16"
+        left, right = f"coalesce(array_to_string(list_slice(hs, 1, {j}), ''), '')", f"coalesce(array_to_string(list_slice(hs, {j} + 2, 16), ''), '')"
+        steps.append(
+            f"{name}_fold{k} AS (SELECT f.* REPLACE (CASE WHEN hs IS NULL THEN proof ELSE proof || {left} || {right} END AS proof, CASE WHEN hs IS NULL THEN shown ELSE sha256({left} || shown || {right}) END AS shown) "
+            f"FROM {before} f LEFT JOIN {name}_runs{k} r ON r.tree = f.{tree} AND r.run = f.{pos} // {16 ** (k + 1)})"
+        )
+        before = f"{name}_fold{k}"
+    return ",\n".join(steps), before
+
+
+def _op12_sql(levels: int = 6, top_levels: int = 3) -> str:
+    field = lambda c: f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    inner, last = _levels_sql("inner", "SELECT tree, pos, n, h FROM placed", levels)
+    outer, top = _levels_sql("outer", f"SELECT 0 AS tree, tree AS pos, (SELECT count(DISTINCT tree) FROM placed) AS n, h FROM {last}", top_levels)
+    fold, folded = _fold_sql("inner", levels, "began", "tree", "pos")
+    rest, done = _fold_sql("outer", top_levels, folded, "zero", "tree")
+    table = ",\n".join(f"c{k} AS (SELECT i, xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END) AS x FROM c{k - 1})" for k in range(1, 9))
+    return rf"""
+WITH c0 AS (SELECT CAST(range AS BIGINT) AS i, CAST(range AS BIGINT) AS x FROM range(256)),
+{table},
+crc AS (SELECT list(x ORDER BY i) AS t FROM c8),
+hit AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: xor(a >> 8, t[1 + xor(a, b) % 256])), 4294967295) % 5 = 0 AS hit FROM documents, crc
+), leaves AS (
+  SELECT doc_id, source, {leaf("text")} AS h, {leaf("CASE WHEN hit THEN translate(text, " + _LETTERS + ") ELSE text END")} AS shown FROM hit
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h, shown) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves
+), {inner},
+{outer},
+began AS (SELECT doc_id, h AS leaf, '' AS proof, shown, tree, pos, 0 AS zero FROM placed),
+{fold},
+{rest}
+SELECT f.doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, shown AS folded_root, shown = t.h AS verified
+FROM {done} f JOIN {last} s ON s.tree = f.tree, {top} t
+"""
+
+
+OP12_SQL = _op12_sql()
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 5
+"""
+
 _ALL = (
     op1_shard_lookup,
     op2_stupid_backoff,
@@ -201,6 +301,9 @@ _ALL = (
     op8_quality_fm,
     op9_systematic_mix,
     op10_decontamination,
+    op11_minmax_groups,
+    op12_merkle_manifest,
+    op13_hard_negatives,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op2_stupid_backoff": OP2_SQL, "op2_stupid_backoff_own_corpus": OP2_OWN_CORPUS_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL}
+ORACLES = {"op2_stupid_backoff": OP2_SQL, "op2_stupid_backoff_own_corpus": OP2_OWN_CORPUS_SQL, "op9_systematic_mix": OP9_SQL, "op10_decontamination": OP10_SQL, "op11_minmax_groups": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_hard_negatives": OP13_SQL}
