@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.columns import pair_corr
+from quarterdeck.operators.orderstats import IN_MEMORY, largest_group, medians
 
 CLAMP, SCALE = 5.0, 1.4826
 #: Metrics scored within size bands, and within business models.
@@ -43,39 +44,72 @@ def unpivot_metrics(fact: DataFrame, ids: list[str], metrics: list[str]) -> Data
     return fact.unpivot(ids, metrics, "metric", "value").filter(F.col("value").isNotNull())
 
 
-def group_median(long: DataFrame, by: list[str], value: str = "value", into: str = "peer_median") -> DataFrame:
-    """Exact median, interpolated: a partial and final aggregate instead of a window over whole groups."""
-    return long.groupBy(*by).agg(F.median(value).alias(into), F.count(value).alias("peer_count"))
+def group_median(long: DataFrame, by: list[str], value: str = "value", into: str = "peer_median", in_memory: int = IN_MEMORY) -> DataFrame:
+    """Exact median, interpolated, and number of values of each group."""
+    return medians(long, by, {"x": F.col(value)}, in_memory).select(*by, F.col("x_median").alias(into), F.col("x_count").alias("peer_count"))
 
 
-def with_group_mad(long: DataFrame, by: list[str], value: str = "value") -> DataFrame:
-    """Rows with their group's median, count and median distance from the median; each row meets its median once."""
-    near = long.join(group_median(long, by, value), by)
-    spread = near.groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("peer_median"))).alias("peer_mad"))
-    return near.join(spread, by)
+def group_mad(long: DataFrame, by: list[str], value: str = "value", in_memory: int = IN_MEMORY) -> DataFrame:
+    """(by, peer_median, peer_count, peer_mad): median distance from the median."""
+    return _longer(wide_stats(long, by, [value], in_memory), by, [value]).drop("metric")
 
 
-def group_mad(long: DataFrame, by: list[str], value: str = "value") -> DataFrame:
-    """(by, peer_median, peer_count, peer_mad): median distance from the median."""
-    near = long.join(group_median(long, by, value), by)
-    mad = F.median(F.abs(F.col(value) - F.col("peer_median"))).alias("peer_mad")
-    return near.groupBy(*by, "peer_median", "peer_count").agg(mad)
+def wide_stats(fact: DataFrame, by: list[str], metrics: list[str], in_memory: int = IN_MEMORY) -> DataFrame:
+    """(by, one struct for each metric: peer_median, peer_count, peer_mad): two aggregates over wide rows, for all metrics at once."""
+    rows = fact.select(*by, *metrics)
+    largest = largest_group(rows, by)
+    middle = medians(rows, by, {m: F.col(m) for m in metrics}, in_memory, largest)
+    near = rows.join(middle, by)
+    spread = medians(near, by, {m: F.abs(F.col(m) - F.col(f"{m}_median")) for m in metrics}, in_memory, largest)
+    kept = spread.select(*by, *[F.col(f"{m}_median").alias(f"{m}_mad") for m in metrics])
+    stats = [F.struct(F.col(f"{m}_median").alias("peer_median"), F.col(f"{m}_count").alias("peer_count"), F.col(f"{m}_mad").alias("peer_mad")).alias(m) for m in metrics]
+    return middle.join(kept, by).select(*by, *stats)
+
+
+def group_stats(fact: DataFrame, by: list[str], metrics: list[str], in_memory: int = IN_MEMORY) -> DataFrame:
+    """(by, metric, peer_median, peer_count, peer_mad) of metrics that a group has values of."""
+    return _longer(wide_stats(fact, by, metrics, in_memory), by, metrics)
 
 
-def robust_z(value: str = "value", clamp: float | None = CLAMP, scale: float = SCALE) -> Column:
-    """Distance from the median in scaled MADs, clamped; null where the MAD is zero."""
-    z = (F.col(value) - F.col("peer_median")) / (scale * F.col("peer_mad"))
+def _longer(wide: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
+    """(ids, metric, the struct's fields): a row for each metric whose count isn't zero, made where the wide row is."""
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), *[F.col(m)[f].alias(f) for f in wide.schema[m].dataType.names]) for m in metrics])
+    return wide.select(*ids, F.inline(F.filter(rows, lambda r: r["peer_count"] > 0)))
+
+
+def robust_z(value: str | Column = "value", clamp: float | None = CLAMP, scale: float = SCALE, median: str | Column = "peer_median", mad: str | Column = "peer_mad") -> Column:
+    """Distance from the median in scaled MADs, clamped; null where there is no value or the MAD is zero."""
+    value, median, mad = (F.col(x) if isinstance(x, str) else x for x in (value, median, mad))
+    z = (value - median) / (scale * mad)
     if clamp is not None:
         z = F.greatest(F.lit(-clamp), F.least(F.lit(clamp), z))
-    return F.when(F.col("peer_mad") > 0, z)
+    return F.when((mad > 0) & value.isNotNull(), z)  # the bounds would stand in for a null
+
 
+def wide_scores(fact: DataFrame, metrics: list[str], group: str, clamp: float = CLAMP, scale: float = SCALE, date: str = "report_date", in_memory: int = IN_MEMORY) -> DataFrame:
+    """Rows that have a group, with a struct of each metric in ``_m``: value, its group's median, count and MAD, and its z-score, clamped and not."""
+    by = [date, group]
+    rows = fact.filter(F.col(group).isNotNull() & F.col(date).isNotNull())
+    stats = wide_stats(rows, by, metrics, in_memory).select(*by, F.struct(*metrics).alias("_stats"))
 
-def peer_stats(fact: DataFrame, ids: list[str], metrics: list[str], group: str, clamp: float = CLAMP, scale: float = SCALE, unclamped: bool = True, date: str = "report_date") -> DataFrame:
-    """One row per entity, period and metric, with its group's median and MAD and its z-score. Rows without a group are dropped."""
-    by = ["metric", date, group]
-    long = unpivot_metrics(fact.filter(F.col(group).isNotNull()), [*dict.fromkeys([*ids, date, group])], metrics)
-    scored = with_group_mad(long, by).withColumn("robust_z", robust_z(clamp=clamp, scale=scale))
-    return scored.withColumn("robust_z_unclamped", robust_z(clamp=None, scale=scale)) if unclamped else scored
+    def scored(m: str) -> Column:
+        value, s = F.col(m).cast("double"), F.col("_stats")[m]
+        z = lambda c: robust_z(value, c, scale, s["peer_median"], s["peer_mad"])
+        return F.struct(value.alias("value"), *[s[f].alias(f) for f in ("peer_median", "peer_count", "peer_mad")], z(clamp).alias("robust_z"), z(None).alias("robust_z_unclamped"))
+
+    return rows.join(stats, by).withColumn("_m", F.struct(*[scored(m).alias(m) for m in metrics])).drop("_stats")
+
+
+def peer_stats(fact: DataFrame, ids: list[str], metrics: list[str], group: str, clamp: float = CLAMP, scale: float = SCALE, unclamped: bool = True, date: str = "report_date", in_memory: int = IN_MEMORY) -> DataFrame:
+    """One row per entity, period and metric, with its group's median and MAD and its z-score. Rows without a group are dropped.
+
+    Groups are joined to wide rows, which become long only after that. ``fact`` is
+    read for each aggregate, so it should be a written table.
+    """
+    wide = wide_scores(fact, metrics, group, clamp, scale, date, in_memory)
+    fields = ["value", "peer_median", "peer_count", "peer_mad", "robust_z", *(["robust_z_unclamped"] if unclamped else [])]
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), *[F.col("_m")[m][f].alias(f) for f in fields]) for m in metrics])
+    return wide.select(*dict.fromkeys([*ids, date, group]), F.inline(F.filter(rows, lambda r: r["value"].isNotNull())))
 
 
 def peer_percentiles(fact: DataFrame) -> DataFrame:
@@ -100,6 +134,16 @@ def composite(scored: DataFrame, ids: tuple[str, ...] = ("cert", "report_date",
     return risk_signed(scored, signs).groupBy(*ids).agg(F.avg("risk_signed_z").alias("composite_score"), F.count("risk_signed_z").alias("n_screen_metrics"), *part)
 
 
+def screen_flags(fact: DataFrame, ids: tuple[str, ...] = ("cert", "report_date", "peer_band"), signs: dict[str, tuple[int, str]] = SIGNS, group: str = "peer_band", clamp: float = CLAMP, in_memory: int = IN_MEMORY) -> DataFrame:
+    """The composite of a fact with one row per entity and period, from the wide row: what ``composite`` makes of its scores, without a shuffle of rows."""
+    wide = wide_scores(fact, list(signs), group, clamp, in_memory=in_memory)
+    parts = {c: F.col("_m")[m]["robust_z"] * float(sign) for m, (sign, c) in signs.items()}
+    held = wide.filter(F.coalesce(*[F.col("_m")[m]["value"] for m in signs]).isNotNull()).withColumns(parts)
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in list(parts)), F.lit(0.0))
+    n = sum((F.col(c).isNotNull().cast("bigint") for c in parts), F.lit(0).cast("bigint"))
+    return held.select(*ids, F.try_divide(total, n).alias("composite_score"), n.alias("n_screen_metrics"), *parts)
+
+
 def metric_correlation(flags: DataFrame, parts: list[str] = PARTS, digits: int = 2) -> DataFrame:
     """(metric_x, metric_y, correlation) in both orders, from one aggregate of all pairs."""
     pairs = list(combinations(parts, 2))

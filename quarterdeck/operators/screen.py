@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.operators.peers import PARTS
+from quarterdeck.operators.ranks import with_ranks
+from quarterdeck.sources.writers import materialized
 
 
 def latest(df: DataFrame, date: str = "report_date") -> DataFrame:
@@ -17,20 +19,9 @@ def latest(df: DataFrame, date: str = "report_date") -> DataFrame:
 def rank_screen(flags: DataFrame, dim: DataFrame, fact: DataFrame, as_of=None, date: str = "report_date") -> DataFrame:
     """Ranks of one quarter's scored entities in their band and overall: the last, or the one at ``as_of``."""
     quarter = flags.filter(F.col(date) == F.lit(as_of)) if as_of else latest(flags, date)
-    rows = quarter.filter("composite_score IS NOT NULL")
-    band, overall = Window.partitionBy("peer_band"), Window.partitionBy()
-    down, up = F.col("composite_score").desc(), F.col("composite_score").asc()
-    ranked = rows.withColumns(
-        {
-            "band_rank": F.rank().over(band.orderBy(down)),
-            "band_size": F.count("*").over(band),
-            "band_percentile": F.percent_rank().over(band.orderBy(up)),
-            # One quarter's rows only: as many as there are entities.
-            "overall_rank": F.rank().over(Window.orderBy(down)),
-            "overall_size": F.count("*").over(overall),
-            "overall_percentile": F.percent_rank().over(Window.orderBy(up)),
-        }
-    )
+    # One quarter's rows are read for several aggregates.
+    rows = materialized(quarter.filter("composite_score IS NOT NULL"))
+    ranked = with_ranks(rows, "composite_score", {"band": ["peer_band"], "overall": []})
     names = dim.select("cert", "bank_name", "is_active", "is_failed")
     facts = fact.select("cert", date, "total_assets", "likely_merger_quarter", "business_model")
     return ranked.join(names, "cert").join(facts, ["cert", date], "left")

@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.columns import quarter_tag
+from quarterdeck.operators.ranks import with_ranks
 from quarterdeck.operators.screen import latest
+from quarterdeck.sources.writers import materialized
 
 
 def pick_list(df: DataFrame, column: str, labels: dict[str, str] | None = None) -> DataFrame:
@@ -39,9 +41,9 @@ def highlight(selection: DataFrame, entity: int) -> DataFrame:
 
 def deciles(selection: DataFrame) -> DataFrame:
     """The top and bottom tenth of a selection."""
-    rank = selection.withColumn("percentile", F.percent_rank().over(Window.partitionBy("report_date", "metric").orderBy(F.col("value").asc())))
+    rank = with_ranks(materialized(selection), "value", {"value": ["report_date", "metric"]}).withColumnRenamed("value_percentile", "percentile")
     side = F.when(F.col("percentile") >= 0.9, "top").when(F.col("percentile") <= 0.1, "bottom")
-    return rank.withColumn("decile", side).filter("decile IS NOT NULL")
+    return rank.drop("value_rank", "value_size").withColumn("decile", side).filter("decile IS NOT NULL")
 
 
 def availability(scored: DataFrame, group: str, value: str) -> DataFrame:

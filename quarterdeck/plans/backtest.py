@@ -17,9 +17,7 @@ class LeakError(ValueError):
 def marts(tables: dict[str, DataFrame], bands=p.BANDS) -> dict[str, DataFrame]:
     """Fact, dimension and flags of staged ``financials``, ``registry`` and ``failures``."""
     fact = materialized(p.build_fact(tables["financials"], tables["registry"], bands))
-    ids = ["cert", "report_date", "peer_band"]
-    flags = peers.composite(peers.peer_stats(fact, ids, list(peers.SIGNS), "peer_band", unclamped=False))
-    return {"fact": fact, "dim": p.dim_entities(tables["registry"], tables["financials"], tables["failures"]), "flags": flags}
+    return {"fact": fact, "dim": p.dim_entities(tables["registry"], tables["financials"], tables["failures"]), "flags": peers.screen_flags(fact)}
 
 
 def run_backtest(spark: SparkSession, tables: dict[str, DataFrame], as_of: date, path: str, labels: dict[str, list[int]], bands=p.BANDS, expected: DataFrame | None = None) -> dict[str, DataFrame]:

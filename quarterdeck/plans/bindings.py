@@ -123,9 +123,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flags(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
-    """Composite scores of a fact; only the screened metrics are unpivoted."""
-    f = fact(spark, sf_dir) if of is None else of
-    return peers.composite(peers.peer_stats(f, ["cert", "report_date", "peer_band"], list(peers.SIGNS), "peer_band", unclamped=False))
+    """Composite scores of a fact."""
+    return peers.screen_flags(fact(spark, sf_dir) if of is None else of)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

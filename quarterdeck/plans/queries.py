@@ -253,8 +253,8 @@ def r01_unpivot_metrics(spark, d):
 
 @query("SELECT metric, report_date, peer_band, peer_median, peer_count, peer_mad FROM stats", "peer_median peer_mad")
 def r03_group_mad(spark, d):
-    long = peers.unpivot_metrics(b.fact(spark, d).filter("peer_band IS NOT NULL"), ["cert", "report_date", "peer_band"], peers.BAND_METRICS)
-    return peers.group_mad(long, ["metric", "report_date", "peer_band"])
+    """All metrics at once, from wide rows."""
+    return peers.group_stats(b.fact(spark, d).filter("peer_band IS NOT NULL"), ["report_date", "peer_band"], peers.BAND_METRICS)
 
 
 @query("SELECT cert, report_date, peer_band, metric, value, peer_median, peer_count, robust_z, robust_z_unclamped FROM scored", "value peer_median robust_z robust_z_unclamped")
@@ -269,7 +269,14 @@ def r06_model_percentiles(spark, d):
 
 @query("SELECT * FROM flags", "composite_score z_uninsured_share z_brokered_share z_securities_share z_asset_growth_3y z_nim_trend z_equity_ratio")
 def r08_composite(spark, d):
-    return b.flags(spark, d)
+    """From the long scores; the screen takes the same from wide rows."""
+    return peers.composite(peers.peer_stats(b.fact(spark, d), ["cert", "report_date", "peer_band"], list(peers.SIGNS), "peer_band", unclamped=False))
+
+
+@query("SELECT * FROM flags", "composite_score z_uninsured_share z_brokered_share z_securities_share z_asset_growth_3y z_nim_trend z_equity_ratio")
+def r08_screen_flags(spark, d):
+    """From wide rows, with ranges refined in the larger groups."""
+    return peers.screen_flags(b.fact(spark, d), in_memory=16)
 
 
 @query(oracle.CORRELATION, "correlation")
