@@ -12,10 +12,10 @@ from quarterdeck.functions import columns as c
 from quarterdeck.operators import experiment as x
 from quarterdeck.operators import forecast as fc
 from quarterdeck.operators import panel as p
-from quarterdeck.operators import peers, product, quality, screen, staging, views
+from quarterdeck.operators import changes, peers, product, quality, screen, staging, views
 from quarterdeck.plans import backtest, oracle
 from quarterdeck.plans import bindings as b
-from quarterdeck.sources import readers, writers
+from quarterdeck.sources import readers, versioned, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,6 +86,40 @@ def s16_merge_fact(spark, d):
     return readers.read_table(spark, path).select(fact.columns)
 
 
+@query("SELECT cert, report_date, total_assets, asset_growth_yoy, asset_growth_3y_cagr, nim_trend_4q FROM fact", "total_assets asset_growth_yoy asset_growth_3y_cagr nim_trend_4q")
+def s16_change_sets(spark, d):
+    """The fact from a panel with some quarters otherwise, one too many and some missing, then brought up to date by change sets."""
+    source, registry = b.panel(spark, d), b.registry(spark, d)
+    build = lambda rows: p.build_fact(rows, registry, b.BANDS)
+    picked = F.pmod(F.xxhash64("cert", "report_date"), F.lit(40))
+    other = source.filter(picked != 0).withColumn("total_assets", F.when(picked == 1, F.col("total_assets") * 2).otherwise(F.col("total_assets")))
+    extra = source.filter(picked == 2).withColumn("report_date", F.last_day(F.add_months("report_date", -600)))
+    path = writers.shared_folder(spark)
+    changes.maintain(other.unionByName(extra), path, build, buckets=8)
+    changes.maintain(source, path, build, buckets=8)
+    return versioned.read(spark, f"{path}/fact").select("cert", "report_date", "total_assets", "asset_growth_yoy", "asset_growth_3y_cagr", "nim_trend_4q")
+
+
+@query("SELECT cert, report_date, CASE WHEN report_date >= DATE '2001-01-01' THEN total_assets + 1 ELSE total_assets END AS total_assets FROM panel", "total_assets")
+def s05_versioned_upsert(spark, d):
+    """The same by versions: written, merged and read back."""
+    held = b.panel(spark, d).select("cert", "report_date", "total_assets")
+    path = writers.shared_folder(spark)
+    versioned.upsert(held.filter(F.col("report_date") < F.lit(date(2001, 7, 1))), path, ["cert", "report_date"], buckets=8)
+    versioned.upsert(held.filter(F.col("report_date") >= F.lit(date(2001, 1, 1))).withColumn("total_assets", F.col("total_assets") + 1), path, ["cert", "report_date"])
+    return versioned.read(spark, path)
+
+
+@query("SELECT cert, report_date, total_assets FROM panel", "total_assets")
+def s08_ensure_table(spark, d):
+    """A typed table for a source that has no data yet: made empty, filled, and found again as it is."""
+    rows = b.panel(spark, d).select("cert", "report_date", "total_assets")
+    path, schema = writers.shared_folder(spark), rows.schema
+    assert versioned.ensure(spark, path, schema, ["cert", "report_date"], buckets=4).isEmpty()
+    versioned.upsert(rows, path, ["cert", "report_date"])
+    return versioned.ensure(spark, path, schema, ["cert", "report_date"])
+
+
 @query("SELECT CAST(cert AS VARCHAR) AS cert, bank_name, CASE WHEN is_active THEN 'true' ELSE 'false' END AS is_active FROM dim")
 def s17_exhibit(spark, d):
     path = writers.shared_folder(spark)

@@ -94,8 +94,12 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def sharded_scan(df: DataFrame, start: str, end: str, shard: str = "event_date") -> DataFrame:
-    """Daily shards between two bounds; on a table partitioned by ``shard`` other folders are not listed."""
-    return df.filter(F.col(shard).cast("string").between(start, end))
+    """Daily shards between two bounds; on a table partitioned by ``shard`` other folders are not listed.
+
+    The bounds take the column's type, so that a metastore can prune too.
+    """
+    kind = df.schema[shard].dataType
+    return df.filter(F.col(shard).between(F.lit(start).cast(kind), F.lit(end).cast(kind)))
 
 
 def switched(spark: SparkSession, config: dict[str, str], name: str, schema: StructType | None = None) -> DataFrame | None:
