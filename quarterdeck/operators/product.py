@@ -1,5 +1,7 @@
 """Event normalisation, sessions and the product marts built from them."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -8,6 +10,8 @@ from quarterdeck.functions.columns import param_int, param_repeated, param_str,
 #: Funnel events and the session column that counts each.
 COUNTED = {"page_view": "pageviews", "view_item": "items_viewed", "add_to_cart": "carts", "begin_checkout": "checkouts", "purchase": "purchases"}
 WEEKS = 12
+#: Weeks are counted from here.
+MONDAY = date(1970, 1, 5)
 
 
 def normalize_events(raw: DataFrame) -> DataFrame:
@@ -101,15 +105,34 @@ def closed_funnel(s: DataFrame) -> DataFrame:
     )
 
 
+def week_masks(s: DataFrame, weeks: int = WEEKS) -> DataFrame:
+    """(user, cohort_index, mask): each user's first active week, counted in weeks since a Monday, and a bit for each of the ``weeks`` after it that is active too.
+
+    Weeks are bits of spans that overlap by ``weeks``, so the span in which a user
+    begins holds all that counts, however long the history.
+    """
+    if not 0 < weeks <= 30:
+        raise ValueError("a mask holds up to 30 weeks")
+    span = 62 - weeks
+    index = F.floor(F.datediff("session_date", F.lit(MONDAY)) / 7).cast("long")
+    at = F.pmod(index, F.lit(span))
+    place = lambda back: F.struct((F.floor((index - at) / span).cast("long") - back).alias("span"), (at + back * span).cast("int").alias("bit"))
+    held = s.select("user_pseudo_id", F.explode(F.when(at < weeks, F.array(place(0), place(1))).otherwise(F.array(place(0)))).alias("_p"))
+    masks = held.groupBy("user_pseudo_id", F.col("_p.span").alias("span")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_p.bit"))).alias("mask"))
+    begins = F.col("mask").bitwiseAND(F.lit((1 << span) - 1)) != 0
+    first = masks.filter(begins).groupBy("user_pseudo_id").agg(F.min("span").alias("span"), F.min_by("mask", "span").alias("mask"))
+    low = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - 1).cast("int")
+    return first.select("user_pseudo_id", (F.col("span") * span + low).alias("cohort_index"), F.call_function("shiftright", F.col("mask"), low).bitwiseAND(F.lit((1 << weeks + 1) - 1)).alias("mask"))
+
+
 def retention(s: DataFrame, weeks: int = WEEKS) -> DataFrame:
-    """Share of each cohort active in each later week. The cohort is the user's first week, found in the users' own shuffle."""
-    active = s.select("user_pseudo_id", week_of("session_date").alias("week")).distinct()
-    active = active.withColumn("cohort_week", F.min("week").over(Window.partitionBy("user_pseudo_id")))
-    active = active.withColumn("week_number", F.floor(F.datediff("week", "cohort_week") / 7))
-    # In week 0 every user of the cohort is active.
-    counts = active.groupBy("cohort_week", "week_number").agg(F.count("*").alias("active_users"))
-    size = F.max(F.when(F.col("week_number") == 0, F.col("active_users"))).over(Window.partitionBy("cohort_week"))
-    return counts.withColumn("cohort_size", size).filter(F.col("week_number") <= weeks).withColumn("retention_pct", F.try_divide("active_users", "cohort_size"))
+    """Share of each cohort active in each later week; the cohort is the user's first week. A user is one mask of weeks, a cohort one row of sums."""
+    bit = lambda k: F.call_function("shiftright", F.col("mask"), F.lit(k)).bitwiseAND(F.lit(1).cast("long"))
+    sums = week_masks(s, weeks).groupBy("cohort_index").agg(F.count("*").alias("cohort_size"), *[F.sum(bit(k)).alias(f"_{k}") for k in range(weeks + 1)])
+    rows = F.array(*[F.struct(F.lit(k).cast("long").alias("week_number"), F.col(f"_{k}").alias("active_users")) for k in range(weeks + 1)])
+    cohort = F.date_add(F.lit(MONDAY), (F.col("cohort_index") * 7).cast("int")).alias("cohort_week")
+    long = sums.select(cohort, "cohort_size", F.inline(F.filter(rows, lambda r: r["active_users"] > 0)))
+    return long.withColumn("retention_pct", F.try_divide("active_users", "cohort_size"))
 
 
 def retention_grid(r: DataFrame, weeks: int = WEEKS) -> DataFrame:

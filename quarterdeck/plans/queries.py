@@ -12,7 +12,7 @@ from quarterdeck.functions import columns as c
 from quarterdeck.operators import experiment as x
 from quarterdeck.operators import forecast as fc
 from quarterdeck.operators import panel as p
-from quarterdeck.operators import changes, peers, product, quality, screen, staging, views
+from quarterdeck.operators import changes, peers, product, quality, screen, staging, user_sets, views
 from quarterdeck.plans import backtest, oracle
 from quarterdeck.plans import bindings as b
 from quarterdeck.sources import readers, versioned, writers
@@ -630,6 +630,26 @@ def g10_window_totals(spark, d):
     return product.window_totals(product.daily(b.sessions(spark, d)))
 
 
+@query("SELECT d.date AS last, count(DISTINCT user_pseudo_id) AS users, count(*) AS sessions FROM (SELECT DISTINCT session_date AS date FROM sessions) d JOIN sessions s ON s.session_date BETWEEN d.date - 6 AND d.date GROUP BY 1")
+def g10_window_users(spark, d):
+    """Distinct users of every seven days, from sets of days."""
+    s = writers.materialized(b.sessions(spark, d).select("session_date", "user_pseudo_id"))
+    sets = writers.materialized(user_sets.user_sets(s, user_sets.user_numbers(s), {"date": F.col("session_date")}))
+    spans = sets.select(F.col("date").alias("span")).distinct().select("span", F.date_sub("span", 6).alias("first"), F.col("span").alias("last"))
+    days = spans.select("span", F.explode(F.sequence("first", "last")).alias("session_date"))
+    sessions = days.join(s.groupBy("session_date").count(), "session_date").groupBy("span").agg(F.sum("count").alias("sessions"))
+    return user_sets.users_of_spans(sets, spans).join(sessions, "span").select(F.col("span").alias("last"), "users", "sessions")
+
+
+@query("SELECT session_channel AS channel, CAST(date_trunc('week', session_date) AS DATE) AS week, count(DISTINCT user_pseudo_id) AS users FROM sessions GROUP BY 1, 2 UNION ALL SELECT 'all', CAST(date_trunc('week', session_date) AS DATE), count(DISTINCT user_pseudo_id) FROM sessions GROUP BY 2")
+def g08_channel_users(spark, d):
+    """Users of channels by week and of all channels, from one table of sets by channel and day."""
+    s = writers.materialized(b.sessions(spark, d).select("session_date", "session_channel", "user_pseudo_id"))
+    sets = user_sets.user_sets(s, user_sets.user_numbers(s), {"channel": F.col("session_channel"), "date": F.col("session_date")})
+    weekly = writers.materialized(user_sets.merged_sets(sets.withColumn("week", c.week_of("date")), ["channel", "week"]))
+    return user_sets.distinct_users(weekly, ["channel", "week"]).unionByName(user_sets.distinct_users(weekly, ["week"]).withColumn("channel", F.lit("all")))
+
+
 @query(f"UNPIVOT (SELECT week, sessions, sessions_with_view, sessions_with_cart, sessions_with_purchase FROM ({oracle.FUNNEL})) ON sessions, sessions_with_view, sessions_with_cart, sessions_with_purchase INTO NAME stage VALUE sessions_at_stage")
 def g11_funnel_long(spark, d):
     return product.funnel_long(product.closed_funnel(b.sessions(spark, d)))
