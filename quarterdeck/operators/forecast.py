@@ -11,6 +11,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarterdeck.sources.writers import truncate_load
+
 SEASON, HORIZON, STEP, MIN_TRAIN = 52, 12, 4, 104
 BASELINE = "seasonal_naive"
 ETS_GRID = (0.1, 0.3, 0.5, 0.7, 0.9), (0.01, 0.05, 0.1, 0.3), (0.8, 0.9, 0.98)
@@ -205,15 +207,30 @@ def evaluate(series: DataFrame, candidates=CANDIDATES, expected: list[str] | Non
 
 
 def publish(series: DataFrame, scores: DataFrame, candidates=CANDIDATES, expected: list[str] | None = None, **windows) -> DataFrame:
-    """(series_id, method, obs_date, point, lower, upper): the path of each series' published method; faulty series are errors."""
+    """(series_id, series_title, method, obs_date, horizon_weeks, point, lower, upper, trained_through): the path of each series' published method; faulty series are errors.
+
+    The title is null where ``series`` has none.
+    """
     series = guarded(series, expected)
+    title = F.max("series_title") if "series_title" in series.columns else F.lit(None).cast("string")
     horizon = windows.get("horizon", HORIZON)
     paths = naive_intervals(series, horizon).withColumn("method", F.lit(BASELINE))
-    ends = series.groupBy("series_id").agg(F.max("obs_date").alias("trained_through"), F.count("*").alias("n"))
+    ends = series.groupBy("series_id").agg(F.max("obs_date").alias("trained_through"), F.count("*").alias("n"), title.alias("series_title"))
     for name, method in candidates.items():
         last = method(series, **windows).join(ends.select("series_id", F.col("n").alias("origin")), ["series_id", "origin"])
         mine = last.select("series_id", "k", "point", (F.col("point") - 1.96 * F.col("sigma")).alias("lower"), (F.col("point") + 1.96 * F.col("sigma")).alias("upper"))
         paths = paths.unionByName(mine.withColumn("method", F.lit(name)))
     chosen = scores.filter("published").select("series_id", "method")
-    out = paths.join(chosen, ["series_id", "method"], "left_semi").join(ends.select("series_id", "trained_through"), "series_id")
-    return out.select("series_id", "method", F.expr("date_add(trained_through, 7 * k)").alias("obs_date"), "point", "lower", "upper")
+    out = paths.join(chosen, ["series_id", "method"], "left_semi").join(ends.select("series_id", "series_title", "trained_through"), "series_id")
+    week, ahead = F.expr("date_add(trained_through, 7 * k)").alias("obs_date"), F.col("k").cast("int").alias("horizon_weeks")
+    return out.select("series_id", "series_title", "method", week, ahead, "point", "lower", "upper", "trained_through")
+
+
+def load(series: DataFrame, path: str, candidates=CANDIDATES, expected: list[str] | None = None, **windows) -> tuple[DataFrame, DataFrame]:
+    """Scores and paths as two truncating loads below ``path`` with one stamp; the scores that choose the paths are those written."""
+    spark = series.sparkSession
+    stamp = spark.range(1).select(F.current_timestamp()).first()[0]
+    truncate_load(evaluate(series, candidates, expected, **windows), f"{path}/scores", at=stamp)
+    scores = spark.read.parquet(f"{path}/scores")
+    truncate_load(publish(series, scores, candidates, expected, **windows), f"{path}/paths", at=stamp)
+    return scores, spark.read.parquet(f"{path}/paths")

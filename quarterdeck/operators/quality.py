@@ -65,30 +65,56 @@ def attribution_not_conserved(a: DataFrame, within: float = 0.01) -> DataFrame:
     return sums.filter((F.col("first_touch_purchases") != F.col("last_touch_purchases")) | (F.abs(F.col("first_touch_revenue_usd") - F.col("last_touch_revenue_usd")) > within))
 
 
-def quality_status(fact: DataFrame, dim: DataFrame, raw: DataFrame, key: tuple[str, str] = ("cert", "report_date")) -> DataFrame:
-    """(check_name, value, status): latest period, counts, duplicates, orphans, excluded rows and null keys."""
-    line = lambda df, name: df.select(F.lit(name).alias("check_name"), F.col("v").cast("string").alias("value"))
-    count = lambda df, name: line(df.agg(F.count("*").alias("v")), name)
-    facts = fact.agg(F.max("report_date").alias("latest"), F.count("*").alias("n"), F.countDistinct("cert").alias("banks"))
-    parts = [line(facts.select(F.col(c).alias("v")), name) for c, name in (("latest", "latest period"), ("n", "fact rows"), ("banks", "fact entities"))]
-    parts += [
-        count(dim.filter("is_active"), "active entities"),
-        count(not_unique(fact, list(key)), "duplicate keys"),
-        count(orphans(raw, dim, key[0]).select(key[0]).distinct(), "orphan entities"),
-        count(orphans(raw, dim, key[0]), "orphan rows"),
-        count(fact.filter("peer_band IS NULL"), "rows without a band"),
-        count(nulls(raw, list(key)), "null keys"),
-    ]
-    must_be_zero = F.col("check_name").isin("duplicate keys", "null keys")
-    status = F.when(must_be_zero & (F.col("value") != "0"), "fail").when(F.col("check_name").like("orphan%") & (F.col("value") != "0"), "review").otherwise("pass")
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+#: Checks that fail, and that ask for a look, where they aren't 0.
+MUST_BE_ZERO, TO_REVIEW = ("duplicate keys", "null keys"), ("orphan entities", "orphan rows")
+
+
+def quality_status(fact: DataFrame, dim: DataFrame, raw: DataFrame, registry: DataFrame, failures: DataFrame, weekly: DataFrame, key: tuple[str, str] = ("cert", "report_date")) -> DataFrame:
+    """(check_name, value, status): the last two periods and their rows, active entities of the last, the last weekly value, duplicate and null keys, what is left out and why.
+
+    Each input is aggregated once; a check without a value has no line.
+    """
+    entity, date = key
+    active = dim.select(entity, "is_active")
+    # Counts by key serve duplicates, periods and entities; keys are the grain, so repeats meet here.
+    keyed = fact.join(active, entity, "left").groupBy(entity, date).agg(F.count("*").alias("n"), F.count_if("is_active").alias("active"), F.count_if(F.col("peer_band").isNull()).alias("unbanded"))
+    by_period = keyed.groupBy(date).agg(F.sum("n").alias("n"), F.sum("active").alias("active"), F.sum("unbanded").alias("unbanded"), F.count_if(F.col("n") > 1).alias("twice"))
+    # As many entries as periods, the last one first.
+    periods = F.reverse(F.array_sort(F.collect_list(F.struct(F.col(date).alias("period"), "n", "active"))))
+    facts = by_period.agg(periods.alias("p"), F.sum("n").alias("fact_rows"), F.sum("unbanded").alias("unbanded"), F.sum("twice").alias("fact_twice"))
+    entities = keyed.select(entity).distinct().agg(F.count("*").alias("fact_entities"))
+    listed = registry.select(F.col(entity).alias("_listed")).distinct()
+    landed = raw.groupBy(entity, date).agg(F.count("*").alias("n")).join(listed, F.col(entity) == F.col("_listed"), "left")
+    orphan = F.col("_listed").isNull() & F.col(entity).isNotNull()
+    raws = landed.agg(
+        F.count_if(F.col("n") > 1).alias("raw_twice"),
+        F.sum(F.when(F.col(entity).isNull() | F.col(date).isNull(), F.col("n")).otherwise(0)).alias("null_keys"),
+        F.countDistinct(F.when(orphan, F.col(entity))).alias("orphan_entities"),
+        F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("orphan_rows"),
+    )
+    fails = failures.agg(F.count_if(F.col("resolution_type") == "ASSISTANCE").alias("assistance"), F.count_if(F.col(entity).isNull()).alias("keyless"))
+    weeks = weekly.agg(F.max("obs_date").alias("last_week"))
+    one = reduce(DataFrame.crossJoin, [facts, entities, raws, fails, weeks])  # a row each
+    latest, prior = F.get("p", F.lit(0)), F.coalesce(F.get("p", F.lit(1)), F.get("p", F.lit(0)))
+    lines = {
+        "latest period": latest["period"], "prior period": prior["period"],
+        "rows of the latest period": latest["n"], "rows of the prior period": prior["n"], "active entities of the latest period": latest["active"],
+        "latest weekly observation": F.col("last_week"),
+        "fact rows": F.col("fact_rows"), "fact entities": F.col("fact_entities"), "rows without a band": F.col("unbanded"),
+        "duplicate keys": F.col("raw_twice") + F.coalesce("fact_twice", F.lit(0)), "null keys": F.coalesce("null_keys", F.lit(0)),
+        "orphan entities": F.col("orphan_entities"), "orphan rows": F.coalesce("orphan_rows", F.lit(0)),
+        "assistance records": F.col("assistance"), "failures without a key": F.col("keyless"),
+    }
+    long = one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check_name"), v.cast("string").alias("value")) for name, v in lines.items()]))).filter("value IS NOT NULL")
+    name, some = F.col("check_name"), F.col("value") != "0"
+    return long.withColumn("status", F.when(name.isin(*MUST_BE_ZERO) & some, "fail").when(name.isin(*TO_REVIEW) & some, "review").otherwise("pass"))
 
 
 def build_meta(fact: DataFrame, dim: DataFrame, flags: DataFrame) -> DataFrame:
-    """One row about a build."""
-    out = fact.agg(F.max("report_date").alias("latest_quarter"), F.count("*").alias("fact_rows"), F.countDistinct("report_date").alias("quarters"))
-    out = out.join(dim.agg(F.count("*").alias("entities"), F.count_if("is_failed").alias("failed_entities")))
-    return out.join(flags.agg(F.count("composite_score").alias("scored_rows")))
+    """One row about a build: when it was made, its last quarter, and how much it holds."""
+    out = fact.agg(F.current_timestamp().alias("built_at"), F.max("report_date").alias("latest_quarter"), F.count("*").alias("fact_rows"), F.countDistinct("report_date").alias("quarters"))
+    out = out.crossJoin(dim.agg(F.count("*").alias("entities"), F.count_if("is_active").alias("active_entities"), F.count_if("is_failed").alias("failed_entities")))
+    return out.crossJoin(flags.agg(F.count("composite_score").alias("scored_rows")))
 
 
 def orphan_filers(raw: DataFrame, registry: DataFrame, key: str = "cert") -> DataFrame:

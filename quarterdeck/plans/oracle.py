@@ -152,16 +152,24 @@ _TESTS = _NAIVE_ERRORS + "".join(f" UNION ALL SELECT t.series_id, '{name}', t.or
 _ERRORS = f"SELECT series_id, method, avg(abs(point - actual) / nullif(abs(actual), 0)) * 100 AS mape, avg(coalesce(2 * abs(point - actual) / nullif(abs(point) + abs(actual), 0), 0)) * 100 AS smape, count(*) AS n_errors, count(DISTINCT origin) AS n_origins FROM ({_TESTS}) GROUP BY 1, 2"
 EVALUATE = f"SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY smape, method <> 'seasonal_naive', method) = 1 AS published FROM ({_ERRORS})"
 CORRELATION = " UNION ALL ".join(f"SELECT '{x}' AS metric_x, '{y}' AS metric_y, CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END AS correlation FROM flags WHERE composite_score IS NOT NULL" for x in Z.values() for y in Z.values() if x != y)
+_LAST = "(SELECT max(report_date) FROM fact)"
+_PRIOR = f"coalesce((SELECT max(report_date) FROM fact WHERE report_date < {_LAST}), {_LAST})"
 _CHECKS = {
-    "latest period": "SELECT CAST(max(report_date) AS VARCHAR) FROM fact",
+    "latest period": f"SELECT CAST({_LAST} AS VARCHAR)",
+    "prior period": f"SELECT CAST({_PRIOR} AS VARCHAR)",
+    "rows of the latest period": f"SELECT CAST(count(*) AS VARCHAR) FROM fact WHERE report_date = {_LAST}",
+    "rows of the prior period": f"SELECT CAST(count(*) AS VARCHAR) FROM fact WHERE report_date = {_PRIOR}",
+    "active entities of the latest period": f"SELECT CAST(count(*) AS VARCHAR) FROM fact JOIN dim USING (cert) WHERE is_active AND report_date = {_LAST}",
+    "latest weekly observation": "SELECT CAST(max(obs_date) AS VARCHAR) FROM weekly",
     "fact rows": "SELECT CAST(count(*) AS VARCHAR) FROM fact",
     "fact entities": "SELECT CAST(count(DISTINCT cert) AS VARCHAR) FROM fact",
-    "active entities": "SELECT CAST(count(*) AS VARCHAR) FROM dim WHERE is_active",
-    "duplicate keys": "SELECT CAST(count(*) AS VARCHAR) FROM (SELECT 1 FROM fact GROUP BY cert, report_date HAVING count(*) > 1)",
-    "orphan entities": "SELECT CAST(count(DISTINCT cert) AS VARCHAR) FROM panel WHERE cert NOT IN (SELECT cert FROM dim)",
-    "orphan rows": "SELECT CAST(count(*) AS VARCHAR) FROM panel WHERE cert NOT IN (SELECT cert FROM dim)",
     "rows without a band": "SELECT CAST(count(*) AS VARCHAR) FROM fact WHERE peer_band IS NULL",
+    "duplicate keys": "SELECT CAST((SELECT count(*) FROM (SELECT 1 FROM fact GROUP BY cert, report_date HAVING count(*) > 1)) + (SELECT count(*) FROM (SELECT 1 FROM panel GROUP BY cert, report_date HAVING count(*) > 1)) AS VARCHAR)",
     "null keys": "SELECT CAST(count(*) AS VARCHAR) FROM panel WHERE cert IS NULL OR report_date IS NULL",
+    "orphan entities": "SELECT CAST(count(DISTINCT cert) AS VARCHAR) FROM panel WHERE cert NOT IN (SELECT cert FROM registry)",
+    "orphan rows": "SELECT CAST(count(*) AS VARCHAR) FROM panel WHERE cert NOT IN (SELECT cert FROM registry)",
+    "assistance records": "SELECT CAST(count(*) AS VARCHAR) FROM failures WHERE resolution_type = 'ASSISTANCE'",
+    "failures without a key": "SELECT CAST(count(*) AS VARCHAR) FROM failures WHERE cert IS NULL",
 }
 STATUS = (
     "SELECT *, CASE WHEN check_name IN ('duplicate keys', 'null keys') AND value <> '0' THEN 'fail' WHEN check_name LIKE 'orphan%' AND value <> '0' THEN 'review' ELSE 'pass' END AS status FROM ("

@@ -785,15 +785,27 @@ def f09_evaluate(spark, d):
     return fc.evaluate(b.weekly(spark, d))
 
 
-@query(f"""SELECT p.series_id, p.method, CAST(e.last + 7 * p.k AS DATE) AS obs_date, point / 1e6 AS point, lower / 1e6 AS lower, upper / 1e6 AS upper FROM (
+PATHS = f"""SELECT p.series_id, 'orders ' || p.series_id AS series_title, p.method, CAST(e.last + 7 * p.k AS DATE) AS obs_date, p.k AS horizon_weeks, point / 1e6 AS point, lower / 1e6 AS lower, upper / 1e6 AS upper, e.last AS trained_through FROM (
   SELECT series_id, 'seasonal_naive' AS method, k, point, lower, upper FROM ({oracle.NAIVE_INTERVALS}) UNION ALL
   SELECT series_id, method, k, point, point - 1.96e0 * sigma, point + 1.96e0 * sigma FROM (SELECT *, 'ets_damped' AS method FROM ({oracle.ETS}) UNION ALL SELECT *, 'arima_drift' FROM ({oracle.ARIMA})) t WHERE origin = (SELECT count(*) FROM weekly w WHERE w.series_id = t.series_id)
-) p JOIN (SELECT series_id, max(obs_date) AS last FROM weekly GROUP BY 1) e ON e.series_id = p.series_id JOIN ({oracle.EVALUATE}) v ON v.series_id = p.series_id AND v.method = p.method AND v.published""", "point lower upper")
+) p JOIN (SELECT series_id, max(obs_date) AS last FROM weekly GROUP BY 1) e ON e.series_id = p.series_id JOIN ({oracle.EVALUATE}) v ON v.series_id = p.series_id AND v.method = p.method AND v.published"""
+
+
+@query(PATHS, "point lower upper")
 def f09_publish(spark, d):
-    w = b.weekly(spark, d)
+    w = b.weekly(spark, d).withColumn("series_title", F.concat(F.lit("orders "), "series_id"))
     return _in_millions(fc.publish(w, fc.evaluate(w)), ["point", "lower", "upper"])
 
 
+@query(f"SELECT series_id, count(*) AS weeks, min(horizon_weeks) AS first, max(horizon_weeks) AS last, max(trained_through) AS trained_through, 1 AS stamps FROM ({PATHS}) GROUP BY 1")
+def f09_load(spark, d):
+    """Scores and paths loaded as a pair, and what the pair has in common."""
+    scores, paths = fc.load(writers.materialized(b.weekly(spark, d)), writers.shared_folder(spark))
+    stamps = paths.select("series_id", "generated_at").union(scores.select("series_id", "generated_at")).groupBy("series_id").agg(F.countDistinct("generated_at").cast("int").alias("stamps"))
+    sums = paths.groupBy("series_id").agg(F.count("*").alias("weeks"), F.min("horizon_weeks").alias("first"), F.max("horizon_weeks").alias("last"), F.max("trained_through").alias("trained_through"))
+    return sums.join(stamps, "series_id")
+
+
 @query(f"SELECT series_id, method, round(mape, 3) AS mape, round(smape, 3) AS smape, CASE WHEN published THEN 'published' ELSE 'not used' END AS status FROM ({oracle.EVALUATE})", "mape smape")
 def v17_forecast_scoreboard(spark, d):
     return views.forecast_scoreboard(fc.evaluate(b.weekly(spark, d)))
@@ -874,13 +886,14 @@ def q12_attribution(spark, d):
 
 @query(oracle.STATUS)
 def q13_quality_status(spark, d):
-    return quality.quality_status(b.fact(spark, d), b.dim(spark, d), b.panel(spark, d))
+    return quality.quality_status(b.fact(spark, d), b.dim(spark, d), b.panel(spark, d), b.registry(spark, d), b.failures(spark, d), b.weekly(spark, d))
 
 
-@query("SELECT (SELECT max(report_date) FROM fact) AS latest_quarter, (SELECT count(*) FROM fact) AS fact_rows, (SELECT count(DISTINCT report_date) FROM fact) AS quarters, (SELECT count(*) FROM dim) AS entities, (SELECT count(*) FROM dim WHERE is_failed) AS failed_entities, (SELECT count(composite_score) FROM flags) AS scored_rows")
+@query("SELECT (SELECT max(report_date) FROM fact) AS latest_quarter, (SELECT count(*) FROM fact) AS fact_rows, (SELECT count(DISTINCT report_date) FROM fact) AS quarters, (SELECT count(*) FROM dim) AS entities, (SELECT count(*) FROM dim WHERE is_active) AS active_entities, true AS stamped, (SELECT count(*) FROM dim WHERE is_failed) AS failed_entities, (SELECT count(composite_score) FROM flags) AS scored_rows")
 def q14_build_meta(spark, d):
     fact = b.fact(spark, d)
-    return quality.build_meta(fact, b.dim(spark, d), b.flags(spark, d, fact))
+    meta = quality.build_meta(fact, b.dim(spark, d), b.flags(spark, d, fact))
+    return staging.except_columns(meta.withColumn("stamped", F.col("built_at").between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp())), "built_at")
 
 
 @query("SELECT cert, count(*) AS rows FROM panel WHERE cert NOT IN (SELECT cert FROM registry) GROUP BY 1")

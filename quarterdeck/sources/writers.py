@@ -3,7 +3,7 @@
 import re
 import tempfile
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,8 +97,9 @@ def merge_fact(source: DataFrame, path: str, keys: list[str], period: str | None
     return keyed_upsert(source, path, keys, partition_by=[period] if period else None)
 
 
-def truncate_load(df: DataFrame, path: str, stamp: str | None = "generated_at") -> None:
-    (df.withColumn(stamp, F.current_timestamp()) if stamp else df).write.mode("overwrite").parquet(path)
+def truncate_load(df: DataFrame, path: str, stamp: str | None = "generated_at", at: datetime | None = None) -> None:
+    """Replace the table at ``path``; ``at`` gives several loads one stamp."""
+    (df.withColumn(stamp, F.current_timestamp() if at is None else F.lit(at)) if stamp else df).write.mode("overwrite").parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:

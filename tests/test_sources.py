@@ -1,5 +1,6 @@
 import json
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,22 +17,40 @@ def page(endpoint, total, rows):
 FIELDS = schemas.struct(CERT=schemas.TEXT, ASSET=schemas.TEXT)
 
 
-def test_pages_add_up(spark, tmp_path):
-    for k, n in enumerate((3, 2)):
-        (tmp_path / f"{k}.json").write_text(json.dumps(page("banks", 5, [{"CERT": str(k * 3 + i), "ASSET": "1"} for i in range(n)])))
-    assert readers.read_landed_pages(spark, str(tmp_path), FIELDS).count() == 5
+def landed(folder, endpoint, sizes, total):
+    for k, n in enumerate(sizes):
+        rows = [{"CERT": f"{endpoint}-{k}-{i}", "ASSET": str(i)} for i in range(n)]
+        (folder / f"{endpoint}-{k}.json").write_text(json.dumps(page(endpoint, total, rows)))
 
 
-def test_empty_page_before_the_total_is_an_error(spark, tmp_path):
-    (tmp_path / "0.json").write_text(json.dumps(page("banks", 10, [])))
-    with pytest.raises(readers.IncompletePages):
+def test_any_split_into_pages_adds_up(spark, tmp_path):
+    """Two endpoints, each cut into pages at random, an empty last page among them."""
+    rng, wanted = random.Random(17), 0
+    for endpoint in ("loans", "offices"):
+        sizes = [rng.randrange(1, 9) for _ in range(rng.randrange(1, 6))] + [0] * (endpoint == "offices")
+        landed(tmp_path, endpoint, sizes, sum(sizes))
+        wanted += sum(sizes)
+    rows = [r.CERT for r in readers.read_landed_pages(spark, str(tmp_path), FIELDS).collect()]
+    assert len(rows) == len(set(rows)) == wanted
+
+
+@pytest.mark.parametrize(("sizes", "total"), [((4, 0), 7), ((0,), 2), ((6, 3), 8)])
+def test_pages_short_of_the_total_or_beyond_it_name_the_endpoint(spark, tmp_path, sizes, total):
+    landed(tmp_path, "loans", (5, 1), 6)
+    landed(tmp_path, "offices", sizes, total)
+    with pytest.raises(readers.IncompletePages, match="offices"):
         readers.read_landed_pages(spark, str(tmp_path), FIELDS)
+    assert readers.read_landed_pages(spark, str(tmp_path), FIELDS, check=False).count() == 6 + sum(sizes)
 
 
-def test_calendar(spark):
-    ends = [r.tag for r in readers.quarter_calendar(spark, date(2019, 3, 31), date(2020, 1, 15)).orderBy("tag").collect()]
-    assert ends == ["20190331", "20190630", "20190930", "20191231"]
-    assert [r.tag for r in readers.quarter_calendar(spark, date(2019, 3, 31), date(2019, 6, 29)).collect()] == ["20190331"]
+def test_calendar_is_that_of_a_plain_walk_over_days(spark):
+    rng = random.Random(23)
+    for _ in range(6):
+        start = date(1990, 1, 1) + timedelta(days=rng.randrange(12_000))
+        today = start + timedelta(days=rng.randrange(1_200))
+        days = (start + timedelta(days=k) for k in range((today - start).days + 1))
+        ends = [d.strftime("%Y%m%d") for d in days if d.month % 3 == 0 and (d + timedelta(days=1)).month != d.month]
+        assert [r.tag for r in readers.quarter_calendar(spark, start, today).orderBy("tag").collect()] == ends
 
 
 def test_conform_and_schema(spark):
@@ -85,12 +104,17 @@ def test_merge_equals_rebuild(spark, tmp_path):
     assert spark.read.parquet(path).exceptAll(fact).count() == 0 and spark.read.parquet(path).count() == fact.count()
 
 
-def test_new_period(spark):
-    t = lambda *d: spark.createDataFrame([(x,) for x in d], "REPDTE string")
-    assert readers.new_period_available(t("20240331"), t("20231231"), "REPDTE")
-    assert not readers.new_period_available(t("20231231"), t("20231231"), "REPDTE")
-    assert not readers.new_period_available(t("20230930"), t("20231231"), "REPDTE")
-    assert readers.new_period_available(t("20230930"), t("20231231"), "REPDTE", force=True)
+@pytest.mark.parametrize("fmt", ["yyyyMMdd", "d.M.yyyy"])
+def test_new_period_is_told_by_date_not_text(spark, fmt):
+    rng = random.Random(31)
+    shown = lambda d: d.strftime("%Y%m%d") if fmt == "yyyyMMdd" else f"{d.day}.{d.month}.{d.year}"
+    t = lambda days: spark.createDataFrame([(shown(d),) for d in days], "period string")
+    for _ in range(4):
+        served, held = ([date(2001, 1, 1) + timedelta(days=rng.randrange(9_000)) for _ in range(rng.randrange(1, 5))] for _ in range(2))
+        told = lambda a, b, **o: readers.new_period_available(t(a), t(b), "period", fmt, **o)
+        assert told(served, held) == (max(served) > max(held)) and not told(held, held)
+        assert told([min(served)], served, force=True)
+    assert told(served, []) and not told([], held)
 
 
 def test_catalog(spark):
