@@ -172,7 +172,8 @@ def _block_links(members: DataFrame, classes: DataFrame, texts: DataFrame, n_wor
     rows = scratch.written(rows.select("lead", "node", "class", "size", (F.col("class") != F.col("lead_class")).alias("outside")))
     total = lambda c, side: F.sum(F.when(F.col("outside") == side, c).otherwise(0))
     n = lambda side: F.greatest(F.lit(1), F.ceil(F.greatest(total(F.lit(1), side) / BLOCK_NODES, total(F.col("size"), side) / BLOCK_BYTES))).cast("long")
-    blocks = rows.groupBy("lead").agg(n(False).alias("n_in"), n(True).alias("n_out"))
+    # Written, so that Spark can split a lead with many nodes where it joins them.
+    blocks = scratch.written(rows.groupBy("lead").agg(n(False).alias("n_in"), n(True).alias("n_out")))
     upto = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
     zero, at = F.lit(0).cast("long"), F.pmod(F.xxhash64("node"), F.when(F.col("outside"), F.col("n_out")).otherwise(F.col("n_in")))
     # A block inside the lead's class meets each block outside; blocks outside meet each other too.
