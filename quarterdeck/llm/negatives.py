@@ -217,7 +217,8 @@ def _searched(states: DataFrame, found: Index, k: int, chunk_rows: int, negative
                 for s, anchor, own, label, windows in zip(scores, *(part[c].to_pylist() for c in ("anchor", "id", "label", "windows"))):
                     fit = (ids != own) & ((labels != label) if negatives else (labels == label))
                     for w in windows:
-                        best = np.flatnonzero(fit & (s >= w["least"]) & (s <= w["most"]))
+                        # Rows below the worst that a full window already has can't enter it.
+                        best = np.flatnonzero(fit & (s >= (w["least"] if w["worst"] is None else w["worst"])) & (s <= w["most"]))
                         if len(best) > k:
                             best = best[s[best] >= np.partition(s[best], len(best) - k)[len(best) - k]]
                         best = best[np.argsort(-s[best], kind="stable")[:k]]
