@@ -5,12 +5,13 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import decontaminate, fingerprints, langid, language_model, mixing, quality, sharding, simhash, token_store, toxicity
+from quarterdeck.llm import decontaminate, fingerprints, langid, language_model, merkle, minmax, mixing, quality, sharding, simhash, token_store, toxicity
 
 NAMES = (
     "id row class slot k n words size source_size target num den unit shift rank before copies s c g shard at _slot found new label _label score _score _found "
     "contamination contamination_0 toxicity language doc fp _id _row id_ row_ kept first best component node leaf home bucket tail h p part matrix doc_ids lengths "
-    "chunk data asks hashes counts n_words log_score entry times pair item begin end"
+    "chunk data asks hashes counts n_words log_score entry times pair item begin end "
+    "k1 k2 b0 key lead last outside blocks n_shingles component_id shown pos path outer root leaf_hash block _part _idx _group"
 ).split() + ["a.b", "a`b"]
 KEPT = ["doc_id", "text", "lang", "source", "n_chars", *NAMES]
 ROWS = [(1, "fine words in a row here", "en", "a"), (1, "fine words in a row here", "en", "a"), (2, None, None, None), (None, "no id but text", "en", "b"), (3, "", "de", "a"), (4, "lang " * 50_000, "de", "a"), (5, "w1 w2 w3 and more of them", None, "b")]
@@ -41,6 +42,9 @@ def test_operators(spark, docs):
     same(decontaminate.contamination(docs, bench), docs, ("contamination",))
     same(decontaminate.decontaminate(docs, bench), docs.filter("doc_id IS NULL OR doc_id <> 5"))
     assert language_model.score(docs).count() == fingerprints.fingerprints(docs).count() == simhash.near_duplicates(docs).count() == mixing.copies(docs).count() == len(ROWS)
+    assert minmax.near_duplicates(docs).count() == merkle.manifest(docs, given=merkle.lowered()).count() == len(ROWS)
+    assert {(r.doc_id, r.component_id) for r in minmax.near_duplicates(docs).collect() if r.doc_id} == {(i, i) for i in (1, 2, 3, 4, 5)}
+    assert all(r.verified for r in merkle.manifest(docs).collect())
     assert token_store.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json")).count() == len(ROWS)
     same(simhash.keep_one(docs, null_ids=True), docs.dropDuplicates(["doc_id", "text"]).filter("doc_id IS NULL OR doc_id <> 3"))  # the null text and the empty one are copies
     mixed = mixing.mix(docs)
