@@ -79,16 +79,19 @@ def keyed_upsert(batch: DataFrame, path: str, keys: list[str], partition_by: lis
     staged = f"{path}.{uuid.uuid4().hex}.new"
     if partition_by and set(partition_by) <= set(keys):
         touched = target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi").select(target.columns)
-        merged(touched, batch, keys).write.parquet(staged)
-        fresh = spark.read.parquet(staged)
         try:
+            merged(touched, batch, keys).write.parquet(staged)
+            fresh = spark.read.parquet(staged)
             fresh.sortWithinPartitions(*sort_by).write.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
         finally:
             delete(spark, staged)
         return n
     out = merged(target, batch, keys).sortWithinPartitions(*sort_by)
-    (out.write.partitionBy(*partition_by) if partition_by else out.write).parquet(staged)
-    _swap(spark, staged, path)
+    try:
+        (out.write.partitionBy(*partition_by) if partition_by else out.write).parquet(staged)
+        _swap(spark, staged, path)
+    finally:
+        delete(spark, staged)  # there only if it could not be put in place
     return n
 
 
