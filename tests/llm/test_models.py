@@ -76,7 +76,8 @@ def test_quality_defined_cases(spark, odd):
     out = quality.scored(odd, labels, F.lit(True), into="quality_score").collect()
     assert len(out) == len(ROWS) and all(0 <= r.quality_score <= 1 for r in out)
     one_kind = quality.scored(odd, labels.filter("quality = 1"), F.lit(True), into="q")
-    assert len({r.q for r in one_kind.collect()}) >= 1 and quality.scored(odd.limit(0), labels, F.lit(True), into="q").count() == 0
+    scores = [r.q for r in one_kind.collect()]
+    assert len(scores) == len(ROWS) and all(0 <= q <= 1 for q in scores) and quality.scored(odd.limit(0), labels, F.lit(True), into="q").count() == 0
 
 
 def test_language_defined_cases(spark, odd):
