@@ -2,7 +2,7 @@
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.columns import pair_corr
@@ -144,8 +144,50 @@ def screen_flags(fact: DataFrame, ids: tuple[str, ...] = ("cert", "report_date",
     return held.select(*ids, F.try_divide(total, n).alias("composite_score"), n.alias("n_screen_metrics"), *parts)
 
 
+def comoments(flags: DataFrame, parts: list[str] = PARTS, by: list[str] = ["report_date"]) -> DataFrame:  # noqa: B006
+    """(by, metric_x, metric_y, n, mean_x, mean_y, sxx, syy, sxy, and least and largest values): what a correlation over any span needs of each slice.
+
+    Each pair counts the scored rows that have both values. One aggregate makes all
+    pairs; the table has one row for each slice and pair, and is worth writing.
+    """
+    pairs = list(combinations(parts, 2))
+
+    def moments(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.when(both, F.col(c)) for c in (a, b))
+        n = F.count(x)
+        ends = [f(v).alias(f"{name}_{k}") for k, v in (("x", x), ("y", y)) for name, f in (("least", F.min), ("most", F.max))]
+        return F.struct(n.alias("n"), F.avg(x).alias("mean_x"), F.avg(y).alias("mean_y"), (F.var_pop(x) * n).alias("sxx"), (F.var_pop(y) * n).alias("syy"), (F.covar_pop(x, y) * n).alias("sxy"), *ends)
+
+    wide = flags.filter("composite_score IS NOT NULL").groupBy(*by).agg(*[moments(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    fields = wide.schema[f"{pairs[0][0]}|{pairs[0][1]}"].dataType.names
+    rows = F.array(*[F.struct(F.lit(a).alias("metric_x"), F.lit(b).alias("metric_y"), *[F.col(f"{a}|{b}")[f].alias(f) for f in fields]) for a, b in pairs])
+    return wide.select(*by, F.inline(F.filter(rows, lambda r: r["n"] > 0)))
+
+
+def merged_comoments(moments: DataFrame, by: list[str]) -> DataFrame:
+    """Co-moments of wider slices from those of narrower ones: deviations are moved to the common mean, so nothing cancels."""
+    pair = [*by, "metric_x", "metric_y"]
+    over = Window.partitionBy(*pair)  # as many rows as slices
+    mean = lambda k: F.sum(F.col("n") * F.col(f"mean_{k}")).over(over) / F.sum("n").over(over)
+    moved = moments.withColumns({"_x": mean("x"), "_y": mean("y")})
+    dx, dy = F.col("mean_x") - F.col("_x"), F.col("mean_y") - F.col("_y")
+    about = lambda s, a, b: F.sum(F.col(s) + F.col("n") * a * b).alias(s)
+    ends = [f(f"{name}_{k}").alias(f"{name}_{k}") for k in "xy" for name, f in (("least", F.min), ("most", F.max))]
+    return moved.groupBy(*pair).agg(F.sum("n").alias("n"), F.first("_x").alias("mean_x"), F.first("_y").alias("mean_y"), about("sxx", dx, dx), about("syy", dy, dy), about("sxy", dx, dy), *ends)
+
+
+def correlation_of(moments: DataFrame, by: list[str] = [], digits: int = 2) -> DataFrame:  # noqa: B006
+    """(by, metric_x, metric_y, correlation) in both orders from co-moments; null where a metric is constant."""
+    whole = merged_comoments(moments, by)
+    varies = (F.col("least_x") < F.col("most_x")) & (F.col("least_y") < F.col("most_y"))
+    r = F.round(F.when(varies, F.try_divide("sxy", F.sqrt("sxx") * F.sqrt("syy"))), digits)
+    sides = F.array(*[F.struct(F.col(a).alias("metric_x"), F.col(b).alias("metric_y"), r.alias("correlation")) for a, b in (("metric_x", "metric_y"), ("metric_y", "metric_x"))])
+    return whole.select(*by, F.inline(sides))
+
+
 def metric_correlation(flags: DataFrame, parts: list[str] = PARTS, digits: int = 2) -> DataFrame:
-    """(metric_x, metric_y, correlation) in both orders, from one aggregate of all pairs."""
+    """(metric_x, metric_y, correlation) in both orders, from one aggregate of all pairs. Pairs without a common row have a null."""
     pairs = list(combinations(parts, 2))
     wide = flags.filter("composite_score IS NOT NULL").agg(*[pair_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     rows = [F.struct(F.lit(x).alias("metric_x"), F.lit(y).alias("metric_y"), F.round(F.col(f"{a}|{b}"), digits).alias("correlation")) for a, b in pairs for x, y in ((a, b), (b, a))]

@@ -152,6 +152,11 @@ _TESTS = _NAIVE_ERRORS + "".join(f" UNION ALL SELECT t.series_id, '{name}', t.or
 _ERRORS = f"SELECT series_id, method, avg(abs(point - actual) / nullif(abs(actual), 0)) * 100 AS mape, avg(coalesce(2 * abs(point - actual) / nullif(abs(point) + abs(actual), 0), 0)) * 100 AS smape, count(*) AS n_errors, count(DISTINCT origin) AS n_origins FROM ({_TESTS}) GROUP BY 1, 2"
 EVALUATE = f"SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY smape, method <> 'seasonal_naive', method) = 1 AS published FROM ({_ERRORS})"
 CORRELATION = " UNION ALL ".join(f"SELECT '{x}' AS metric_x, '{y}' AS metric_y, CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END AS correlation FROM flags WHERE composite_score IS NOT NULL" for x in Z.values() for y in Z.values() if x != y)
+#: Pairs without a common row in a year have no line.
+SPAN_CORRELATION = " UNION ALL ".join(
+    f"SELECT {span} AS span, '{x}' AS metric_x, '{y}' AS metric_y, CASE WHEN min({x}) = max({x}) OR min({y}) = max({y}) OR isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END AS correlation FROM flags WHERE composite_score IS NOT NULL AND {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1"
+    for span in ("CAST(year(report_date) AS VARCHAR)", "'all'") for x in Z.values() for y in Z.values() if x != y
+)
 _LAST = "(SELECT max(report_date) FROM fact)"
 _PRIOR = f"coalesce((SELECT max(report_date) FROM fact WHERE report_date < {_LAST}), {_LAST})"
 _CHECKS = {

@@ -318,6 +318,14 @@ def r10_metric_correlation(spark, d):
     return peers.metric_correlation(b.flags(spark, d), digits=6)
 
 
+@query(oracle.SPAN_CORRELATION, "correlation")
+def r10_span_correlation(spark, d):
+    """Each year, and all quarters, from the co-moments of quarters, which are computed once."""
+    moments = writers.materialized(peers.comoments(b.flags(spark, d)))
+    years = peers.correlation_of(moments.withColumn("span", F.year("report_date").cast("string")), ["span"], 6)
+    return years.unionByName(peers.correlation_of(moments.withColumn("span", F.lit("all")), ["span"], 6))
+
+
 # Screen
 
 
