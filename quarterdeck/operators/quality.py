@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterdeck.operators.parity import LEVELS, unequal_rows
+
 
 def not_unique(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count("*").alias("n")).filter("n > 1")
@@ -129,21 +131,33 @@ def slice_parity(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
     return counts.join(F.broadcast(last)).filter(~F.col("rows_a").eqNullSafe(F.col("rows_b")) & (F.col(by) <= F.col("_last"))).drop("_last")
 
 
-def table_parity(a: DataFrame, b: DataFrame, keys: list[str], tol: float = 1e-9) -> DataFrame:
-    """(keys, difference): keys that one side lacks, and columns that differ by more than a tolerance; nulls agree with nulls."""
+def table_parity(a: DataFrame, b: DataFrame, keys: list[str], tol: float = 1e-9, levels: int = LEVELS, trees: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """(keys, difference): keys that one side lacks, and columns that differ by more than a tolerance; nulls agree with nulls, in keys too, and NaNs with NaNs.
+
+    Digests of buckets are compared first, and only rows of buckets that differ are
+    joined: equal tables without a join at all. Each table is read for its digests,
+    unless ``trees`` has them, and once more if the tables differ.
+    """
     values = [c for c in a.columns if c not in keys and c in b.columns]
-    kinds = dict(a.dtypes)
-    left, right = a.select(*keys, F.struct(*values).alias("va"), F.lit(True).alias("in_a")), b.select(*keys, F.struct(*values).alias("vb"), F.lit(True).alias("in_b"))
-    both = left.join(right, keys, "full_outer")
+    kinds, others = dict(a.dtypes), dict(b.dtypes)
+    unequal = [c for c in [*keys, *values] if kinds[c] != others[c]]
+    # Hashes depend on the type; of columns whose types differ all rows are joined.
+    found = (a, b) if unequal else unequal_rows(a, b, keys, values, levels, trees)
+    if found is None:
+        return a.select(*keys, F.lit(None).cast("string").alias("difference")).limit(0)
+    a, b = found
+    view = lambda df, x: df.select(F.struct(*keys).alias(f"k{x}"), F.struct(*values).alias(f"v{x}"), F.lit(True).alias(f"in_{x}"))
+    both = view(a, "a").join(view(b, "b"), reduce(lambda p, q: p & q, [F.col(f"ka.{k}").eqNullSafe(F.col(f"kb.{k}")) for k in keys]), "full_outer")
 
     def differs(c: str) -> Column:
         x, y = F.col(f"va.{c}"), F.col(f"vb.{c}")
-        far = F.abs(x - y) > tol if kinds[c] in ("double", "float") else x != y
+        far = (F.abs(x - y) > tol) & (x != y) if kinds[c] in ("double", "float") else x != y
         return F.when((x.isNull() != y.isNull()) | F.coalesce(far, F.lit(False)), F.lit(c))
 
     columns = F.concat_ws(",", *map(differs, values))
     what = F.when(F.col("in_b").isNull(), "only in first").when(F.col("in_a").isNull(), "only in second").otherwise(columns)
-    return both.select(*keys, what.alias("difference")).filter("difference <> ''")
+    key = [F.when(F.col("in_a"), F.col(f"ka.{k}")).otherwise(F.col(f"kb.{k}")).alias(k) for k in keys]
+    return both.select(*key, what.alias("difference")).filter("difference <> ''")
 
 
 def reconcile_external(panel: DataFrame, export: DataFrame, key: list[str], column: str, within: float = 0.0) -> DataFrame:

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarterdeck.operators.parity import LEVELS, unequal_rows
 from quarterdeck.operators.peers import PARTS
 from quarterdeck.operators.ranks import with_ranks
 from quarterdeck.sources.writers import materialized
@@ -41,10 +42,14 @@ def false_positive_sample(ranked: DataFrame, labeled: list[int], least: float =
     return rows.orderBy(F.desc("composite_score"), "cert").limit(n)
 
 
-def prove_equivalence(a: DataFrame, b: DataFrame, keys: list[str], score: str = "composite_score", digits: int = 10) -> DataFrame:
-    """Rows that one build has and the other lacks, by keys and rounded score; empty if the builds agree."""
+def prove_equivalence(a: DataFrame, b: DataFrame, keys: list[str], score: str = "composite_score", digits: int = 10, levels: int = LEVELS) -> DataFrame:
+    """Rows that one build has and the other lacks, by keys and rounded score; empty if the builds agree, which bucket digests tell without a join."""
     view = lambda df: df.select(*keys, F.round(score, digits).alias(score))
     a, b = view(a), view(b)
+    found = (a, b) if dict(a.dtypes) != dict(b.dtypes) else unequal_rows(a, b, keys, [score], levels)
+    if found is None:
+        return a.withColumn("only_in", F.lit(None).cast("string")).limit(0)
+    a, b = found
     return a.exceptAll(b).withColumn("only_in", F.lit("first")).unionByName(b.exceptAll(a).withColumn("only_in", F.lit("second")))
 
 

@@ -12,7 +12,7 @@ from quarterdeck.functions import columns as c
 from quarterdeck.operators import experiment as x
 from quarterdeck.operators import forecast as fc
 from quarterdeck.operators import panel as p
-from quarterdeck.operators import changes, peers, product, quality, screen, staging, user_sets, views
+from quarterdeck.operators import changes, parity, peers, product, quality, screen, staging, user_sets, views
 from quarterdeck.plans import backtest, oracle
 from quarterdeck.plans import bindings as b
 from quarterdeck.sources import readers, versioned, writers
@@ -922,6 +922,19 @@ def q17_table_parity(spark, d):
     return quality.table_parity(a, other, ["cert", "report_date"])
 
 
+@query("SELECT 'reordered' AS build, 0 AS differences UNION ALL SELECT 'restated', count(*) FROM panel WHERE cert % 100 = 2")
+def q17_kept_digests(spark, d):
+    """Two later builds against the digests kept of the first: one in another order, one with some rows restated."""
+    keys, values = ["cert", "report_date"], ["equity", "total_assets"]
+    first = writers.materialized(b.panel(spark, d).select(*keys, *values))
+    restated = first.withColumn("equity", F.col("equity") + F.when(F.col("cert") % 100 == 2, 1.0).otherwise(0.0))
+    kept, out = writers.materialized(parity.digest_tree(first, keys, values)), []
+    for name, later in (("reordered", first.orderBy(F.desc("total_assets"))), ("restated", restated)):
+        found = quality.table_parity(first, later, keys, trees=(kept, writers.materialized(parity.digest_tree(later, keys, values))))
+        out.append(found.agg(F.count("*").alias("differences")).select(F.lit(name).alias("build"), "differences"))
+    return out[0].unionByName(out[1])
+
+
 @query("SELECT cert, report_date, total_assets + 5 AS external_value, total_assets AS panel_value FROM panel WHERE cert = 3", "external_value panel_value")
 def q18_reconcile_external(spark, d):
     whole = b.panel(spark, d).select("cert", "report_date", "total_assets")
