@@ -2,13 +2,17 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.columns import param_int, param_repeated, param_str, week_of
+from quarterdeck.sources.writers import materialized
 
 #: Funnel events and the session column that counts each.
 COUNTED = {"page_view": "pageviews", "view_item": "items_viewed", "add_to_cart": "carts", "begin_checkout": "checkouts", "purchase": "purchases"}
+#: Texts of which a session has the first that is known, and how many pairs of event name and value a broadcast dictionary may have.
+FIRST_KNOWN = ["device_category", "country", "event_source", "event_medium", "first_touch_source", "first_touch_medium"]
+CODES = 1 << 17
 WEEKS = 12
 #: Weeks are counted from here.
 MONDAY = date(1970, 1, 5)
@@ -55,20 +59,65 @@ def repeated_params(raw: DataFrame, keys: list[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("rows")) for k in keys]))).filter("rows > 0")
 
 
-def sessions(events: DataFrame, counted: dict[str, str] = COUNTED) -> DataFrame:
-    """One row per session; events without a session id are dropped. Ties in time go by name and value, so reruns agree."""
-    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct("event_ts", "event_name", F.col(c))))
-    channel = lambda a, b: F.concat(F.coalesce(first(a), F.lit("(direct)")), F.lit(" / "), F.coalesce(first(b), F.lit("(none)")))
-    return events.filter("ga_session_id IS NOT NULL").groupBy("session_key", "user_pseudo_id", "ga_session_id").agg(
+def value_codes(events: DataFrame, columns: list[str] = FIRST_KNOWN) -> DataFrame:
+    """(event_name, value, least_us, most_us): the pairs of a name and a known value in any of ``columns``, with their first and last time."""
+    pairs = F.array(*[F.struct("event_name", F.col(c).alias("value")) for c in columns])
+    us = F.unix_micros(F.col("event_ts").cast("timestamp"))
+    return events.select(us.alias("_us"), F.inline(F.filter(pairs, lambda x: x["value"].isNotNull()))).groupBy("event_name", "value").agg(F.min("_us").alias("least_us"), F.max("_us").alias("most_us"))
+
+
+def _with_first_codes(events: DataFrame, pairs: DataFrame, n: int) -> tuple[DataFrame, dict[str, Column], DataFrame]:
+    """``events`` with each column's time and code in one number, the aggregates that find the first, and the dictionary: (_name, _value, _code)."""
+    # As many rows as codes, which are bounded; their order is that of ties in time.
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("event_name", "value")) - 1
+    codes = materialized(pairs.select(F.col("event_name").alias("_name"), F.col("value").alias("_value"), place.cast("long").alias("_code")))
+    least, most = pairs.agg(F.min("least_us"), F.max("most_us")).first()
+    least, most = least or 0, most or 0
+    # A long holds some nine years of microseconds with 32,768 codes; beyond that it is a decimal.
+    kind = "bigint" if (most - least + 2) * n < 1 << 63 else "decimal(38,0)"
+    at = F.coalesce(F.unix_micros(F.col("event_ts").cast("timestamp")).cast(kind) - F.lit(least - 1).cast(kind), F.lit(0).cast(kind))
+    out = events
+    for c in FIRST_KNOWN:
+        mine = F.broadcast(codes.toDF("_name", "_value", f"_c_{c}"))
+        out = out.join(mine, F.col("event_name").eqNullSafe(F.col("_name")) & (F.col(c) == F.col("_value")), "left").drop("_name", "_value")
+    found = {c: F.min(at * F.lit(n).cast(kind) + F.col(f"_c_{c}").cast(kind)) for c in FIRST_KNOWN}
+    return out, found, codes
+
+
+def sessions(events: DataFrame, counted: dict[str, str] = COUNTED, max_codes: int = CODES) -> DataFrame:
+    """One row per session; events without a session id are dropped. Ties in time go by name and value, so reruns agree.
+
+    Texts whose first known value is wanted become codes of a dictionary, and time
+    and code one number, so a session is a hash aggregate of numbers: ``events`` is
+    read once for the dictionary and once for that. With more than ``max_codes``
+    pairs of names and values the dictionary isn't broadcast, and rows are sorted.
+    """
+    held = events.filter("ga_session_id IS NOT NULL")
+    pairs = materialized(value_codes(held))
+    n = pairs.count()
+    if coded := n <= max_codes:
+        held, first, codes = _with_first_codes(held, pairs, max(n, 1))
+    else:
+        first = {c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct("event_ts", "event_name", F.col(c)))) for c in FIRST_KNOWN}
+    out = held.groupBy("session_key", "user_pseudo_id", "ga_session_id").agg(
         F.max("ga_session_number").alias("ga_session_number"),
         F.min("event_date").alias("session_date"),
         F.min("event_ts").alias("session_start_ts"),
         (F.max("ga_session_number") == 1).alias("is_first_session"),
         (F.max("session_engaged") == 1).alias("engaged"),
-        first("device_category").alias("device_category"),
-        first("country").alias("country"),
         *[F.count_if(F.col("event_name") == e).alias(c) for e, c in counted.items()],
         F.sum("purchase_revenue_usd").alias("revenue_usd"),
+        *[f.alias(f"_f_{c}") for c, f in first.items()],
+    )
+    for c in FIRST_KNOWN if coded else []:
+        mine = F.broadcast(codes.select("_code", F.col("_value").alias(f"_v_{c}")))
+        out = out.join(mine, (F.col(f"_f_{c}") % max(n, 1)).cast("long") == F.col("_code"), "left").drop("_code", f"_f_{c}").withColumnRenamed(f"_v_{c}", f"_f_{c}")
+    channel = lambda a, b: F.concat(F.coalesce(f"_f_{a}", F.lit("(direct)")), F.lit(" / "), F.coalesce(f"_f_{b}", F.lit("(none)")))
+    return out.select(
+        *["session_key", "user_pseudo_id", "ga_session_id", "ga_session_number", "session_date", "session_start_ts", "is_first_session", "engaged"],
+        *[F.col(f"_f_{c}").alias(c) for c in ("device_category", "country")],
+        *counted.values(),
+        "revenue_usd",
         channel("event_source", "event_medium").alias("session_channel"),
         channel("first_touch_source", "first_touch_medium").alias("first_touch_channel"),
     )
