@@ -6,7 +6,9 @@ recursion over a series' values per parameter choice, reading the state at each
 origin; the initial state uses the first ``min_train`` values only.
 """
 
+from collections.abc import Callable
 from itertools import product
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,59 +139,96 @@ def _states(runs: DataFrame, first: Column, skip: int, update, horizon: int, ste
     return runs.select("series_id", "p", F.inline(kept))
 
 
-def _best(states: DataFrame) -> DataFrame:
+def best_of(states: DataFrame) -> DataFrame:
     """For each series and origin the parameters with the least error on the training prefix."""
     return states.groupBy("series_id", "origin").agg(F.min_by(F.struct("p", "s"), F.struct(F.col("s.e"), F.col("p"))).alias("b")).select("series_id", "origin", "b.*")
 
 
-def ets_damped(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min_train: int = MIN_TRAIN, grid: list[tuple[float, float, float]] | None = None) -> DataFrame:
-    """(series_id, origin, k, point, sigma): additive errors with a damped trend, the best of a parameter grid."""
-    grid = grid or list(product(*ETS_GRID))
-    runs = _with_parameters(_values(series).filter(F.size("y") >= min_train), ["alpha", "beta", "phi"], grid)
+class Recursion(NamedTuple):
+    """A method whose state is updated value by value, for each choice of a parameter grid ``p``.
+
+    ``start`` is the state after ``skip`` values, told from ``y`` and the length of
+    the first training prefix; ``ahead`` gives point and sum of squared error weights
+    ``k`` weeks after a state ``s``. A state's ``e`` is its squared error so far.
+    """
+
+    names: list[str]
+    grid: list[tuple[float, ...]]
+    skip: int
+    start: Callable[[int], Column]
+    update: Callable[[Column, Column], Column]
+    ahead: Callable[[], tuple[Column, Column]]
+
+
+def _ets_start(min_train: int) -> Column:
     level = F.get("y", F.lit(0))
     trend = (F.get("y", F.lit(min_train - 1)) - level) / (min_train - 1)
+    return F.struct(level.alias("l"), trend.alias("b"), F.lit(0.0).alias("e"))
 
-    def update(s: Column, y: Column) -> Column:
-        guess = s["l"] + F.col("p.phi") * s["b"]
-        error = y - guess
-        return F.struct((guess + F.col("p.alpha") * error).alias("l"), (F.col("p.phi") * s["b"] + F.col("p.beta") * error).alias("b"), (s["e"] + error * error).alias("e"))
 
-    best = _best(_states(runs, F.struct(level.alias("l"), trend.alias("b"), F.lit(0.0).alias("e")), 0, update, horizon, step, min_train))
-    ahead = best.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+def _ets_update(s: Column, y: Column) -> Column:
+    guess = s["l"] + F.col("p.phi") * s["b"]
+    error = y - guess
+    return F.struct((guess + F.col("p.alpha") * error).alias("l"), (F.col("p.phi") * s["b"] + F.col("p.beta") * error).alias("b"), (s["e"] + error * error).alias("e"))
+
+
+def _ets_ahead() -> tuple[Column, Column]:
     phi, k = F.col("p.phi"), F.col("k")
     damped = phi * (1 - F.pow(phi, k)) / (1 - phi)
-    variance = F.col("s.e") / F.col("origin")
     # Weight of an error j steps back: alpha + beta (phi + ... + phi^j).
     weights = F.aggregate(F.sequence(F.lit(0), k - 1), F.lit(0.0), lambda acc, j: acc + F.when(j == 0, 1.0).otherwise(F.pow(F.col("p.alpha") + F.col("p.beta") * phi * (1 - F.pow(phi, j)) / (1 - phi), F.lit(2.0))))
-    return ahead.select("series_id", "origin", "k", (F.col("s.l") + damped * F.col("s.b")).alias("point"), F.sqrt(variance * weights).alias("sigma"))
+    return F.col("s.l") + damped * F.col("s.b"), weights
 
 
-def arima_drift(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min_train: int = MIN_TRAIN, grid: list[tuple[float, float]] | None = None) -> DataFrame:
-    """(series_id, origin, k, point, sigma): first differences with one autoregressive and one moving-average term around their mean.
-
-    Parameters are the best of a grid by the conditional sum of squares; the
-    drift is the mean difference over the first ``min_train`` values.
-    """
-    grid = grid or list(product(*ARIMA_GRID))
-    runs = _with_parameters(_values(series).filter(F.size("y") >= min_train), ["phi", "theta"], grid)
+def _arima_start(min_train: int) -> Column:
     drift = (F.get("y", F.lit(min_train - 1)) - F.get("y", F.lit(0))) / (min_train - 1)
-    start = F.struct(F.get("y", F.lit(0)).alias("y"), F.lit(0.0).alias("d"), F.lit(0.0).alias("a"), F.lit(0.0).alias("e"), drift.alias("m"))
+    return F.struct(F.get("y", F.lit(0)).alias("y"), F.lit(0.0).alias("d"), F.lit(0.0).alias("a"), F.lit(0.0).alias("e"), drift.alias("m"))
 
-    def update(s: Column, y: Column) -> Column:
-        d = y - s["y"] - s["m"]
-        a = d - F.col("p.phi") * s["d"] - F.col("p.theta") * s["a"]
-        return F.struct(y.alias("y"), d.alias("d"), a.alias("a"), (s["e"] + a * a).alias("e"), s["m"].alias("m"))
 
-    # The first value is the state after one observation.
-    best = _best(_states(runs, start, 1, update, horizon, step, min_train))
-    ahead = best.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+def _arima_update(s: Column, y: Column) -> Column:
+    d = y - s["y"] - s["m"]
+    a = d - F.col("p.phi") * s["d"] - F.col("p.theta") * s["a"]
+    return F.struct(y.alias("y"), d.alias("d"), a.alias("a"), (s["e"] + a * a).alias("e"), s["m"].alias("m"))
+
+
+def _arima_ahead() -> tuple[Column, Column]:
     phi, theta, k = F.col("p.phi"), F.col("p.theta"), F.col("k")
     first = phi * F.col("s.d") + theta * F.col("s.a")
     total = F.aggregate(F.sequence(F.lit(0), k - 1), F.lit(0.0), lambda acc, j: acc + first * F.pow(phi, j))
     psi = lambda j: F.lit(1.0) + F.aggregate(F.sequence(F.lit(0), j), F.lit(0.0), lambda acc, i: acc + F.when(i == 0, 0.0).otherwise((phi + theta) * F.pow(phi, i - 1)))
     weights = F.aggregate(F.sequence(F.lit(0), k - 1), F.lit(0.0), lambda acc, j: acc + F.pow(psi(j), F.lit(2.0)))
-    variance = F.col("s.e") / F.col("origin")
-    return ahead.select("series_id", "origin", "k", (F.col("s.y") + k * F.col("s.m") + total).alias("point"), F.sqrt(variance * weights).alias("sigma"))
+    return F.col("s.y") + k * F.col("s.m") + total, weights
+
+
+ETS = Recursion(["alpha", "beta", "phi"], list(product(*ETS_GRID)), 0, _ets_start, _ets_update, _ets_ahead)
+#: The first value is the state after one observation.
+ARIMA = Recursion(["phi", "theta"], list(product(*ARIMA_GRID)), 1, _arima_start, _arima_update, _arima_ahead)
+
+
+def paths_of(best: DataFrame, method: Recursion, horizon: int) -> DataFrame:
+    """(series_id, origin, k, point, sigma): the weeks after each state."""
+    point, weights = method.ahead()
+    ahead = best.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    return ahead.select("series_id", "origin", "k", point.alias("point"), F.sqrt(F.col("s.e") / F.col("origin") * weights).alias("sigma"))
+
+
+def _fitted(series: DataFrame, method: Recursion, horizon: int, step: int, min_train: int, grid: list | None) -> DataFrame:
+    runs = _with_parameters(_values(series).filter(F.size("y") >= min_train), method.names, grid or method.grid)
+    return paths_of(best_of(_states(runs, method.start(min_train), method.skip, method.update, horizon, step, min_train)), method, horizon)
+
+
+def ets_damped(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min_train: int = MIN_TRAIN, grid: list[tuple[float, float, float]] | None = None) -> DataFrame:
+    """(series_id, origin, k, point, sigma): additive errors with a damped trend, the best of a parameter grid."""
+    return _fitted(series, ETS, horizon, step, min_train, grid)
+
+
+def arima_drift(series: DataFrame, horizon: int = HORIZON, step: int = STEP, min_train: int = MIN_TRAIN, grid: list[tuple[float, float]] | None = None) -> DataFrame:
+    """(series_id, origin, k, point, sigma): first differences with one autoregressive and one moving-average term around their mean.
+
+    Parameters are the best of a grid by the conditional sum of squares; the
+    drift is the mean difference over the first ``min_train`` values.
+    """
+    return _fitted(series, ARIMA, horizon, step, min_train, grid)
 
 
 CANDIDATES = {"ets_damped": ets_damped, "arima_drift": arima_drift}

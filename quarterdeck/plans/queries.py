@@ -11,6 +11,7 @@ from quarterdeck import schemas
 from quarterdeck.functions import columns as c
 from quarterdeck.operators import experiment as x
 from quarterdeck.operators import forecast as fc
+from quarterdeck.operators import forecast_states as states
 from quarterdeck.operators import panel as p
 from quarterdeck.operators import changes, parity, peers, product, quality, screen, staging, user_sets, views
 from quarterdeck.plans import backtest, oracle
@@ -805,6 +806,27 @@ def f09_publish(spark, d):
     return _in_millions(fc.publish(w, fc.evaluate(w)), ["point", "lower", "upper"])
 
 
+def _kept(spark, d) -> str:
+    """Forecasts kept of all weeks but the last 30, to which these are then added."""
+    w, path = writers.materialized(b.weekly(spark, d)), writers.shared_folder(spark)
+    cut = w.agg(F.date_sub(F.max("obs_date"), 210).alias("_cut"))
+    early = F.col("obs_date") <= F.col("_cut")
+    for part in (early, ~early):
+        states.refresh(writers.materialized(w.crossJoin(F.broadcast(cut)).filter(part).drop("_cut")), path)
+    return path
+
+
+@query(oracle.EVALUATE, "mape smape")
+def f09_kept_scores(spark, d):
+    return states.kept_scores(spark, _kept(spark, d))
+
+
+@query(f"SELECT series_id, method, obs_date, horizon_weeks, point, lower, upper, trained_through FROM ({PATHS})", "point lower upper")
+def f09_kept_publish(spark, d):
+    path = _kept(spark, d)
+    return _in_millions(states.kept_publish(spark, path, states.kept_scores(spark, path)), ["point", "lower", "upper"])
+
+
 @query(f"SELECT series_id, count(*) AS weeks, min(horizon_weeks) AS first, max(horizon_weeks) AS last, max(trained_through) AS trained_through, 1 AS stamps FROM ({PATHS}) GROUP BY 1")
 def f09_load(spark, d):
     """Scores and paths loaded as a pair, and what the pair has in common."""

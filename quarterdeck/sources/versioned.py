@@ -15,6 +15,7 @@ new version is written: the batch is read once, and a faulty one is never commit
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -144,18 +145,26 @@ def upsert(batch: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS,
         rows = rows.withColumn("_gone", F.lit(False)).unionByName(conform(gone.select(*keys).distinct(), given.schema).withColumn("_gone", F.lit(True)))
     out = merged(held, rows, keys, gone is not None) if found else rows.select(*given.columns)
 
+    counts = {}
+
     def check() -> None:
-        faults = [f"{seen.get[k]} {name}" for k, name in (("null", "null key"), ("repeated", "duplicate key")) if seen.get[k]]
+        try:
+            counts.update(seen.get)
+        except Py4JJavaError:  # a batch that Spark finds empty while it plans is not observed
+            if given.take(1):
+                raise
+            counts.update(rows=0, repeated=0, null=0)
+        faults = [f"{counts[k]} {name}" for k, name in (("null", "null key"), ("repeated", "duplicate key")) if counts[k]]
         if faults:
             raise ValueError("; ".join(faults))
-        if not seen.get["rows"] and gone is None:
+        if not counts["rows"] and gone is None:
             raise _Nothing
 
     try:
         _write(spark, path, out, list(keys), buckets, found[0] if found else None, check)
     except _Nothing:
         return 0
-    return seen.get["rows"]
+    return counts["rows"]
 
 
 class _Nothing(Exception):

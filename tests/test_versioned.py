@@ -135,3 +135,14 @@ def test_change_sets_equal_a_rebuild(spark, tmp_path):
         done = changes.maintain(frame(source), str(tmp_path), build, buckets=2)
         assert done["gone"] == 2 - (new in picked[2:]) and done["written"] < done["read"] < 0.8 * len(source)
         assert view(versioned.read(spark, f"{tmp_path}/fact")) == view(build(frame(source)))
+
+
+def test_a_batch_found_empty_while_planning(spark, tmp_path):
+    """A join that adaptive planning finds empty takes the observation with it."""
+    path = str(tmp_path / "t")
+    some = spark.range(4).selectExpr("id AS k", "id AS v")
+    versioned.upsert(some, path, ["k"], 4)
+    before = versioned.latest_entry(spark, path)
+    other = spark.range(100, 104, 1, 2).selectExpr("id AS k").filter("rand(1) > 2")
+    assert versioned.upsert(some.join(other.repartition(3), "k"), path, ["k"]) == 0
+    assert versioned.latest_entry(spark, path) == before
