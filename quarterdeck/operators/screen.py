@@ -12,9 +12,8 @@ from quarterdeck.sources.writers import materialized
 
 
 def latest(df: DataFrame, date: str = "report_date") -> DataFrame:
-    """Rows of the last period; the maximum is one row and is joined to the scan."""
-    last = df.agg(F.max(date).alias(date))
-    return df.join(F.broadcast(last), date, "left_semi")
+    """Rows of the last period, a scalar: of a mart that is partitioned by it, only that period's files are read."""
+    return df.filter(F.col(date) == df.agg(F.max(date)).scalar())
 
 
 def rank_screen(flags: DataFrame, dim: DataFrame, fact: DataFrame, as_of=None, date: str = "report_date") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.columns import quarter_end, week_of
 from quarterdeck.operators import panel as p
 from quarterdeck.operators import peers
-from quarterdeck.sources.writers import materialized
+from quarterdeck.sources.writers import mart, materialized
 
 #: Size bands that split suppliers' quarters, and the nation whose suppliers the registry lacks.
 BANDS = ((1.4e6, "large"), (0.9e6, "middle"), (0.0, "small"))
@@ -114,6 +114,11 @@ def fact(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> Dat
     return materialized(p.build_fact(panel(spark, sf_dir) if rows is None else rows, registry(spark, sf_dir), BANDS))
 
 
+def fact_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact mart with a folder for each quarter, for queries of the last ones."""
+    return mart(p.build_fact(panel(spark, sf_dir), registry(spark, sf_dir), BANDS), "report_date")
+
+
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.dim_entities(registry(spark, sf_dir), panel(spark, sf_dir), failures(spark, sf_dir))
 

@@ -451,6 +451,12 @@ def v01_pick_list(spark, d):
     return views.pick_list(b.fact(spark, d), "business_model", {"fee_custody": "Fee and custody"})
 
 
+@query("SELECT DISTINCT peer_band AS value, upper(peer_band) AS label FROM fact WHERE peer_band IS NOT NULL AND report_date = (SELECT max(report_date) FROM fact)")
+def v01_pick_list_latest(spark, d):
+    """Bands that the last quarter has."""
+    return views.pick_list(screen.latest(b.fact_by_quarter(spark, d)), "peer_band", {"small": "SMALL", "middle": "MIDDLE", "large": "LARGE"})
+
+
 SELECTION = "SELECT s.* FROM scored s JOIN dim ON dim.cert = s.cert AND dim.is_active WHERE s.peer_band = 'small' AND s.metric = 'roa_pct' AND s.report_date = (SELECT max(report_date) FROM scored)"
 
 
@@ -552,12 +558,12 @@ def v16_forecast_fan(spark, d):
 
 @query(f"SELECT cert, metric, value, robust_z FROM scored WHERE report_date = (SELECT max(report_date) FROM scored)", "value robust_z")
 def v18_extract_peer_latest(spark, d):
-    return views.extract_peer_latest(b.scored(spark, d), 6).select("cert", "metric", "value", "robust_z")
+    return views.extract_peer_latest(peers.peer_percentiles(b.fact_by_quarter(spark, d)), 6).select("cert", "metric", "value", "robust_z")
 
 
 @query("SELECT cert, report_date, year(report_date) || 'Q' || quarter(report_date) AS quarter, total_assets FROM fact WHERE report_date IN (SELECT DISTINCT report_date FROM fact ORDER BY 1 DESC LIMIT 12)", "total_assets")
 def v19_extract_trends(spark, d):
-    return views.extract_trends(b.fact(spark, d), ["total_assets"])
+    return views.extract_trends(b.fact_by_quarter(spark, d), ["total_assets"])
 
 
 @query("SELECT cert, report_date, metric, robust_z FROM scored WHERE abs(robust_z) >= 2", "robust_z")

@@ -131,6 +131,17 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mart(df: DataFrame, by: str) -> DataFrame:
+    """``df`` as a table with a folder for each value of ``by``, in that shared folder: a query of some periods reads theirs alone.
+
+    Rows of a period are brought together before, and a large period is split, so
+    files are neither many nor huge.
+    """
+    path = shared_folder(df.sparkSession)
+    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def write_exhibit(df: DataFrame, path: str) -> None:
     """A CSV exhibit in one file: a header, booleans in lower case."""
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)
