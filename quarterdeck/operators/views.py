@@ -1,6 +1,6 @@
 """Profile, peer-explorer, sector and extract views over the marts."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.columns import quarter_tag
@@ -51,9 +51,15 @@ def availability(scored: DataFrame, group: str, value: str) -> DataFrame:
     return latest(scored).filter(F.col(group) == value).groupBy("metric").agg(F.count("*").alias("available"))
 
 
-def entity_history(fact: DataFrame, entity: int, columns: list[str], scale: float = 1.0) -> DataFrame:
-    """One entity's quarters; ``scale`` divides every column."""
-    return fact.filter(F.col("cert") == entity).select("report_date", *[(F.col(c) / scale).alias(c) for c in columns])
+def entity_history(fact: DataFrame, entity: int, columns: list[str], scale: int = 1, digits: int | None = None) -> DataFrame:
+    """One entity's quarters; ``scale`` divides every column. With ``digits`` (up to eight) values are divided and rounded as decimals, so that a tie doesn't hang on the last bit of a double."""
+
+    def scaled(c: str) -> Column:
+        if digits is None:
+            return F.col(c) / scale
+        return F.round(F.col(c).cast("decimal(28,8)") / F.lit(scale).cast("decimal(9,0)"), digits).cast("double")
+
+    return fact.filter(F.col("cert") == entity).select("report_date", *[scaled(c).alias(c) for c in columns])
 
 
 def profile_header(fact: DataFrame, entities: list[int] | None = None) -> DataFrame:

@@ -484,9 +484,13 @@ def v06_availability(spark, d):
     return views.availability(peers.model_percentiles(b.fact(spark, d)), "business_model", "traditional_lender")
 
 
-@query("SELECT report_date, total_assets / 100 AS total_assets, equity / 100 AS equity FROM panel WHERE cert = 1", "total_assets equity")
+#: Thousands as decimals of six digits.
+THOUSANDS = "CAST(CAST(CAST({0} AS DECIMAL(24,4)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(28,6)) AS DOUBLE) AS {0}"
+
+
+@query(f"SELECT report_date, {THOUSANDS.format('total_assets')}, {THOUSANDS.format('equity')} FROM panel WHERE cert = 1", "total_assets equity")
 def v07_entity_history(spark, d):
-    return views.entity_history(b.panel(spark, d), 1, ["total_assets", "equity"], 100)
+    return views.entity_history(b.panel(spark, d), 1, ["total_assets", "equity"], 1000, 6)
 
 
 @query("SELECT cert, max(report_date) AS latest_quarter, count(*) AS quarters, arg_max(business_model, report_date) AS business_model, arg_max(peer_band, report_date) AS peer_band FROM fact GROUP BY 1")
