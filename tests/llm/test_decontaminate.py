@@ -42,6 +42,25 @@ def test_scan_is_brute_force(seed):
             assert all(b > a for (_, a), (b, _) in zip(spans, spans[1:]))  # merged
 
 
+def test_blocks_of_one_shard_and_pruning_are_brute_force():
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(12)]
+    draw = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    for _ in range(30):
+        items = [(f"i{k}", draw(rng.choice([0, 1, 2, 5, 9]))) for k in range(6)]
+        docs = [" ".join([draw(rng.randint(0, 9)), rng.choice(items)[1], draw(rng.randint(0, 9))]) for _ in range(12)]
+        blocks = [dc.Phrases(items[k : k + 2], 5) for k in (0, 2, 4)]
+        for text, n, spans, found in zip(docs, *dc.scan(docs, *blocks)):
+            assert (n, {p for b, e in spans for p in range(b, e)}, found) == plain(text, items, 5)
+            assert all(b > a for (_, a), (b, _) in zip(spans, spans[1:]))
+    # Neighbours across two items are no pair, and a window goes when the shard lacks one of its pairs.
+    phrases = dc.Phrases([("a", "x y z"), ("b", "q x"), ("c", "y")], 2)
+    assert len(phrases.pairs) == 3
+    w = {k.decode(): v for k, v in phrases.words.items()}
+    only = phrases.possible(phrases.ids[phrases.ids > 0], [phrases.pairs.tolist().index(w["y"] * 5 + w["z"])])
+    assert sorted(phrases.ids[b : b + n].tolist() for b, n in zip(phrases.begins[only], phrases.lengths[only])) == sorted([[w["y"], w["z"]], [w["y"]]])
+
+
 def test_index_finds_every_position():
     import numpy as np
 
@@ -50,6 +69,7 @@ def test_index_finds_every_position():
     text = np.array([x for r in runs for x in r] + [0])
     index = dc.FMIndex(text, 3)
     phrases = dc.Phrases([("a", "1 2 3"), ("b", "2 1"), ("c", "3 3 3"), ("d", "2 1")], 3)
+    assert len(index.position) == index.sampled.ones < index.n
     assert phrases.words == {b"1": 1, b"2": 2, b"3": 3} and len(phrases.begins) == 3
     low, high = index.search(phrases)
     for begin, n, a, b in zip(phrases.begins, phrases.lengths, low, high):
