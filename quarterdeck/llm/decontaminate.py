@@ -180,28 +180,35 @@ class _Numbers(dict):
     """Words numbered as they come."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
+        self[word] = number = len(self) + 1
         return number
 
 
 class Shard:
     """Some documents, their words numbered once, and what the blocks of the benchmark hit in them."""
 
-    def __init__(self, texts: list[str | None]):
-        self.words = _Numbers()
-        ids = [np.fromiter(map(self.words.__getitem__, w), np.int32, len(w)) for w in map(tokens, texts)]
+    def __init__(self, texts: list[str | None], only: Phrases | None = None):
+        """With an ``only`` block, its own word ids are the numbers, and other words have none."""
+        self.words = only.words if only else _Numbers()
+        found, get = map(tokens, texts), self.words.get
+        if only:
+            ids = [np.array([get(w, 0) for w in mine], np.int32) for mine in found]
+        else:
+            ids = [np.fromiter(map(self.words.__getitem__, mine), np.int32, len(mine)) for mine in found]
         self.counts = np.array([len(w) for w in ids], np.int64)
         # One separator before each document, and one at the end.
         self.base = np.concatenate([[0], np.cumsum(self.counts + 1)])
-        self.numbers = np.full(self.base[-1] + 1, -1, np.int32)
+        self.numbers = np.zeros(self.base[-1] + 1, np.int32)
         for b, w in zip(self.base.tolist(), ids):
             self.numbers[b + 1 : b + 1 + len(w)] = w
         self.hits, self.items = [], [set() for _ in texts]
 
     def look_for(self, phrases: Phrases) -> None:
         get = phrases.words.get
-        known = np.fromiter((get(w, 0) for w in self.words), np.int32, len(self.words))
-        symbols = np.append(known, np.int32(0))[self.numbers]
+        symbols = self.numbers
+        if self.words is not phrases.words:
+            known = np.fromiter((get(w, 0) for w in self.words), np.int32, len(self.words))
+            symbols = np.concatenate([np.zeros(1, np.int32), known])[symbols]
         if not symbols.any():
             return
         # A run goes on while its neighbours are neighbours in the benchmark.
@@ -251,7 +258,7 @@ class Shard:
 
 def scan(texts: list[str | None], *blocks: Phrases) -> tuple[list[int], list[list[tuple[int, int]]], list[list[str]]]:
     """What the blocks hit in a shard of these texts (``Shard.found``)."""
-    shard = Shard(texts)
+    shard = Shard(texts, blocks[0] if len(blocks) == 1 else None)
     for phrases in blocks:
         shard.look_for(phrases)
     return shard.found()
