@@ -10,7 +10,9 @@ through a fitted logistic curve.
 The lexicon and curve are learned from a bounded sample of labelled rows: word
 beginnings and words that many toxic and hardly any clean texts hold, weighted
 by their log-odds. Exception phrases are pairs of neighbouring words with a hit in
-them that several clean texts and no toxic ones hold. Null and empty texts have no
+them that pass the same test the other way round: among the texts that hold the entry,
+far more clean ones hold the pair than the entry's own share of clean texts would give.
+The sample is folded and split once. Null and empty texts have no
 hits and score as clean; with no labels to learn from every score is 0. Repeated
 rows score alike; an empty table gives an empty result; very long texts are
 matched whole, in linear time. A column that has the result's name (``into``) is
@@ -39,7 +41,6 @@ LEAST_ODDS = 4.0
 LEAST_SURPRISE = 5.0
 SHORTEST, LONGEST = 3, 10
 EXTRA_WORDS = 20
-EXCEPTIONS = ("trash can", "trash bin", "clown fish")
 
 #: Letters that look like a Latin one: Cyrillic, Greek, Armenian, Latin ones of their own.
 LOOK_ALIKES = str.maketrans("авеёкмнорстухіїјѕһԁԛԝӏαβεικνορτυχωγηօսհոցıɑɡʟøđł", "abeekmhopctyxiijshdqwlabeiknoptuxwynouhngiaglodl")
@@ -84,7 +85,7 @@ def per_hundred(weight: np.ndarray | float, n_words: np.ndarray | int) -> np.nda
 class Lexicon:
     """Entries with weights; ``$`` at an entry's end closes the word."""
 
-    def __init__(self, weights: dict[str, float], exceptions=EXCEPTIONS, slope: float = 0.0, offset: float = -20.0):
+    def __init__(self, weights: dict[str, float], exceptions=(), slope: float = 0.0, offset: float = -20.0):
         self.weights, self.exceptions, self.slope, self.offset = weights, tuple(exceptions), slope, offset
 
     def automaton(self) -> ahocorasick.Automaton:
@@ -98,8 +99,8 @@ class Lexicon:
             found.make_automaton()
         return found
 
-    def hits(self, automaton: ahocorasick.Automaton, found: list[str]) -> list[tuple[str, float]]:
-        """Entries that occur outside exception phrases, with weights."""
+    def places(self, automaton: ahocorasick.Automaton, found: list[str]) -> list[tuple[int, int, float, str]]:
+        """Begin, end, weight and entry of what occurs outside exception phrases; each word has a sign before it and one after it."""
         if not found or not len(automaton):
             return []
         hits, spared = [], []
@@ -110,16 +111,37 @@ class Lexicon:
             spared.sort()
             begins, reach = [x for x, *_ in spared], list(accumulate((y for _, y, *_ in spared), max))
             hits = [h for h in hits if not (k := bisect_right(begins, h[0])) or reach[k - 1] < h[1]]
-        return [(e, w) for _, _, w, e in hits]
+        return hits
+
+    def hits(self, automaton: ahocorasick.Automaton, found: list[str]) -> list[tuple[str, float]]:
+        return [(e, w) for _, _, w, e in self.places(automaton, found)]
+
+    def pairs(self, automaton: ahocorasick.Automaton, found: list[str]) -> set[tuple[str, str]]:
+        """Each entry that occurs with the pairs of neighbours that the word is in."""
+        places = self.places(automaton, found)
+        begins = list(accumulate((len(w) + 2 for w in found), initial=0)) if places else []
+        at = {(entry, bisect_right(begins, begin) - 1) for begin, _, _, entry in places}
+        return {(entry, f"{found[j]} {found[j + 1]}") for entry, i in at for j in (i - 1, i) if 0 <= j < len(found) - 1}
 
-    def density(self, automaton: ahocorasick.Automaton, text: str | None) -> float:
-        found = words(text)
+    def density(self, automaton: ahocorasick.Automaton, found: list[str]) -> float:
         return float(per_hundred(sum(w for _, w in self.hits(automaton, found)), len(found)))
 
     def score(self, density: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * density + self.offset, -30, 30)))
 
 
+def _tells(n: int, m: int, ours: int, others: int, least: float = 0.0) -> tuple[float, float] | None:
+    """How many of our texts hold something above the number expected, and its odds, if both are telling.
+
+    ``n`` of ``ours`` and ``m`` of ``others`` hold it; no less than ``least`` are expected.
+    """
+    expected = max((n + m) * ours / (ours + others), least)
+    odds = ((n + 0.5) / (ours + 1)) / ((m + 0.5) / (others + 1))
+    if odds >= LEAST_ODDS and (n - expected) / expected**0.5 >= LEAST_SURPRISE:
+        return n - expected, odds
+    return None
+
+
 def _chosen(bad: dict[str, tuple[int, int]], good: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Weights of the entries that tell most, from (texts, occurrences) of each entry.
 
@@ -130,10 +152,8 @@ def _chosen(bad: dict[str, tuple[int, int]], good: dict[str, tuple[int, int]], t
     worth = {}
     for entry, (n, times) in bad.items():
         m, others = good.get(entry, (0, 0))
-        expected = (n + m) * toxic / (toxic + clean)
-        odds = ((n + 0.5) / (toxic + 1)) / ((m + 0.5) / (clean + 1))
-        if odds >= LEAST_ODDS and (n - expected) / expected**0.5 >= LEAST_SURPRISE:
-            worth[entry] = (n - expected) * np.log(odds), float(np.log(((times + 0.5) / (toxic + 1)) / ((others + 0.5) / (clean + 1))))
+        if told := _tells(n, m, toxic, clean):
+            worth[entry] = told[0] * np.log(told[1]), float(np.log(((times + 0.5) / (toxic + 1)) / ((others + 0.5) / (clean + 1))))
     kept: dict[str, float] = {}
     begun: set[str] = set()
     for entry in sorted(worth, key=lambda e: (-worth[e][0], -len(e), e)):
@@ -144,38 +164,47 @@ def _chosen(bad: dict[str, tuple[int, int]], good: dict[str, tuple[int, int]], t
     return kept
 
 
-def _spared(sample: DataFrame, lexicon) -> tuple[str, ...]:
-    """Pairs of neighbours with a hit in them that at least ``LEAST_TEXTS`` clean texts and no toxic ones hold."""
+def _spared(sample: DataFrame, lexicon, bad: dict[str, tuple[int, int]], good: dict[str, tuple[int, int]]) -> tuple[str, ...]:
+    """Pairs of neighbours that are told to be clean among the texts that hold the entry in them; of two entries, by both."""
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, told = lexicon.value.automaton(), {}
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = lexicon.value.automaton()
         for batch in batches:
-            label, pair = [], []
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-                found = words(text)
-                for w in set(found) - told.keys():
-                    told[w] = bool(lexicon.value.hits(automaton, [w]))
-                mine = {f"{a} {b}" for a, b in zip(found, found[1:]) if told[a] or told[b]}
-                label += [toxic] * len(mine)
-                pair += mine
-            yield pa.RecordBatch.from_arrays([pa.array(pair, pa.string()), pa.array(label, pa.int32())], ["pair", "label"])
-
-    counts = sample.select("text", "label").mapInArrow(pairs, "pair string, label int").groupBy("pair").agg(F.count_if(F.col("label") == 0).alias("clean"), F.count_if(F.col("label") == 1).alias("toxic"))
-    return tuple(sorted(r.pair for r in counts.filter(f"toxic = 0 AND clean >= {LEAST_TEXTS}").toLocalIterator()))
-
-
-def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND, exceptions=EXCEPTIONS) -> Lexicon:
+            counts = Counter()
+            for text, label in zip(*(c.to_pylist() for c in batch.columns)):
+                counts.update((*pair, label) for pair in lexicon.value.pairs(automaton, text.split()))
+            entry, pair, label = zip(*counts) if counts else ((), (), ())
+            columns = [pa.array(entry, pa.string()), pa.array(pair, pa.string()), pa.array(label, pa.int32()), pa.array(counts.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["entry", "pair", "label", "n"])
+
+    n = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
+    counts = sample.select("folded", "label").mapInArrow(counted, "entry string, pair string, label int, n long").groupBy("entry", "pair").agg(n(0).alias("clean"), n(1).alias("toxic"))
+    kept, not_kept = set(), set()
+    # A pair that passes for one entry may fail for another one with few clean texts, so all with enough of them are looked at.
+    for r in counts.filter(F.col("clean") >= LEAST_TEXTS).toLocalIterator():
+        told = _tells(r.clean, r.toxic, good.get(r.entry, (0, 0))[0], bad[r.entry][0], least=1.0)
+        (kept if told else not_kept).add(r.pair)
+    return tuple(sorted(kept - not_kept))
+
+
+def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND, exceptions=()) -> Lexicon:
     """A lexicon from at most ``bound`` labelled rows of the fold."""
     label = names.fresh("label", docs)
-    sample = scratch.written(sampling.labelled(docs, labels, label_col, fold_, bound, id_col, label).select(F.col(text_col).alias("text"), F.col(label).cast("int").alias("label")))
+    rows = sampling.labelled(docs, labels, label_col, fold_, bound, id_col, label).select(F.col(text_col).alias("text"), F.col(label).cast("int").alias("label"))
     spark = docs.sparkSession
 
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([" ".join(words(t)) for t in batch.column(0).to_pylist()], pa.string()), batch.column(1)], ["folded", "label"])
+
+    sample = scratch.written(rows.mapInArrow(folded, "folded string, label int"))
+
     def counted(entries):
         def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts, times = Counter(), Counter()
             for batch in batches:
                 for text in batch.column(0).to_pylist():
-                    found = _features(words(text))
+                    found = _features(text.split())
                     if entries is not None:
                         found = Counter({e: found[e] for e in found.keys() & entries.value})
                     times.update(found)
@@ -186,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "tox
         return of
 
     def counts(label: int, entries=None) -> DataFrame:
-        rows = sample.filter(F.col("label") == label).select("text")
+        rows = sample.filter(F.col("label") == label).select("folded")
         return rows.mapInArrow(counted(entries), "entry string, n long, times long").groupBy("entry").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -197,15 +226,15 @@ def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "tox
     bad = {r.entry: (r.n, r.times) for r in counts(1).filter(F.col("n") >= LEAST_TEXTS).toLocalIterator()}
     good = {r.entry: (r.n, r.times) for r in counts(0, spark.sparkContext.broadcast(set(bad))).toLocalIterator()}
     lexicon = Lexicon(_chosen(bad, good, toxic, clean), exceptions)
-    lexicon.exceptions += _spared(sample, spark.sparkContext.broadcast(lexicon))
+    lexicon.exceptions += _spared(sample, spark.sparkContext.broadcast(lexicon), bad, good)
     shared = spark.sparkContext.broadcast(lexicon)
 
     def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value.automaton()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([shared.value.density(automaton, t) for t in batch.column(0).to_pylist()], pa.float64())], ["label", "density"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([shared.value.density(automaton, t.split()) for t in batch.column(0).to_pylist()], pa.float64())], ["label", "density"])
 
-    table = sample.select("text", "label").mapInArrow(densities, "label int, density double").toPandas().sort_values(["density", "label"])
+    table = sample.select("folded", "label").mapInArrow(densities, "label int, density double").toPandas().sort_values(["density", "label"])
     x, y = table["density"].to_numpy(), table["label"].to_numpy(np.float64)
     design, w = np.stack([x, np.ones(len(x))], 1), np.zeros(2)
     for _ in range(30):  # Newton's method with a small ridge

@@ -189,6 +189,43 @@ def test_exceptions_are_mined_from_clean_texts(spark):
     assert shown("you total clown") and not any(e.startswith("clown") for e, _ in shown("a clown fish"))
 
 
+def test_planted_exceptions_are_found_and_noise_is_not(spark):
+    rng = random.Random(4)
+    common = ["calm", "day", "river", "green", "house", "walk", "music", "light"]
+    noise = lambda n: rng.choices(common, k=n)
+    spared = ["clown fish", "dirty snow", "the rat", "garbage truck"]
+    rows = []
+    for k in range(1200):
+        if k % 2:
+            text = [*noise(4), rng.choice(["clown", "dirty", "rat", "garbage"]), *noise(4)]
+        elif k % 16 == 0:
+            text = [*noise(3), rng.choice(spared), *noise(3)]
+        else:
+            text = noise(9)
+        rows.append((k, " ".join(text)))
+    # Some marked the wrong way round, and one clean text with an insult in five copies.
+    rows += [(1201 + 2 * k, "light clown fish day") for k in range(2)] + [(2000 + 2 * k, "music odd garbage walk") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")), F.lit(True))
+    assert lexicon.exceptions == tuple(sorted(spared))
+    automaton = lexicon.automaton()
+    score = lambda t: lexicon.score(np.array([lexicon.density(automaton, toxicity.words(t))]))[0]
+    for phrase in spared:
+        alone = next(w for w in phrase.split() if w in ("clown", "dirty", "rat", "garbage"))
+        assert score(f"a green {phrase} here") < 0.3 < 0.7 < score(f"a green {alone} here")
+
+
+def test_pairs_of_hits_are_brute_force():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("ab", k=rng.randint(1, 3)))
+    for _ in range(50):
+        weights = {word() + rng.choice(["", "$"]): 1.0 for _ in range(4)}
+        lexicon, found = toxicity.Lexicon(weights), [word() for _ in range(rng.randint(0, 12))]
+        held = [{e for e in weights if (w == e[:-1] if e.endswith("$") else w.startswith(e))} for w in found]
+        expected = {(e, f"{found[j]} {found[j + 1]}") for j in range(len(found) - 1) for e in held[j] | held[j + 1]}
+        assert lexicon.pairs(lexicon.automaton(), found) == expected
+
+
 def test_exceptions_and_word_bounds():
     lexicon = toxicity.Lexicon({"trash$": 2.0, "vequ": 3.0}, ["trash can"], 1.0, 0.0)
     found = lexicon.automaton()
