@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from quarterdeck.llm import names, sampling, scratch
 
 BOUND = 8_000
+#: Sampled rows that a task folds and counts.
+ROWS = 500
 THRESHOLD = 0.7
 LEAST_TEXTS = 4
 LEAST_ODDS = 4.0
@@ -197,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold_: Column, label_col: str = "tox
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([" ".join(words(t)) for t in batch.column(0).to_pylist()], pa.string()), batch.column(1)], ["folded", "label"])
 
-    sample = scratch.written(rows.mapInArrow(folded, "folded string, label int"))
+    sample = scratch.written(rows.repartition(max(1, bound // ROWS)).mapInArrow(folded, "folded string, label int"))
 
     def counted(entries):
         def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
