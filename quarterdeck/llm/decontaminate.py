@@ -106,6 +106,15 @@ class Phrases:
         """The ``back``-th word from the end of each window, 0 if it has fewer."""
         return np.where(back <= lengths, self.ids[begins + lengths - back], 0)
 
+    def pairs_of(self, windows: np.ndarray) -> np.ndarray:
+        """For each pair whether it is in one of the windows."""
+        change = np.zeros(len(self.ids) + 1, np.int32)
+        np.add.at(change, self.begins[windows], 1)
+        np.add.at(change, self.begins[windows] + self.lengths[windows] - 1, -1)
+        held = np.zeros(len(self.pairs) + 1, bool)
+        held[self.pair[np.cumsum(change)[: len(self.pair)] > 0]] = True
+        return held
+
 
 class FMIndex:
     """Index of a sequence of word ids; 0 separates runs and is never searched."""
@@ -215,20 +224,30 @@ class Shard:
         joined = (symbols[:-1] > 0) & (symbols[1:] > 0)
         codes, number = np.unique(phrases.code(symbols[:-1][joined], symbols[1:][joined]), return_inverse=True)
         at = np.searchsorted(phrases.pairs, codes)
-        there = np.append(phrases.pairs, -1)[at] == codes
-        joined[joined] = there[number]
-        windows = phrases.possible(symbols[symbols > 0], at[there])
+        pair = np.full(len(joined), len(phrases.pairs))
+        pair[joined] = np.where(np.append(phrases.pairs, -1)[at] == codes, at, len(phrases.pairs))[number]
+        joined = pair < len(phrases.pairs)
+        windows = np.arange(len(phrases.begins))
+        # Fewer windows leave fewer pairs and shorter runs, and these fewer windows, until little more goes.
+        while len(windows):
+            begins = np.flatnonzero((symbols > 0) & ~np.concatenate([[False], joined]))
+            ends = np.flatnonzero((symbols > 0) & ~np.append(joined, False)) + 1
+            long = ends - begins >= phrases.lengths[windows].min()
+            begins, ends = begins[long], ends[long]
+            inside = np.zeros(len(symbols), bool)
+            inside[_expand(begins, ends)[0]] = True
+            joined &= inside[:-1]
+            before, windows = len(windows), phrases.possible(symbols[inside], pair[joined])
+            if 10 * len(windows) > 9 * before:
+                break
+            joined &= phrases.pairs_of(windows)[pair]
         if not len(windows):
             return
-        starts = (symbols > 0) & ~np.concatenate([[False], joined])
-        stops = (symbols > 0) & ~np.append(joined, False)
-        begins, ends = np.flatnonzero(starts), np.flatnonzero(stops) + 1
-        long = ends - begins >= phrases.lengths[windows].min()
         # Each run with a separator before it, and one more separator at the end.
-        at, _ = _expand(begins[long] - 1, ends[long])
+        at, _ = _expand(begins - 1, ends)
         at = np.append(at, len(symbols) - 1)
         text = symbols[at].astype(np.int64)
-        sizes = ends[long] - begins[long] + 1
+        sizes = ends - begins + 1
         text[np.cumsum(sizes) - sizes] = 0
         index = FMIndex(text, len(phrases.words))
         low, high = index.search(phrases, windows)
