@@ -52,6 +52,7 @@ def needed(source: DataFrame, rows: DataFrame, keys: tuple[str, str], reach: int
 def maintain(source: DataFrame, path: str, build: Callable[[DataFrame], DataFrame], keys: tuple[str, str] = ("cert", "report_date"), reach: int = REACH, buckets: int = versioned.BUCKETS) -> dict[str, int]:
     """Bring the fact at ``path``/fact up to date with ``source``; ``build`` makes a fact of source rows, each from quarters up to ``reach`` before it.
 
+    ``source`` is read for hashes, changes, keys and rows, so it should be a written table.
     Returns how many source rows changed, went, were read by ``build`` and were
     written. If a run breaks off between its two commits, the next one repeats it: hashes
     are committed after the fact.

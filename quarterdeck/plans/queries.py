@@ -90,7 +90,7 @@ def s16_merge_fact(spark, d):
 @query("SELECT cert, report_date, total_assets, asset_growth_yoy, asset_growth_3y_cagr, nim_trend_4q FROM fact", "total_assets asset_growth_yoy asset_growth_3y_cagr nim_trend_4q")
 def s16_change_sets(spark, d):
     """The fact from a panel with some quarters otherwise, one too many and some missing, then brought up to date by change sets."""
-    source, registry = b.panel(spark, d), b.registry(spark, d)
+    source, registry = writers.materialized(b.panel(spark, d)), b.registry(spark, d)
     build = lambda rows: p.build_fact(rows, registry, b.BANDS)
     picked = F.pmod(F.xxhash64("cert", "report_date"), F.lit(40))
     other = source.filter(picked != 0).withColumn("total_assets", F.when(picked == 1, F.col("total_assets") * 2).otherwise(F.col("total_assets")))
