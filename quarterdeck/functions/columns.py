@@ -28,7 +28,8 @@ def week_of(date: str | Column) -> Column:
 
 
 def _value(params: Column, key: str) -> Column:
-    return F.get(F.filter(params, lambda p: p["key"] == key), F.lit(0))["value"]
+    # By position rather than by a filter: a lambda is interpreted for each entry and keeps its projection out of generated code.
+    return F.get(params, F.array_position(params["key"], F.lit(key)).cast("int") - 1)["value"]
 
 
 def param_str(params: Column, key: str) -> Column:

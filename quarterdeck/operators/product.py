@@ -63,7 +63,7 @@ def value_codes(events: DataFrame, columns: list[str] = FIRST_KNOWN) -> DataFram
     """(event_name, value, least_us, most_us): the pairs of a name and a known value in any of ``columns``, with their first and last time."""
     pairs = F.array(*[F.struct("event_name", F.col(c).alias("value")) for c in columns])
     us = F.unix_micros(F.col("event_ts").cast("timestamp"))
-    return events.select(us.alias("_us"), F.inline(F.filter(pairs, lambda x: x["value"].isNotNull()))).groupBy("event_name", "value").agg(F.min("_us").alias("least_us"), F.max("_us").alias("most_us"))
+    return events.select(us.alias("_us"), F.inline(pairs)).filter("value IS NOT NULL").groupBy("event_name", "value").agg(F.min("_us").alias("least_us"), F.max("_us").alias("most_us"))
 
 
 def _with_first_codes(events: DataFrame, pairs: DataFrame, n: int) -> tuple[DataFrame, dict[str, Column], DataFrame]:
@@ -89,10 +89,12 @@ def sessions(events: DataFrame, counted: dict[str, str] = COUNTED, max_codes: in
 
     Texts whose first known value is wanted become codes of a dictionary, and time
     and code one number, so a session is a hash aggregate of numbers: ``events`` is
-    read once for the dictionary and once for that. With more than ``max_codes``
+    read once, and what sessions need of it is written for the dictionary and that. With more than ``max_codes``
     pairs of names and values the dictionary isn't broadcast, and rows are sorted.
     """
-    held = events.filter("ga_session_id IS NOT NULL")
+    # Filtered only once written: a filter on raw rows repeats what makes the id, parsing included, for each mention.
+    needed = ["session_key", "user_pseudo_id", "ga_session_id", "ga_session_number", "session_engaged", "event_date", "event_ts", "event_name", "purchase_revenue_usd", *FIRST_KNOWN]
+    held = materialized(events.select(*needed)).filter("ga_session_id IS NOT NULL")
     pairs = materialized(value_codes(held))
     n = pairs.count()
     if coded := n <= max_codes:

@@ -142,19 +142,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
     def given(condition, p):
-        return F.when(condition, p)
+        return F.when(condition, F.array(p)).otherwise(F.array())
 
     k, session = F.col("k"), F.datediff(F.to_date("ts"), F.lit(date(1970, 1, 1))).cast("bigint")
-    params = F.array(
+    params = F.concat(
         given((k != 0) & (k % 10 != 3), param("ga_session_id", number=session)),
         given((k != 0) & (k % 10 == 3), param("ga_session_id", text=session.cast("string"))),
-        param("ga_session_number", number=F.dayofmonth("ts").cast("bigint")),
+        F.array(param("ga_session_number", number=F.dayofmonth("ts").cast("bigint"))),
         given(k % 3 == 0, param("session_engaged", text=F.lit("1"))),
         given(k % 3 == 2, param("session_engaged", number=F.lit(0).cast("bigint"))),
         given(k % 4 != 2, param("source", text=F.when(k % 4 == 0, "google").when(k % 4 == 1, "mail").otherwise("ads"))),
         given(k % 5 < 2, param("medium", text=F.when(k % 5 == 0, "organic").otherwise("email"))),
-        param("page_location", text=F.concat(F.lit("https://site.example/p"), k.cast("string"))),
-        param("engagement_time_msec", number=(k * 10).cast("bigint")),
+        F.array(param("page_location", text=F.concat(F.lit("https://site.example/p"), k.cast("string")))),
+        F.array(param("engagement_time_msec", number=(k * 10).cast("bigint"))),
     )
     name = F.create_map(*map(F.lit, ("view", "view_item", "click", "add_to_cart", "signup", "begin_checkout", "error", "page_view", "purchase", "purchase")))
     text = lambda c: c.cast("string")
@@ -165,7 +165,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u"), text(F.col("u"))).alias("user_pseudo_id"),
         no_int.alias("user_first_touch_timestamp"),
         F.lit("WEB").alias("platform"),
-        F.filter(params, lambda x: x.isNotNull()).alias("event_params"),
+        params.alias("event_params"),
         F.struct(F.when(k % 2 == 0, "mobile").otherwise("desktop").alias("category"), no_text.alias("operating_system"), F.struct(no_text.alias("browser")).alias("web_info")).alias("device"),
         F.struct(F.concat(F.lit("C"), text(F.col("u") % 7)).alias("country"), no_text.alias("region"), no_text.alias("city")).alias("geo"),
         F.struct(F.when(F.col("u") % 3 == 0, "google").when(F.col("u") % 3 == 2, "ads").alias("source"), F.when(F.col("u") % 2 == 0, "cpc").alias("medium"), no_text.alias("name")).alias("traffic_source"),
