@@ -1,10 +1,11 @@
 """The test tables in the shapes that the operators work on.
 
-Sums of prices are taken as decimals, so they are the same under any
-partitioning and in any engine.
+Sums of prices are taken as decimals, or as whole numbers of their last digit, so
+they are the same under any partitioning and in any engine.
 """
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,23 +29,32 @@ def _money(column: str) -> Column:
     return F.col(column).cast("decimal(12,2)")
 
 
+def _hundredths(column: str, kind: str) -> Column:
+    """A column in a decimal type of two digits as a whole number of hundredths."""
+    return (F.col(column).cast(kind) * 100).cast("bigint")
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier by quarter of shipping, in the staged names of a bank panel."""
-    price, less, tax = _money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)"), F.col("l_tax").cast("decimal(4,2)")
-    total = lambda c: F.sum(c).cast("double")
-    mean = lambda c: F.sum(c).cast("double") / F.count("*")
-    where = lambda c, v: F.when(F.col(c) == v, price).otherwise(F.lit(0).cast("decimal(12,2)"))
+    """Supplier by quarter of shipping, in the staged names of a bank panel.
+
+    Sums are of whole cents and hundredths of cents: a group in a task's memory is then
+    twelve numbers, where wide decimals take four times that. One past 63 bits is an error.
+    """
+    cents, less, tax, pieces = (_hundredths(c, kind) for c, kind in (("l_extendedprice", "decimal(12,2)"), ("l_discount", "decimal(4,2)"), ("l_tax", "decimal(4,2)"), ("l_quantity", "decimal(12,2)")))
+    total = lambda c, unit="0.01": (F.sum(c).cast("decimal(20,0)") * F.lit(Decimal(unit))).cast("double")
+    mean = lambda c: total(c) / F.count("*")
+    where = lambda c, v: F.when(F.col(c) == v, cents).otherwise(F.lit(0).cast("bigint"))
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("cert"), quarter_end(F.to_date("l_shipdate")).alias("report_date")).agg(
-        total(price).alias("total_assets"),
-        total(price * (1 - less)).alias("total_deposits"),
-        total(price * tax).alias("equity"),
+        total(cents).alias("total_assets"),
+        total(cents * (100 - less), "0.0001").alias("total_deposits"),
+        total(cents * tax, "0.0001").alias("equity"),
         total(where("l_returnflag", "N")).alias("net_loans_leases"),
         total(where("l_returnflag", "R")).alias("securities"),
         total(where("l_returnflag", "A")).alias("brokered_deposits"),
         total(where("l_linestatus", "O")).alias("uninsured_deposits_est"),
         (mean(less) * 100).alias("net_interest_margin_pct"),
         (mean(tax) * 100).alias("roa_pct"),
-        mean(F.col("l_quantity").cast("decimal(12,2)")).alias("efficiency_ratio_pct"),
+        mean(pieces).alias("efficiency_ratio_pct"),
         (mean(less + tax) * 100).alias("cost_of_funds_pct"),
     )
 
