@@ -40,6 +40,11 @@ SHARD = "part int, shard int, doc_ids array<long>, lengths array<int>, n_tokens
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """A column without nulls as a list, by way of numpy, which makes no scalar of each value."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Ids of whole texts, with a memory of words: each distinct piece of a slice of texts is looked up once, and new ones are encoded.
 
@@ -109,11 +114,14 @@ class Encoder:
         for piece in pieces:
             ids = known(piece)
             if ids is None:
-                # Most pieces that are no words are words with marks after them.
+                # Most pieces that are no known words are new ones, or words with marks after them.
                 word = piece.rstrip(".,")
                 ids = known(word)
+                if ids is None and word.removeprefix(" ").isalpha():
+                    ids = self._word(word)
                 if ids is not None:
-                    ids += self._mark(piece[len(word) :])
+                    if len(word) < len(piece):
+                        ids += self._mark(piece[len(word) :])
                 elif (ids := self._lines(piece)) is None:
                     other.append(len(out))
             out.append(ids)
@@ -130,14 +138,14 @@ class Encoder:
         split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         flat, bounds = split.flatten(), np.asarray(split.offsets)[: len(texts) + 1]
         # First pieces have no space before them; odd texts are one piece, which goes through the tokenizer.
-        heads = self._coded(flat.take(pa.array(bounds[:-1])).to_pylist())
+        heads = self._coded(_strings(flat.take(pa.array(bounds[:-1]))))
         whole = np.flatnonzero(odd)
         for k, ids in zip(whole.tolist(), self._encode(texts.take(pa.array(whole)).to_pylist())):
             heads[k] = ids
         coded = flat.dictionary_encode()
         which = np.array(coded.indices, np.int32)
         which[bounds[:-1]] = np.arange(len(texts)) + len(coded.dictionary)
-        ids = self._coded([" " + x for x in coded.dictionary.to_pylist()]) + heads
+        ids = self._coded([" " + x for x in _strings(coded.dictionary)]) + heads
         ids = pa.array(ids, pa.large_binary()).take(pa.array(which))
         _, ends, data = ids.buffers()
         return np.frombuffer(data or b"", "<u4"), np.frombuffer(ends, np.int64, len(flat) + 1)[bounds] // 4
