@@ -125,6 +125,16 @@ def sessions(events: DataFrame, counted: dict[str, str] = COUNTED, max_codes: in
     )
 
 
+def session_days(events: DataFrame) -> DataFrame:
+    """(user_pseudo_id, ga_session_id, session_date): what ``sessions`` has of these, one row for each of its rows, without its other columns.
+
+    A session's key is made of its user and id, so these two are the group.
+    """
+    days = events.groupBy("user_pseudo_id", "ga_session_id").agg(F.min("event_date").alias("session_date"), F.max("ga_session_id").alias("_known"))
+    # By an aggregate: a filter of the key would move to raw rows and repeat what makes the id.
+    return days.filter("_known IS NOT NULL").drop("_known")
+
+
 def daily(s: DataFrame) -> DataFrame:
     return s.groupBy(F.col("session_date").alias("date")).agg(
         F.count("*").alias("sessions"),

@@ -190,6 +190,13 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of(normalize_events(raw_events(spark, sf_dir)))
 
 
+def session_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterdeck.operators.product import normalize_events
+    from quarterdeck.operators.product import session_days as of
+
+    return of(normalize_events(raw_events(spark, sf_dir)))
+
+
 def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by priority and Monday's week; 0 where a week has none."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("series_id"), week_of(F.to_date("o_orderdate")).alias("obs_date"), _money("o_totalprice").alias("price"))

@@ -653,7 +653,7 @@ def g10_window_totals(spark, d):
 @query("SELECT d.date AS last, count(DISTINCT user_pseudo_id) AS users, count(*) AS sessions FROM (SELECT DISTINCT session_date AS date FROM sessions) d JOIN sessions s ON s.session_date BETWEEN d.date - 6 AND d.date GROUP BY 1")
 def g10_window_users(spark, d):
     """Distinct users of every seven days, from sets of days."""
-    s = writers.materialized(b.sessions(spark, d).select("session_date", "user_pseudo_id"))
+    s = writers.materialized(b.session_days(spark, d).select("session_date", "user_pseudo_id"))
     sets = writers.materialized(user_sets.user_sets(s, user_sets.user_numbers(s), {"date": F.col("session_date")}))
     spans = sets.select(F.col("date").alias("span")).distinct().select("span", F.date_sub("span", 6).alias("first"), F.col("span").alias("last"))
     days = spans.select("span", F.explode(F.sequence("first", "last")).alias("session_date"))
