@@ -38,7 +38,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier by quarter of shipping, in the staged names of a bank panel.
 
     Sums are of whole cents and hundredths of cents: a group in a task's memory is then
-    twelve numbers, where wide decimals take four times that. One past 63 bits is an error.
+    a dozen numbers, where wide decimals take more than twice that. One past 63 bits is an error.
     """
     cents, less, tax, pieces = (_hundredths(c, kind) for c, kind in (("l_extendedprice", "decimal(12,2)"), ("l_discount", "decimal(4,2)"), ("l_tax", "decimal(4,2)"), ("l_quantity", "decimal(12,2)")))
     total = lambda c, unit="0.01": (F.sum(c).cast("decimal(20,0)") * F.lit(Decimal(unit))).cast("double")
