@@ -15,9 +15,11 @@ change the answer:
   below its own: cells whose lower bound is above all windows are passed over, and
   the second round goes on to the worst negative found or the window's lower end.
 
-Anchors ask for cells, cells are dealt out in chunks of bounded size, and chunks
-meet the anchors that ask for them in one cogroup: a common vector or a large
-cell is many chunks. Of a chunk each anchor gets its best few rows only.
+Anchors ask for cells, and cells are dealt out in chunks of bounded size: small cells
+share one, a common vector or a large cell is many. An anchor goes to a chunk once, with
+the cells that it asks for there, and a chunk meets the anchors that ask for it in blocks
+of bounded size, one cogroup each. Of a block's chunk each anchor gets its best few rows
+only. Asks are made for a few anchors at a time, so no task holds those of all anchors.
 
 Components are whole numbers, floor(256 x), and products are exact. Rows without an
 id, a label or a vector, or with a component that is null or not finite, take no
@@ -34,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +46,14 @@ SCALE = 256
 POSITIVES = NEGATIVES = 5
 #: A window in percent of the positive's score, both ends included.
 LEAST, MOST = 80, 100
-#: Rows that the codebooks are fitted on, and codewords of a half, at most; one row in a cell's chunk, at most.
-SAMPLE_ROWS, CODEWORDS, CHUNK_ROWS = 1 << 16, 256, 4096
+#: Rows that the codebooks are fitted on, and codewords of a half, at most; rows of a cell that make it share a chunk, at most.
+SAMPLE_ROWS, CODEWORDS, CHUNK_ROWS = 1 << 16, 256, 8192
 FIRST_ROWS = 2048
+#: Anchors of a block that meets a chunk, about; anchors that one task plans for; asks of a batch, about.
+BLOCK_ANCHORS, TASK_ANCHORS, BATCH_ASKS = 1 << 14, 128, 2048
 _BATCH = 1024
+#: Scores of a step, and partners found before the best are kept, at most.
+_SCORES = 1 << 18
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -139,94 +146,160 @@ def index(rows: DataFrame, codewords: int = CODEWORDS, sample_rows: int = SAMPLE
     total, dims = rows.agg(F.count("*"), F.coalesce(F.max(F.size("q")), F.lit(0))).first()
     dims = max(2, dims)
     share = F.pmod(F.xxhash64("id"), F.lit(max(1, total // sample_rows))) == 0
-    points = matrix(pa.array([r.q for r in rows.filter(share).select("q").limit(2 * sample_rows).collect()], pa.list_(pa.int64())), dims)
+    points = matrix(rows.filter(share).select("q").limit(2 * sample_rows).toArrow()["q"], dims)
     points = points if len(points) else np.zeros((1, dims))
     k, half = int(min(codewords, max(2, (total / 256) ** 0.5))), dims // 2
     books = codebook(points[:, :half], k), codebook(points[:, half:], k)
     shared = spark.sparkContext.broadcast((books, dims))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (left, right), dims = shared.value
+        ((left, right), dims), seen = shared.value, 0
         for batch in batches:
             q = matrix(batch.column("q"), dims)
             (i, near), (j, far) = nearest(q[:, : dims // 2], left), nearest(q[:, dims // 2 :], right)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, (i * len(right) + j, i, j, near, far))], [*batch.schema.names, "cell", "i", "j", "near", "far"])
+            place, seen = np.arange(seen, seen + len(q)), seen + len(q)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, (i * len(right) + j, i, j, near, far, place))], [*batch.schema.names, "cell", "i", "j", "near", "far", "place"])
 
-    held = scratch.written(rows.mapInArrow(placed, "id long, label long, q array<long>, cell long, i long, j long, near double, far double"))
+    held = scratch.written(rows.mapInArrow(placed, "id long, label long, q array<long>, cell long, i long, j long, near double, far double, place long"))
     radii = tuple(np.zeros(len(b)) for b in books)
     counts, labels = (np.zeros((len(books[0]), len(books[1])), np.int64) for _ in range(2))
     bit = F.expr("bit_or(shiftleft(1L, cast(pmod(label, 63) as int)))")
     for r in held.groupBy("i", "j").agg(F.count("*").alias("n"), bit.alias("labels"), F.max("near").alias("near"), F.max("far").alias("far")).collect():  # as many as cells at most
         counts[r.i, r.j], labels[r.i, r.j] = r.n, r.labels
         radii[0][r.i], radii[1][r.j] = max(radii[0][r.i], r.near), max(radii[1][r.j], r.far)
-    return Index(dims, books, radii, counts, labels, held.select("id", "label", "q", "cell"))
+    return Index(dims, books, radii, counts, labels, held.select("id", "label", "q", "cell", "place"))
 
 
-def _asked(states: DataFrame, found: Index, chunk_rows: int, negatives: bool, again: bool) -> DataFrame:
-    """(anchor, label, id, q, windows, cell, chunk) of the cells that anchors ask for in a round."""
+def chunks(counts: np.ndarray, chunk_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first chunk of each cell and how many it has: neighbours share one of up to twice ``chunk_rows`` rows, larger cells have their own."""
+    counts = counts.ravel()
+    shared, parts = np.where(counts <= chunk_rows, counts, 0), np.where(counts <= chunk_rows, 0, -(-counts // chunk_rows))
+    together = (shared.cumsum() - shared) // chunk_rows
+    return np.where(parts == 0, together, together.max() + 1 + parts.cumsum() - parts), np.maximum(parts, 1)
+
+
+def _ends(windows: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, lower end, upper end) of windows, a row for each place in the lists; where a list is shorter nothing fits.
+
+    A full window can still gain from scores that reach the worst it has, others from their lower end on.
+    """
+    windows = windows.combine_chunks() if isinstance(windows, pa.ChunkedArray) else windows
+    sizes, flat = np.diff(np.asarray(windows.offsets)), windows.flatten()
+    row, place = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = tuple(np.full((sizes.max(initial=1), len(sizes)), none, np.int64) for none in (0, 2**63 - 1, -(2**63)))
+    for end, values in zip(out, (flat.field("window"), pc.coalesce(flat.field("worst"), flat.field("least")), flat.field("most"))):
+        end[place, row] = np.asarray(values)
+    return out
+
+
+def _asked(states: DataFrame, found: Index, chunk_rows: int, anchors: int, negatives: bool, again: bool) -> DataFrame:
+    """(anchor, label, id, q, windows, chunk, cell) of the chunks with cells that anchors ask for in a round; ``cell`` lists those of the chunk."""
     shared = states.sparkSession.sparkContext.broadcast(Index(found.dims, found.books, found.radii, found.counts, found.labels))
 
     def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         counts, labels = held.counts.ravel(), held.labels.ravel()
+        first, parts = chunks(held.counts, chunk_rows)
+
+        def wanted(q: np.ndarray, label: int, bars: np.ndarray, tops: np.ndarray) -> np.ndarray:
+            """The cells that an anchor asks for."""
+            visited, bar, seen = [], int(bars.min()), 0
+            for cell, upper, lower in held.visits(q):
+                if upper < bar or not again and seen >= FIRST_ROWS:
+                    break
+                visited.append((cell, upper, lower, seen))
+                seen += int(counts[cell])
+            cell, upper, lower, before = (np.array(x) for x in zip(*visited)) if visited else np.zeros((4, 0))
+            cell = cell.astype(np.int64)
+            fit = ((before < FIRST_ROWS) != again) & ((lower <= tops[:, None]) & (upper >= bars[:, None])).any(axis=0)
+            return cell[fit if negatives else fit & (labels[cell] & np.int64(1 << label % 63) != 0)]
+
+        def packed(batch: pa.RecordBatch, asks: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            row, chunk, size, cell = map(np.concatenate, zip(*asks))
+            cells = pa.ListArray.from_arrays(pa.array(np.append(0, size.cumsum()), pa.int32()), pa.array(cell, pa.int64()))
+            return pa.RecordBatch.from_arrays([*batch.take(pa.array(row)).columns, pa.array(chunk, pa.int64()), cells], [*batch.schema.names, "chunk", "cell"])
+
         for batch in batches:
-            q, label = matrix(batch.column("q"), held.dims), np.asarray(batch.column("label"))
-            windows = batch.column("windows").to_pylist()
-            for w in (w for ws in windows for w in ws):  # it can still gain from scores that reach the worst it has, if it is full
-                w["bar"] = w["least"] if w["worst"] is None else w["worst"]
-            rows, cells, chunks = [], [], []
+            q, label = matrix(batch.column("q"), held.dims), batch.column("label").to_pylist()
+            _, bars, tops = _ends(batch.column("windows"))
+            asks, n = [], 0
             for k in range(len(q)):
-                own, seen = 1 << int(label[k]) % 63, 0
-                for cell, upper, lower in held.visits(q[k]):
-                    if not any(upper >= w["bar"] for w in windows[k]):
-                        break
-                    first, seen = seen < FIRST_ROWS, seen + int(counts[cell])
-                    if again and first or not negatives and not labels[cell] & own:
-                        continue
-                    if not again and not first:
-                        break
-                    if any(lower <= w["most"] and upper >= w["bar"] for w in windows[k]):
-                        parts = -(-int(counts[cell]) // chunk_rows)
-                        rows += [k] * parts
-                        cells += [cell] * parts
-                        chunks += range(parts)
-            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows, pa.int64())).columns, pa.array(cells, pa.int64()), pa.array(chunks, pa.int64())], [*batch.schema.names, "cell", "chunk"])
-
-    return states.select("anchor", "id", "label", "q", "windows").mapInArrow(planned, f"anchor long, id long, label long, q array<long>, windows {_WINDOWS}, cell long, chunk long")
+                cell = wanted(q[k], label[k], bars[:, k], tops[:, k])
+                ends = parts[cell].cumsum()
+                nth = np.arange(ends[-1] if len(cell) else 0) - np.repeat(ends - parts[cell], parts[cell])
+                cell = np.repeat(cell, parts[cell])
+                chunk = first[cell] + nth
+                order = np.argsort(chunk, kind="stable")
+                chunk, size = np.unique(chunk, return_counts=True)
+                asks.append((np.full(len(chunk), k), chunk, size, cell[order]))
+                n += len(chunk)
+                if n >= BATCH_ASKS or k + 1 == len(q):
+                    yield packed(batch, asks)
+                    asks, n = [], 0
+
+    dealt = states.select("anchor", "id", "label", "q", "windows").repartition(max(1, -(-anchors // TASK_ANCHORS)))
+    return dealt.mapInArrow(planned, f"anchor long, id long, label long, q array<long>, windows {_WINDOWS}, chunk long, cell array<long>")
 
 
 _WINDOWS = "array<struct<window:int,least:long,most:long,worst:long>>"
 _FOUND = "anchor long, window int, partner long, score long"
 
 
-def _searched(states: DataFrame, found: Index, k: int, chunk_rows: int, negatives: bool, again: bool) -> DataFrame:
+def _searched(states: DataFrame, found: Index, k: int, chunk_rows: int, anchors: int, negatives: bool, again: bool) -> DataFrame:
     """(anchor, window, partner, score): the best ``k`` rows of each chunk asked for and window."""
-    counts = states.sparkSession.createDataFrame([(c, int(n)) for c, n in enumerate(found.counts.ravel()) if n], "cell long, n long")
+    first, parts = chunks(found.counts, chunk_rows)
     # As many rows as cells, so its size is bounded.
-    rows = found.rows.join(F.broadcast(counts), "cell").select("id", "label", "q", "cell", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / chunk_rows)).alias("chunk"))
+    dealt = states.sparkSession.createDataFrame(pa.table({"cell": np.arange(len(first)), "first": first, "parts": parts}))
+    chunk = F.col("first") + F.pmod(F.xxhash64("id", "place"), F.col("parts"))
+    blocks = max(1, -(-anchors // BLOCK_ANCHORS))
+    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = found.rows.join(F.broadcast(dealt), "cell").select("id", "label", "q", "cell", chunk.alias("chunk"), block.alias("block"))
     dims = found.dims
 
     def scored(asks: pa.Table, rows: pa.Table) -> pa.Table:
-        out = []
-        if asks.num_rows and rows.num_rows:
-            rows = rows.sort_by("id")
-            ids, labels, points = np.asarray(rows["id"]), np.asarray(rows["label"]), matrix(rows["q"], dims)
-            for at in range(0, asks.num_rows, 256):
-                part = asks.slice(at, 256)
-                scores = products(matrix(part["q"], dims), points)
-                for s, anchor, own, label, windows in zip(scores, *(part[c].to_pylist() for c in ("anchor", "id", "label", "windows"))):
-                    fit = (ids != own) & ((labels != label) if negatives else (labels == label))
-                    for w in windows:
-                        # Rows below the worst that a full window already has can't enter it.
-                        best = np.flatnonzero(fit & (s >= (w["least"] if w["worst"] is None else w["worst"])) & (s <= w["most"]))
-                        if len(best) > k:
-                            best = best[s[best] >= np.partition(s[best], len(best) - k)[len(best) - k]]
-                        best = best[np.argsort(-s[best], kind="stable")[:k]]
-                        out += [(anchor, w["window"], p, v) for p, v in zip(ids[best].tolist(), s[best].tolist())]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["anchor", "window", "partner", "score"])
-
-    asks = _asked(states, found, chunk_rows, negatives, again)
-    return asks.groupBy("cell", "chunk").cogroup(rows.groupBy("cell", "chunk")).applyInArrow(scored, _FOUND)
+        if not asks.num_rows or not rows.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())], ["anchor", "window", "partner", "score"])
+        rows = rows.sort_by("cell")
+        cells, ids, labels, points = *(np.asarray(rows[c]) for c in ("cell", "id", "label")), matrix(rows["q"], dims)
+        anchor, own, label, q = *(np.asarray(asks[c]) for c in ("anchor", "id", "label")), matrix(asks["q"], dims)
+        window, bars, tops = _ends(asks["windows"])
+        wanted = asks["cell"].combine_chunks()
+        row, cell = np.repeat(np.arange(len(q)), np.diff(np.asarray(wanted.offsets))), np.asarray(wanted.flatten())
+        order = np.argsort(cell, kind="stable")
+        row, cell = row[order], cell[order]
+        held, more = [], 0  # slots (anchors' windows), scores and partners
+
+        def best() -> list[tuple[np.ndarray, ...]]:
+            """The first ``k`` of each slot; rows below the worst of a full one can't enter it any more."""
+            slot, score, partner = map(np.concatenate, zip(*held))
+            order = np.lexsort((partner, ~score, slot))
+            slot, score, partner = slot[order], score[order], partner[order]
+            place = np.arange(len(slot)) - np.searchsorted(slot, slot)
+            bars.ravel()[slot[place == k - 1]] = score[place == k - 1]
+            return [(slot[place < k], score[place < k], partner[place < k])]
+
+        for c in np.unique(cell):
+            low, high = np.searchsorted(cells, (c, c + 1))
+            asking = row[slice(*np.searchsorted(cell, (c, c + 1)))]
+            step = max(1, _SCORES // max(1, high - low))
+            for at in range(0, len(asking), step):
+                part = asking[at : at + step]
+                s = products(q[part], points[low:high])
+                i, j = np.nonzero(s >= bars[:, part].min(axis=0)[:, None])
+                i, j, score = part[i], j + low, s[i, j]
+                fit = (ids[j] != own[i]) & ((labels[j] != label[i]) if negatives else (labels[j] == label[i]))
+                i, j, score = i[fit], j[fit], score[fit]
+                for w in range(len(bars)):
+                    fit = (score >= bars[w, i]) & (score <= tops[w, i])
+                    held.append((w * len(q) + i[fit], score[fit], ids[j[fit]]))
+                    more += int(fit.sum())
+                    if more > _SCORES:
+                        held, more = best(), 0
+        slot, score, partner = best()[0]
+        return pa.table([pa.array(c, t) for c, t in ((anchor[slot % len(q)], pa.int64()), (window.ravel()[slot], pa.int32()), (partner, pa.int64()), (score, pa.int64()))], ["anchor", "window", "partner", "score"])
+
+    asks = _asked(states, found, chunk_rows, anchors, negatives, again).withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)).cast("int"))
+    return asks.groupBy("chunk", "block").cogroup(rows.groupBy("chunk", "block")).applyInArrow(scored, _FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -234,13 +307,13 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def _search(states: DataFrame, found: Index, k: int, chunk_rows: int, negatives: bool) -> DataFrame:
+def _search(states: DataFrame, found: Index, k: int, chunk_rows: int, anchors: int, negatives: bool) -> DataFrame:
     """(anchor, window, partner, score, rank): the first ``k`` partners in each window, in two rounds."""
-    first = scratch.written(_best(_searched(states, found, k, chunk_rows, negatives, False), k))
+    first = scratch.written(_best(_searched(states, found, k, chunk_rows, anchors, negatives, False), k))
     full = first.filter(F.col("rank") == k).groupBy("anchor").agg(F.map_from_entries(F.collect_list(F.struct("window", "score"))).alias("worst"))
     worst = F.transform("windows", lambda w: F.struct(w["window"].alias("window"), w["least"].alias("least"), w["most"].alias("most"), F.try_element_at("worst", w["window"]).alias("worst")))
     states = scratch.written(states.join(full, "anchor", "left").withColumn("windows", worst).drop("worst"))
-    rest = _searched(states, found, k, chunk_rows, negatives, True)
+    rest = _searched(states, found, k, chunk_rows, anchors, negatives, True)
     return scratch.written(_best(first.drop("rank").unionByName(rest), k))
 
 
@@ -248,19 +321,20 @@ def hard_negatives(rows: DataFrame, anchors: Column, n_positives: int = POSITIVE
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for the rows of ``rows`` (id, label, q) that ``anchors`` picks.
 
     A negative's score lies between ``least`` and ``most`` percent of the positive's.
-    ``chunk_rows`` bounds the rows of a chunk; by default it grows with the table up to CHUNK_ROWS.
+    Chunks have up to twice ``chunk_rows`` rows; by default it grows with the table up to CHUNK_ROWS.
     """
     rows = scratch.written(rows)
     found = index(rows, codewords)
-    chunk_rows = chunk_rows or int(min(CHUNK_ROWS, max(128, found.counts.sum() // 512)))
+    chunk_rows = chunk_rows or int(min(CHUNK_ROWS, max(128, found.counts.sum() // 128)))
     every = F.array(F.struct(F.lit(0).alias("window"), F.lit(-(2**63)).alias("least"), F.lit(2**63 - 1).alias("most"), F.lit(None).cast("long").alias("worst")))
     chosen = scratch.written(rows.filter(anchors).distinct().withColumn("anchor", F.monotonically_increasing_id()))
-    positives = _search(chosen.withColumn("windows", every), found, n_positives, chunk_rows, False)
+    count = chosen.count()
+    positives = _search(chosen.withColumn("windows", every), found, n_positives, chunk_rows, count, False)
     # Whole ends of a window: the scores s with least * p <= 100 * s <= most * p.
     p = F.col("score").cast("decimal(38,0)")
     low, high = F.ceil(p * least / 100).cast("long"), F.floor(p * most / 100).cast("long")
     window = F.struct(F.col("rank").alias("window"), low.alias("least"), high.alias("most"), F.lit(None).cast("long").alias("worst"))
     windows = positives.filter(low <= high).groupBy("anchor").agg(F.collect_list(window).alias("windows"))  # n_positives at most
-    negatives = _search(chosen.join(windows, "anchor"), found, n_negatives, chunk_rows, True)
+    negatives = _search(chosen.join(windows, "anchor"), found, n_negatives, chunk_rows, count, True)
     out = negatives.join(positives.select("anchor", F.col("rank").alias("window"), F.col("partner").alias("positive_id"), F.col("score").alias("positive_score")), ["anchor", "window"])
     return out.join(chosen.select("anchor", F.col("id").alias("anchor_id")), "anchor").select("anchor_id", "positive_id", "rank", F.col("partner").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

@@ -96,3 +96,38 @@ def test_defined_cases(spark):
     assert found(df.limit(0)) == []
     far = [(k, [1e18 if k % 2 else 2.0, 1.0], k % 2) for k in range(4)]
     assert all(abs(v) <= 2**63 for r in found(spark.createDataFrame(far, SCHEMA), every=1) for v in r)
+
+
+def test_small_cells_share_chunks_and_large_ones_have_their_own():
+    counts = np.random.default_rng(4).integers(0, 90, (9, 9))
+    counts[2, 3], counts[8, 8] = 1000, 101
+    first, parts = negatives.chunks(counts, 100)
+    held, alone = {}, counts.ravel() > 100
+    for n, at, k in zip(counts.ravel(), first, parts):
+        assert k == max(1, -(-n // 100)) if n > 100 else k == 1
+        for c in range(at, at + k):
+            held.setdefault(c, []).append(n / k)
+    assert sorted(held) == list(range(len(held))) and len(held) < 45 + 12
+    assert all(sum(x) < 200 for x in held.values())
+    assert all(len(held[c]) == 1 for at, k in zip(first[alone], parts[alone]) for c in range(at, at + k))
+
+
+@pytest.mark.parametrize(("groups", "spread", "most"), [(1, 1.0, 1.0), (16, 0.02, 0.6)])
+def test_an_anchor_goes_to_a_chunk_once_and_no_task_asks_for_all(spark, monkeypatch, groups, spread, most):
+    """Asks grow with chunks, not with cells; they name the cells, and what is left out stays out."""
+    for name, value in (("FIRST_ROWS", 100), ("BLOCK_ANCHORS", 9), ("TASK_ANCHORS", 5), ("BATCH_ASKS", 3), ("_SCORES", 500)):
+        monkeypatch.setattr(negatives, name, value, raising=False)
+    rows, anchors = vectors(random.Random(8), 4200, 6, groups, spread), 42
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    cells = int((negatives.index(negatives.prepared(df)).counts > 0).sum())
+    assert cells >= 10
+    asked = []
+    original = negatives._asked
+    monkeypatch.setattr(negatives, "_asked", lambda *a: asked.append(original(*a).cache()) or asked[-1])
+    assert found(df, every=100, chunk_rows=1000) == plain(rows, 100)
+    assert len(asked) == 4
+    for a in asked:
+        assert a.count() == a.select("anchor", "chunk").distinct().count() <= anchors * (4200 // 1000 + 1)
+        assert all(r["count"] <= 5 * 5 for r in a.groupBy(F.spark_partition_id()).count().collect())
+    both = [a.select("id", F.explode("cell")).distinct().count() for a in asked]
+    assert all(n <= most * cells * anchors for n in both)
