@@ -97,6 +97,18 @@ def nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, far
 
 
+def firsts(shape: tuple[int, int], i: np.ndarray, j: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k``-th score of each row of a matrix (the least long if it has fewer), and which of its given places, row by row, are above it or among the first ``k`` that have it."""
+    held = np.full(shape, -(2**63))
+    held[i, j] = score
+    at = max(0, shape[1] - k)
+    cut = np.partition(held, at, axis=1)[:, at] if shape[1] >= k else np.full(shape[0], -(2**63))
+    tie = score == cut[i]
+    nth = tie.cumsum()
+    nth -= (nth - tie)[np.searchsorted(i, i)]
+    return cut, (score > cut[i]) | tie & (nth <= k)
+
+
 @dataclass
 class Index:
     """Codebooks, radii and cells; bounded by the number of codewords, so a broadcast of it is."""
@@ -118,18 +130,20 @@ class Index:
             slack = 1e-9 * (np.abs(middle) + reach) + 1e-6  # rounding of doubles
             uppers.append(middle + reach + slack)
             lowers.append(middle - reach - slack)
-        first, second = (np.argsort(-u, kind="stable") for u in uppers)
-        bound = lambda a, b: float(uppers[0][first[a]] + uppers[1][second[b]])
-        heap = [(-bound(0, 0), 0, 0)]
+        orders = first, second = [np.argsort(-u, kind="stable") for u in uppers]
+        filled = (self.counts[first][:, second] > 0).tolist()
+        (i, j), (up, along), (low, below) = ([x.tolist() for x in pair] for pair in (orders, *([x[o] for x, o in zip(ends, orders)] for ends in (uppers, lowers))))
+        heap = [(-(up[0] + along[0]), 0, 0)]
         while heap:
-            upper, a, b = heapq.heappop(heap)
-            i, j = int(first[a]), int(second[b])
-            if self.counts[i, j]:
-                yield i * len(self.books[1]) + j, -upper, float(lowers[0][i] + lowers[1][j])
-            if b + 1 < len(second):
-                heapq.heappush(heap, (-bound(a, b + 1), a, b + 1))
-            if b == 0 and a + 1 < len(first):
-                heapq.heappush(heap, (-bound(a + 1, 0), a + 1, 0))
+            upper, a, b = heap[0]
+            if filled[a][b]:
+                yield i[a] * len(j) + j[b], -upper, low[a] + below[b]
+            if b + 1 < len(j):
+                heapq.heapreplace(heap, (-(up[a] + along[b + 1]), a, b + 1))
+            else:
+                heapq.heappop(heap)
+            if b == 0 and a + 1 < len(i):
+                heapq.heappush(heap, (-(up[a + 1] + along[0]), a + 1, 0))
 
 
 def prepared(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label: Column | None = None, scale: int = SCALE) -> DataFrame:
@@ -259,7 +273,7 @@ def _searched(states: DataFrame, found: Index, k: int, chunk_rows: int, anchors:
     def scored(asks: pa.Table, rows: pa.Table) -> pa.Table:
         if not asks.num_rows or not rows.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())], ["anchor", "window", "partner", "score"])
-        rows = rows.sort_by("cell")
+        rows = rows.sort_by([("cell", "ascending"), ("id", "ascending")])
         cells, ids, labels, points = *(np.asarray(rows[c]) for c in ("cell", "id", "label")), matrix(rows["q"], dims)
         anchor, own, label, q = *(np.asarray(asks[c]) for c in ("anchor", "id", "label")), matrix(asks["q"], dims)
         window, bars, tops = _ends(asks["windows"])
@@ -286,12 +300,16 @@ def _searched(states: DataFrame, found: Index, k: int, chunk_rows: int, anchors:
                 part = asking[at : at + step]
                 s = products(q[part], points[low:high])
                 i, j = np.nonzero(s >= bars[:, part].min(axis=0)[:, None])
-                i, j, score = part[i], j + low, s[i, j]
-                fit = (ids[j] != own[i]) & ((labels[j] != label[i]) if negatives else (labels[j] == label[i]))
-                i, j, score = i[fit], j[fit], score[fit]
+                of, to = labels[low:high][j], label[part][i]
+                fit = (ids[low:high][j] != own[part][i]) & ((of != to) if negatives else (of == to))
+                i, j = i[fit], j[fit]
+                score = s[i, j]
                 for w in range(len(bars)):
-                    fit = (score >= bars[w, i]) & (score <= tops[w, i])
-                    held.append((w * len(q) + i[fit], score[fit], ids[j[fit]]))
+                    fit = (score >= bars[w, part][i]) & (score <= tops[w, part][i])
+                    if fit.sum() > 8 * k * len(part):
+                        cut, fit[fit] = firsts(s.shape, i[fit], j[fit], score[fit], k)
+                        bars[w, part] = np.maximum(bars[w, part], cut)
+                    held.append((w * len(q) + part[i[fit]], score[fit], ids[low:high][j[fit]]))
                     more += int(fit.sum())
                     if more > _SCORES:
                         held, more = best(), 0

@@ -131,3 +131,16 @@ def test_an_anchor_goes_to_a_chunk_once_and_no_task_asks_for_all(spark, monkeypa
         assert all(r["count"] <= 5 * 5 for r in a.groupBy(F.spark_partition_id()).count().collect())
     both = [a.select("id", F.explode("cell")).distinct().count() for a in asked]
     assert all(n <= most * cells * anchors for n in both)
+
+
+def test_firsts_of_rows_are_those_of_a_sort():
+    rng = np.random.default_rng(9)
+    s = rng.integers(-4, 4, (30, 40))
+    for k, share in ((5, 0.9), (5, 0.05), (60, 0.5)):
+        i, j = np.nonzero(rng.random(s.shape) < share)
+        cut, fit = negatives.firsts(s.shape, i, j, s[i, j], k)
+        for r in range(len(s)):
+            order = sorted((-int(s[r, c]), c) for c in j[i == r])[:k]
+            got = sorted((-int(s[r, c]), c) for c in j[fit & (i == r)])
+            assert got[: len(order)] == order and len(got) < 2 * k
+            assert int(cut[r]) == (-order[-1][0] if len(order) == k else -(2**63))
