@@ -144,3 +144,11 @@ def test_firsts_of_rows_are_those_of_a_sort():
             got = sorted((-int(s[r, c]), c) for c in j[fit & (i == r)])
             assert got[: len(order)] == order and len(got) < 2 * k
             assert int(cut[r]) == (-order[-1][0] if len(order) == k else -(2**63))
+
+
+def test_rows_of_one_id_are_dealt_to_chunks(spark):
+    rows = vectors(random.Random(3), 80, 4, 3, 0.3) + [(81, [0.5, 0.25, -0.125, 1.0], k % 3) for k in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    assert found(df, chunk_rows=50) == plain(rows, 10)
+    held = negatives.index(negatives.prepared(df)).rows.filter("id = 81").groupBy(F.pmod(F.xxhash64("id", "place"), F.lit(8)).alias("chunk")).count().collect()
+    assert len(held) == 8 and max(r["count"] for r in held) < 150
